@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.llm import simhash
+from barloom.llm import simhash, token_files
 from barloom.llm._spark import read_table
 
 
@@ -14,6 +15,13 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read_table(spark, sf_dir, "documents"), shingle_words=3, distance=3)
 
 
-QUERIES = {"op1_simhash": op1_simhash}
+def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's ids as read back from the block files."""
+    docs = read_table(spark, sf_dir, "documents")
+    read = token_files.token_files(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=1)
+    return read.select("doc_id", "start", "n_tokens", F.crc32("token_ids").alias("ids_crc32"))
+
+
+QUERIES = {"op1_simhash": op1_simhash, "op9_token_files": op9_token_files}
 
 ORACLE_SQL: dict[str, str] = {}
