@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.llm import simhash, token_files
+from barloom.llm import quality_rules, simhash, token_files
 from barloom.llm._spark import read_table
 
 
@@ -15,6 +15,14 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read_table(spark, sf_dir, "documents"), shingle_words=3, distance=3)
 
 
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base measures and the verdict of the cross-document line rules."""
+    judged = quality_rules.apply_rules(read_table(spark, sf_dir, "documents"))
+    return judged.select(
+        F.col("id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
+    )
+
+
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's ids as read back from the block files."""
     docs = read_table(spark, sf_dir, "documents")
@@ -22,6 +30,46 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select("doc_id", "start", "n_tokens", F.crc32("token_ids").alias("ids_crc32"))
 
 
-QUERIES = {"op1_simhash": op1_simhash, "op9_token_files": op9_token_files}
+QUERIES = {
+    "op1_simhash": op1_simhash,
+    "op6_quality_rules": op6_quality_rules,
+    "op9_token_files": op9_token_files,
+}
+
+_WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+
+_OP6_SQL = rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, source AS host, coalesce(text, '') AS text, {_WORDS} AS w FROM documents
+), windows AS (
+  SELECT rid, pos, list_slice(w, pos, pos + 7) AS win
+  FROM (SELECT rid, w, unnest(range(1, len(w) - 6)) AS pos FROM d)
+), twice AS (
+  SELECT rid, pos FROM (SELECT rid, pos, count(*) OVER (PARTITION BY rid, win) AS n FROM windows) WHERE n > 1
+), repeated AS (
+  SELECT rid, count(DISTINCT pos + o) AS n_repeat_words FROM twice, range(0, 8) t(o) GROUP BY rid
+), lines AS (
+  SELECT rid, host, text, line, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS words,
+    trim(regexp_replace(regexp_replace(lower(line), '[0-9]', '0', 'g'), '[\x20\x09-\x0D]+', ' ', 'g')) AS norm
+  FROM (SELECT rid, host, text, unnest(string_split(text, chr(10))) AS line FROM d)
+), worded AS (SELECT * FROM lines WHERE words > 0
+), dups AS (SELECT rid, count(*) - count(DISTINCT line) AS n_dup_lines FROM worded GROUP BY rid
+), hosts AS (SELECT host, count(DISTINCT text) AS host_docs FROM d GROUP BY host
+), common AS (
+  SELECT s.host, s.norm FROM (SELECT host, norm, count(DISTINCT text) AS n FROM worded GROUP BY host, norm) s
+  JOIN hosts h ON s.host IS NOT DISTINCT FROM h.host WHERE s.n > 50 AND s.n > 0.02 * h.host_docs
+), removed AS (
+  SELECT l.rid, sum(l.words)::BIGINT AS removed FROM worded l
+  JOIN common c ON l.host IS NOT DISTINCT FROM c.host AND l.norm = c.norm GROUP BY l.rid
+), m AS (
+  SELECT d.doc_id, len(d.w) AS n_words, length(regexp_replace(d.text, '[\x20\x09-\x0D]', '', 'g')) AS word_chars,
+    len(regexp_extract_all(d.text, '[#*$%&|<>]')) AS n_symbols, coalesce(n_dup_lines, 0) AS n_dup_lines,
+    coalesce(n_repeat_words, 0) AS n_repeat_words, coalesce(removed, 0) AS removed
+  FROM d LEFT JOIN dups USING (rid) LEFT JOIN repeated USING (rid) LEFT JOIN removed USING (rid)
+), judged AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM m)
+SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_symbols::BIGINT AS n_symbols,
+  n_dup_lines::BIGINT AS n_dup_lines, n_repeat_words::BIGINT AS n_repeat_words, base_failed,
+  NOT base_failed AND 100 * (n_words - removed) >= 50 * n_words AND n_words - removed >= 20 AS kept
+FROM judged"""
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op6_quality_rules": _OP6_SQL}
