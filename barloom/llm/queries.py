@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.llm import quality_rules, simhash, token_files
+from barloom.llm import mixing, quality_rules, simhash, token_files
 from barloom.llm._spark import read_table
 
 
@@ -23,6 +23,12 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words taken of every document for weights 1, 2, 3 and at most three epochs."""
+    mixed = mixing.mix(read_table(spark, sf_dir, "documents"))
+    return mixed.select(F.col("row.doc_id").alias("doc_id"), "size", "source_size", "target", "taken")
+
+
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's ids as read back from the block files."""
     docs = read_table(spark, sf_dir, "documents")
@@ -33,6 +39,7 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op6_quality_rules": op6_quality_rules,
+    "op7_mixing": op7_mixing,
     "op9_token_files": op9_token_files,
 }
 
@@ -72,4 +79,27 @@ SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_s
   NOT base_failed AND 100 * (n_words - removed) >= 50 * n_words AND n_words - removed >= 20 AS kept
 FROM judged"""
 
-ORACLE_SQL: dict[str, str] = {"op6_quality_rules": _OP6_SQL}
+_OP7_SQL = rf"""
+WITH d AS (
+  SELECT doc_id, source, len({_WORDS})::BIGINT AS size, md5('1:' || coalesce(doc_id::VARCHAR, '')) AS key FROM documents
+), s AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source
+), w AS (
+  SELECT *, 1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 AS weight, 3 * source_size AS stop FROM s
+), r AS (
+  SELECT *, sum(source_size) OVER () - coalesce(sum(stop) OVER b, 0) AS size_left, sum(weight) OVER () - coalesce(sum(weight) OVER b, 0) AS weight_left
+  FROM w WINDOW b AS (ORDER BY stop * (6 // weight), source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+), c AS (SELECT *, stop * weight_left <= size_left * weight AS stopped FROM r
+), t AS (
+  SELECT source, source_size, CASE WHEN stopped THEN stop::DOUBLE ELSE
+    (sum(source_size) OVER () - sum(CASE WHEN stopped THEN stop ELSE 0 END) OVER ())::DOUBLE * weight
+    / sum(CASE WHEN stopped THEN 0 ELSE weight END) OVER () END AS target
+  FROM c
+), p AS (
+  SELECT *, coalesce(sum(size) OVER (PARTITION BY source ORDER BY key, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM d
+)
+SELECT doc_id, size, source_size, target,
+  (CASE WHEN source_size = 0 THEN 0 ELSE round(target)::BIGINT // source_size * size
+    + greatest(0, least(size, round(target)::BIGINT % source_size - before)) END)::BIGINT AS taken
+FROM p JOIN t ON p.source IS NOT DISTINCT FROM t.source"""
+
+ORACLE_SQL: dict[str, str] = {"op6_quality_rules": _OP6_SQL, "op7_mixing": _OP7_SQL}
