@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.llm import mixing, quality_rules, simhash, token_files
+from barloom.llm import decontaminate, mixing, quality_rules, simhash, token_files
 from barloom.llm._spark import read_table
 
 
@@ -15,6 +15,17 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read_table(spark, sf_dir, "documents"), shingle_words=3, distance=3)
 
 
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document inside ten-word windows of the benchmark."""
+    found = decontaminate.contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    return found.select(
+        F.col("row.doc_id").alias("doc_id"), "n_words", "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base measures and the verdict of the cross-document line rules."""
     judged = quality_rules.apply_rules(read_table(spark, sf_dir, "documents"))
@@ -38,6 +49,7 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_simhash": op1_simhash,
+    "op4_decontaminate": op4_decontaminate,
     "op6_quality_rules": op6_quality_rules,
     "op7_mixing": op7_mixing,
     "op9_token_files": op9_token_files,
@@ -45,6 +57,24 @@ QUERIES = {
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
+_OP4_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+), b AS (
+  SELECT coalesce(item_id::VARCHAR, '') AS item, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark
+), bw AS (
+  SELECT DISTINCT item, least(10, len(w)) AS n, list_slice(w, p, p + least(10, len(w)) - 1) AS win
+  FROM (SELECT item, w, unnest(range(1, greatest(2, len(w) - 8))) AS p FROM b WHERE len(w) > 0)
+), lens AS (SELECT DISTINCT n FROM bw
+), dw AS (
+  SELECT rid, n, p, list_slice(w, p, p + n - 1) AS win FROM (SELECT rid, w, n, unnest(range(1, len(w) - n + 2)) AS p FROM d, lens WHERE len(w) >= n)
+), hits AS (SELECT DISTINCT rid, dw.n, p, item FROM dw JOIN bw ON dw.n = bw.n AND dw.win = bw.win
+), words AS (SELECT rid, count(DISTINCT p + o) AS n_hit FROM hits, range(0, 10) t(o) WHERE o < n GROUP BY rid
+), items AS (SELECT rid, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids FROM (SELECT DISTINCT rid, item FROM hits) GROUP BY rid)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+  sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN words USING (rid) LEFT JOIN items USING (rid)"""
+
 _OP6_SQL = rf"""
 WITH d AS (
   SELECT row_number() OVER () AS rid, doc_id, source AS host, coalesce(text, '') AS text, {_WORDS} AS w FROM documents
@@ -102,4 +132,4 @@ SELECT doc_id, size, source_size, target,
     + greatest(0, least(size, round(target)::BIGINT % source_size - before)) END)::BIGINT AS taken
 FROM p JOIN t ON p.source IS NOT DISTINCT FROM t.source"""
 
-ORACLE_SQL: dict[str, str] = {"op6_quality_rules": _OP6_SQL, "op7_mixing": _OP7_SQL}
+ORACLE_SQL: dict[str, str] = {"op4_decontaminate": _OP4_SQL, "op6_quality_rules": _OP6_SQL, "op7_mixing": _OP7_SQL}
