@@ -14,14 +14,15 @@ segment holds whole documents and cuts their ids into blocks of 1024:
 Reading needs no shuffle: every segment knows its start within its shard and a
 manifest of one row per shard has the ids before it.
 
-White-space-separated words are encoded once and kept in a bounded cache; the
-tokenizer itself never joins characters across white space.  Words are given
-to the library exactly as they stand in the text.
+Ids come from the tokenizers library alone; see ``_Encoder`` for what is
+encoded once instead of every time.
 """
 
 from __future__ import annotations
 
+import json
 import os
+import re
 from hashlib import md5
 
 import numpy as np
@@ -143,36 +144,106 @@ def decode_blocks(n_values: int, blocks: dict, first_block: int = 0, last_block:
 # -- encoding ----------------------------------------------------------------
 
 
+def _nones(row: list):
+    i = -1
+    try:
+        while True:
+            i = row.index(None, i + 1)
+            yield i
+    except ValueError:
+        return
+
+
+#: A run of Latin letters and the marks after it: two pre-tokens for tokenizers with word ends.
+_LETTERS = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
+#: Missing runs of letters given to the library as one text.
+_JOINED = 256
+
+
 class _Encoder:
-    """Ids of a text as little-endian bytes, through a bounded cache of words."""
+    """Ids of a text as little-endian bytes.
+
+    Where the tokenizer lower-cases, drops white space and marks the end of
+    every pre-token, words are encoded once and kept in two generations of a
+    bounded cache, and runs of letters are encoded many to a call: the tokens
+    with the end mark say where each run ends.  Other tokenizers get whole texts.
+    """
 
     def __init__(self, spec: str):
         from tokenizers import Tokenizer
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.tokenizer = Tokenizer.from_str(spec)
+        parsed = json.loads(spec)
+        suffix = parsed["model"].get("end_of_word_suffix")
+        steps = [n["type"] for n in (parsed.get("normalizer") or {}).get("normalizers", [])]
+        cuts = [(c["type"], c.get("behavior"), c.get("add_prefix_space")) for c in (parsed.get("pre_tokenizer") or {}).get("pretokenizers", [])]
+        self.by_word = bool(suffix) and steps == ["NFC", "Replace", "Lowercase"] and cuts == [("Split", "Removed", None), ("ByteLevel", None, False)]
+        if self.by_word:
+            self.ends = np.zeros(self.tokenizer.get_vocab_size(), dtype=bool)
+            for token, i in self.tokenizer.get_vocab(with_added_tokens=False).items():
+                self.ends[i] = token.endswith(suffix)
         self.young: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
 
-    def encode(self, texts: list[bytes]) -> list[bytes]:
-        split = [t.split() for t in texts]
-        known: dict[bytes, bytes] = {}
-        young, old = self.young, self.old
-        missing = []
-        for word in set().union(*split):
-            ids = young.get(word)
-            if ids is None and (ids := old.get(word)) is None:
-                missing.append(word)
+    def _whole(self, texts: list[str]) -> list[bytes]:
+        done = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.array(e.ids, dtype="<u4").tobytes() for e in done]
+
+    def _runs(self, runs: list[bytes]) -> dict[bytes, bytes]:
+        """Ids of runs of lower-case letters, each one pre-token."""
+        out: dict[bytes, bytes] = {}
+        groups = [runs[k : k + _JOINED] for k in range(0, len(runs), _JOINED)]
+        for group, done in zip(groups, self.tokenizer.encode_batch_fast([b" ".join(g).decode() for g in groups], add_special_tokens=False), strict=True):
+            ids = np.array(done.ids, dtype="<u4")
+            stops = (np.flatnonzero(self.ends[ids]) + 1) * 4
+            raw = ids.tobytes()
+            if len(stops) != len(group):  # not the boundaries expected: one by one
+                out.update(zip(group, self._whole([r.decode() for r in group]), strict=True))
                 continue
-            known[word] = ids
-        if missing:
-            done = self.tokenizer.encode_batch_fast([w.decode() for w in missing], add_special_tokens=False)
-            known.update(zip(missing, (np.array(e.ids, dtype="<u4").tobytes() for e in done), strict=True))
-        if len(young) + len(known) > CACHE_WORDS:
-            self.old, self.young = young, known
-        else:
-            young.update(known)
-        return [b"".join(map(known.__getitem__, words)) for words in split]
+            lo = 0
+            for run, hi in zip(group, stops.tolist(), strict=True):
+                out[run] = raw[lo:hi]
+                lo = hi
+        return out
+
+    def _learn(self, missing: set[bytes]) -> None:
+        young, old = self.young, self.old
+        if len(young) + len(missing) > CACHE_WORDS:
+            self.old, self.young = young, {}
+            young, old = self.young, self.old
+        split, odd, runs = [], [], {}
+        for word in missing:
+            if (ids := old.get(word)) is not None:
+                young[word] = ids
+            elif m := _LETTERS.fullmatch(word.decode()):
+                run = m[1].lower().encode()
+                split.append((word, run, m[2]))
+                runs[run] = young.get(run) or old.get(run)
+            else:
+                odd.append(word)
+        runs |= self._runs([r for r, ids in runs.items() if ids is None])
+        young |= runs
+        marks = list({mark for *_, mark in split if mark})
+        after = dict(zip(marks, self._whole(marks), strict=True)) | {"": b""}
+        young.update([(word, runs[run] + after[mark]) for word, run, mark in split])
+        young.update(zip(odd, self._whole([w.decode() for w in odd]), strict=True))
+
+    def encode(self, texts: list[bytes]) -> list[bytes]:
+        if not self.by_word:
+            return self._whole([t.decode() for t in texts])
+        out = []
+        for lo in range(0, len(texts), 64):
+            split = [t.split() for t in texts[lo : lo + 64]]
+            rows = [list(map(self.young.get, words)) for words in split]
+            gaps = [(row, i, words[i]) for words, row in zip(split, rows, strict=True) for i in _nones(row)]
+            if gaps:
+                self._learn({word for *_, word in gaps})
+                young = self.young
+                for row, i, word in gaps:
+                    row[i] = young[word]
+            out += map(b"".join, rows)
+        return out
 
 
 _encoders: dict[str, _Encoder] = {}
@@ -199,10 +270,10 @@ def _segments(batches, spec: str, end_id: int):
         return pa.RecordBatch.from_pylist([row], schema=SEGMENTS)
 
     for batch in batches:
+        raw = batch.column(1).cast(pa.binary())
         for lo in range(0, batch.num_rows, 256):
-            part = batch.slice(lo, 256)
-            texts = [t or b"" for t in part.column(1).cast(pa.binary()).to_pylist()]
-            for doc_id, ids in zip(part.column(0).to_pylist(), encoder.encode(texts), strict=True):
+            texts = [t or b"" for t in raw.slice(lo, 256).to_pylist()]
+            for doc_id, ids in zip(batch.column(0).slice(lo, 256).to_pylist(), encoder.encode(texts), strict=True):
                 doc_ids.append(doc_id)
                 parts.append(ids + end)
                 held += len(ids) // 4 + 1

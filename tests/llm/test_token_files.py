@@ -65,5 +65,25 @@ def test_cache_size_changes_nothing(monkeypatch, cache):
     with open(PATH, encoding="utf-8") as f:
         encoder = token_files._Encoder(f.read())
     tokenizer = Tokenizer.from_file(PATH)
-    for text in ["one two three four", "five one six", "one two"] * 3:
+    for text in ["one two three four", "five Ône six.", "one two!! a-b ÿ'll x÷y,", "" , "ß ʼn ǅ Ω. ÀÉ,"] * 3:
         assert np.frombuffer(encoder.encode([text.encode()])[0], "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_words_of_the_corpus_match_the_library(sf_dir):
+    import pyarrow.parquet as pq
+
+    with open(PATH, encoding="utf-8") as f:
+        encoder = token_files._Encoder(f.read())
+    assert encoder.by_word
+    tokenizer = Tokenizer.from_file(PATH)
+    texts = pq.read_table("/root/testdata/sf0.01/documents.parquet", columns=["text"]).column(0).to_pylist()
+    want = [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+    assert [np.frombuffer(x, "<u4").tolist() for x in encoder.encode([t.encode() for t in texts])] == want
+
+
+def test_other_tokenizers_get_whole_texts():
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as f:
+        encoder = token_files._Encoder(f.read())
+    assert not encoder.by_word
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    assert np.frombuffer(encoder.encode([b" two  words\n"])[0], "<u4").tolist() == tokenizer.encode(" two  words\n", add_special_tokens=False).ids
