@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.llm import chat, decontaminate, mixing, quality_rules, simhash, token_files
+from barloom.llm import chat, decontaminate, mixing, quality_rules, simhash, substrings, token_files
 from barloom.llm._spark import read_table
 
 
@@ -60,6 +60,12 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select(F.col("row.doc_id").alias("doc_id"), "size", "source_size", "target", "taken")
 
 
+def op8_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words left after spans of 13 words and more from earlier documents are removed."""
+    left = substrings.remove_repeats(read_table(spark, sf_dir, "documents"), window=13)
+    return left.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
+
+
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's ids as read back from the block files."""
     docs = read_table(spark, sf_dir, "documents")
@@ -73,6 +79,7 @@ QUERIES = {
     "op5_chat": op5_chat,
     "op6_quality_rules": op6_quality_rules,
     "op7_mixing": op7_mixing,
+    "op8_substrings": op8_substrings,
     "op9_token_files": op9_token_files,
 }
 
@@ -168,4 +175,15 @@ SELECT doc_id, size, source_size, target,
     + greatest(0, least(size, round(target)::BIGINT % source_size - before)) END)::BIGINT AS taken
 FROM p JOIN t ON p.source IS NOT DISTINCT FROM t.source"""
 
-ORACLE_SQL: dict[str, str] = {"op4_decontaminate": _OP4_SQL, "op5_chat": _OP5_SQL, "op6_quality_rules": _OP6_SQL, "op7_mixing": _OP7_SQL}
+_OP8_SQL = rf"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, {_WORDS} AS w FROM documents
+), wins AS (
+  SELECT rid, doc_id, p, list_slice(w, p, p + 12) AS win FROM (SELECT rid, doc_id, w, unnest(range(1, len(w) - 11)) AS p FROM d)
+), late AS (SELECT rid, p FROM (SELECT *, min(doc_id) OVER (PARTITION BY win) AS least FROM wins) WHERE least < coalesce(doc_id, 9223372036854775807)
+), gone AS (SELECT DISTINCT rid, p + o AS p FROM late, range(0, 13) t(o)
+), words AS (SELECT rid, p, w[p] AS word FROM (SELECT rid, w, unnest(range(1, len(w) + 1)) AS p FROM d)
+), kept AS (SELECT rid, count(*) AS n, string_agg(word, ' ' ORDER BY p) AS text FROM words ANTI JOIN gone USING (rid, p) GROUP BY rid)
+SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (rid)"""
+
+ORACLE_SQL: dict[str, str] = {"op4_decontaminate": _OP4_SQL, "op5_chat": _OP5_SQL, "op6_quality_rules": _OP6_SQL, "op7_mixing": _OP7_SQL, "op8_substrings": _OP8_SQL}
