@@ -19,18 +19,24 @@ from pyspark.sql import functions as F
 
 from barloom.llm._spark import cut, lower_ascii
 
-_SEPARATOR = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]"
+#: Neither letters of either case, nor digits, nor beyond ASCII.
+_SEPARATOR = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
 CHUNK_WORDS = 2048
 #: Benchmark windows up to this number (of some hundred bytes each) are broadcast.
 BROADCAST_WINDOWS = 200_000
 
 
 def words_of(text: Column) -> Column:
-    """Lower-cased (A-Z) runs of letters, digits and non-ASCII characters; null has none."""
-    trimmed = F.regexp_replace(lower_ascii(F.coalesce(text, F.lit(""))), f"^{_SEPARATOR}+|{_SEPARATOR}+$", "")
+    """Runs of letters, digits and non-ASCII characters, in the text's own case; null has none."""
+    trimmed = F.regexp_replace(F.coalesce(text, F.lit("")), f"^{_SEPARATOR}+|{_SEPARATOR}+$", "")
     return F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, _SEPARATOR + "+"))
 
 
+def _folded(word: Column) -> Column:
+    """A-Z lower-cased; only words beyond ASCII need the slow way."""
+    return F.when(F.length(word) == F.octet_length(word), F.lower(word)).otherwise(lower_ascii(word))
+
+
 def _fingerprint(hashes: list[Column], k: int) -> Column:
     grams = [F.xxhash64(*hashes[i : i + k]) for i in range(len(hashes) - k + 1)]
     return F.least(*grams) if len(grams) > 1 else grams[0]
@@ -43,7 +49,7 @@ def _windows(rows: DataFrame, lengths: list[int], window: int, k: int) -> DataFr
     """
     keep = [c for c in rows.columns if c != "words"]
     # Only at most chunk-long arrays are shifted and zipped.
-    hashed = rows.withColumn("h", F.transform("words", lambda w: F.xxhash64(w)))
+    hashed = rows.withColumn("h", F.transform("words", lambda w: F.xxhash64(_folded(w))))
     shifted = [F.slice("h", i + 1, F.greatest(F.lit(0), F.size("h") - i)).alias(f"h{i}") for i in range(window)]
     placed = hashed.select(*keep, "words", F.posexplode(F.arrays_zip(*shifted)).alias("pos", "w"))
     h = [F.col(f"w.h{i}") for i in range(window)]
@@ -60,7 +66,7 @@ def _windows(rows: DataFrame, lengths: list[int], window: int, k: int) -> DataFr
 
 
 def _window_text(words: Column, pos: Column, length: Column) -> Column:
-    return F.array_join(F.slice(words, pos + 1, length), " ")
+    return F.array_join(F.transform(F.slice(words, pos + 1, length), _folded), " ")
 
 
 def benchmark_windows(benchmark: DataFrame, id_col: str, text_col: str, window: int, k: int) -> DataFrame:
@@ -127,9 +133,10 @@ def contamination(
     items = named.groupBy("k1", "k2").agg(F.array_sort(F.collect_set("item")).alias("items"))
     per_text = spans.join(items, ["k1", "k2"])
 
-    rows = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"), *keys, F.size(words_of(text)).cast("long").alias("n_words"))
+    own = {c: f"__column_{i}" for i, c in enumerate(docs.columns)}  # flat, so that unused ones are pruned
+    rows = docs.select(*[docs[f"`{c}`"].alias(x) for c, x in own.items()], *keys, F.size(words_of(text)).cast("long").alias("n_words"))
     n_hit = F.aggregate(F.coalesce("spans", empty), F.lit(0).cast("long"), lambda acc, s: acc + s["end"] - s["first"])
     return rows.join(per_text, ["k1", "k2"], "left").select(
-        "row", "n_words", n_hit.alias("n_hit"),
+        F.struct(*[F.col(x).alias(c) for c, x in own.items()]).alias("row"), "n_words", n_hit.alias("n_hit"),
         F.coalesce("items", F.array().cast("array<string>")).alias("items"), F.coalesce("spans", empty).alias("spans"),
     )
