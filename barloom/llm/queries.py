@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.llm import chat, decontaminate, mixing, quality_rules, simhash, substrings, token_files
+from barloom.llm import chat, decontaminate, mixing, quality_model, quality_rules, simhash, substrings, token_files
 from barloom.llm._spark import read_table
 
 
@@ -15,6 +15,13 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read_table(spark, sf_dir, "documents"), shingle_words=3, distance=3)
 
 
+def op3_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality scores of all documents, learned from the labels of four folds in five."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality_model.fit(docs, read_table(spark, sf_dir, "labels"), train_rows=quality_model.TRAIN_ROWS)
+    return quality_model.score(docs, model)
+
+
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document inside ten-word windows of the benchmark."""
     found = decontaminate.contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
@@ -75,6 +82,7 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_simhash": op1_simhash,
+    "op3_quality_model": op3_quality_model,
     "op4_decontaminate": op4_decontaminate,
     "op5_chat": op5_chat,
     "op6_quality_rules": op6_quality_rules,
