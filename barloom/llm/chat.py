@@ -45,17 +45,23 @@ def _branches(nodes: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
     A message whose chain never ends (a cycle) has no root and is left out.
     """
     state = cut(nodes.select("tree", "node", F.col("parent").alias("up"), F.lit(1).cast("long").alias("depth"), F.col("score")))
+    # Messages whose chain has reached its root are set aside; only the others go on.
+    live, summed = state.where("up is not null"), state.where("up is null").drop("up")
     jumps, longest = [], state.count()
-    while (1 << len(jumps)) <= longest and not (live := state.where("up is not null")).isEmpty():
+    reached = summed
+    while (1 << len(jumps)) <= longest and not live.isEmpty():
         jumps.append(live.select("tree", "node", "up"))
-        above = state.select("tree", F.col("node").alias("up"), F.col("up").alias("up2"), F.col("depth").alias("d2"), F.col("score").alias("s2"))
+        above = live.select("tree", "node", "up", "depth", "score").unionByName(reached.withColumn("up", F.lit(None).cast("string")))
+        above = above.toDF("tree", "up", "up2", "d2", "s2")
         state = cut(
-            state.join(above, ["tree", "up"], "left").select(
-                "tree", "node", F.col("up2").alias("up"),
-                (F.col("depth") + F.coalesce("d2", F.lit(0))).alias("depth"), (F.col("score") + F.coalesce("s2", F.lit(0.0))).alias("score"),
+            live.join(above, ["tree", "up"]).select(
+                "tree", "node", F.col("up2").alias("up"), (F.col("depth") + F.col("d2")).alias("depth"), (F.col("score") + F.col("s2")).alias("score")
             )
-        )
-    return state.where("up is null").drop("up"), jumps
+        )
+        live, fresh = state.where("up is not null"), state.where("up is null").drop("up")
+        # A pointer of this round may end at any message that is done by now.
+        reached = cut(reached.unionByName(fresh))
+    return reached, jumps
 
 
 def format_reply_trees(
