@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.llm import chat, decontaminate, mixing, quality_model, quality_rules, simhash, substrings, token_files
+from barloom.llm import chat, decontaminate, line_spread, mixing, quality_model, quality_rules, simhash, substrings, token_counts, token_files
 from barloom.llm._spark import read_table
 
 
@@ -15,6 +15,11 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read_table(spark, sf_dir, "documents"), shingle_words=3, distance=3)
 
 
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words and unigram tokens of every document."""
+    return token_counts.count_tokens(read_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op3_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality scores of all documents, learned from the labels of four folds in five."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -80,8 +85,16 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select("doc_id", "start", "n_tokens", F.crc32("token_ids").alias("ids_crc32"))
 
 
+def op10_line_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the lines that stand on ten sources or more."""
+    clean = line_spread.remove_boilerplate(read_table(spark, sf_dir, "documents"), min_sites=10)
+    digest = F.sha2(F.coalesce("clean_text", F.lit("")).cast("binary"), 256)
+    return clean.select("doc_id", "n_lines", "n_removed", digest.alias("clean_sha256"))
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
+    "op2_token_counts": op2_token_counts,
     "op3_quality_model": op3_quality_model,
     "op4_decontaminate": op4_decontaminate,
     "op5_chat": op5_chat,
@@ -89,6 +102,7 @@ QUERIES = {
     "op7_mixing": op7_mixing,
     "op8_substrings": op8_substrings,
     "op9_token_files": op9_token_files,
+    "op10_line_spread": op10_line_spread,
 }
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
@@ -194,4 +208,17 @@ WITH d AS (SELECT row_number() OVER () AS rid, doc_id, {_WORDS} AS w FROM docume
 SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
 FROM d LEFT JOIN kept USING (rid)"""
 
-ORACLE_SQL: dict[str, str] = {"op4_decontaminate": _OP4_SQL, "op5_chat": _OP5_SQL, "op6_quality_rules": _OP6_SQL, "op7_mixing": _OP7_SQL, "op8_substrings": _OP8_SQL}
+_OP10_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce('=' || source, 'null') AS site, text FROM documents
+), lines AS (
+  SELECT rid, site, line, n, trim(regexp_replace(lower(line), '[\x20\x09-\x0D]+', ' ', 'g')) AS norm, regexp_matches(line, '[^\x20\x09-\x0D]') AS worded
+  FROM (SELECT rid, site, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS n FROM d)
+), bad AS (SELECT norm FROM lines WHERE worded GROUP BY norm HAVING count(DISTINCT site) >= 10
+), marked AS (SELECT l.*, worded AND b.norm IS NOT NULL AS gone FROM lines l LEFT JOIN bad b ON l.norm = b.norm
+), sums AS (
+  SELECT rid, count(*) AS n_lines, count(*) FILTER (gone) AS n_removed, string_agg(line, chr(10) ORDER BY n) FILTER (NOT gone) AS clean FROM marked GROUP BY rid
+)
+SELECT doc_id, coalesce(n_lines, 0)::BIGINT AS n_lines, coalesce(n_removed, 0)::BIGINT AS n_removed, sha256(coalesce(clean, '')) AS clean_sha256
+FROM d LEFT JOIN sums USING (rid)"""
+
+ORACLE_SQL: dict[str, str] = {"op4_decontaminate": _OP4_SQL, "op5_chat": _OP5_SQL, "op6_quality_rules": _OP6_SQL, "op7_mixing": _OP7_SQL, "op8_substrings": _OP8_SQL, "op10_line_spread": _OP10_SQL}
