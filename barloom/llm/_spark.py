@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -41,6 +42,28 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared folder as Parquet and read back: for tables as large as the input."""
+    path = fresh_path(df.sparkSession, name)
+    df.write.parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.stored_path = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes stored tables that nothing reads any more, and lets go of old shuffle files.
+
+    Spark's cleaner drops a shuffle once the JVM has collected its last plan.
+    """
+    spark = tables[0].sparkSession
+    for table in tables:
+        path = spark._jvm.org.apache.hadoop.fs.Path(table.stored_path)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 

@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barloom.llm._spark import cut
+from barloom.llm._spark import discard, stored
 
 #: Words of a k-gram; a window of 13 words holds nine of them.
 GRAM = 5
@@ -151,11 +151,10 @@ def _emit_units(batches, window: int):
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array([h for h, _ in keys], type=pa.int64()),
-                pa.array([xxhash.xxh3_128_digest(t) for _, t in keys], type=pa.binary()),
                 pa.array([t for _, t in keys], type=pa.binary()).cast(pa.string()),
                 pa.array(list(least.values()), type=pa.int64()),
             ],
-            names=["h", "unit", "words", "id"],
+            names=["h", "words", "id"],
         )
 
 
@@ -234,6 +233,12 @@ def _owned_runs(owners: list[int]) -> list[tuple[int, int, int]]:
     return runs
 
 
+def _unit_key(words: bytes) -> int:
+    """What ``xxhash64`` gives; it only tells the units of one document apart."""
+    key = xxhash.xxh64_intdigest(words, 42)
+    return key - (1 << 64) if key >> 63 else key
+
+
 def _stream_shards(batches, window: int):
     """Rows come by anchor and ascending id; one automaton lives at a time."""
     shard, automaton = None, SuffixAutomaton()
@@ -250,7 +255,7 @@ def _stream_shards(batches, window: int):
             rows += [(owner, unit, a, b) for owner, a, b in _owned_runs(owners)]
         columns = list(zip(*rows, strict=True)) if rows else [[], [], [], []]
         yield pa.RecordBatch.from_arrays(
-            [pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.binary()), pa.array(columns[2], pa.int32()), pa.array(columns[3], pa.int32())],
+            [pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int64()), pa.array(columns[2], pa.int32()), pa.array(columns[3], pa.int32())],
             names=["id", "unit", "first", "last"],
         )
 
@@ -262,14 +267,14 @@ def _strip(batches, window: int):
             units, words = _units(raw, np.asarray(marks.values, dtype=np.int64), window) if marks.is_valid else ([], None)
             if words is None:
                 words = raw.split()
-            mine: dict[bytes, list] = {}
+            mine: dict[int, list] = {}
             for o in own or ():
                 mine.setdefault(o["unit"], []).append((o["first"], o["last"]))
             cover = np.zeros(len(words) + 1, dtype=np.int32)
             for _, start, unit in units:
                 n = len(unit) - window + 1
                 shared = [True] * n
-                for a, b in mine.get(xxhash.xxh3_128_digest(b" ".join(unit)), ()):
+                for a, b in mine.get(_unit_key(b" ".join(unit)), ()):
                     shared[a:b] = [False] * (b - a)
                 for j in range(n):
                     if shared[j]:
@@ -297,32 +302,34 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     rows = docs.select(
         F.coalesce(F.col(id_col).cast("long"), F.lit(_LAST_ID)).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")
     )
-    counted = cut(rows.mapInArrow(lambda b: _count_anchors(b, window), "h long, lo long, hi long"))
-    spread = counted.where("hi is not null").groupBy("h").agg(F.min("lo").alias("least"), F.max("hi").alias("most")).where("least < most")
-    alone = counted.where("lo = hi").select("h", F.col("lo").alias("id")).join(spread.select("h"), "h")
+    counted = stored(rows.mapInArrow(lambda b: _count_anchors(b, window), "h long, lo long, hi long"), "anchors")
+    # One exchange serves both sides; a batch sends each anchor once, so no anchor is hot here.
+    by_anchor = counted.where("hi is not null").repartition("h")
+    spread = by_anchor.groupBy("h").agg(F.min("lo").alias("least"), F.max("hi").alias("most"))
+    # The condition needs both sides, lest it be pushed below the exchange they share.
+    alone = by_anchor.join(spread, "h").where("case when least < most then lo = hi else false end").select("h", F.col("lo").alias("id"))
     shared = counted.where("hi is null").select("h", F.col("lo").alias("id"))
-    marks = cut(alone.unionByName(shared.select("h", "id")).groupBy("id").agg(F.collect_set("h").alias("marks")))
+    marks = stored(alone.unionByName(shared).groupBy("id").agg(F.collect_set("h").alias("marks")), "marks")
+    discard(counted)
 
-    units = rows.join(marks, "id").select("id", "text", "marks").mapInArrow(lambda b: _emit_units(b, window), "h long, unit binary, words string, id long")
-    units = cut(units.groupBy("h", "unit", "words").agg(F.min("id").alias("id")))
+    units = rows.join(marks, "id").select("id", "text", "marks").mapInArrow(lambda b: _emit_units(b, window), "h long, words string, id long")
+    units = stored(units.groupBy("h", "words").agg(F.min("id").alias("id")), "units")
     sizes = units.groupBy("h").agg(F.count("*").alias("n"))
-    sized = cut(units.join(sizes, "h"))
+    sized = units.join(sizes, "h").withColumn("unit", F.xxhash64("words"))
     # One distinct unit: nothing to stream past it, its smallest id owns every window.
-    single = sized.where("n = 1").select(
-        "id", "unit", F.lit(0).alias("first"), (F.size(F.split("words", " ")) - (window - 1)).alias("last")
-    )
+    single = sized.where("n = 1").select("id", "unit", F.lit(0).alias("first"), (F.size(F.split("words", " ")) - (window - 1)).alias("last"))
     shards = sized.where(F.col("n").between(2, MAX_UNITS)).select("h", "unit", "words", "id")
     streamed = shards.repartition("h").sortWithinPartitions("h", "id").mapInArrow(
-        lambda b: _stream_shards(b, window), "id long, unit binary, first int, last int"
+        lambda b: _stream_shards(b, window), "id long, unit long, first int, last int"
     )
     apart = sized.where(F.col("n") > MAX_UNITS).select("unit", "id", F.split("words", " ").alias("w"))
     apart = apart.select("unit", "id", "w", F.explode(F.sequence(F.lit(0), F.size("w") - window)).alias("first"))
     apart = apart.select("unit", "id", "first", F.array_join(F.slice("w", F.col("first") + 1, window), " ").alias("words"))
     owners = apart.groupBy("words").agg(F.min("id").alias("owner"))
     split = apart.join(owners, "words").select(F.col("owner").alias("id"), "unit", "first", (F.col("first") + 1).alias("last"))
-    owned = single.unionByName(streamed).unionByName(split).distinct()
-    owned = owned.groupBy("id").agg(F.collect_list(F.struct("unit", "first", "last")).alias("owned"))
-    known = cut(marks.join(owned, "id", "left"))
+    owned = single.unionByName(streamed).unionByName(split).groupBy("id").agg(F.collect_set(F.struct("unit", "first", "last")).alias("owned"))
+    known = stored(marks.join(owned, "id", "left"), "owned")
+    discard(marks, units)
     stripped = rows.join(known, "id", "left").select("id", "text", "marks", "owned").mapInArrow(
         lambda b: _strip(b, window), "id long, n_words long, n_removed long, kept_text string"
     )
