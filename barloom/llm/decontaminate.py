@@ -14,6 +14,8 @@ hash of it: copies are handled once and no row numbers are needed.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -32,50 +34,30 @@ def words_of(text: Column) -> Column:
     return F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, _SEPARATOR + "+"))
 
 
-def _folded(word: Column) -> Column:
-    """A-Z lower-cased; only words beyond ASCII need the slow way."""
-    return F.when(F.length(word) == F.octet_length(word), F.lower(word)).otherwise(lower_ascii(word))
-
-
-def _fingerprint(hashes: list[Column], k: int) -> Column:
-    grams = [F.xxhash64(*hashes[i : i + k]) for i in range(len(hashes) - k + 1)]
-    return F.least(*grams) if len(grams) > 1 else grams[0]
+def _windows(rows: DataFrame, length: int, k: int) -> DataFrame:
+    """``rows`` has ``words``; returns it with ``pos, len, fp`` for every run of ``length`` words.
 
-
-def _windows(rows: DataFrame, lengths: list[int], window: int, k: int) -> DataFrame:
-    """``rows`` has ``words``; returns its other columns with ``pos, len, fp, words`` for every window.
-
-    ``pos`` counts from the first of ``words``.  ``lengths`` are the lengths below ``window`` that are wanted too.
+    Words are read by position, so that everything stays in generated code.
     """
-    keep = [c for c in rows.columns if c != "words"]
-    # Only at most chunk-long arrays are shifted and zipped.
-    hashed = rows.withColumn("h", F.transform("words", lambda w: F.xxhash64(_folded(w))))
-    shifted = [F.slice("h", i + 1, F.greatest(F.lit(0), F.size("h") - i)).alias(f"h{i}") for i in range(window)]
-    placed = hashed.select(*keep, "words", F.posexplode(F.arrays_zip(*shifted)).alias("pos", "w"))
-    h = [F.col(f"w.h{i}") for i in range(window)]
-    if not lengths:
-        return placed.where(h[-1].isNotNull()).select(*keep, "words", "pos", F.lit(window).alias("len"), _fingerprint(h, k).alias("fp"))
-    each = F.array(
-        *[
-            F.when(h[n - 1].isNotNull(), F.struct(F.lit(n).alias("len"), (_fingerprint(h, k) if n == window else F.xxhash64(F.lit(n), *h[:n])).alias("fp")))
-            for n in [*lengths, window]
-        ]
-    )
-    found = placed.select(*keep, "words", "pos", F.explode(each).alias("e")).where("e is not null")
-    return found.select(*keep, "words", "pos", "e.len", "e.fp")
+    last = F.size("words") - length
+    placed = rows.where(last >= 0).select("*", F.explode(F.sequence(F.lit(0), last)).alias("pos"))
+    word = [F.get(F.col("words"), F.col("pos") + i) for i in range(length)]
+    k = min(k, length)
+    grams = [F.xxhash64(*word[i : i + k]) for i in range(length - k + 1)]
+    return placed.select("*", F.lit(length).alias("len"), (F.least(*grams) if len(grams) > 1 else grams[0]).alias("fp"))
 
 
 def _window_text(words: Column, pos: Column, length: Column) -> Column:
-    return F.array_join(F.transform(F.slice(words, pos + 1, length), _folded), " ")
+    return F.array_join(F.slice(words, pos + 1, length), " ")
 
 
 def benchmark_windows(benchmark: DataFrame, id_col: str, text_col: str, window: int, k: int) -> DataFrame:
     """``(item, len, fp, win)``: every window of every item, ``win`` its words joined by a space."""
-    items = benchmark.select(F.coalesce(F.col(id_col).cast("string"), F.lit("")).alias("item"), words_of(F.col(text_col).cast("string")).alias("words"))
-    sized = items.withColumn("n", F.size("words"))
-    long_ones = _windows(sized.where(F.col("n") >= window), [], window, k)
-    whole = _windows(sized.where(F.col("n").between(1, window - 1)), list(range(1, window)), window, k).where("pos = 0 and len = n")
-    both = long_ones.unionByName(whole)
+    folded = lower_ascii(F.col(text_col).cast("string"))
+    items = benchmark.select(F.coalesce(F.col(id_col).cast("string"), F.lit("")).alias("item"), words_of(folded).alias("words"))
+    parts = [_windows(items, window, k)]
+    parts += [_windows(items.where(F.size("words") == n), n, k) for n in range(1, window)]
+    both = reduce(DataFrame.unionByName, parts)
     return both.select("item", "len", "fp", _window_text(F.col("words"), F.col("pos"), F.col("len")).alias("win")).distinct()
 
 
@@ -87,7 +69,7 @@ def contamination(
     item_col: str = "item_id",
     item_text_col: str = "text",
     window: int = 10,
-    k: int = 5,
+    k: int = 8,
 ) -> DataFrame:
     """One row per input row: ``row`` (a struct of all its columns), ``n_words``, ``n_hit``, ``items`` (sorted strings), ``spans``.
 
@@ -98,21 +80,22 @@ def contamination(
     """
     known = cut(benchmark_windows(benchmark, item_col, item_text_col, window, k))
     shapes = known.groupBy("len").agg(F.count("*").alias("n")).collect()  # at most ``window`` rows
-    lengths = sorted(r.len for r in shapes if r.len < window)
-    table = known.groupBy("len", "fp", "win").agg(F.lit(1)).select("fp", "len", F.col("win").alias("known_win"))
 
     text = F.col(text_col).cast("string")
     keys = [F.xxhash64(F.coalesce(text, F.lit(""))).alias("k1"), F.xxhash64(F.lit("second"), F.coalesce(text, F.lit(""))).alias("k2")]
-    chunks = docs.select(*keys, words_of(text).alias("all_words")).where(F.size("all_words") > 0)
+    chunks = docs.select(*keys, words_of(lower_ascii(text)).alias("all_words")).where(F.size("all_words") > 0)
     chunks = chunks.select("k1", "k2", "all_words", F.explode(F.sequence(F.lit(0), F.size("all_words") - 1, F.lit(CHUNK_WORDS))).alias("chunk"))
-    chunks = chunks.select("k1", "k2", "chunk", F.slice("all_words", F.col("chunk") + 1, CHUNK_WORDS + window - 1).alias("words"))
-    found = _windows(chunks, lengths, window, k).withColumnRenamed("len", "own_len")
     small = sum(r.n for r in shapes) <= BROADCAST_WINDOWS
-    joined = found.join(
-        F.broadcast(table) if small else table,
-        (found.fp == table.fp) & (F.col("own_len") == F.col("len")) & (_window_text(F.col("words"), F.col("pos"), F.col("own_len")) == F.col("known_win")),
-    )
-    hits = cut(joined.select("k1", "k2", (F.col("chunk") + F.col("pos")).alias("pos"), "len", "known_win").distinct())
+    found = []
+    for r in shapes:
+        part = chunks.select("k1", "k2", "chunk", F.slice("all_words", F.col("chunk") + 1, CHUNK_WORDS + r.len - 1).alias("words"))
+        own = known.where(F.col("len") == r.len).groupBy("fp", "win").agg(F.lit(1)).select("fp", F.col("win").alias("known_win"))
+        joined = _windows(part, r.len, k).join(F.broadcast(own) if small else own, "fp")
+        joined = joined.where(_window_text(F.col("words"), F.col("pos"), F.col("len")) == F.col("known_win"))
+        found.append(joined.select("k1", "k2", (F.col("chunk") + F.col("pos")).alias("pos"), "len", "known_win"))
+    nothing = known.limit(0).select(F.lit(0).cast("long").alias("k1"), F.lit(0).cast("long").alias("k2"), F.lit(0).alias("pos"), "len", F.col("win").alias("known_win"))
+    joined = reduce(DataFrame.unionByName, found) if found else nothing
+    hits = cut(joined.distinct())
 
     ends = F.struct(F.col("pos").alias("first"), (F.col("pos") + F.col("len")).alias("end"))
     starts = hits.groupBy("k1", "k2").agg(F.array_sort(F.collect_set(ends)).alias("wins"))
@@ -140,3 +123,16 @@ def contamination(
         F.struct(*[F.col(x).alias(c) for c, x in own.items()]).alias("row"), "n_words", n_hit.alias("n_hit"),
         F.coalesce("items", F.array().cast("array<string>")).alias("items"), F.coalesce("spans", empty).alias("spans"),
     )
+
+
+def without_spans(text: Column, spans: Column) -> Column:
+    """``text`` without the words of ``spans`` (as ``contamination`` counts them).
+
+    Pieces are a word with the separators after it; separators that lead the
+    text are a piece of their own, and stay.
+    """
+    word = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
+    pieces = F.split(text, rf"(?<={_SEPARATOR})(?={word})")
+    lead = F.when(text.rlike(f"^{_SEPARATOR}"), F.lit(1)).otherwise(F.lit(0))
+    left = F.filter(pieces, lambda x, i: ~F.exists(spans, lambda s: (i - lead >= s["first"]) & (i - lead < s["end"])))
+    return F.array_join(left, "")

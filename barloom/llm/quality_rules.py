@@ -121,22 +121,23 @@ def apply_rules(
     max_share: float = 0.02,
     min_kept_pct: int = 50,
 ) -> DataFrame:
-    """One row per input row: ``id``, ``text``, the base measures, ``n_removed_words``, ``clean_text``, ``base_failed``, ``kept``.
+    """One row per input row: ``id``, ``text``, the base measures, ``n_removed_words``, ``clean_text``, ``base_failed``, ``kept``, ``row`` (a struct of the input's columns).
 
     ``clean_text`` lacks the common lines (null texts stay null).  ``kept`` is
     false when the base rules fail, or when fewer than ``min_kept_pct`` percent
     of the words or fewer than ``min_words`` words remain.  Null and empty
     texts have no words and fail the base rules; a null host is a host of its
     own; repeated rows get the same verdict each; an empty table gives none.
-    Other columns of the input are ignored, whatever their names.
     """
     text = F.col(text_col).cast("string")
+    own = {c: f"__column_{i}" for i, c in enumerate(docs.columns)}
     measured = docs.select(
+        *[docs[f"`{c}`"].alias(x) for c, x in own.items()],
         F.col(id_col).alias("id"), F.col(host_col).cast("string").alias("host"), text.alias("original"),
         F.xxhash64(F.coalesce(text, F.lit(""))).alias("k1"),
         F.xxhash64(F.lit("second"), F.coalesce(text, F.lit(""))).alias("k2"),
         measures(text).alias("base"),
-    ).select("id", "host", "original", "k1", "k2", "base.*")
+    ).select(*own.values(), "id", "host", "original", "k1", "k2", "base.*")
 
     common = common_lines(docs, text_col, host_col, min_docs, max_share).withColumnRenamed("host", "common_host")
     source = _content(docs, text_col, host_col)
@@ -167,5 +168,5 @@ def apply_rules(
     return joined.select(
         "id", F.col("original").alias("text"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         removed.alias("n_removed_words"), clean.alias("clean_text"), base_failed.alias("base_failed"),
-        (~base_failed & ~depleted).alias("kept"),
+        (~base_failed & ~depleted).alias("kept"), F.struct(*[F.col(x).alias(c) for c, x in own.items()]).alias("row"),
     )

@@ -228,6 +228,104 @@ def links(fps: DataFrame, distance: int = 3, max_postings: int = 512) -> DataFra
     return out.distinct()
 
 
+def _similar_in_lists(batches, distance: int, verify_distance: int):
+    """Postings come list by list; of each list a spanning forest of its verified links goes out."""
+
+    def forest(fp, check, node):
+        order = np.argsort(node, kind="stable")
+        fp, check, node = fp[order], check[order], node[order]
+        root = np.arange(len(fp))
+        for lo in range(0, len(fp), 256):  # blocks bound the memory, not the work
+            block = slice(lo, min(lo + 256, len(fp)))
+            differing = fp[block, None] ^ fp[None, lo:]
+            i, j = np.nonzero(np.bitwise_count(differing) <= distance)
+            i, j = i[i < j], j[i < j]
+            tally = (differing[i, j][:, None].view(np.uint8).reshape(-1, 8) == 0).sum(axis=1)
+            good = (tally >= 8 - distance) & (np.bitwise_count(check[block][i] ^ check[lo:][j]) <= verify_distance)
+            for a, b in zip((i[good] + lo).tolist(), (j[good] + lo).tolist(), strict=True):
+                while root[a] != a:
+                    root[a] = a = root[root[a]]
+                while root[b] != b:
+                    root[b] = b = root[root[b]]
+                if a != b:
+                    root[max(a, b)] = min(a, b)
+                    yield node[a], node[b]
+
+    held, key = [], None
+    for batch in batches:
+        grp, code, fp, check, node = (c.to_numpy() for c in batch.columns)
+        cuts = np.flatnonzero((grp[1:] != grp[:-1]) | (code[1:] != code[:-1])) + 1
+        edges = []
+        for lo, hi in zip([0, *cuts], [*cuts, len(grp)], strict=True):
+            if lo == hi:
+                continue
+            if key is not None and key != (grp[lo], code[lo]):
+                edges += _finish(held, forest)
+                held = []
+            key = (grp[lo], code[lo])
+            held.append((fp[lo:hi], check[lo:hi], node[lo:hi]))
+        yield _edge_batch(edges)
+    yield _edge_batch(_finish(held, forest))
+
+
+def _finish(held, forest) -> list:
+    parts = [np.concatenate(x) for x in zip(*held, strict=True)]
+    if not parts or len(parts[0]) < 2:
+        return []
+    return list(forest(parts[0].view(np.uint64), parts[1].view(np.uint64), parts[2]))
+
+
+def _edge_batch(edges: list) -> pa.RecordBatch:
+    a, b = zip(*edges, strict=True) if edges else ((), ())
+    return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+
+def similar_documents(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    shingle_words: int = 5,
+    similarity: float = 0.8,
+    distance: int = 3,
+    verify_distance: int = 14,
+) -> DataFrame:
+    """``id_col, text_key, component`` for every row: near duplicates by five-word similarity.
+
+    At a similarity of 0.8 the fingerprints of five-word shingles differ in ten
+    bits and share no guaranteed byte.  Those of single words differ in three
+    or fewer for such pairs, so the byte-position index runs on them (tally,
+    count filter, distance), and a pair is verified by the fingerprints of
+    ``shingle_words`` shingles: at most ``verify_distance`` differing bits,
+    which pairs of similarity ``similarity`` keep.  Lists yield spanning
+    forests, not pairs.  ``text_key`` orders the rows of one id.  Null and
+    wordless texts are one group; other rules are those of ``near_duplicates``.
+    """
+    if not 0.5 <= similarity <= 1:
+        raise ValueError("similarity must lie between 0.5 and 1")
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+
+    def run(batches):
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 512):
+                part = batch.slice(lo, 512)
+                texts = part.column(1).cast(pa.binary()).to_pylist()
+                wide = fingerprint_texts(texts, shingle_words)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), part.column(2), pa.array(fingerprint_texts(texts, 1)), pa.array(wide)], names=["id", "text_key", "fp", "check"]
+                )
+
+    keyed = rows.withColumn("text_key", F.xxhash64("text"))
+    prints = cut(keyed.mapInArrow(run, "id long, text_key long, fp long, check long").withColumn("node", F.xxhash64("fp", "check")))
+    nodes = prints.select("fp", "check", "node").distinct()
+    groups = position_groups(distance)
+    entries = [F.struct(F.lit(i).alias("grp"), _masked(F.col("fp"), g).alias("bytes")) for i, g in enumerate(groups)]
+    postings = nodes.select(F.explode(F.array(*entries)).alias("e"), "fp", "check", "node").select("e.grp", "e.bytes", "fp", "check", "node")
+    lists = postings.repartition("grp", "bytes").sortWithinPartitions("grp", "bytes")
+    edges = lists.mapInArrow(lambda b: _similar_in_lists(b, distance, verify_distance), "a long, b long")
+    found = components(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    return prints.join(found, "node", "left").select(F.col("id").alias(id_col), "text_key", F.coalesce("root", "node").alias("component"))
+
+
 def components(edges: DataFrame) -> DataFrame:
     """``(node, root)`` for every node that ``edges(a, b)`` names; root is one per component.
 
