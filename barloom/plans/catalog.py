@@ -1,13 +1,781 @@
-"""Named queries over the driver's tables and their DuckDB counterparts."""
+"""Named queries over the driver's tables and their DuckDB counterparts.
+
+The queries apply the operators to derived fixtures (ticks, clock bars, funding
+rates) defined once here for both engines.  Floats are rounded on both sides.
+"""
 
 from __future__ import annotations
 
-FLAGSHIP = "time_bars_60m"
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from barloom.functions import stats
+from barloom.operators import bars, features, joins, quality, search, ticks, winsor
+from barloom.sources import sinks, tables
+
+FLAGSHIP = "run_bars"
+DIGITS = 6
+
+_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+_SQL: dict[str, str] = {}
+
+
+def query(sql: str | None = None, floats: str = ""):
+    """Registers a query under its function's name; ``floats`` are rounded on both sides."""
+    columns = floats.split()
+
+    def register(f):
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            out = f(spark, sf_dir)
+            return out.withColumns({c: F.round(F.col(c), DIGITS) + F.lit(0.0) for c in columns})
+
+        _QUERIES[f.__name__] = run
+        if sql is not None:
+            rounded = ", ".join(f"round({c}, {DIGITS}) + 0.0::DOUBLE AS {c}" for c in columns)
+            _SQL[f.__name__] = f"SELECT * REPLACE ({rounded}) FROM ({sql})" if columns else sql
+        return f
 
+    return register
 
-def queries() -> dict:
-    return {}
+
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(_SQL)
+
+
+# -- fixtures -----------------------------------------------------------------
+
+_TICKS = """ticks AS (SELECT event_type AS symbol, event_id AS id, ts, value AS price,
+  CAST(regexp_extract(props, '([0-9]+)', 1) AS DOUBLE) AS quantity, user_id % 2 = 0 AS is_buyer_maker FROM events)"""
+_CLEAN = _TICKS + ", clean AS (SELECT *, price * quantity AS dollar FROM ticks WHERE price > 0 AND quantity > 0)"
+
+
+def _clock_sql(minutes: int, name: str = "bars") -> str:
+    return f"""{name} AS (SELECT symbol, time_bucket(INTERVAL '{minutes} minutes', ts) AS open_time,
+  time_bucket(INTERVAL '{minutes} minutes', ts) + INTERVAL '{minutes} minutes' AS close_time,
+  first(price ORDER BY ts, id) AS open, max(price) AS high, min(price) AS low, last(price ORDER BY ts, id) AS close,
+  count(*) AS n_ticks, sum(quantity) AS volume, sum(dollar) AS dollar FROM clean GROUP BY ALL)"""
+
+
+_BARS = _CLEAN + ", " + _clock_sql(60)
+_RETURNS = _BARS + ", r AS (SELECT *, ln(close / lag(close) OVER (PARTITION BY symbol ORDER BY open_time)) AS log_return FROM bars)"
+_FUNDING = """funding AS (SELECT event_type AS symbol, time_bucket(INTERVAL '8 hours', ts) + INTERVAL '8 hours' AS funding_time,
+  (avg(value) - 50) / 1e4 AS funding_rate FROM events GROUP BY ALL)"""
+_W = "PARTITION BY symbol ORDER BY open_time"
+_OHLC = "open high low close volume dollar"
+
+
+def clean(spark, sf) -> DataFrame:
+    return ticks.sane(tables.ticks(spark, sf)).withColumn("dollar", F.col("price") * F.col("quantity"))
+
+
+def hourly(spark, sf) -> DataFrame:
+    return bars.time_bars(clean(spark, sf), 60)
+
+
+def returns(spark, sf) -> DataFrame:
+    return hourly(spark, sf).withColumn("log_return", features.log_return())
+
+
+def _run(spark, sf, mode="tick_rule") -> DataFrame:
+    return bars.run_bars(ticks.with_direction(clean(spark, sf), ["symbol"], mode), ["symbol"], 0.9, 30, 20)
+
+
+# -- ticks --------------------------------------------------------------------
+
+
+@query(f"WITH {_CLEAN} SELECT symbol, id, ts, price, quantity, dollar FROM clean", "dollar")
+def tick_sanity_filter(spark, sf):
+    return clean(spark, sf).select("symbol", "id", "ts", "price", "quantity", "dollar")
+
+
+_DIRTY = _TICKS + """, dirty AS (SELECT * FROM ticks UNION ALL SELECT * FROM ticks WHERE id % 97 = 0
+  UNION ALL SELECT * REPLACE (-price AS price, id + 10000000 AS id) FROM ticks WHERE id % 101 = 0)"""
+
+
+@query(f"WITH {_DIRTY} SELECT symbol, id, ts, price, quantity FROM dirty WHERE price > 0 AND quantity > 0 QUALIFY row_number() OVER (PARTITION BY symbol, id ORDER BY ts) = 1")
+def tick_dedup(spark, sf):
+    return ticks.normalise(tables.dirty_ticks(spark, sf)).select("symbol", "id", "ts", "price", "quantity")
+
+
+def _mad_sql(source: str, width: int) -> str:
+    frame = f"(PARTITION BY symbol ORDER BY ts, id ROWS BETWEEN {width - 1} PRECEDING AND CURRENT ROW)"
+    return f"""m1 AS (SELECT *, CASE WHEN count(price) OVER {frame} = {width} THEN quantile_cont(price, 0.5) OVER {frame} END AS med FROM {source}),
+m2 AS (SELECT *, abs(price - med) AS dev FROM m1),
+m3 AS (SELECT *, nullif(CASE WHEN count(dev) OVER {frame} = {width} THEN quantile_cont(dev, 0.5) OVER {frame} END, 0) AS raw FROM m2),
+m4 AS (SELECT *, last_value(raw IGNORE NULLS) OVER (PARTITION BY symbol ORDER BY ts, id) AS mad FROM m3),
+scored AS (SELECT *, 0.6745 * dev / mad AS mad_z FROM m4)"""
+
+
+@query(f"""WITH {_DIRTY}, uniq AS (SELECT * FROM dirty WHERE price > 0 AND quantity > 0 QUALIFY row_number() OVER (PARTITION BY symbol, id ORDER BY ts) = 1),
+{_mad_sql("uniq", 20)}, a AS (SELECT symbol, count(*) AS received, count(*) FILTER (NOT (price > 0 AND quantity > 0)) AS invalid FROM dirty GROUP BY 1),
+b AS (SELECT symbol, count(*) AS uniq, count(*) FILTER (coalesce(mad_z, 0) > 5) AS mad_removed FROM scored GROUP BY 1)
+SELECT symbol, received, invalid, received - invalid - uniq AS duplicates, mad_removed, uniq - mad_removed AS clean FROM a JOIN b USING (symbol)""")
+def tick_audit(spark, sf):
+    return ticks.audit(tables.dirty_ticks(spark, sf), ["symbol"], 20, 5.0)
+
+
+_SPIKY = _TICKS.replace("value AS price", "CASE WHEN event_id % 251 = 0 THEN value * 1000 ELSE value END AS price") + ", clean AS (SELECT * FROM ticks WHERE price > 0 AND quantity > 0)"
+
+
+@query(f"WITH {_SPIKY}, {_mad_sql('clean', 50)} SELECT symbol, id, ts, price FROM scored WHERE coalesce(mad_z, 0) <= 5")
+def mad_filter(spark, sf):
+    return ticks.mad_filter(ticks.sane(tables.spiky_ticks(spark, sf)), ["symbol"], 50, 5.0).select("symbol", "id", "ts", "price")
+
+
+@query(f"WITH {_SPIKY}, {_mad_sql('clean', 50)} SELECT symbol, CAST(ts AS DATE) AS day, count(*) AS received, count(*) FILTER (coalesce(mad_z, 0) > 5) AS mad_removed FROM scored GROUP BY ALL")
+def mad_audit_daily(spark, sf):
+    scored = ticks.mad_scores(ticks.sane(tables.spiky_ticks(spark, sf)), ["symbol"], 50)
+    return scored.groupBy("symbol", F.to_date("ts").alias("day")).agg(F.count("*").alias("received"), F.count_if(F.coalesce("mad_z", F.lit(0.0)) > 5).alias("mad_removed"))
+
+
+_DIRECTION = """moved AS (SELECT *, nullif(sign(price - lag(price) OVER (PARTITION BY symbol ORDER BY ts, id)), 0) AS m FROM clean),
+directed AS (SELECT *, coalesce(last_value(m IGNORE NULLS) OVER (PARTITION BY symbol ORDER BY ts, id), 1)::INTEGER AS b FROM moved)"""
+
+
+@query(f"WITH {_CLEAN}, {_DIRECTION} SELECT symbol, id, b FROM directed")
+def tick_direction_rule(spark, sf):
+    return ticks.with_direction(clean(spark, sf), ["symbol"]).select("symbol", "id", "b")
+
+
+@query(f"WITH {_CLEAN} SELECT symbol, id, CASE WHEN is_buyer_maker THEN -1 ELSE 1 END AS b FROM clean")
+def tick_direction_maker(spark, sf):
+    return ticks.with_direction(clean(spark, sf), ["symbol"], "aggressor").select("symbol", "id", "b")
+
+
+@query(f"WITH {_TICKS} SELECT symbol, id, CASE WHEN price > 0 THEN ln(price) END AS log_price FROM ticks", "log_price")
+def log_prices(spark, sf):
+    return tables.ticks(spark, sf).select("symbol", "id", ticks.log_price(F.col("price")).alias("log_price"))
+
+
+# -- bars ---------------------------------------------------------------------
+
+
+def _time_bars(minutes: int, name: str):
+    def run(spark, sf):
+        return bars.time_bars(clean(spark, sf), minutes)
+
+    run.__name__ = name
+    query(f"WITH {_CLEAN}, {_clock_sql(minutes)} SELECT * FROM bars", _OHLC)(run)
+
+
+for _minutes, _name in ((5, "time_bars_5m"), (15, "time_bars_15m"), (60, "time_bars_1h"), (1440, "time_bars_1d")):
+    _time_bars(_minutes, _name)
+
+
+@query(f"""WITH {_CLEAN} SELECT symbol, CAST(ts AS DATE) AS day, min(ts) AS open_time, max(ts) AS close_time, first(price ORDER BY ts, id) AS open, max(price) AS high,
+min(price) AS low, last(price ORDER BY ts, id) AS close, count(*) AS n_ticks, sum(quantity) AS volume, sum(dollar) AS dollar FROM clean GROUP BY 1, 2""", _OHLC)
+def day_bar(spark, sf):
+    return bars.day_bars(clean(spark, sf))
+
+
+def _fold_sql(kind: str, scope: str, lam: float, t0: float, min_ticks: int) -> str:
+    """The fold tick by tick: one recursion step a tick, all scopes side by side."""
+    theta = "greatest(buy_run + CASE WHEN x.b = 1 THEN x.d ELSE 0 END, sell_run + CASE WHEN x.b = 1 THEN 0 ELSE x.d END)" if kind == "run" else "abs(buy_run + x.b * x.d)"
+    want = "e_t * greatest(p * e_buy, (1 - p) * e_sell)" if kind == "run" else "e_t * e_v * abs(2 * p - 1)"
+    return f"""o AS (SELECT {scope}, price, quantity, dollar AS d, b, ts, id, row_number() OVER (PARTITION BY {scope} ORDER BY ts, id) - 1 AS i, count(*) OVER (PARTITION BY {scope}) AS n FROM directed),
+w AS (SELECT {scope}, avg(CASE WHEN b = 1 THEN 1.0 ELSE 0.0 END) AS p, coalesce(avg(d) FILTER (b = 1), avg(d)) AS e_buy, coalesce(avg(d) FILTER (b <> 1), avg(d)) AS e_sell, avg(d) AS e_v
+  FROM o WHERE i < least(100, n // 10) GROUP BY ALL),
+f AS (SELECT {scope}, 0::BIGINT AS i, {t0}::DOUBLE AS e_t, w.p::DOUBLE AS p, w.e_buy::DOUBLE AS e_buy, w.e_sell::DOUBLE AS e_sell, w.e_v::DOUBLE AS e_v, 0::DOUBLE AS buy_run, 0::DOUBLE AS sell_run,
+  CASE WHEN o.b = 1 THEN o.d ELSE 0 END::DOUBLE AS buy_sum, CASE WHEN o.b = 1 THEN 0 ELSE o.d END::DOUBLE AS sell_sum, (o.b = 1)::BIGINT AS buys, (o.b <> 1)::BIGINT AS sells, 0::BIGINT AS bar_id, false AS closed, 0::BIGINT AS own
+  FROM w JOIN o USING ({scope}) WHERE o.i = 0
+ UNION ALL
+ SELECT {scope}, i,
+  CASE WHEN closed THEN {1 - lam:.6f} * (buys + sells) + {lam} * e_t ELSE e_t END, CASE WHEN closed THEN {1 - lam:.6f} * buys / (buys + sells) + {lam} * p ELSE p END,
+  CASE WHEN closed AND buys > 0 THEN {1 - lam:.6f} * buy_sum / buys + {lam} * e_buy ELSE e_buy END, CASE WHEN closed AND sells > 0 THEN {1 - lam:.6f} * sell_sum / sells + {lam} * e_sell ELSE e_sell END,
+  CASE WHEN closed THEN {1 - lam:.6f} * (buy_sum + sell_sum) / (buys + sells) + {lam} * e_v ELSE e_v END,
+  CASE WHEN closed THEN 0 ELSE buy_run END, CASE WHEN closed THEN 0 ELSE sell_run END, CASE WHEN closed THEN 0 ELSE buy_sum END, CASE WHEN closed THEN 0 ELSE sell_sum END,
+  CASE WHEN closed THEN 0 ELSE buys END, CASE WHEN closed THEN 0 ELSE sells END, bar_id + closed::BIGINT, closed, bar_id
+ FROM (SELECT f.{scope.replace(", ", ", f.")}, x.i, e_t, p, e_buy, e_sell, e_v, {"buy_run + CASE WHEN x.b = 1 THEN x.d ELSE 0 END" if kind == "run" else "buy_run + x.b * x.d"} AS buy_run,
+   sell_run + CASE WHEN x.b = 1 THEN 0 ELSE x.d END AS sell_run, buy_sum + CASE WHEN x.b = 1 THEN x.d ELSE 0 END AS buy_sum, sell_sum + CASE WHEN x.b = 1 THEN 0 ELSE x.d END AS sell_sum,
+   buys + (x.b = 1)::BIGINT AS buys, sells + (x.b <> 1)::BIGINT AS sells, bar_id, {theta} >= {want} AND buys + sells + 1 >= {min_ticks} AS closed
+   FROM f JOIN o x ON {" AND ".join(f"f.{c} = x.{c}" for c in scope.split(", "))} AND x.i = f.i + 1)),
+closes AS (SELECT {scope}, own AS bar_id, i AS last_i, coalesce(lag(i) OVER (PARTITION BY {scope} ORDER BY i) + 1, 0) AS first_i FROM f WHERE closed),
+folded AS (SELECT {scope}, bar_id, min(ts) AS open_time, max(ts) AS close_time, first(price ORDER BY i) AS open, max(price) AS high, min(price) AS low, last(price ORDER BY i) AS close,
+  count(*) AS n_ticks, sum(quantity) AS volume, sum(d) AS dollar FROM o JOIN closes c USING ({scope}) WHERE i BETWEEN first_i AND last_i GROUP BY ALL)"""
+
+
+_MAKER = "directed AS (SELECT *, CASE WHEN is_buyer_maker THEN -1 ELSE 1 END AS b FROM clean)"
+_RUN = f"{_CLEAN}, {_DIRECTION}, {_fold_sql('run', 'symbol', 0.9, 30, 20)}"
+
+
+@query(f"WITH RECURSIVE {_RUN} SELECT * FROM folded", _OHLC)
+def run_bars(spark, sf):
+    return _run(spark, sf)
+
+
+@query(f"WITH RECURSIVE {_CLEAN}, {_MAKER}, {_fold_sql('run', 'symbol', 0.9, 30, 20)} SELECT * FROM folded", _OHLC)
+def run_bars_maker(spark, sf):
+    return _run(spark, sf, "aggressor")
+
+
+@query(f"WITH RECURSIVE {_CLEAN}, {_DIRECTION.replace('SELECT *, coalesce', 'SELECT *, CAST(ts AS DATE) AS day, coalesce')}, {_fold_sql('run', 'symbol, day', 0.9, 8, 5)} SELECT * FROM folded", _OHLC)
+def run_bars_daily(spark, sf):
+    rows = ticks.with_direction(clean(spark, sf), ["symbol"]).withColumn("day", F.to_date("ts"))
+    return bars.run_bars(rows, ["symbol", "day"], 0.9, 8, 5)
+
+
+@query(f"WITH RECURSIVE {_CLEAN}, {_DIRECTION}, {_fold_sql('imbalance', 'symbol', 0.9, 30, 20)} SELECT * FROM folded", _OHLC)
+def imbalance_bars(spark, sf):
+    return bars.imbalance_bars(ticks.with_direction(clean(spark, sf), ["symbol"]), ["symbol"], 0.9, 30, 20)
+
+
+@query(f"""WITH RECURSIVE {_RUN}, c AS (SELECT symbol, count(*) AS clean FROM clean GROUP BY 1), u AS (SELECT symbol, sum(n_ticks)::BIGINT AS consumed, count(*) AS bars FROM folded GROUP BY 1)
+SELECT symbol, clean, coalesce(consumed, 0) AS consumed, coalesce(bars, 0) AS bars, clean - coalesce(consumed, 0) AS residual FROM c LEFT JOIN u USING (symbol)""")
+def bar_audit_reconcile(spark, sf):
+    return bars.audit_bars(clean(spark, sf), _run(spark, sf), ["symbol"])
+
+
+@query(f"""WITH {_BARS}, s AS (SELECT *, lead(open_time) OVER ({_W}) AS next_open FROM bars) SELECT symbol, count(*) AS bars, count(*) FILTER (close_time < open_time) AS closes_early,
+count(*) FILTER (next_open < close_time) AS overlaps, count(*) FILTER (high < greatest(open, close)) AS high_low, count(*) FILTER (low > least(open, close)) AS low_high,
+count(*) FILTER (volume < 0 OR dollar < 0) AS negative, count(*) FILTER (n_ticks <= 0) AS empty FROM s GROUP BY 1""")
+def bar_invariants(spark, sf):
+    return bars.invariants(hourly(spark, sf), ["symbol"])
+
+
+@query(f"""WITH {_CLEAN}, {_clock_sql(1440)}, base AS (SELECT symbol, CAST(open_time AS DATE) AS day, close, 'base' AS origin FROM bars)
+SELECT * FROM base WHERE day(day) % 7 <> 0 UNION ALL SELECT symbol, day, close * 20, 'recovered' FROM base WHERE day(day) % 7 = 0""", "close")
+def recovery_merge(spark, sf):
+    base = bars.time_bars(clean(spark, sf), 1440).select("symbol", F.to_date("open_time").alias("day"), "close", F.lit("base").alias("origin"))
+    found = base.where("day(day) % 7 = 0").withColumns({"close": F.col("close") * 20, "origin": F.lit("recovered")})
+    return bars.merge_recovered(base, found)
+
+
+# -- features -----------------------------------------------------------------
+
+
+def _rolling(name: str, n: int, expression: str, need: str) -> str:
+    return f"CASE WHEN count({need}) OVER ({_W} ROWS {n - 1} PRECEDING) = {n} THEN {expression} END AS {name}"
+
+
+def _z_sql(x: str, name: str) -> str:
+    f = f"({_W} ROWS 19 PRECEDING)"
+    return _rolling(name, 20, f"({x} - avg({x}) OVER {f}) / nullif(stddev_samp({x}) OVER {f}, 0)", x)
+
+
+@query(f"WITH {_RETURNS} SELECT symbol, open_time, log_return FROM r", "log_return")
+def log_return(spark, sf):
+    return returns(spark, sf).select("symbol", "open_time", "log_return")
+
+
+_WEIGHTS = features.frac_diff_weights()
+_FFD = f"CASE WHEN count(*) OVER ({_W} ROWS {len(_WEIGHTS) - 1} PRECEDING) = {len(_WEIGHTS)} THEN list_dot_product(list(ln(close)) OVER ({_W} ROWS {len(_WEIGHTS) - 1} PRECEDING), {list(reversed(_WEIGHTS))}::DOUBLE[]) END"
+
+
+@query(f"WITH {_BARS} SELECT symbol, open_time, {_FFD} AS frac_diff_return FROM bars", "frac_diff_return")
+def frac_diff(spark, sf):
+    return features.with_returns(hourly(spark, sf)).select("symbol", "open_time", "frac_diff_return")
+
+
+_TR = f"t AS (SELECT *, greatest(high - low, abs(high - lag(close) OVER ({_W})), abs(low - lag(close) OVER ({_W}))) AS tr FROM r)"
+_ATR = f"CASE WHEN count(tr) OVER ({_W} ROWS 13 PRECEDING) = 14 THEN list_reduce(list(tr) OVER ({_W} ROWS 259 PRECEDING), lambda a, x: a * (1 - 2.0::DOUBLE / 15) + x * (2.0::DOUBLE / 15)) END / close"
+
+
+@query(f"WITH {_RETURNS} SELECT symbol, open_time, {_rolling('rolling_volatility', 20, f'sqrt(avg(log_return * log_return) OVER ({_W} ROWS 19 PRECEDING))', 'log_return')} FROM r", "rolling_volatility")
+def rolling_volatility(spark, sf):
+    return features.with_volatility(returns(spark, sf)).select("symbol", "open_time", "rolling_volatility")
+
+
+@query(f"WITH {_BARS} SELECT symbol, open_time, (high - low) / close AS bar_range FROM bars", "bar_range")
+def bar_range(spark, sf):
+    return features.with_volatility(returns(spark, sf)).select("symbol", "open_time", "bar_range")
+
+
+@query(f"WITH {_RETURNS}, {_TR} SELECT symbol, open_time, {_ATR} AS atr_pct FROM t", "atr_pct")
+def atr_pct(spark, sf):
+    return features.with_volatility(returns(spark, sf)).select("symbol", "open_time", "atr_pct")
+
+
+@query(f"WITH {_BARS} SELECT symbol, open_time, {_z_sql('volume', 'volume_z')}, {_z_sql('dollar', 'dollar_value_z')}, {_z_sql('n_ticks', 'n_ticks_z')} FROM bars", "volume_z dollar_value_z n_ticks_z")
+def volume_zscores(spark, sf):
+    return features.with_activity(hourly(spark, sf)).select("symbol", "open_time", "volume_z", "dollar_value_z", "n_ticks_z")
+
+
+@query(f"WITH {_BARS} SELECT symbol, open_time, dollar / volume AS vwap, close / (dollar / volume) - 1 AS price_to_vwap FROM bars", "vwap price_to_vwap")
+def vwap_features(spark, sf):
+    return features.with_structure(hourly(spark, sf)).select("symbol", "open_time", "vwap", "price_to_vwap")
+
+
+@query(f"WITH {_BARS} SELECT symbol, open_time, epoch(close_time)::DOUBLE - epoch(open_time)::DOUBLE AS bar_duration_secs FROM bars", "bar_duration_secs")
+def bar_duration(spark, sf):
+    return features.with_structure(hourly(spark, sf)).select("symbol", "open_time", "bar_duration_secs")
+
+
+_CHG = f"g AS (SELECT *, close - lag(close) OVER ({_W}) AS chg FROM r), h AS (SELECT *, avg(greatest(chg, 0)) FILTER (chg IS NOT NULL) OVER ({_W} ROWS 13 PRECEDING) AS up, avg(greatest(-chg, 0)) FILTER (chg IS NOT NULL) OVER ({_W} ROWS 13 PRECEDING) AS down, count(chg) OVER ({_W} ROWS 13 PRECEDING) AS chgs FROM g)"
+_RSI = "CASE WHEN chgs = 14 THEN CASE WHEN down = 0 THEN CASE WHEN up > 0 THEN 100.0 END ELSE 100 - 100 / (1 + up / down) END END"
+
+
+@query(f"WITH {_RETURNS}, {_CHG} SELECT symbol, open_time, {_RSI} AS rsi FROM h", "rsi")
+def rsi(spark, sf):
+    return features.with_structure(hourly(spark, sf)).select("symbol", "open_time", "rsi")
+
+
+_BB = _rolling("bb_pct_b", 20, f"(close - (avg(close) OVER ({_W} ROWS 19 PRECEDING) - 2 * stddev_pop(close) OVER ({_W} ROWS 19 PRECEDING))) / nullif(4 * stddev_pop(close) OVER ({_W} ROWS 19 PRECEDING), 0)", "close")
+
+
+@query(f"WITH {_BARS} SELECT symbol, open_time, {_BB} FROM bars", "bb_pct_b")
+def bollinger_pct_b(spark, sf):
+    return features.with_structure(hourly(spark, sf)).select("symbol", "open_time", "bb_pct_b")
+
+
+def _sma(x: str, n: int) -> str:
+    return f"CASE WHEN count({x}) OVER ({_W} ROWS {n - 1} PRECEDING) = {n} THEN avg({x}) OVER ({_W} ROWS {n - 1} PRECEDING) END"
+
+
+_MACD = f"k AS (SELECT *, {_sma('close', 12)} - {_sma('close', 26)} AS macd FROM {{source}})"
+
+
+@query(f"WITH {_BARS}, {_MACD.format(source='bars')} SELECT symbol, open_time, macd - {_sma('macd', 9)} AS macd_hist FROM k", "macd_hist")
+def macd_hist(spark, sf):
+    return features.with_structure(hourly(spark, sf)).select("symbol", "open_time", "macd_hist")
+
+
+_FMEAN = "fm AS (SELECT *, avg(funding_rate) OVER (PARTITION BY symbol ORDER BY funding_time ROWS 2 PRECEDING) AS funding_rate_mean FROM funding)"
+
+
+@query(f"WITH {_FUNDING}, {_FMEAN} SELECT symbol, funding_time, funding_rate, funding_rate_mean FROM fm", "funding_rate funding_rate_mean")
+def funding_rate_mean(spark, sf):
+    return features.funding_mean(tables.funding(spark, sf)).select("symbol", "funding_time", "funding_rate", "funding_rate_mean")
+
+
+@query(f"WITH {_BARS}, {_FUNDING}, {_FMEAN} SELECT b.symbol, b.open_time, b.close, f.funding_rate_mean FROM bars b ASOF LEFT JOIN fm f ON b.symbol = f.symbol AND b.open_time >= f.funding_time", "close funding_rate_mean")
+def asof_funding(spark, sf):
+    rates = features.funding_mean(tables.funding(spark, sf))
+    left = hourly(spark, sf).select("symbol", "open_time", "close")
+    return joins.asof_backward(left, rates, "open_time", "funding_time", ["symbol"], ["funding_rate_mean"])
+
+
+@query(f"WITH {_BARS}, {_FUNDING} SELECT b.symbol, b.close_time, b.close, f.funding_time, f.funding_rate FROM bars b LEFT JOIN funding f ON b.symbol = f.symbol AND f.funding_time <= b.close_time AND f.funding_time > b.close_time - INTERVAL '8 hours'", "close funding_rate")
+def band_positioning(spark, sf):
+    left = hourly(spark, sf).select("symbol", "close_time", "close")
+    return joins.band(left, tables.funding(spark, sf), "close_time", "funding_time", ["symbol"], 8)
+
+
+_FULL = f"""{_RETURNS}, {_TR}, g0 AS (SELECT *, {_FFD} AS frac_diff_return, {_rolling('rolling_volatility', 20, f'sqrt(avg(log_return * log_return) OVER ({_W} ROWS 19 PRECEDING))', 'log_return')},
+ (high - low) / close AS bar_range, {_ATR} AS atr_pct, {_z_sql('volume', 'volume_z')}, {_z_sql('dollar', 'dollar_value_z')}, {_z_sql('n_ticks', 'n_ticks_z')}, dollar / volume AS vwap,
+ close / (dollar / volume) - 1 AS price_to_vwap, epoch(close_time)::DOUBLE - epoch(open_time)::DOUBLE AS bar_duration_secs, {_BB} FROM t),
+ {_MACD.format(source='g0')}, g1 AS (SELECT *, macd - {_sma('macd', 9)} AS macd_hist FROM k), {_CHG.replace('FROM r)', 'FROM g1)')}, {_FUNDING}, {_FMEAN},
+ feat AS (SELECT *, {_RSI} AS rsi FROM h)"""
+_FEATURES = ", ".join(features.BAR_FEATURES)
+
+
+@query(f"""WITH {_FULL} SELECT x.symbol, x.open_time, {_FEATURES}, f.funding_rate_mean FROM feat x ASOF LEFT JOIN fm f ON x.symbol = f.symbol AND x.open_time >= f.funding_time
+WHERE {' AND '.join(f'{c} IS NOT NULL' for c in features.BAR_FEATURES)}""", " ".join(features.BAR_FEATURES) + " funding_rate_mean")
+def features_full(spark, sf):
+    out = features.compute_features(hourly(spark, sf), tables.funding(spark, sf))
+    return out.select("symbol", "open_time", *features.BAR_FEATURES, "funding_rate_mean")
+
+
+# -- winsorizing and filling --------------------------------------------------
+
+_BOUNDS = "q AS (SELECT symbol, quantile_cont(log_return, 0.01) AS lo, quantile_cont(log_return, 0.99) AS hi FROM r {where} GROUP BY 1)"
+_CLIP = "CASE WHEN log_return IS NULL THEN NULL WHEN lo IS NULL THEN log_return ELSE greatest(lo, least(hi, log_return)) END AS log_return"
+
+
+@query(f"WITH {_RETURNS}, {_BOUNDS.format(where='')} SELECT r.symbol, open_time, {_CLIP} FROM r LEFT JOIN q USING (symbol)", "log_return")
+def winsorize_global(spark, sf):
+    return winsor.clip_global(returns(spark, sf).select("symbol", "open_time", "log_return"), ["log_return"])
+
+
+@query(f"WITH {_RETURNS}, {_BOUNDS.format(where=chr(32) + 'WHERE day(open_time) <= 15')} SELECT r.symbol, open_time, {_CLIP} FROM r LEFT JOIN q USING (symbol) WHERE day(open_time) > 15", "log_return")
+def winsorize_fit_transform(spark, sf):
+    rows = returns(spark, sf).select("symbol", "open_time", "log_return")
+    return winsor.fit_on_context(rows, ["log_return"], F.dayofmonth("open_time") <= 15)
+
+
+@query(f"""WITH {_RETURNS}, p AS (SELECT *, day(open_time) // 7 AS period FROM r), d AS (SELECT DISTINCT symbol, period FROM p),
+q AS (SELECT d.symbol, d.period, quantile_cont(p.log_return, 0.01) AS lo, quantile_cont(p.log_return, 0.99) AS hi FROM d JOIN p ON p.symbol = d.symbol AND p.period < d.period GROUP BY 1, 2)
+SELECT p.symbol, open_time, p.period::INTEGER AS period, {_CLIP} FROM p LEFT JOIN q ON p.symbol = q.symbol AND p.period = q.period""", "log_return")
+def winsorize_accumulating(spark, sf):
+    rows = returns(spark, sf).select("symbol", "open_time", "log_return", F.floor(F.dayofmonth("open_time") / 7).cast("int").alias("period"))
+    return winsor.clip_accumulating(rows, ["log_return"], "period").select("symbol", "open_time", "period", "log_return")
+
+
+@query(f"""WITH {_BARS}, x AS (SELECT symbol, open_time, CASE WHEN n_ticks = 1 THEN NULL ELSE close END AS close, CASE WHEN n_ticks = 2 THEN NULL ELSE volume END AS volume FROM bars),
+y AS (SELECT symbol, open_time, last_value(close IGNORE NULLS) OVER ({_W}) AS close, coalesce(volume, 0) AS volume FROM x) SELECT * FROM y WHERE close IS NOT NULL""", "close volume")
+def missing_ffill(spark, sf):
+    holes = hourly(spark, sf).select("symbol", "open_time", F.when(F.col("n_ticks") != 1, F.col("close")).alias("close"), F.when(F.col("n_ticks") != 2, F.col("volume")).alias("volume"))
+    return ticks.fill_missing(holes, ["symbol"], ["open_time"])
+
+
+# -- studies, walk-forward, search --------------------------------------------
+
+_SYMBOLS = ["click", "purchase", "signup", "view", "scroll", "logout", "search", "login"]
+_STUDY_ROWS = [(s, p, lam, float(t)) for s in _SYMBOLS for p, lam, t in (("2024-01-03", 0.9975, 14738), ("2024-01-12", 0.9989, 6057), ("2024-01-20", 0.99, 500)) if (s, p) != ("view", "2024-01-03")]
+_STUDIES = "studies AS (SELECT * FROM (VALUES " + ", ".join(map(str, _STUDY_ROWS)) + ") v(symbol, period, exp_lambda, init_exp_t))"
+
+
+def _studies(spark):
+    return spark.createDataFrame(_STUDY_ROWS, "symbol string, period string, exp_lambda double, init_exp_t double")
+
+
+@query(f"""WITH {_CLEAN}, {_STUDIES}, t AS (SELECT DISTINCT symbol, strftime(ts, '%Y-%m-%d') AS period FROM clean)
+SELECT t.symbol, t.period, coalesce(s.exp_lambda, 0.9975)::DOUBLE AS exp_lambda, coalesce(s.init_exp_t, 2000)::DOUBLE AS init_exp_t, coalesce(s.period, 'default') AS source
+FROM t ASOF LEFT JOIN studies s ON t.symbol = s.symbol AND t.period > s.period""", "exp_lambda init_exp_t")
+def param_lookup_strict(spark, sf):
+    targets = clean(spark, sf).select("symbol", F.date_format("ts", "yyyy-MM-dd").alias("period")).distinct()
+    return joins.param_lookup(targets, _studies(spark), {"exp_lambda": 0.9975, "init_exp_t": 2000.0})
+
+
+_SPLITS = """CASE WHEN open_time >= '2024-01-01' AND open_time < '2024-01-10' THEN CASE WHEN close_time + INTERVAL '6 hours' <= TIMESTAMP '2024-01-10' THEN 'train' ELSE 'purged' END
+ WHEN open_time >= '2024-01-10' AND open_time < '2024-01-20' THEN CASE WHEN close_time + INTERVAL '6 hours' <= TIMESTAMP '2024-01-20' THEN 'validation' ELSE 'purged' END
+ WHEN open_time >= '2024-01-20' AND open_time < '2024-01-28' THEN 'test' ELSE 'outside' END"""
+
+
+@query(f"WITH {_BARS} SELECT symbol, open_time, {_SPLITS} AS split FROM bars")
+def split_purge_embargo(spark, sf):
+    spec = search.WindowSpec("2024-01-01", "2024-01-10", "2024-01-10", "2024-01-20", "2024-01-20", "2024-01-28", 4, 2)
+    return search.assign_splits(hourly(spark, sf), spec).select("symbol", "open_time", "split")
+
+
+_TRIALS = "trials AS (SELECT l_suppkey AS trial, avg(l_quantity) AS train_score, CASE WHEN l_suppkey % 7 = 3 THEN NULL ELSE avg(l_discount) * 500 END AS validation_score, avg(l_tax) AS exp_lambda, avg(l_extendedprice) AS init_exp_t FROM lineitem GROUP BY l_suppkey)"
+
+
+def _trials(spark, sf):
+    out = tables.table(spark, sf, "lineitem").groupBy(F.col("l_suppkey").alias("trial")).agg(
+        F.avg("l_quantity").alias("train_score"), (F.avg("l_discount") * 500).alias("validation_score"), F.avg("l_tax").alias("exp_lambda"), F.avg("l_extendedprice").alias("init_exp_t"),
+    )
+    return out.withColumn("validation_score", F.when(F.col("trial") % 7 != 3, F.col("validation_score")))
+
+
+@query(f"""WITH {_TRIALS}, g AS (SELECT trial, train_score, validation_score, greatest(train_score - validation_score, 0) AS gap FROM trials WHERE validation_score IS NOT NULL)
+SELECT *, gap <= quantile_cont(gap, 0.5) OVER () AS robust, row_number() OVER (ORDER BY validation_score DESC, trial)::INTEGER AS rank FROM g""", "train_score validation_score gap")
+def validation_leaderboard(spark, sf):
+    return search.validation_leaderboard(_trials(spark, sf)).select("trial", "train_score", "validation_score", "gap", "robust", "rank")
+
+
+@query(f"""WITH {_TRIALS}, b AS (SELECT * FROM trials ORDER BY coalesce(validation_score, -1) DESC, trial LIMIT (SELECT greatest(3, floor(count(*) * 0.2)::BIGINT) FROM trials))
+SELECT quantile_cont(exp_lambda, 0.5) - 2 * stddev_pop(exp_lambda) AS exp_lambda_low, quantile_cont(exp_lambda, 0.5) + 3 * stddev_pop(exp_lambda) AS exp_lambda_high,
+quantile_cont(init_exp_t, 0.5) - 2 * stddev_pop(init_exp_t) AS init_exp_t_low, quantile_cont(init_exp_t, 0.5) + 3 * stddev_pop(init_exp_t) AS init_exp_t_high FROM b""", "exp_lambda_low exp_lambda_high init_exp_t_low init_exp_t_high")
+def adaptive_bounds(spark, sf):
+    return search.adaptive_bounds(_trials(spark, sf).withColumn("score", F.coalesce("validation_score", F.lit(-1.0))))
+
+
+_DAYS = f"{_CLEAN}, days AS (SELECT symbol, CAST(ts AS DATE) AS day, count(*) AS bars, avg(price) AS quality, sum(dollar) AS dollar, last(price ORDER BY ts, id) AS close FROM clean GROUP BY 1, 2)"
+
+
+def _days(spark, sf):
+    at = F.struct("ts", "id")
+    return clean(spark, sf).groupBy("symbol", F.to_date("ts").alias("day")).agg(F.count("*").alias("bars"), F.avg("price").alias("quality"), F.sum("dollar").alias("dollar"), F.max_by("price", at).alias("close"))
+
+
+@query(f"""WITH {_DAYS}, a AS (SELECT symbol, count(*) AS days, avg((bars >= 50)::INTEGER) AS completion, avg(quality) FILTER (bars >= 50) AS mean_quality, stddev_pop(quality) FILTER (bars >= 50) AS std_quality FROM days GROUP BY 1)
+SELECT *, CASE WHEN completion < 0.6 THEN 0.0 ELSE coalesce(0.60 * mean_quality + 25 * pow(completion, 0.3) + 15 / (1 + std_quality / 20), 0) END AS score FROM a""", "completion mean_quality std_quality score")
+def composite_score(spark, sf):
+    return search.composite_score(_days(spark, sf), ["symbol"])
+
+
+@query(f"""WITH {_DAYS}, m AS (SELECT *, ln(close / lag(close) OVER (PARTITION BY symbol ORDER BY day)) AS r FROM days),
+k AS (SELECT symbol, strftime(day, '%Y-%m') AS month, avg(dollar) AS volume, stddev_pop(r) * sqrt(365) AS vol FROM m GROUP BY 1, 2),
+x AS (SELECT symbol, max(volume) / min(volume) AS volume_ratio, max(vol) / min(vol) AS vol_ratio FROM k GROUP BY 1)
+SELECT *, CASE WHEN greatest(volume_ratio, vol_ratio) > 3 THEN 1 WHEN greatest(volume_ratio, vol_ratio) > 1.5 THEN 2 ELSE 3 END AS window_months FROM x""", "volume_ratio vol_ratio")
+def regime_window(spark, sf):
+    return search.regime_window(_days(spark, sf))
+
+
+@query(f"""WITH {_DAYS}, f AS (SELECT day, CASE WHEN bars < 60 THEN 'few bars' ELSE 'low quality' END AS reason FROM days WHERE bars < 60 OR quality < 100)
+SELECT day, count(*) AS failures, string_agg(DISTINCT reason, ',' ORDER BY reason) AS reasons FROM f GROUP BY day ORDER BY failures DESC, day LIMIT 5""")
+def failed_day_tally(spark, sf):
+    failed = _days(spark, sf).where("bars < 60 or quality < 100")
+    return search.failed_day_tally(failed.select("day", F.when(F.col("bars") < 60, "few bars").otherwise("low quality").alias("reason")))
+
+
+@query(f"""WITH {_DAYS}, a AS (SELECT symbol, avg(bars) AS mean_bars, stddev_pop(bars) / avg(bars) AS cv FROM days GROUP BY 1), b AS (SELECT *, CASE WHEN mean_bars < 50 THEN 0 ELSE least(mean_bars / 300, 1.0) END AS volume_score FROM a)
+SELECT *, 0.6 * greatest(0, 1 - cv) + 0.4 * volume_score AS viability FROM b""", "mean_bars cv volume_score viability")
+def trading_viability(spark, sf):
+    return search.viability(_days(spark, sf), ["symbol"])
+
+
+_GRID = [(0, 0.9, 30.0), (1, 0.9, 60.0), (2, 0.95, 30.0)]
+
+
+@query("WITH RECURSIVE " + f"{_CLEAN}, {_DIRECTION}, " + ", ".join(
+    f"p{i} AS (WITH RECURSIVE {_fold_sql('run', 'symbol', lam, t, 20)} SELECT {i} AS param_id, {lam}::DOUBLE AS exp_lambda, {t}::DOUBLE AS init_exp_t, symbol, count(*) AS bars, avg(n_ticks) AS mean_ticks FROM folded GROUP BY symbol)"
+    for i, lam, t in _GRID) + " SELECT * FROM p0 UNION ALL SELECT * FROM p1 UNION ALL SELECT * FROM p2", "exp_lambda init_exp_t mean_ticks")
+def grid_search_leaderboard(spark, sf):
+    params = spark.createDataFrame(_GRID, "param_id int, exp_lambda double, init_exp_t double")
+    return search.search_run_bars(ticks.with_direction(clean(spark, sf), ["symbol"]), params, ["symbol"], 20)
+
+
+# -- quality ------------------------------------------------------------------
+
+_FAILED = "failed AS (SELECT symbol, day FROM days WHERE bars < 60)"
+_FLAGGED = f"{_DAYS}, {_FAILED}, marked AS (SELECT d.*, CASE WHEN f.day IS NULL THEN 0 ELSE 1 END AS failed_day, CASE WHEN f.day IS NULL THEN 1.0 ELSE 0.5 END::DOUBLE AS sample_weight FROM days d LEFT JOIN failed f USING (symbol, day))"
+
+
+def _marked(spark, sf):
+    days = _days(spark, sf)
+    return quality.mark_failed_days(days, days.where("bars < 60"))
+
+
+@query(f"WITH {_FLAGGED} SELECT symbol, day, failed_day, sample_weight FROM marked", "sample_weight")
+def mark_failed_days(spark, sf):
+    return _marked(spark, sf).select("symbol", "day", "failed_day", "sample_weight")
+
+
+@query(f"WITH {_FLAGGED} SELECT symbol, day, CASE WHEN day(day) % 7 = 0 THEN 'recovered' WHEN failed_day = 1 THEN 'failed' ELSE 'normal' END AS recovery_status FROM marked")
+def recovery_status(spark, sf):
+    return _marked(spark, sf).select("symbol", "day", quality.recovery_status(F.dayofmonth("day") % 7 == 0, F.col("failed_day") == 1).alias("recovery_status"))
+
+
+_MONTHLY = f"""{_CLEAN}, {_clock_sql(60)}, tagged AS (SELECT symbol, CAST(open_time AS DATE) AS day, day(open_time) % 7 = 0 AS recovered, (n_ticks > 8)::INTEGER AS failed_day FROM bars),
+pd AS (SELECT symbol, day, count(*) AS bars, count(*) FILTER (recovered) AS recovered, max(recovered::INTEGER) AS is_recovered, max(failed_day) AS failed FROM tagged GROUP BY 1, 2),
+m AS (SELECT symbol, strftime(day, '%Y-%m') AS month, sum(bars)::BIGINT AS total_bars, count(*) AS observed_days, sum(recovered)::BIGINT AS recovered_bars, sum(is_recovered)::BIGINT AS recovered_days,
+ sum(failed)::BIGINT AS failed_days, avg(bars) AS mean_bars, quantile_cont(bars, 0.5) AS median_bars, quantile_cont(bars, 0.1) AS p10_bars, quantile_cont(bars, 0.9) AS p90_bars, max(day(last_day(day)))::INTEGER AS expected_days FROM pd GROUP BY 1, 2),
+rep AS (SELECT *, 100.0 * observed_days / expected_days AS coverage_pct, 100.0 * recovered_bars / total_bars AS recovery_pct, month = '2024-02' AS partial_month FROM m)"""
+_MONTH_FLOATS = "mean_bars median_bars p10_bars p90_bars coverage_pct recovery_pct"
+
+
+def _report(spark, sf):
+    tagged = hourly(spark, sf).select("symbol", F.to_date("open_time").alias("day"), (F.dayofmonth("open_time") % 7 == 0).alias("recovered"), (F.col("n_ticks") > 8).cast("int").alias("failed_day"))
+    return quality.monthly_report(tagged, "2024-02-10")
+
+
+@query(f"WITH {_MONTHLY} SELECT * FROM rep", _MONTH_FLOATS)
+def monthly_quality_report(spark, sf):
+    return _report(spark, sf)
+
+
+@query(f"""WITH {_MONTHLY} SELECT symbol, month, list_filter([CASE WHEN NOT partial_month AND recovery_pct > 10 THEN 'recovery_pct' END, CASE WHEN NOT partial_month AND 100.0 * recovered_days / observed_days > 10 THEN 'recovered_days' END,
+CASE WHEN NOT partial_month AND mean_bars < 10 THEN 'mean_bars' END], lambda x: x IS NOT NULL)::VARCHAR AS errors FROM rep""")
+def monthly_gate(spark, sf):
+    return quality.gate_monthly(_report(spark, sf), max_recovery=10).select("symbol", "month", F.concat(F.lit("["), F.array_join("errors", ", "), F.lit("]")).alias("errors"))
+
+
+@query(f"""WITH {_SPIKY}, {_mad_sql('clean', 50)}, d AS (SELECT symbol, CAST(ts AS DATE) AS day, count(*) AS received, count(*) FILTER (coalesce(mad_z, 0) > 5) AS mad_removed FROM scored GROUP BY ALL)
+SELECT *, 100.0 * mad_removed / received AS mad_removed_pct, 100.0 * mad_removed / received > 2 AS failed FROM d""", "mad_removed_pct")
+def daily_audit_gate(spark, sf):
+    counts = mad_audit_daily(spark, sf).withColumns({c: F.lit(0) for c in ("invalid", "duplicates", "clean")})
+    gated = quality.gate_daily_audit(quality.daily_audit(counts), 2.0)
+    return gated.select("symbol", "day", "received", "mad_removed", "mad_removed_pct", (F.size("errors") > 0).alias("failed"))
+
+
+@query(f"""WITH {_RETURNS}, x AS (SELECT *, 7.0 AS flat FROM r) SELECT symbol, count(*) AS bars, CASE WHEN count(*) FILTER (log_return IS NULL) > 0 THEN '[log_return null or not finite, flat constant]' ELSE '[flat constant]' END AS errors, false AS valid FROM x GROUP BY 1""")
+def frame_validation(spark, sf):
+    out = quality.validate_frame(returns(spark, sf).withColumn("flat", F.lit(7.0)), ["log_return", "flat"], 2024)
+    return out.select("symbol", "bars", F.concat(F.lit("["), F.array_join("errors", ", "), F.lit("]")).alias("errors"), "valid")
+
+
+_TIES = "ties AS (SELECT l_returnflag AS symbol, l_shipdate AS open_time, l_shipdate AS close_time, l_extendedprice AS close, l_quantity AS volume, l_extendedprice * l_quantity AS dollar FROM lineitem)"
+
+
+def _ties(spark, sf):
+    return tables.table(spark, sf, "lineitem").select(
+        F.col("l_returnflag").alias("symbol"), F.col("l_shipdate").alias("open_time"), F.col("l_shipdate").alias("close_time"), F.col("l_extendedprice").alias("close"),
+        F.col("l_quantity").alias("volume"), (F.col("l_extendedprice") * F.col("l_quantity")).alias("dollar"),
+    )
+
+
+@query(f"WITH {_TIES} SELECT DISTINCT symbol, open_time, volume FROM ties")
+def dedup_exact(spark, sf):
+    return quality.deduplicate_exact(_ties(spark, sf).select("symbol", "open_time", "volume"))
+
+
+@query(f"WITH {_TIES} SELECT * FROM ties QUALIFY row_number() OVER (PARTITION BY symbol, open_time ORDER BY dollar DESC, volume DESC, close_time DESC, close DESC) = 1", "dollar")
+def dedup_liquid(spark, sf):
+    return quality.keep_most_liquid(_ties(spark, sf))
+
+
+_HOLES = f"{_CLEAN}, holes AS (SELECT DISTINCT symbol, CAST(ts AS DATE) AS day FROM clean WHERE day(ts) % 5 <> 0 AND day(ts) NOT IN (11, 12))"
+
+
+def _holes(spark, sf):
+    days = clean(spark, sf).select("symbol", F.to_date("ts").alias("day")).distinct()
+    return days.where("day(day) % 5 <> 0 and day(day) not in (11, 12)")
+
+
+@query(f"""WITH {_HOLES}, c AS (SELECT symbol, unnest(generate_series(DATE '2024-01-01', DATE '2024-01-31', INTERVAL 1 DAY))::DATE AS day FROM (SELECT DISTINCT symbol FROM holes)),
+g AS (SELECT symbol, day, day - row_number() OVER (PARTITION BY symbol ORDER BY day)::INTEGER AS island FROM (SELECT * FROM c EXCEPT SELECT * FROM holes))
+SELECT symbol, min(day) AS first_day, max(day) AS last_day, count(*) AS days FROM g GROUP BY symbol, island""")
+def missing_date_ranges(spark, sf):
+    return features.missing_ranges(_holes(spark, sf), "2024-01-01", "2024-01-31")
+
+
+@query(f"WITH {_HOLES} SELECT symbol, count(*) AS observed, 31 - count(*) AS missing, 100.0 * count(*) / 31 AS coverage_pct FROM holes WHERE day BETWEEN '2024-01-01' AND '2024-01-31' GROUP BY 1", "coverage_pct")
+def calendar_coverage(spark, sf):
+    seen = _holes(spark, sf).where("day between date'2024-01-01' and date'2024-01-31'").groupBy("symbol").agg(F.count("*").alias("observed"))
+    return seen.select("symbol", "observed", (31 - F.col("observed")).alias("missing"), (100.0 * F.col("observed") / 31).alias("coverage_pct"))
+
+
+def _last(n: int) -> str:
+    return f"QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY open_time DESC, close_time DESC) <= {n}"
+
+
+@query(f"WITH {_BARS} SELECT symbol, open_time, close FROM bars WHERE open_time < '2024-01-20' {_last(50)}", "close")
+def context_tail(spark, sf):
+    before = hourly(spark, sf).where("open_time < timestamp_ntz'2024-01-20'")
+    return features.latest(before, ["symbol"], [F.desc("open_time"), F.desc("close_time")], 50).select("symbol", "open_time", "close")
+
+
+_OLD_NEW = f"{_BARS}, old AS (SELECT symbol, CAST(open_time AS DATE) AS day, open_time, close_time, close FROM bars), new AS (SELECT * REPLACE (close * 2 AS close) FROM old WHERE day(day) BETWEEN 18 AND 21)"
+
+
+def _old_new(spark, sf):
+    old = hourly(spark, sf).select("symbol", F.to_date("open_time").alias("day"), "open_time", "close_time", "close")
+    return old, old.where("day(day) between 18 and 21").withColumn("close", F.col("close") * 2)
+
+
+@query(f"WITH {_OLD_NEW}, m AS (SELECT * FROM old WHERE (symbol, day) NOT IN (SELECT symbol, day FROM new) UNION ALL SELECT * FROM new) SELECT * FROM m {_last(300)}", "close")
+def rotate_last_n(spark, sf):
+    return sinks.replace_and_rotate(*_old_new(spark, sf), keep=300)
+
+
+@query(f"""WITH {_OLD_NEW}, s AS (SELECT symbol, min(open_time) AS lo, max(open_time) AS hi FROM new GROUP BY 1)
+SELECT old.* FROM old LEFT JOIN s USING (symbol) WHERE lo IS NULL OR open_time < lo OR open_time > hi UNION ALL SELECT * FROM new""", "close")
+def replace_window(spark, sf):
+    return sinks.replace_window(*_old_new(spark, sf))
+
+
+@query(f"WITH {_OLD_NEW} SELECT * FROM old WHERE (symbol, open_time) NOT IN (SELECT symbol, open_time FROM new) UNION ALL SELECT * FROM new", "close")
+def upsert_latest(spark, sf):
+    return sinks.upsert(*_old_new(spark, sf), ["symbol", "open_time"])
+
+
+@query(f"WITH {_DAYS}, s AS (SELECT symbol, CAST(open_time AS DATE) AS day, count(*) AS n FROM (SELECT * FROM (SELECT symbol, time_bucket(INTERVAL '60 minutes', ts) AS open_time FROM clean GROUP BY ALL)) GROUP BY 1, 2) SELECT symbol, quantile_cont(n, 0.1) AS p10, quantile_cont(n, 0.5) AS p50, quantile_cont(n, 0.9) AS p90 FROM s GROUP BY 1", "p10 p50 p90")
+def bars_per_day_quantiles(spark, sf):
+    n = hourly(spark, sf).groupBy("symbol", F.to_date("open_time").alias("day")).agg(F.count("*").alias("n"))
+    return n.groupBy("symbol").agg(*[F.percentile("n", F.lit(p / 100)).alias(f"p{p}") for p in (10, 50, 90)])
+
+
+@query(f"""WITH {_BARS}, day AS (SELECT symbol, strftime(open_time, '%Y-%m') AS period, CAST(open_time AS DATE) AS day, close FROM bars), st AS (SELECT DISTINCT symbol, period, 0.9975::DOUBLE AS exp_lambda FROM day),
+f AS (SELECT DISTINCT symbol, period, day AS failed_date FROM day WHERE day(day) % 9 = 0), fs AS (SELECT symbol, period, count(DISTINCT failed_date) AS failed_days FROM f GROUP BY 1, 2), b AS (SELECT symbol, period, avg(close) AS mean_close, count(*) AS rows FROM day GROUP BY 1, 2)
+SELECT symbol, period, exp_lambda, coalesce(failed_days, 0) AS failed_days, mean_close, coalesce(rows, 0) AS rows FROM st LEFT JOIN fs USING (symbol, period) LEFT JOIN b USING (symbol, period)""", "exp_lambda mean_close")
+def study_quality_summary(spark, sf):
+    return quality.study_summary(*_study_tables(spark, sf))
+
+
+@query(f"""WITH {_BARS}, day AS (SELECT symbol, strftime(open_time, '%Y-%m') AS period, CAST(open_time AS DATE) AS day, close FROM bars), st AS (SELECT DISTINCT symbol, period, 0.9975::DOUBLE AS exp_lambda FROM day),
+f AS (SELECT DISTINCT symbol, period, day AS failed_date FROM day WHERE day(day) % 9 = 0)
+SELECT symbol, period, exp_lambda, count(DISTINCT failed_date) AS failed_days, avg(close) AS mean_close, count(*) AS rows FROM st LEFT JOIN f USING (symbol, period) LEFT JOIN day USING (symbol, period) GROUP BY 1, 2, 3""", "exp_lambda mean_close")
+def study_quality_summary_faithful(spark, sf):
+    return quality.study_summary(*_study_tables(spark, sf), faithful=True)
+
+
+def _study_tables(spark, sf):
+    rows = hourly(spark, sf).select("symbol", F.date_format("open_time", "yyyy-MM").alias("period"), F.to_date("open_time").alias("failed_date"), "close")
+    studies = rows.select("symbol", "period").distinct().withColumn("exp_lambda", F.lit(0.9975))
+    return studies, rows.where("day(failed_date) % 9 = 0").select("symbol", "period", "failed_date").distinct(), rows
+
+
+@query(f"WITH {_TIES}, k AS (SELECT symbol, open_time, close, close AS open, close AS high, close AS low, count(*) AS n FROM ties GROUP BY 1, 2, 3), a AS (SELECT symbol, sum(n)::BIGINT AS bars, sum(n - 1)::BIGINT AS copies, 0::BIGINT AS missing, (sum(n) - count(DISTINCT open_time))::BIGINT AS shared, 0::BIGINT AS bad FROM k GROUP BY 1) SELECT *, (100 - CASE WHEN copies * 1.0 / bars > 0.001 THEN 20 ELSE 0 END - CASE WHEN shared > 0 THEN 15 ELSE 0 END)::DOUBLE AS score FROM a", "score")
+def integrity_score(spark, sf):
+    rows = _ties(spark, sf).select("symbol", "open_time", "close", *[F.col("close").alias(c) for c in ("open", "high", "low")])
+    return quality.integrity_score(rows)
+
+
+@query(f"""WITH {_DAYS}, l AS (SELECT symbol, day, 0 AS level, bars - 30 AS bars FROM days UNION ALL SELECT symbol, day, 1, bars - 15 FROM days UNION ALL SELECT symbol, day, 2, bars FROM days UNION ALL SELECT symbol, day, 3, 1 FROM days)
+SELECT symbol, day, level, bars FROM l QUALIFY row_number() OVER (PARTITION BY symbol, day ORDER BY CASE WHEN bars >= 40 THEN level ELSE 1000 - level END) = 1""")
+def fallback_chain(spark, sf):
+    days = _days(spark, sf).select("symbol", "day", "bars")
+    level = lambda i, bars_: days.select("symbol", "day", F.lit(i).alias("level"), bars_.cast("long").alias("bars"))
+    n = F.col("bars")
+    levels = level(0, n - 30).unionByName(level(1, n - 15)).unionByName(level(2, n)).unionByName(level(3, F.lit(1)))
+    return quality.fallback_choice(levels)
+
+
+# -- statistics ---------------------------------------------------------------
+
+
+@query(f"WITH {_BARS} SELECT symbol, avg(n_ticks) AS mean_ticks, stddev_pop(n_ticks) AS std_ticks, stddev_pop(n_ticks) / avg(n_ticks) AS cv_ticks, min(n_ticks) AS min_ticks, max(n_ticks) AS max_ticks, quantile_cont(n_ticks, 0.5) AS median_ticks, quantile_cont(n_ticks, 0.75) - quantile_cont(n_ticks, 0.25) AS iqr_ticks FROM bars GROUP BY 1", "mean_ticks std_ticks cv_ticks median_ticks iqr_ticks")
+def sampling_efficiency(spark, sf):
+    return stats.sampling_efficiency(hourly(spark, sf), ["symbol"])
+
+
+# Returns of a fortieth keep one plus the return positive.
+_SMALL = f"{_RETURNS}, s0 AS (SELECT * REPLACE (log_return / 40 AS log_return) FROM r WHERE log_return IS NOT NULL), e AS (SELECT *, exp(sum(ln(1 + log_return)) OVER ({_W} ROWS UNBOUNDED PRECEDING)) AS equity FROM s0), dd AS (SELECT *, equity / max(equity) OVER ({_W} ROWS UNBOUNDED PRECEDING) - 1 AS drawdown FROM e)"
+
+
+def _small(spark, sf):
+    return returns(spark, sf).where("log_return is not null").withColumn("log_return", F.col("log_return") / 40)
+
+
+@query(f"WITH {_SMALL} SELECT symbol, open_time, equity, drawdown FROM dd", "equity drawdown")
+def equity_curve(spark, sf):
+    return features.drawdown(_small(spark, sf), ["symbol"], ["open_time"]).select("symbol", "open_time", "equity", "drawdown")
+
+
+@query(f"WITH {_SMALL} SELECT symbol, min(drawdown) AS max_drawdown FROM dd GROUP BY 1", "max_drawdown")
+def max_drawdown(spark, sf):
+    return features.drawdown(_small(spark, sf), ["symbol"], ["open_time"]).groupBy("symbol").agg(F.min("drawdown").alias("max_drawdown"))
+
+
+@query(f"WITH {_SMALL} SELECT symbol, count(*) AS n, avg(log_return) AS mean_return, stddev_samp(log_return) AS std_return, min(drawdown) AS max_drawdown, sum(volume) AS volume, sum(dollar) AS dollar, avg(log_return) / stddev_samp(log_return) * sqrt(252) AS sharpe FROM dd GROUP BY 1", "mean_return std_return max_drawdown volume dollar sharpe")
+def bar_metrics(spark, sf):
+    return stats.bar_metrics(_small(spark, sf), ["symbol"], ["open_time"])
+
+
+@query(f"WITH {_RETURNS}, l AS (SELECT symbol, log_return AS x, lag(log_return) OVER ({_W}) AS y FROM r WHERE log_return IS NOT NULL) SELECT symbol, corr(x, y) AS acf, count(*) AS pairs FROM l WHERE y IS NOT NULL GROUP BY 1", "acf")
+def acf_lag1(spark, sf):
+    return stats.acf(returns(spark, sf), ["symbol"], ["open_time"], "log_return")
+
+
+_LB = " + ".join(f"pow(sum(c * l{k}) / sum(c * c), 2) / (count(*) - {k})" for k in range(1, 21))
+_CHI = " + ".join(["1.0"] + [f"pow(lb / 2, {i}) / {__import__('math').factorial(i)}" for i in range(1, 10)])
+
+
+@query(f"""WITH {_RETURNS}, x AS (SELECT symbol, open_time, log_return - avg(log_return) OVER (PARTITION BY symbol) AS c FROM r WHERE log_return IS NOT NULL),
+y AS (SELECT *, {', '.join(f'lag(c, {k}) OVER ({_W}) AS l{k}' for k in range(1, 21))} FROM x), z AS (SELECT symbol, count(*) AS n, count(*) * (count(*) + 2) * ({_LB}) AS lb FROM y GROUP BY 1)
+SELECT *, exp(-lb / 2) * ({_CHI}) AS lb_p FROM z""", "lb lb_p")
+def ljung_box(spark, sf):
+    return stats.ljung_box(returns(spark, sf), ["symbol"], ["open_time"], "log_return")
+
+
+@query(f"""WITH {_RETURNS}, x AS (SELECT symbol, log_return AS v, avg(log_return) OVER (PARTITION BY symbol) AS m FROM r WHERE log_return IS NOT NULL),
+y AS (SELECT symbol, count(*) AS n, any_value(m) AS mean, sqrt(avg(pow(v - m, 2))) AS std, avg(pow(v - m, 3)) / pow(avg(pow(v - m, 2)), 1.5) AS skew, avg(pow(v - m, 4)) / pow(avg(pow(v - m, 2)), 2) - 3 AS kurt FROM x GROUP BY 1),
+z AS (SELECT *, n / 6.0 * (skew * skew + kurt * kurt / 4) AS jb FROM y) SELECT *, exp(-jb / 2) AS jb_p FROM z""", "mean std skew kurt jb jb_p")
+def jarque_bera(spark, sf):
+    return stats.moments(returns(spark, sf), ["symbol"], "log_return")
+
+
+_BINS = f"""i AS (SELECT symbol, log_return AS v, row_number() OVER ({_W}) - 1 AS i, count(*) OVER (PARTITION BY symbol) // 10 AS size FROM r WHERE log_return IS NOT NULL),
+bins AS (SELECT symbol, (i // size)::BIGINT AS bin, v FROM i WHERE size > 0 AND i // size < 10)"""
+
+
+@query(f"WITH {_RETURNS}, {_BINS} SELECT symbol, bin, var_pop(v) AS variance, count(*) AS rows FROM bins GROUP BY 1, 2", "variance")
+def variance_bins(spark, sf):
+    return stats.variance_bins(returns(spark, sf), ["symbol"], ["open_time"], "log_return")
+
+
+@query(f"""WITH {_RETURNS}, {_BINS}, z AS (SELECT symbol, bin, v, abs(v - quantile_cont(v, 0.5) OVER (PARTITION BY symbol, bin)) AS z FROM bins), e AS (SELECT symbol, bin, count(*) AS n, avg(z) AS m, var_pop(z) AS w, var_pop(v) AS vv FROM z GROUP BY 1, 2),
+t AS (SELECT symbol, sum(n) AS nn, count(*) AS k, sum(n * m) / sum(n) AS mm, sum(n * w) AS within, sum(n * m * m) AS sq, max(vv) / min(vv) AS variance_ratio FROM e GROUP BY 1)
+SELECT symbol, (nn - k) * (sq - nn * mm * mm) / ((k - 1) * within) AS levene, variance_ratio FROM t""", "levene variance_ratio")
+def levene_stat(spark, sf):
+    return stats.levene(returns(spark, sf), ["symbol"], ["open_time"], "log_return")
+
+
+@query(f"WITH {_RETURNS} SELECT symbol, floor(log_return / 0.25)::BIGINT AS bin, count(*) AS n FROM r WHERE log_return IS NOT NULL GROUP BY 1, 2")
+def return_histogram(spark, sf):
+    rows = returns(spark, sf).where("log_return is not null")
+    return rows.groupBy("symbol", F.floor(F.col("log_return") / 0.25).alias("bin")).agg(F.count("*").alias("n"))
+
+
+@query(None, "adf adf_crit_1pct")
+def adf_fixed_lag(spark, sf):
+    return stats.adf(returns(spark, sf), ["symbol"], ["open_time"], "log_return")
+
+
+@query(None, "quality_score")
+def quality_score_v2(spark, sf):
+    return stats.quality_scores(returns(spark, sf), ["symbol"], ["open_time"])
+
+
+_COMPARE = [(15, "T15"), (60, "T60"), (240, "T240")]
+
+
+@query(f"WITH {_CLEAN}, " + ", ".join(_clock_sql(m, f"b{m}") for m, _ in _COMPARE) + ", u AS (" + " UNION ALL ".join(f"SELECT '{n}' AS bar_type, * FROM b{m}" for m, n in _COMPARE) + """),
+v AS (SELECT *, ln(close / lag(close) OVER (PARTITION BY bar_type, symbol ORDER BY open_time)) AS lr FROM u)
+SELECT bar_type, symbol, count(*) AS bars, avg(n_ticks) AS mean_ticks, stddev_pop(n_ticks) / avg(n_ticks) AS cv_ticks, stddev_samp(lr) AS std_return FROM v GROUP BY 1, 2""", "mean_ticks cv_ticks std_return")
+def bar_type_comparison(spark, sf):
+    out = None
+    for minutes, name in _COMPARE:
+        rows = bars.time_bars(clean(spark, sf), minutes).withColumn("lr", features.log_return())
+        part = rows.groupBy(F.lit(name).alias("bar_type"), "symbol").agg(
+            F.count("*").alias("bars"), F.avg("n_ticks").alias("mean_ticks"), stats.safe(F.stddev_pop("n_ticks"), F.avg("n_ticks")).alias("cv_ticks"), F.stddev_samp("lr").alias("std_return"),
+        )
+        out = part if out is None else out.unionByName(part)
+    return out
