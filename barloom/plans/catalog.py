@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from barloom.functions import stats
 from barloom.operators import bars, features, joins, quality, search, ticks, winsor
 from barloom.sources import sinks, tables
+from barloom.streaming import stream
 
 FLAGSHIP = "run_bars"
 DIGITS = 6
@@ -23,17 +24,17 @@ _SQL: dict[str, str] = {}
 
 
 def query(sql: str | None = None, floats: str = ""):
-    """Registers a query under its function's name; ``floats`` are rounded on both sides."""
-    columns = floats.split()
+    """Registers a query under its function's name; ``floats`` (``name`` or ``name:digits``) are rounded on both sides."""
+    columns = {c.partition(":")[0]: int(c.partition(":")[2] or DIGITS) for c in floats.split()}
 
     def register(f):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             out = f(spark, sf_dir)
-            return out.withColumns({c: F.round(F.col(c), DIGITS) + F.lit(0.0) for c in columns})
+            return out.withColumns({c: F.round(F.col(c), n) + F.lit(0.0) for c, n in columns.items()})
 
         _QUERIES[f.__name__] = run
         if sql is not None:
-            rounded = ", ".join(f"round({c}, {DIGITS}) + 0.0::DOUBLE AS {c}" for c in columns)
+            rounded = ", ".join(f"round({c}, {n}) + 0.0::DOUBLE AS {c}" for c, n in columns.items())
             _SQL[f.__name__] = f"SELECT * REPLACE ({rounded}) FROM ({sql})" if columns else sql
         return f
 
@@ -296,7 +297,7 @@ def volume_zscores(spark, sf):
     return features.with_activity(hourly(spark, sf)).select("symbol", "open_time", "volume_z", "dollar_value_z", "n_ticks_z")
 
 
-@query(f"WITH {_BARS} SELECT symbol, open_time, dollar / volume AS vwap, close / (dollar / volume) - 1 AS price_to_vwap FROM bars", "vwap price_to_vwap")
+@query(f"WITH {_BARS} SELECT symbol, open_time, dollar / volume AS vwap, close / (dollar / volume) - 1 AS price_to_vwap FROM bars", "vwap:9 price_to_vwap")
 def vwap_features(spark, sf):
     return features.with_structure(hourly(spark, sf)).select("symbol", "open_time", "vwap", "price_to_vwap")
 
@@ -365,7 +366,7 @@ _FEATURES = ", ".join(features.BAR_FEATURES)
 
 
 @query(f"""WITH {_FULL} SELECT x.symbol, x.open_time, {_FEATURES}, f.funding_rate_mean FROM feat x ASOF LEFT JOIN fm f ON x.symbol = f.symbol AND x.open_time >= f.funding_time
-WHERE {' AND '.join(f'{c} IS NOT NULL' for c in features.BAR_FEATURES)}""", " ".join(features.BAR_FEATURES) + " funding_rate_mean")
+WHERE {' AND '.join(f'{c} IS NOT NULL' for c in features.BAR_FEATURES)}""", " ".join(features.BAR_FEATURES).replace("vwap ", "vwap:9 ", 1) + " funding_rate_mean")
 def features_full(spark, sf):
     out = features.compute_features(hourly(spark, sf), tables.funding(spark, sf))
     return out.select("symbol", "open_time", *features.BAR_FEATURES, "funding_rate_mean")
@@ -779,3 +780,39 @@ def bar_type_comparison(spark, sf):
         )
         out = part if out is None else out.unionByName(part)
     return out
+
+
+# -- streams ------------------------------------------------------------------
+
+
+def _tick_stream(spark, sf):
+    """The ticks as a file stream of the events table."""
+    schema = tables.table(spark, sf, "events").schema
+    events = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
+    return events.select(
+        F.col("event_type").alias("symbol"), F.col("event_id").alias("id"), "ts", F.col("value").alias("price"),
+        F.regexp_extract("props", "([0-9]+)", 1).cast("double").alias("quantity"),
+    ).where("price > 0 and quantity > 0").withColumn("dollar", F.col("price") * F.col("quantity"))
+
+
+def _drained(out: DataFrame) -> DataFrame:
+    """Runs the stream over what there is and reads back its sink."""
+    return stream.drain(out)
+
+
+@query(f"""WITH {_CLEAN}, {_clock_sql(60)} SELECT * FROM bars WHERE close_time <= (SELECT max(ts) FROM clean) - INTERVAL '1 hour'""", _OHLC)
+def stream_time_bars(spark, sf):
+    out = _drained(stream.time_bars(_tick_stream(spark, sf), 60))
+    return out.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("open_time", "close_time")})
+
+
+@query(f"WITH {_CLEAN} SELECT symbol, id, price, quantity FROM clean")
+def stream_dedup(spark, sf):
+    rows = _tick_stream(spark, sf)
+    return _drained(stream.deduplicated(rows.unionByName(rows.where("id % 97 = 0"))).select("symbol", "id", "price", "quantity"))
+
+
+@query(f"WITH RECURSIVE {_CLEAN}, {_DIRECTION}, {_fold_sql('run', 'symbol', 0.9, 30, 20).replace('least(100, n // 10)', '100')} SELECT * FROM folded", _OHLC)
+def stream_run_bars(spark, sf):
+    out = _drained(stream.run_bars(_tick_stream(spark, sf), 0.9, 30, 20))
+    return out.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("open_time", "close_time")})

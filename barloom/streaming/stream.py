@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -13,6 +14,17 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from barloom.operators.bars import _ohlcv
 
 
+def drain(out: DataFrame) -> DataFrame:
+    """Runs a stream over the data there is, into Parquet in the session's shared folder, and reads it back."""
+    spark = out.sparkSession
+    root = spark.conf.get("spark.checkpoint.dir", None) or f"/tmp/checkpoints/{uuid.uuid4().hex}"
+    path = f"{root.rstrip('/')}/stream-{uuid.uuid4().hex}"
+    schema = out.schema
+    query = out.writeStream.format("parquet").option("path", f"{path}/out").option("checkpointLocation", f"{path}/state").trigger(availableNow=True).start()
+    query.awaitTermination()
+    return spark.read.schema(schema).parquet(f"{path}/out")
+
+
 def event_time(ticks: DataFrame, column: str = "ts") -> DataFrame:
     """Watermarks need a time with zone; times are UTC."""
     return ticks.withColumn(column, F.col(column).cast("timestamp"))
@@ -29,7 +41,7 @@ def time_bars(ticks: DataFrame, minutes: int, late: str = "1 hour") -> DataFrame
     return grouped.select("symbol", F.col("w.start").alias("open_time"), F.col("w.end").alias("close_time"), "open", "high", "low", "close", "n_ticks", "volume", "dollar")
 
 
-_STATE = "ready boolean, e_t double, p double, e_buy double, e_sell double, buy_run double, sell_run double, buys long, sells long, buy_sum double, sell_sum double, number long, last_price double, last_b double, open_ts timestamp, open double, high double, low double, volume double, warm array<struct<ts:timestamp,price:double,quantity:double,b:double>>, seen long"
+_STATE = "ready boolean, e_t double, p double, e_buy double, e_sell double, buy_run double, sell_run double, buys long, sells long, buy_sum double, sell_sum double, number long, last_price double, last_b double, open_us long, open double, high double, low double, volume double, warm array<struct<us:long,price:double,quantity:double,b:double>>, seen long"
 _BARS = "symbol string, bar_id long, open_time timestamp, close_time timestamp, open double, high double, low double, close double, n_ticks long, volume double, dollar double"
 
 
@@ -68,7 +80,8 @@ def run_bars(ticks: DataFrame, lam: float, t0: float, min_ticks: int, warm_up: i
                 s[5:11], s[14], s[11] = [0.0, 0.0, 0, 0, 0.0, 0.0], None, s[11] + 1
 
         rows = pd.concat(list(frames)).sort_values(["ts", "id"])
-        for ts, price, quantity in zip(rows["ts"], rows["price"], rows["quantity"], strict=True):
+        micros = rows["ts"].to_numpy(dtype="datetime64[us]").astype("int64").tolist()
+        for ts, price, quantity in zip(micros, rows["price"].tolist(), rows["quantity"].tolist(), strict=True):
             move = 0.0 if s[12] is None else np.sign(price - s[12])
             b = move if move else s[13]
             s[12], s[13] = float(price), float(b)
@@ -81,11 +94,12 @@ def run_bars(ticks: DataFrame, lam: float, t0: float, min_ticks: int, warm_up: i
                 up = np.array([x[3] == 1 for x in s[19]])
                 s[2] = float(up.mean())
                 s[3], s[4] = (float(d[m].mean() if m.any() else d.mean()) for m in (up, ~up))
-                held, s[19], s[0] = s[19], [], True
+                held, s[19], s[0] = [tuple(x) for x in s[19]], [], True
                 for x in held:
                     take(*x)
         state.update(tuple(s))
-        yield pd.DataFrame(out, columns=[c.split()[0] for c in _BARS.split(", ")])
+        made = pd.DataFrame(out, columns=[c.split()[0] for c in _BARS.split(", ")])
+        yield made.assign(**{c: pd.to_datetime(made[c].astype("int64"), unit="us") for c in ("open_time", "close_time")})
 
     rows = event_time(ticks).select("symbol", "id", "ts", "price", "quantity")
     return rows.groupBy("symbol").applyInPandasWithState(step, _BARS, _STATE, "append", GroupStateTimeout.NoTimeout)
