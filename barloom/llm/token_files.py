@@ -20,6 +20,7 @@ encoded once instead of every time.
 
 from __future__ import annotations
 
+import gc
 import json
 import os
 import re
@@ -258,6 +259,7 @@ def _encoder(spec: str) -> _Encoder:
 
 
 def _segments(batches, spec: str, end_id: int):
+    gc.set_threshold(200_000)  # nothing here makes cycles, and collections walk the lists of a batch
     encoder, shard = _encoder(spec), TaskContext.get().partitionId()
     end = np.array([end_id], dtype="<u4").tobytes()
     seq = first = held = 0
