@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 BAR = "open_time, close_time, open, high, low, close, n_ticks, volume, dollar"
@@ -120,8 +120,8 @@ class _Fold:
         self._open_bar()
 
 
-def _fold_batches(batches, kind: str, keys: int, lam: float, t0: float, min_ticks: int, names: list[str]):
-    """Rows: scope columns, n, ts, price, quantity, dollar, b; sorted, scopes whole."""
+def _fold_batches(batches, kind: str, keys: int, min_ticks: int, names: list[str]):
+    """Rows: scope columns, n, lambda, T, ts, price, quantity, dollar, b; sorted, scopes whole."""
     scope, fold = None, None
 
     def emit(rows, own):
@@ -135,37 +135,41 @@ def _fold_batches(batches, kind: str, keys: int, lam: float, t0: float, min_tick
     for batch in batches:
         if not batch.num_rows:
             continue
-        types, stamp = [batch.column(i).type for i in range(keys)], batch.column(keys + 1).type
+        types, stamp = [batch.column(i).type for i in range(keys)], batch.column(keys + 3).type
         owners = list(zip(*(batch.column(i).to_pylist() for i in range(keys)), strict=True))
         cuts = [0, *[i for i in range(1, len(owners)) if owners[i] != owners[i - 1]], len(owners)]
-        ts, price, quantity, dollar, b = (batch.column(keys + 1 + i).to_numpy(zero_copy_only=False) for i in range(5))
+        ts, price, quantity, dollar, b = (batch.column(keys + 3 + i).to_numpy(zero_copy_only=False) for i in range(5))
         for lo, hi in zip(cuts, cuts[1:], strict=False):
             if owners[lo] != scope:
                 scope = owners[lo]
-                fold = _Fold(kind, batch.column(keys)[lo].as_py(), lam, t0, min_ticks)
+                fold = _Fold(kind, *(batch.column(keys + i)[lo].as_py() for i in range(3)), min_ticks)
             fold.feed(ts[lo:hi], price[lo:hi], quantity[lo:hi], dollar[lo:hi], b[lo:hi])
             if fold.bars:
                 yield emit(fold.bars, scope)
                 fold.bars = []
 
 
-def _information_bars(ticks: DataFrame, kind: str, scope: list[str], lam: float, t0: float, min_ticks: int) -> DataFrame:
+def _information_bars(ticks: DataFrame, kind: str, scope: list[str], lam, t0, min_ticks: int) -> DataFrame:
+    as_column = lambda x: (x if isinstance(x, Column) else F.lit(x)).cast("double")
     sizes = ticks.groupBy(*scope).agg(F.count("*").alias("n"))  # one row a scope
-    rows = ticks.join(sizes, scope).select(*scope, "n", "ts", "price", "quantity", "dollar", F.col("b").cast("double").alias("b"), "id")
+    rows = ticks.join(sizes, scope).select(*scope, "n", as_column(lam).alias("lam"), as_column(t0).alias("t0"), "ts", "price", "quantity", "dollar", F.col("b").cast("double").alias("b"), "id")
     sorted_rows = rows.repartition(*scope).sortWithinPartitions(*scope, "ts", "id").drop("id")
     kinds = dict(ticks.dtypes)
     names = [*scope, "bar_id", *[c.strip() for c in BAR.split(",")]]
     ddl = ", ".join(f"{c} {kinds[c]}" for c in scope)
     ddl += f", bar_id long, open_time {kinds['ts']}, close_time {kinds['ts']}, open double, high double, low double, close double, n_ticks long, volume double, dollar double"
-    return sorted_rows.mapInArrow(lambda it: _fold_batches(it, kind, len(scope), lam, t0, min_ticks, names), ddl)
+    return sorted_rows.mapInArrow(lambda it: _fold_batches(it, kind, len(scope), min_ticks, names), ddl)
 
 
-def run_bars(ticks: DataFrame, scope: list[str], lam: float = 0.9975, t0: float = 2000, min_ticks: int = 400) -> DataFrame:
-    """Dollar-run bars of ticks with ``b`` and ``dollar``; ticks after the last close stay residual."""
+def run_bars(ticks: DataFrame, scope: list[str], lam: float | Column = 0.9975, t0: float | Column = 2000, min_ticks: int = 400) -> DataFrame:
+    """Dollar-run bars of ticks with ``b`` and ``dollar``; ticks after the last close stay residual.
+
+    The two parameters may be columns that are constant in each scope.
+    """
     return _information_bars(ticks, "run", scope, lam, t0, min_ticks)
 
 
-def imbalance_bars(ticks: DataFrame, scope: list[str], lam: float = 0.9975, t0: float = 2000, min_ticks: int = 400) -> DataFrame:
+def imbalance_bars(ticks: DataFrame, scope: list[str], lam: float | Column = 0.9975, t0: float | Column = 2000, min_ticks: int = 400) -> DataFrame:
     return _information_bars(ticks, "imbalance", scope, lam, t0, min_ticks)
 
 

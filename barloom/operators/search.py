@@ -99,15 +99,13 @@ def viability(days: DataFrame, by: list[str]) -> DataFrame:
 
 
 def search_run_bars(ticks: DataFrame, params: DataFrame, scope: list[str], min_ticks: int) -> DataFrame:
-    """Bars per day of every candidate: each (candidate, scope) is one fold of its own."""
-    from functools import reduce
+    """Bars of every candidate in every scope: one plan in which (candidate, scope) is a fold of its own.
 
+    ``params`` is the grid the caller lists, a few rows, and is broadcast.
+    """
     from barloom.operators import bars
 
-    rows = params.collect()  # the grid that the caller lists
-    found = [
-        bars.run_bars(ticks, scope, r.exp_lambda, r.init_exp_t, min_ticks).groupBy(*scope).agg(F.count("*").alias("bars"), F.avg("n_ticks").alias("mean_ticks"))
-        .select(F.lit(r.param_id).alias("param_id"), F.lit(r.exp_lambda).alias("exp_lambda"), F.lit(r.init_exp_t).alias("init_exp_t"), *scope, "bars", "mean_ticks")
-        for r in rows
-    ]
-    return reduce(DataFrame.unionByName, found)
+    each = ticks.crossJoin(F.broadcast(params.select("param_id", "exp_lambda", "init_exp_t")))
+    keys = ["param_id", "exp_lambda", "init_exp_t", *scope]
+    made = bars.run_bars(each, keys, F.col("exp_lambda"), F.col("init_exp_t"), min_ticks)
+    return made.groupBy(*keys).agg(F.count("*").alias("bars"), F.avg("n_ticks").alias("mean_ticks"))
