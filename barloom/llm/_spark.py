@@ -52,14 +52,16 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 
 def discard(*tables: DataFrame) -> None:
-    """Deletes stored tables that nothing reads any more, and lets go of old shuffle files.
-
-    Spark's cleaner drops a shuffle once the JVM has collected its last plan.
-    """
+    """Deletes stored tables that nothing reads any more, and lets go of old shuffle files."""
     spark = tables[0].sparkSession
     for table in tables:
         path = spark._jvm.org.apache.hadoop.fs.Path(table.stored_path)
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    release(spark)
+
+
+def release(spark: SparkSession) -> None:
+    """Lets Spark's cleaner drop shuffles whose results are stored: it acts when the JVM has collected their plans."""
     gc.collect()
     spark._jvm.System.gc()
 
