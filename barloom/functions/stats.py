@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -140,6 +142,54 @@ def quality_score(returns: np.ndarray, n_ticks: np.ndarray) -> float:
     return float(score + max(0.0, 10.0 * (1 - tails / 5.0)))
 
 
+def _beta_fraction(a: float, b: float, x: float) -> float:
+    """Continued fraction of the incomplete beta function (modified Lentz)."""
+    tiny, c, d = 1e-300, 1.0, 1 - (a + b) * x / (a + 1)
+    d = 1 / (d if abs(d) > tiny else tiny)
+    out = d
+    for m in range(1, 300):
+        for top in (m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m)), -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1))):
+            d = 1 + top * d
+            d = 1 / (d if abs(d) > tiny else tiny)
+            c = 1 + top / c
+            c = c if abs(c) > tiny else tiny
+            out *= c * d
+        if abs(c * d - 1) < 1e-14:
+            break
+    return out
+
+
+def f_survival(f: float, d1: float, d2: float) -> float:
+    """P(F > f) with ``d1`` and ``d2`` degrees of freedom."""
+    if not f > 0:
+        return 1.0
+    a, b, x = d2 / 2, d1 / 2, d2 / (d2 + d1 * f)
+    front = math.exp(a * math.log(x) + b * math.log1p(-x) - (math.lgamma(a) + math.lgamma(b) - math.lgamma(a + b)))
+    if x < (a + 1) / (a + b + 2):
+        return front * _beta_fraction(a, b, x) / a
+    return 1 - front * _beta_fraction(b, a, 1 - x) / b
+
+
+def legacy_quality_score(returns: np.ndarray, n_ticks: np.ndarray) -> float:
+    """The older score of at most 100 points, from p-values."""
+    r = returns[np.isfinite(returns)]
+    if len(r) < 30:
+        return 0.0
+    acf1 = abs(np.corrcoef(r[1:], r[:-1])[0, 1])
+    stat, critical = adf_best_lag(r)[0], sum(c / len(r) ** i for i, c in enumerate(ADF_5PCT))
+    size = len(r) // 10
+    dev = r[: size * 10].reshape(10, size)
+    dev = np.abs(dev - np.median(dev, axis=1, keepdims=True))
+    n, within = dev.size, ((dev - dev.mean(axis=1, keepdims=True)) ** 2).sum()
+    between = size * ((dev.mean(axis=1) - dev.mean()) ** 2).sum()
+    levene_p = f_survival((n - 10) * between / (9 * within), 9, n - 10) if within > 0 else 0.0
+    c = r - r.mean()
+    var = (c**2).mean()
+    jb = len(r) / 6 * (((c**3).mean() / var**1.5) ** 2 + ((c**4).mean() / var**2 - 3) ** 2 / 4)
+    cv = n_ticks.std() / n_ticks.mean() if n_ticks.mean() > 0 else 2.0
+    return float(max(0, 30 * (1 - acf1)) + (25 if stat <= critical else 0) + min(20, 20 * levene_p) + max(0, 15 * (1 - min(cv, 1))) + min(10, 10 * math.exp(-jb / 2)))
+
+
 def adf(rows: DataFrame, by: list[str], order: list[str], column: str, lags: int = 5) -> DataFrame:
     """Per key, over bars (not ticks): a group is one symbol's bars."""
     kinds = dict(rows.dtypes)
@@ -153,13 +203,13 @@ def adf(rows: DataFrame, by: list[str], order: list[str], column: str, lags: int
     return rows.select(*by, *order, column).groupBy(*by).applyInPandas(run, ddl)
 
 
-def quality_scores(bars: DataFrame, by: list[str], order: list[str]) -> DataFrame:
+def quality_scores(bars: DataFrame, by: list[str], order: list[str], score=quality_score) -> DataFrame:
     """Score per key from ``log_return`` and ``n_ticks``."""
     kinds = dict(bars.dtypes)
 
     def run(key, pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(order)
-        return pd.DataFrame([[*key, len(pdf), quality_score(pdf["log_return"].to_numpy(dtype=float), pdf["n_ticks"].to_numpy(dtype=float))]])
+        return pd.DataFrame([[*key, len(pdf), score(pdf["log_return"].to_numpy(dtype=float), pdf["n_ticks"].to_numpy(dtype=float))]])
 
     ddl = ", ".join(f"{c} {kinds[c]}" for c in by) + ", bars long, quality_score double"
     return bars.select(*by, *order, "log_return", "n_ticks").groupBy(*by).applyInPandas(run, ddl)

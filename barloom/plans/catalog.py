@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from barloom.functions import stats
 from barloom.operators import bars, features, joins, quality, search, ticks, winsor
+from barloom.plans import pipelines
 from barloom.sources import sinks, tables
 from barloom.streaming import stream
 
@@ -765,6 +766,11 @@ def quality_score_v2(spark, sf):
     return stats.quality_scores(returns(spark, sf), ["symbol"], ["open_time"])
 
 
+@query(None, "quality_score")
+def legacy_quality_score(spark, sf):
+    return stats.quality_scores(returns(spark, sf), ["symbol"], ["open_time"], stats.legacy_quality_score)
+
+
 _COMPARE = [(15, "T15"), (60, "T60"), (240, "T240")]
 
 
@@ -782,6 +788,41 @@ def bar_type_comparison(spark, sf):
     return out
 
 
+# -- store and pipelines ------------------------------------------------------
+
+
+@query(f"WITH {_BARS} SELECT symbol, open_time, close FROM bars WHERE symbol = 'click' AND open_time BETWEEN '2024-01-05' AND '2024-01-06'", "close")
+def store_bars_range(spark, sf):
+    return tables.bars_between(hourly(spark, sf), "click", "2024-01-05", "2024-01-06").select("symbol", "open_time", "close")
+
+
+@query(f"WITH {_BARS} SELECT symbol, open_time, close FROM bars WHERE symbol = 'view' AND open_time >= '2024-01-01' AND open_time < '2025-01-01'", "close")
+def store_bars_year(spark, sf):
+    return tables.bars_of_year(hourly(spark, sf), "view", 2024).select("symbol", "open_time", "close")
+
+
+@query(f"WITH {_DAYS} SELECT symbol, day, bars FROM days SEMI JOIN (SELECT symbol, day FROM days WHERE quality < 100) f USING (symbol, day)")
+def days_with_failures(spark, sf):
+    days = _days(spark, sf)
+    return days.join(days.where("quality < 100").select("symbol", "day"), ["symbol", "day"], "left_semi").select("symbol", "day", "bars")
+
+
+@query(None, " ".join(c for c in features.BAR_FEATURES if c != "bar_duration_secs"))
+def training_build(spark, sf):
+    """The yearly build's frame at test-size parameters."""
+    studies = spark.createDataFrame([("click", "2023-12", 0.9, 1.5)], "symbol string, period string, exp_lambda double, init_exp_t double")
+    frame = pipelines.training_frame(tables.dirty_ticks(spark, sf), tables.funding(spark, sf), studies, 2, 10, defaults={"exp_lambda": 0.95, "init_exp_t": 1.5})
+    return frame.select("symbol", "open_time", "close_time", "day", *features.BAR_FEATURES, "failed_day", "sample_weight", "recovery_status", "study_source")
+
+
+@query(None, _OHLC)
+def daily_inference(spark, sf):
+    """One day after its context, with three parameter levels and the whole-day bar behind them."""
+    day = clean(spark, sf).where("to_date(ts) = date'2024-01-20'")
+    context = hourly(spark, sf).withColumn("day", F.to_date("open_time")).where("day < date'2024-01-20'")
+    return pipelines.process_day(day, context, [(0.9, 8.0), (0.9, 4.0), (0.9, 2.0)], 3, 300, 8).select("symbol", "day", "open_time", "close_time", *_OHLC.split())
+
+
 # -- streams ------------------------------------------------------------------
 
 

@@ -61,6 +61,29 @@ def epoch_to_ts(epoch: Column, largest: Column) -> Column:
     return F.timestamp_micros(micros).cast("timestamp_ntz")
 
 
+def normalise_times(rows: DataFrame, column: str = "ts") -> DataFrame:
+    """Numbers are epochs (unit found from the largest), times with zone become UTC, others already are."""
+    if column not in rows.columns:
+        raise ValueError(f"missing time column: {column}")
+    kind = dict(rows.dtypes)[column]
+    if kind in ("bigint", "int", "double", "float"):
+        largest = rows.agg(F.max(column).alias("_largest"))  # one row
+        joined = rows.crossJoin(F.broadcast(largest))
+        return joined.withColumn(column, epoch_to_ts(F.col(column).cast("long"), F.col("_largest"))).drop("_largest")
+    return rows.withColumn(column, F.to_timestamp_ntz(F.col(column)) if kind == "string" else F.col(column).cast("timestamp_ntz"))
+
+
+def bars_between(store: DataFrame, symbol: str, first: str, last: str) -> DataFrame:
+    """Bars of a symbol, both ends included."""
+    return store.where((F.col("symbol") == symbol) & F.col("open_time").between(F.lit(first).cast("timestamp_ntz"), F.lit(last).cast("timestamp_ntz")))
+
+
+def bars_of_year(store: DataFrame, symbol: str, year: int) -> DataFrame:
+    """Bars of a year, the next year's first instant excluded."""
+    start, end = (F.lit(f"{y}-01-01").cast("timestamp_ntz") for y in (year, year + 1))
+    return store.where((F.col("symbol") == symbol) & (F.col("open_time") >= start) & (F.col("open_time") < end))
+
+
 def read_trade_csv(spark: SparkSession, path: str, header: bool = False) -> DataFrame:
     """Exchange trade files: typed columns, unit of time found from the file, rows without a time dropped.
 
