@@ -71,7 +71,7 @@ def contamination(
     window: int = 10,
     k: int = 8,
 ) -> DataFrame:
-    """One row per input row: ``row`` (a struct of all its columns), ``n_words``, ``n_hit``, ``items`` (sorted strings), ``spans``.
+    """One row per input row: ``id``, ``row`` (a struct of all its columns), ``n_words``, ``n_hit``, ``items`` (sorted strings), ``spans``.
 
     ``spans`` are ``(first, end)`` word positions, merged and in order.  Null
     and empty texts have no words.  A null item id counts as the item "";
@@ -120,7 +120,7 @@ def contamination(
     rows = docs.select(*[docs[f"`{c}`"].alias(x) for c, x in own.items()], *keys, F.size(words_of(text)).cast("long").alias("n_words"))
     n_hit = F.aggregate(F.coalesce("spans", empty), F.lit(0).cast("long"), lambda acc, s: acc + s["end"] - s["first"])
     return rows.join(per_text, ["k1", "k2"], "left").select(
-        F.struct(*[F.col(x).alias(c) for c, x in own.items()]).alias("row"), "n_words", n_hit.alias("n_hit"),
+        F.col(own[id_col]).alias("id"), F.struct(*[F.col(x).alias(c) for c, x in own.items()]).alias("row"), "n_words", n_hit.alias("n_hit"),
         F.coalesce("items", F.array().cast("array<string>")).alias("items"), F.coalesce("spans", empty).alias("spans"),
     )
 

@@ -31,7 +31,7 @@ def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document inside ten-word windows of the benchmark."""
     found = decontaminate.contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
     return found.select(
-        F.col("row.doc_id").alias("doc_id"), "n_words", "n_hit",
+        F.col("id").alias("doc_id"), "n_words", "n_hit",
         F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
         (F.col("n_hit") > 0).alias("contaminated"),
