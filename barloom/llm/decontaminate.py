@@ -30,8 +30,7 @@ BROADCAST_WINDOWS = 200_000
 
 def words_of(text: Column) -> Column:
     """Runs of letters, digits and non-ASCII characters, in the text's own case; null has none."""
-    trimmed = F.regexp_replace(F.coalesce(text, F.lit("")), f"^{_SEPARATOR}+|{_SEPARATOR}+$", "")
-    return F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, _SEPARATOR + "+"))
+    return F.array_remove(F.split(F.coalesce(text, F.lit("")), _SEPARATOR + "+"), "")
 
 
 def _windows(rows: DataFrame, length: int, k: int) -> DataFrame:
@@ -40,7 +39,7 @@ def _windows(rows: DataFrame, length: int, k: int) -> DataFrame:
     Words are read by position, so that everything stays in generated code.
     """
     last = F.size("words") - length
-    placed = rows.where(last >= 0).select("*", F.explode(F.sequence(F.lit(0), last)).alias("pos"))
+    placed = rows.select("*", F.explode(F.when(last >= 0, F.sequence(F.lit(0), last))).alias("pos"))
     word = [F.get(F.col("words"), F.col("pos") + i) for i in range(length)]
     k = min(k, length)
     grams = [F.xxhash64(*word[i : i + k]) for i in range(length - k + 1)]
@@ -83,8 +82,10 @@ def contamination(
 
     text = F.col(text_col).cast("string")
     keys = [F.xxhash64(F.coalesce(text, F.lit(""))).alias("k1"), F.xxhash64(F.lit("second"), F.coalesce(text, F.lit(""))).alias("k2")]
-    chunks = docs.select(*keys, words_of(lower_ascii(text)).alias("all_words")).where(F.size("all_words") > 0)
-    chunks = chunks.select("k1", "k2", "all_words", F.explode(F.sequence(F.lit(0), F.size("all_words") - 1, F.lit(CHUNK_WORDS))).alias("chunk"))
+    chunks = docs.select(*keys, words_of(lower_ascii(text)).alias("all_words"))
+    starts = F.when(F.size("all_words") > 0, F.sequence(F.lit(0), F.size("all_words") - 1, F.lit(CHUNK_WORDS)))
+    # No filter on the words: it would be pushed below and split the text again.
+    chunks = chunks.select("k1", "k2", "all_words", F.explode(starts).alias("chunk"))
     small = sum(r.n for r in shapes) <= BROADCAST_WINDOWS
     found = []
     for r in shapes:
