@@ -23,9 +23,7 @@ BROADCAST_ROWS = 100_000
 
 def count_words(text: Column) -> Column:
     """Number of maximal runs without ASCII white space; null has none."""
-    text = F.coalesce(text, F.lit(""))
-    trimmed = F.regexp_replace(text, f"^{SPACE_CLASS}+|{SPACE_CLASS}+$", "")
-    return F.when(trimmed == "", F.lit(0)).otherwise(F.size(F.split(trimmed, SPACE_CLASS + "+"))).cast("long")
+    return F.size(F.array_remove(F.split(F.coalesce(text, F.lit("")), SPACE_CLASS + "+"), "")).cast("long")
 
 
 def targets(sizes: DataFrame, cycle: tuple[int, ...] = (1, 2, 3), max_epochs: int = 3) -> DataFrame:
