@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import time
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -61,9 +62,14 @@ def discard(*tables: DataFrame) -> None:
 
 
 def release(spark: SparkSession) -> None:
-    """Lets Spark's cleaner drop shuffles whose results are stored: it acts when the JVM has collected their plans."""
-    gc.collect()
-    spark._jvm.System.gc()
+    """Lets Spark's cleaner drop shuffles whose results are stored: it acts when the JVM has collected their plans.
+
+    The first round only frees what holds the plans, so there is a second.
+    """
+    for _ in range(2):
+        gc.collect()
+        spark._jvm.System.gc()
+        time.sleep(0.5)
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
