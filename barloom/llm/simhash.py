@@ -21,6 +21,7 @@ round, and neither links nor components ever reach the driver.
 
 from __future__ import annotations
 
+import math
 from itertools import accumulate, combinations
 
 import numpy as np
@@ -29,7 +30,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from barloom.llm._spark import cut
+from barloom.llm._spark import cut, discard, stored
+from barloom.llm.substrings import word_hashes
 
 SEED = 42
 #: Shingle hashes held at once by one Python worker (64 bytes each as lanes).
@@ -228,56 +230,139 @@ def links(fps: DataFrame, distance: int = 3, max_postings: int = 512) -> DataFra
     return out.distinct()
 
 
-def _similar_in_lists(batches, distance: int, verify_distance: int):
-    """Postings come list by list; of each list a spanning forest of its verified links goes out."""
-
-    def forest(fp, check, node):
-        order = np.argsort(node, kind="stable")
-        fp, check, node = fp[order], check[order], node[order]
-        root = np.arange(len(fp))
-        for lo in range(0, len(fp), 256):  # blocks bound the memory, not the work
-            block = slice(lo, min(lo + 256, len(fp)))
-            differing = fp[block, None] ^ fp[None, lo:]
-            i, j = np.nonzero(np.bitwise_count(differing) <= distance)
-            i, j = i[i < j], j[i < j]
-            tally = (differing[i, j][:, None].view(np.uint8).reshape(-1, 8) == 0).sum(axis=1)
-            good = (tally >= 8 - distance) & (np.bitwise_count(check[block][i] ^ check[lo:][j]) <= verify_distance)
-            for a, b in zip((i[good] + lo).tolist(), (j[good] + lo).tolist(), strict=True):
-                while root[a] != a:
-                    root[a] = a = root[root[a]]
-                while root[b] != b:
-                    root[b] = b = root[root[b]]
-                if a != b:
-                    root[max(a, b)] = min(a, b)
-                    yield node[a], node[b]
-
-    held, key = [], None
+#: Words of the XOR bitmap of a shingle set (512 bits).
+BITMAP = 8
+#: Candidates up to this number are sent to the tasks that read their texts.
+BROADCAST_NODES = 1_000_000
+
+
+def shingle_set(text: bytes | None, size: int) -> np.ndarray:
+    """Distinct 64-bit hashes of the shingles, ascending; a text of fewer words is one shingle."""
+    hashes = word_hashes((text or b"").lower())
+    if not len(hashes):
+        return hashes.astype(np.uint64)
+    size = min(size, len(hashes))
+    out = np.zeros(len(hashes) - size + 1, dtype=np.uint64)
+    for i in range(size):
+        out = out * np.uint64(0xD1B54A32D192ED03) + hashes[i : i + len(out)]
+    out = (out ^ (out >> np.uint64(32))) * np.uint64(0xFF51AFD7ED558CCD)
+    return np.unique(out ^ (out >> np.uint64(29)))
+
+
+def _set_key(shingles: np.ndarray) -> int:
+    key = xxhash.xxh64_intdigest(shingles.tobytes(), SEED)
+    return key - (1 << 64) if key >> 63 else key
+
+
+def prefix_length(n: int, similarity: float) -> int:
+    """Two sets that reach ``similarity`` share one of so many smallest elements of each."""
+    return n - math.ceil(similarity * n - 1e-9) + 1 if n else 0
+
+
+def _set_prints(batches, size: int, similarity: float):
+    """``(id, text_key, node, n, prefix, bits)`` of every row; ``node`` names the shingle set."""
     for batch in batches:
-        grp, code, fp, check, node = (c.to_numpy() for c in batch.columns)
-        cuts = np.flatnonzero((grp[1:] != grp[:-1]) | (code[1:] != code[:-1])) + 1
-        edges = []
-        for lo, hi in zip([0, *cuts], [*cuts, len(grp)], strict=True):
-            if lo == hi:
-                continue
-            if key is not None and key != (grp[lo], code[lo]):
-                edges += _finish(held, forest)
-                held = []
-            key = (grp[lo], code[lo])
-            held.append((fp[lo:hi], check[lo:hi], node[lo:hi]))
-        yield _edge_batch(edges)
-    yield _edge_batch(_finish(held, forest))
+        for lo in range(0, batch.num_rows, 512):
+            part = batch.slice(lo, 512)
+            nodes, sizes, prefixes, bits = [], [], [], []
+            for text in part.column(1).cast(pa.binary()).to_pylist():
+                shingles = shingle_set(text, size)
+                nodes.append(_set_key(shingles))
+                sizes.append(len(shingles))
+                prefixes.append(shingles[: prefix_length(len(shingles), similarity)].view(np.int64))
+                odd = np.bincount((shingles & np.uint64(64 * BITMAP - 1)).astype(np.int64), minlength=64 * BITMAP) & 1
+                bits.append(np.packbits(odd.astype(np.uint8)).view(np.int64))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    part.column(0), part.column(2), pa.array(nodes, pa.int64()), pa.array(sizes, pa.int64()),
+                    pa.array(prefixes, pa.list_(pa.int64())), pa.array(bits, pa.list_(pa.int64())),
+                ],
+                names=["id", "text_key", "node", "n", "prefix", "bits"],
+            )
 
 
-def _finish(held, forest) -> list:
-    parts = [np.concatenate(x) for x in zip(*held, strict=True)]
-    if not parts or len(parts[0]) < 2:
-        return []
-    return list(forest(parts[0].view(np.uint64), parts[1].view(np.uint64), parts[2]))
+def _may_reach(similarity: float) -> Column:
+    """Whether members ``x`` and ``y`` can reach ``similarity``: exact bounds, no true pair fails.
 
+    Sizes bound the similarity, and differing bits of the XOR bitmaps never
+    outnumber the shingles of only one side.
+    """
+    x, y = F.col("x.n"), F.col("y.n")
+    differing = sum((F.bit_count(F.col("x.bits")[i].bitwiseXOR(F.col("y.bits")[i])) for i in range(BITMAP)), F.lit(0))
+    return (F.least(x, y) + 1e-6 >= similarity * F.greatest(x, y)) & (differing * (1 + similarity) <= (1 - similarity) * (x + y) + 1e-6)
 
-def _edge_batch(edges: list) -> pa.RecordBatch:
-    a, b = zip(*edges, strict=True) if edges else ((), ())
-    return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+def _reaching(batches, similarity: float):
+    """The pairs whose shingle sets reach ``similarity``."""
+    for batch in batches:
+        good = []
+        for x, y in zip(batch.column(2), batch.column(3), strict=True):
+            x, y = (np.frombuffer(s.as_buffer(), dtype=np.uint64) for s in (x, y))
+            both = len(np.intersect1d(x, y, assume_unique=True))
+            good.append(both >= similarity * (len(x) + len(y) - both) - 1e-9)
+        yield batch.select([0, 1]).filter(pa.array(good, pa.bool_()))
+
+
+def _verified(pairs: DataFrame, nodes: DataFrame, rows: DataFrame, size: int, similarity: float) -> DataFrame:
+    """Those of the distinct ``pairs(a, b)`` whose texts' shingle sets reach ``similarity``."""
+    ends = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+    wanted = cut(ends.join(nodes.select("node", "text_key"), "node"))
+    if wanted.count() <= BROADCAST_NODES:
+        wanted = F.broadcast(wanted)
+
+    def run(batches):
+        for batch in batches:
+            sets = [shingle_set(t, size) for t in batch.column(1).cast(pa.binary()).to_pylist()]
+            same = pa.array([_set_key(s) == node for s, node in zip(sets, batch.column(0).to_pylist(), strict=True)], pa.bool_())
+            out = pa.RecordBatch.from_arrays([batch.column(0), pa.array([s.tobytes() for s in sets], pa.binary())], names=["node", "shingles"])
+            yield out.filter(same)
+
+    texts = rows.join(wanted, "text_key").select("node", "text")
+    sets = stored(texts.mapInArrow(run, "node long, shingles binary").dropDuplicates(["node"]), "shingles")
+    both = pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("x")), "a")
+    both = both.join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("y")), "b").select("a", "b", "x", "y")
+    out = cut(both.mapInArrow(lambda b: _reaching(b, similarity), "a long, b long"))
+    discard(sets)
+    return out
+
+
+def similar_links(rows: DataFrame, nodes: DataFrame, size: int, similarity: float, rounds: int = 2) -> DataFrame | None:
+    """Verified links ``(a, b)`` that join what all pairs of ``similarity`` join; None if there are none.
+
+    Postings are the prefixes' shingles.  In each of ``rounds`` every member of
+    a list is compared with one hub, which joins groups of near copies without
+    their pairs; then all pairs are compared that no links have joined yet.
+    """
+    postings = nodes.select(F.explode("prefix").alias("token"), "node")
+    shared = postings.groupBy("token").agg(F.count("*").alias("members")).where("members > 1").select("token")
+    lists = cut(postings.join(shared, "token").join(nodes.select("node", "n", "bits"), "node").withColumn("group", F.col("node")))
+    edges = tested = None
+    for turn in range(rounds + 1):
+        if turn < rounds:
+            rank = F.struct(F.xxhash64(F.lit(turn), F.col("node")).alias("h"), "node", "n", "bits", "group")
+            y = lists.groupBy("token").agg(F.min(rank).alias("hub")).select("token", "hub.*")
+            x, order = lists, F.lit(True)
+        else:  # sizes fall into classes; partners lie in one or in neighbours
+            wide = math.log(1.02 / similarity)
+            y = lists.withColumn("class", F.floor(F.log("n") / wide))
+            x = y.withColumn("own", F.col("class")).withColumn("class", F.explode(F.array("class", F.col("class") + 1)))
+            order = (F.col("x.own") < F.col("y.class")) | (F.col("x.node") < F.col("y.node"))
+        keys = ["token"] if turn < rounds else ["token", "class"]
+        on = [F.col(f"x.{k}") == F.col(f"y.{k}") for k in keys]
+        found = x.alias("x").join(y.alias("y"), [*on, F.col("x.group") != F.col("y.group"), order, _may_reach(similarity)])
+        pairs = found.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
+        pairs = cut(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"))
+        if pairs.isEmpty():
+            continue
+        tested = pairs if tested is None else tested.unionByName(pairs)
+        true = _verified(pairs, nodes, rows, size, similarity)
+        edges = true if edges is None else edges.unionByName(true)
+        if turn < rounds:
+            groups = components(edges)
+            lists = lists.drop("group").join(groups, "node", "left").withColumn("group", F.coalesce("root", "node")).drop("root")
+            open_lists = lists.groupBy("token").agg(F.min("group").alias("lo"), F.max("group").alias("hi")).where("lo < hi").select("token")
+            lists = cut(lists.join(open_lists, "token"))
+    return edges
 
 
 def similar_documents(
@@ -286,44 +371,29 @@ def similar_documents(
     text_col: str = "text",
     shingle_words: int = 5,
     similarity: float = 0.8,
-    distance: int = 3,
-    verify_distance: int = 14,
 ) -> DataFrame:
-    """``id_col, text_key, component`` for every row: near duplicates by five-word similarity.
-
-    At a similarity of 0.8 the fingerprints of five-word shingles differ in ten
-    bits and share no guaranteed byte.  Those of single words differ in three
-    or fewer for such pairs, so the byte-position index runs on them (tally,
-    count filter, distance), and a pair is verified by the fingerprints of
-    ``shingle_words`` shingles: at most ``verify_distance`` differing bits,
-    which pairs of similarity ``similarity`` keep.  Lists yield spanning
-    forests, not pairs.  ``text_key`` orders the rows of one id.  Null and
-    wordless texts are one group; other rules are those of ``near_duplicates``.
+    """``id_col, text_key, component`` for every row: components of all pairs that reach ``similarity``.
+
+    Similarity is the Jaccard index of the sets of ``shingle_words`` shingles.
+    At 0.8 fingerprints of 64 bits differ in about ten bits and share no
+    guaranteed byte, so candidates come from prefix filtering, which loses no
+    pair: sets of similarity s share one of the ``n - ceil(s n) + 1`` smallest
+    shingle hashes of each.  Every link is verified on the sets themselves.
+    ``text_key`` orders the rows of one id.  Null and wordless texts are one
+    group; other rules are those of ``near_duplicates``.
     """
     if not 0.5 <= similarity <= 1:
         raise ValueError("similarity must lie between 0.5 and 1")
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-
-    def run(batches):
-        for batch in batches:
-            for lo in range(0, batch.num_rows, 512):
-                part = batch.slice(lo, 512)
-                texts = part.column(1).cast(pa.binary()).to_pylist()
-                wide = fingerprint_texts(texts, shingle_words)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(2), pa.array(fingerprint_texts(texts, 1)), pa.array(wide)], names=["id", "text_key", "fp", "check"]
-                )
-
     keyed = rows.withColumn("text_key", F.xxhash64("text"))
-    prints = cut(keyed.mapInArrow(run, "id long, text_key long, fp long, check long").withColumn("node", F.xxhash64("fp", "check")))
-    nodes = prints.select("fp", "check", "node").distinct()
-    groups = position_groups(distance)
-    entries = [F.struct(F.lit(i).alias("grp"), _masked(F.col("fp"), g).alias("bytes")) for i, g in enumerate(groups)]
-    postings = nodes.select(F.explode(F.array(*entries)).alias("e"), "fp", "check", "node").select("e.grp", "e.bytes", "fp", "check", "node")
-    lists = postings.repartition("grp", "bytes").sortWithinPartitions("grp", "bytes")
-    edges = lists.mapInArrow(lambda b: _similar_in_lists(b, distance, verify_distance), "a long, b long")
-    found = components(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-    return prints.join(found, "node", "left").select(F.col("id").alias(id_col), "text_key", F.coalesce("root", "node").alias("component"))
+    ddl = "id long, text_key long, node long, n long, prefix array<long>, bits array<long>"
+    prints = stored(keyed.mapInArrow(lambda b: _set_prints(b, shingle_words, similarity), ddl), "prints")
+    nodes = stored(prints.drop("id").dropDuplicates(["node"]), "nodes")
+    edges = similar_links(keyed.select("text_key", "text"), nodes, shingle_words, similarity)
+    named = prints.select(F.col("id").alias(id_col), "text_key", "node")
+    if edges is None:
+        return named.withColumnRenamed("node", "component")
+    return named.join(components(edges), "node", "left").select(id_col, "text_key", F.coalesce("root", "node").alias("component"))
 
 
 def components(edges: DataFrame) -> DataFrame:

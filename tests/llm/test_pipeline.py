@@ -83,3 +83,50 @@ def test_run_numbers_all_tokens(spark, sf_dir):
     for start, n in rows:
         assert start == at
         at += n
+
+
+def _components(ids, pairs):
+    root = {i: i for i in ids}
+
+    def top(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for a, b in pairs:
+        a, b = sorted((top(a), top(b)))
+        root[b] = a
+    return {i: top(i) for i in ids}
+
+
+def _groups(labels):
+    out = {}
+    for i, label in labels.items():
+        out.setdefault(label, set()).add(i)
+    return sorted(map(sorted, out.values()))
+
+
+def test_groups_are_the_components_of_all_pairs_at_the_similarity(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    sets = {r.doc_id: shingles(r.text) for r in docs.collect()}
+    near = [(a, b) for a, b in combinations(sets, 2) if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
+    group = {r.doc_id: r.component for r in simhash.similar_documents(docs).collect()}
+    assert all(group[a] == group[b] for a, b in near)
+    assert _groups(group) == _groups(_components(sets, near))
+
+
+def test_a_chain_of_near_copies_and_texts_just_below_the_similarity(spark):
+    base = [f"w{i}" for i in range(200)]
+    rows = [(0, " ".join(base))]
+    for i in range(1, 40):  # each differs from the last in one word more; the ends are far apart
+        base[(i * 37) % 200] = f"new{i}"
+        rows.append((i, " ".join(base)))
+    # 104 words are 100 shingles; cut to 84 words, 80 of them remain: exactly 0.8, and one word less is below.
+    rows += [(100 + n, " ".join(f"v{i}" for i in range(n))) for n in (104, 84)]
+    rows += [(300 + n, " ".join(f"u{i}" for i in range(n))) for n in (104, 83)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    group = {r.doc_id: r.component for r in simhash.similar_documents(docs).collect()}
+    sets = {i: shingles(t) for i, t in rows}
+    near = [(a, b) for a, b in combinations(sets, 2) if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
+    assert (204, 184) in near and (404, 383) not in near
+    assert _groups(group) == _groups(_components(sets, near))
