@@ -326,43 +326,43 @@ def _verified(pairs: DataFrame, nodes: DataFrame, rows: DataFrame, size: int, si
     return out
 
 
-def similar_links(rows: DataFrame, nodes: DataFrame, size: int, similarity: float, rounds: int = 2) -> DataFrame | None:
+def similar_links(rows: DataFrame, nodes: DataFrame, size: int, similarity: float) -> DataFrame | None:
     """Verified links ``(a, b)`` that join what all pairs of ``similarity`` join; None if there are none.
 
-    Postings are the prefixes' shingles.  In each of ``rounds`` every member of
-    a list is compared with one hub, which joins groups of near copies without
-    their pairs; then all pairs are compared that no links have joined yet.
+    Postings are the prefixes' shingles.  Every member of a list is compared
+    with the list's hub first, which joins groups of near copies without their
+    pairs; then all pairs of a list that these links have not joined.
     """
     postings = nodes.select(F.explode("prefix").alias("token"), "node")
     shared = postings.groupBy("token").agg(F.count("*").alias("members")).where("members > 1").select("token")
-    lists = cut(postings.join(shared, "token").join(nodes.select("node", "n", "bits"), "node").withColumn("group", F.col("node")))
-    edges = tested = None
-    for turn in range(rounds + 1):
-        if turn < rounds:
-            rank = F.struct(F.xxhash64(F.lit(turn), F.col("node")).alias("h"), "node", "n", "bits", "group")
-            y = lists.groupBy("token").agg(F.min(rank).alias("hub")).select("token", "hub.*")
-            x, order = lists, F.lit(True)
-        else:  # sizes fall into classes; partners lie in one or in neighbours
-            wide = math.log(1.02 / similarity)
-            y = lists.withColumn("class", F.floor(F.log("n") / wide))
-            x = y.withColumn("own", F.col("class")).withColumn("class", F.explode(F.array("class", F.col("class") + 1)))
-            order = (F.col("x.own") < F.col("y.class")) | (F.col("x.node") < F.col("y.node"))
-        keys = ["token"] if turn < rounds else ["token", "class"]
-        on = [F.col(f"x.{k}") == F.col(f"y.{k}") for k in keys]
-        found = x.alias("x").join(y.alias("y"), [*on, F.col("x.group") != F.col("y.group"), order, _may_reach(similarity)])
-        pairs = found.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
-        pairs = cut(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"))
-        if pairs.isEmpty():
-            continue
-        tested = pairs if tested is None else tested.unionByName(pairs)
-        true = _verified(pairs, nodes, rows, size, similarity)
-        edges = true if edges is None else edges.unionByName(true)
-        if turn < rounds:
-            groups = components(edges)
-            lists = lists.drop("group").join(groups, "node", "left").withColumn("group", F.coalesce("root", "node")).drop("root")
-            open_lists = lists.groupBy("token").agg(F.min("group").alias("lo"), F.max("group").alias("hi")).where("lo < hi").select("token")
-            lists = cut(lists.join(open_lists, "token"))
-    return edges
+    lists = cut(postings.join(shared, "token").join(nodes.select("node", "n", "bits"), "node"))
+    reach = _may_reach(similarity)
+    pair = [F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")]
+
+    # Another hub for each shingle: where it has only a passage in common with the others, other lists have better ones.
+    hubs = lists.groupBy("token").agg(F.min(F.struct(F.xxhash64("token", "node").alias("rank"), "node", "n", "bits")).alias("hub")).select("token", "hub.*")
+    spokes = lists.alias("x").join(hubs.alias("y"), [F.col("x.token") == F.col("y.token"), F.col("x.node") != F.col("y.node"), reach])
+    tested = cut(spokes.select(*pair).distinct())
+    edges = None if tested.isEmpty() else _verified(tested, nodes, rows, size, similarity)
+    if edges is None:
+        lists = lists.withColumn("group", F.col("node"))
+    else:
+        groups = components(edges)
+        lists = lists.join(groups, "node", "left").withColumn("group", F.coalesce("root", "node")).drop("root")
+        several = lists.groupBy("token").agg(F.min("group").alias("lo"), F.max("group").alias("hi")).where("lo < hi").select("token")
+        lists = lists.join(several, "token")
+
+    # Sizes fall into classes; the partners of a size lie in its own and in the next.
+    y = cut(lists.withColumn("class", F.floor(F.log("n") / math.log(1.02 / similarity))))
+    x = y.withColumn("own", F.col("class")).withColumn("class", F.explode(F.array("class", F.col("class") + 1)))
+    once = (F.col("x.own") < F.col("y.class")) | (F.col("x.node") < F.col("y.node"))
+    keys = [F.col("x.token") == F.col("y.token"), F.col("x.class") == F.col("y.class")]
+    rest = x.alias("x").join(y.alias("y"), [*keys, F.col("x.group") != F.col("y.group"), once, reach])
+    rest = cut(rest.select(*pair).distinct().join(tested, ["a", "b"], "left_anti"))
+    if rest.isEmpty():
+        return edges
+    more = _verified(rest, nodes, rows, size, similarity)
+    return more if edges is None else edges.unionByName(more)
 
 
 def similar_documents(
