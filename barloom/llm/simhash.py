@@ -232,6 +232,8 @@ def links(fps: DataFrame, distance: int = 3, max_postings: int = 512) -> DataFra
 
 #: Words of the XOR bitmap of a shingle set (512 bits).
 BITMAP = 8
+#: Sets of more shingles than this have a bitmap of WIDE bits too, for pairs the small one lets through.
+WIDE_FROM, WIDE = 1000, 8192
 #: Candidates up to this number are sent to the tasks that read their texts.
 BROADCAST_NODES = 1_000_000
 
@@ -259,25 +261,30 @@ def prefix_length(n: int, similarity: float) -> int:
     return n - math.ceil(similarity * n - 1e-9) + 1 if n else 0
 
 
+def _xor_bitmap(shingles: np.ndarray, bits: int) -> np.ndarray:
+    odd = np.bincount((shingles & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8))
+
+
 def _set_prints(batches, size: int, similarity: float):
     """``(id, text_key, node, n, prefix, bits)`` of every row; ``node`` names the shingle set."""
     for batch in batches:
         for lo in range(0, batch.num_rows, 512):
             part = batch.slice(lo, 512)
-            nodes, sizes, prefixes, bits = [], [], [], []
+            nodes, sizes, prefixes, bits, wide = [], [], [], [], []
             for text in part.column(1).cast(pa.binary()).to_pylist():
                 shingles = shingle_set(text, size)
                 nodes.append(_set_key(shingles))
                 sizes.append(len(shingles))
                 prefixes.append(shingles[: prefix_length(len(shingles), similarity)].view(np.int64))
-                odd = np.bincount((shingles & np.uint64(64 * BITMAP - 1)).astype(np.int64), minlength=64 * BITMAP) & 1
-                bits.append(np.packbits(odd.astype(np.uint8)).view(np.int64))
+                bits.append(_xor_bitmap(shingles, 64 * BITMAP).view(np.int64))
+                wide.append(_xor_bitmap(shingles, WIDE).tobytes() if len(shingles) > WIDE_FROM else None)
             yield pa.RecordBatch.from_arrays(
                 [
                     part.column(0), part.column(2), pa.array(nodes, pa.int64()), pa.array(sizes, pa.int64()),
-                    pa.array(prefixes, pa.list_(pa.int64())), pa.array(bits, pa.list_(pa.int64())),
+                    pa.array(prefixes, pa.list_(pa.int64())), pa.array(bits, pa.list_(pa.int64())), pa.array(wide, pa.binary()),
                 ],
-                names=["id", "text_key", "node", "n", "prefix", "bits"],
+                names=["id", "text_key", "node", "n", "prefix", "bits", "wide"],
             )
 
 
@@ -292,6 +299,26 @@ def _may_reach(similarity: float) -> Column:
     return (F.least(x, y) + 1e-6 >= similarity * F.greatest(x, y)) & (differing * (1 + similarity) <= (1 - similarity) * (x + y) + 1e-6)
 
 
+def _thinned(pairs: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:
+    """``pairs(a, b)`` without those of long texts whose wide bitmaps differ too much; no true pair goes."""
+
+    def run(batches):
+        for batch in batches:
+            keep = []
+            for x, y, total in zip(batch.column(2), batch.column(3), batch.column(4).to_pylist(), strict=True):
+                if not (x.is_valid and y.is_valid):
+                    keep.append(True)
+                    continue
+                x, y = (np.frombuffer(b.as_buffer(), dtype=np.uint64) for b in (x, y))
+                keep.append(int(np.bitwise_count(x ^ y).sum()) * (1 + similarity) <= (1 - similarity) * total + 1e-6)
+            yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
+
+    wide = nodes.where("wide is not null")
+    both = pairs.join(wide.select(F.col("node").alias("a"), F.col("wide").alias("x"), F.col("n").alias("xn")), "a", "left")
+    both = both.join(wide.select(F.col("node").alias("b"), F.col("wide").alias("y"), F.col("n").alias("yn")), "b", "left")
+    return both.select("a", "b", "x", "y", (F.col("xn") + F.col("yn")).alias("total")).mapInArrow(run, "a long, b long")
+
+
 def _reaching(batches, similarity: float):
     """The pairs whose shingle sets reach ``similarity``."""
     for batch in batches:
@@ -342,7 +369,7 @@ def similar_links(rows: DataFrame, nodes: DataFrame, size: int, similarity: floa
     # Another hub for each shingle: where it has only a passage in common with the others, other lists have better ones.
     hubs = lists.groupBy("token").agg(F.min(F.struct(F.xxhash64("token", "node").alias("rank"), "node", "n", "bits")).alias("hub")).select("token", "hub.*")
     spokes = lists.alias("x").join(hubs.alias("y"), [F.col("x.token") == F.col("y.token"), F.col("x.node") != F.col("y.node"), reach])
-    tested = cut(spokes.select(*pair).distinct())
+    tested = cut(_thinned(spokes.select(*pair).distinct(), nodes, similarity))
     edges = None if tested.isEmpty() else _verified(tested, nodes, rows, size, similarity)
     if edges is None:
         lists = lists.withColumn("group", F.col("node"))
@@ -358,7 +385,8 @@ def similar_links(rows: DataFrame, nodes: DataFrame, size: int, similarity: floa
     once = (F.col("x.own") < F.col("y.class")) | (F.col("x.node") < F.col("y.node"))
     keys = [F.col("x.token") == F.col("y.token"), F.col("x.class") == F.col("y.class")]
     rest = x.alias("x").join(y.alias("y"), [*keys, F.col("x.group") != F.col("y.group"), once, reach])
-    rest = cut(rest.select(*pair).distinct().join(tested, ["a", "b"], "left_anti"))
+    rest = rest.select(*pair).distinct().join(tested, ["a", "b"], "left_anti")
+    rest = cut(_thinned(rest, nodes, similarity))
     if rest.isEmpty():
         return edges
     more = _verified(rest, nodes, rows, size, similarity)
@@ -386,7 +414,7 @@ def similar_documents(
         raise ValueError("similarity must lie between 0.5 and 1")
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     keyed = rows.withColumn("text_key", F.xxhash64("text"))
-    ddl = "id long, text_key long, node long, n long, prefix array<long>, bits array<long>"
+    ddl = "id long, text_key long, node long, n long, prefix array<long>, bits array<long>, wide binary"
     prints = stored(keyed.mapInArrow(lambda b: _set_prints(b, shingle_words, similarity), ddl), "prints")
     nodes = stored(prints.drop("id").dropDuplicates(["node"]), "nodes")
     edges = similar_links(keyed.select("text_key", "text"), nodes, shingle_words, similarity)
