@@ -66,4 +66,32 @@ def test_shuffled_join_agrees(spark, sf_dir, monkeypatch):
     assert any(r[2] for r in want)
     assert got(decontaminate.contamination(docs, items)) == want
     monkeypatch.setattr(decontaminate, "BROADCAST_WINDOWS", 0)
+    monkeypatch.setattr(decontaminate, "BROADCAST_HITS", 0)
     assert got(decontaminate.contamination(docs, items)) == want
+    monkeypatch.setattr(decontaminate, "HOT_COPIES", 0)
+    monkeypatch.setattr(decontaminate, "HOT_TEXTS", 3)
+    assert got(decontaminate.contamination(docs.unionByName(docs), items)) == sorted(want * 2, key=str)
+
+
+def test_winnowing_thins_what_is_joined(spark, sf_dir):
+    """Rows that a shuffled join would move: runs of equal minima, not word positions, and numbers only."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    chunks = decontaminate._chunks(docs.select("doc_id", decontaminate.words_of(decontaminate.lower_ascii(docs.text)).alias("all_words")), ["doc_id"], 10)
+    runs = decontaminate._fingerprint_runs(chunks, 10, 5, []).drop("words")
+    windows = sum(max(0, len(words(r.text)) - 9) for r in docs.collect())
+    held = runs.selectExpr("count(*) n", "sum(end - first) w").first()
+    assert held.w >= windows and held.n < 0.4 * windows
+    assert set(dict(runs.dtypes).values()) == {"bigint", "int"}
+
+
+@pytest.mark.parametrize("text", ["", "one", "  Ab, c-d  e\n\nf. ", "a b c d e f", "é1 2--3 "])
+def test_without_spans(spark, text):
+    n = len(words(text))
+    cases = [[], [(0, n)], [(a, a + 1) for a in range(0, n, 2)]] + [[(1, 3), (4, 5)]] * (n >= 5)
+    for spans in cases:
+        df = spark.createDataFrame([(text, spans)], "text string, spans array<struct<first:int,end:int>>")
+        out = df.select(decontaminate.without_spans(df.text, df.spans).alias("t")).first().t
+        gone = {i for a, b in spans for i in range(a, b)}
+        assert words(out) == [w for i, w in enumerate(words(text)) if i not in gone]
+        if not spans:
+            assert out == text
