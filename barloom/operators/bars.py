@@ -149,7 +149,7 @@ def _fold_batches(batches, kind: str, keys: int, min_ticks: int, names: list[str
                 fold.bars = []
 
 
-def _information_bars(ticks: DataFrame, kind: str, scope: list[str], lam, t0, min_ticks: int) -> DataFrame:
+def _folded_bars(ticks: DataFrame, kind: str, scope: list[str], lam, t0, min_ticks: int) -> DataFrame:
     as_column = lambda x: (x if isinstance(x, Column) else F.lit(x)).cast("double")
     sizes = ticks.groupBy(*scope).agg(F.count("*").alias("n"))  # one row a scope
     rows = ticks.join(sizes, scope).select(*scope, "n", as_column(lam).alias("lam"), as_column(t0).alias("t0"), "ts", "price", "quantity", "dollar", F.col("b").cast("double").alias("b"), "id")
@@ -166,11 +166,11 @@ def run_bars(ticks: DataFrame, scope: list[str], lam: float | Column = 0.9975, t
 
     The two parameters may be columns that are constant in each scope.
     """
-    return _information_bars(ticks, "run", scope, lam, t0, min_ticks)
+    return _folded_bars(ticks, "run", scope, lam, t0, min_ticks)
 
 
 def imbalance_bars(ticks: DataFrame, scope: list[str], lam: float | Column = 0.9975, t0: float | Column = 2000, min_ticks: int = 400) -> DataFrame:
-    return _information_bars(ticks, "imbalance", scope, lam, t0, min_ticks)
+    return _folded_bars(ticks, "imbalance", scope, lam, t0, min_ticks)
 
 
 def _ohlcv() -> list:

@@ -29,12 +29,17 @@ def build_session(master: str = "local[8]", app: str = "barloom", **conf: str) -
     return spark
 
 
+#: Rows of a batch sent to Python: whole texts of any length, so fewer than Spark's default.
+ARROW_ROWS = 2000
+
 _shipped: set[str] = set()
 
 
 def ship_code(spark: SparkSession, root: str) -> None:
-    """Sends the package to the executors once per application, as one zip."""
+    """Sends the package to the executors once per application, as one zip; bounds the batches sent to Python."""
     context = spark.sparkContext
+    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > ARROW_ROWS:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
     if context.applicationId in _shipped:
         return
     path = os.path.join(tempfile.mkdtemp(prefix="barloom-"), "barloom-code.zip")

@@ -1,4 +1,5 @@
 import os
+import sys
 
 import numpy as np
 import pytest
@@ -10,6 +11,8 @@ from barloom.operators import features, joins, quality, search, winsor
 from barloom.plans import catalog
 from barloom.sources import sinks, tables
 
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+
 
 def test_entry_and_keys(spark):
     assert entry.entry(spark).count() > 0
@@ -146,3 +149,18 @@ def test_plans_push_down_and_prune(spark, sf_dir):
     assert "GreaterThan(value,0.0)" in plan and "CartesianProduct" not in plan
     read = plan[plan.index("ReadSchema") :].split("\n")[0]
     assert "user_id" not in read
+
+
+def test_rest_works_without_training_data_operators(tmp_path):
+    """On a copy without ``barloom/llm`` and ``tests/llm`` the entry still loads, with and without the pipeline's file."""
+    import shutil
+    import subprocess
+
+    copy = tmp_path / "repo"
+    shutil.copytree(ROOT, copy, ignore=shutil.ignore_patterns(".git", "llm", "__pycache__"))
+    code = "import __spark_entry__ as e; q = e.queries(); assert 'run_bars' in q and 'pipeline' not in q and not set(e.oracle_sql()) - set(q)"
+    for gone in (None, "corpus_pipeline.py"):
+        if gone and (copy / gone).exists():
+            (copy / gone).unlink()
+        done = subprocess.run([sys.executable, "-c", code], cwd=copy, env={**os.environ, "PYTHONPATH": str(copy)}, capture_output=True, text=True)
+        assert done.returncode == 0, done.stderr
