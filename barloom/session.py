@@ -29,8 +29,8 @@ def build_session(master: str = "local[8]", app: str = "barloom", **conf: str) -
     return spark
 
 
-#: Rows of a batch sent to Python: whole texts of any length, so fewer than Spark's default.
-ARROW_ROWS = 2000
+#: Rows of a batch sent to Python: whole texts, which both sides hold several times.
+ARROW_ROWS = 256
 
 _shipped: set[str] = set()
 
