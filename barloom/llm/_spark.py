@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import gc
+import threading
 import time
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -72,6 +74,25 @@ def release(spark: SparkSession) -> None:
         time.sleep(0.5)
 
 
+#: Seconds after which an idle Python worker lets go of its caches; Spark itself ends it after a minute.
+IDLE_SECONDS = 3.0
+
+_timers: dict[int, threading.Timer] = {}
+
+
+@contextmanager
+def in_use(cache: dict):
+    """Keeps what ``cache`` (a module's) holds from task to task, and empties it once no task has used it for a while."""
+    if timer := _timers.pop(id(cache), None):
+        timer.cancel()
+    try:
+        yield cache
+    finally:
+        timer = _timers[id(cache)] = threading.Timer(IDLE_SECONDS, cache.clear)
+        timer.daemon = True
+        timer.start()
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 

@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.llm._spark import fresh_path, shared_dir
+from barloom.llm._spark import fresh_path, in_use, shared_dir
 
 BLOCK = 1024
 SEGMENT_IDS = 1 << 17
@@ -259,7 +259,16 @@ def _encoder(spec: str) -> _Encoder:
 
 
 def _segments(batches, spec: str, end_id: int):
+    before = gc.get_threshold()
     gc.set_threshold(200_000)  # nothing here makes cycles, and collections walk the lists of a batch
+    try:
+        with in_use(_encoders):
+            yield from _encoded_segments(batches, spec, end_id)
+    finally:
+        gc.set_threshold(*before)
+
+
+def _encoded_segments(batches, spec: str, end_id: int):
     encoder, shard = _encoder(spec), TaskContext.get().partitionId()
     end = np.array([end_id], dtype="<u4").tobytes()
     seq = first = held = 0
