@@ -93,6 +93,17 @@ def in_use(cache: dict):
         timer.start()
 
 
+#: Rows of a batch sent to Python: whole texts, which the JVM and Python both hold several times.
+ARROW_ROWS = 256
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Fewer rows an Arrow batch than Spark's 10,000, for plans that send whole texts to Python."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= ARROW_ROWS:
+        spark.conf.set(name, str(ARROW_ROWS))
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 

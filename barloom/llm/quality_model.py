@@ -20,6 +20,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from barloom.llm._spark import bound_batches
+
 #: Fixed shape of the model; the table has BUCKETS rows whatever the input.
 BUCKETS = 1 << 16
 DIM = 16
@@ -197,6 +199,7 @@ def fit(
     labels teach nothing; an id with several labels counts as its largest.
     Without labelled rows every score is one half.
     """
+    bound_batches(docs.sparkSession)
     known = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label")).where("id is not null and label is not null")
     known = known.where(~held_out("id")).groupBy("id").agg(F.max("label").alias("label"))
     # The sample is drawn from ids alone; only its texts are then looked up.
@@ -213,6 +216,7 @@ def score(docs: DataFrame, model: bytes, id_col: str = "doc_id", text_col: str =
     Empty and null texts get the score of no features; repeated rows get equal
     scores; an empty table gives none; other columns are ignored.
     """
+    bound_batches(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(model)  # BUCKETS + 2 doubles
 
     @F.arrow_udf("double")

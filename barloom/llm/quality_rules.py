@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from barloom.llm._spark import SPACE_CLASS
+from barloom.llm._spark import SPACE_CLASS, bound_batches
 
 SYMBOLS = b"#*$%&|<>"
 _SPACES = b" \t\n\r\x0b\f"
@@ -129,6 +129,7 @@ def apply_rules(
     texts have no words and fail the base rules; a null host is a host of its
     own; repeated rows get the same verdict each; an empty table gives none.
     """
+    bound_batches(docs.sparkSession)
     text = F.col(text_col).cast("string")
     own = {c: f"__column_{i}" for i, c in enumerate(docs.columns)}
     measured = docs.select(

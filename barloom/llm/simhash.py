@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from barloom.llm._spark import cut, discard, stored
+from barloom.llm._spark import bound_batches, cut, discard, stored
 from barloom.llm.substrings import word_hashes
 
 SEED = 42
@@ -109,6 +109,7 @@ def fingerprints(docs: DataFrame, id_col: str, text_col: str, shingle_words: int
                 fps = fingerprint_texts(part.column(1).cast(pa.binary()).to_pylist(), shingle_words)
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(fps)], names=["id", "fp"])
 
+    bound_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     return rows.mapInArrow(run, "id long, fp long")
 
@@ -412,6 +413,7 @@ def similar_documents(
     """
     if not 0.5 <= similarity <= 1:
         raise ValueError("similarity must lie between 0.5 and 1")
+    bound_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     keyed = rows.withColumn("text_key", F.xxhash64("text"))
     ddl = "id long, text_key long, node long, n long, prefix array<long>, bits array<long>, wide binary"

@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barloom.llm._spark import discard, release, stored
+from barloom.llm._spark import bound_batches, discard, release, stored
 
 #: Words of a k-gram; a window of 13 words holds nine of them.
 GRAM = 5
@@ -299,6 +299,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     others.  Texts shorter than a window keep everything; an empty table gives
     none.  Other columns are ignored, whatever their names.
     """
+    bound_batches(docs.sparkSession)
     rows = docs.select(
         F.coalesce(F.col(id_col).cast("long"), F.lit(_LAST_ID)).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")
     )

@@ -23,6 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from barloom.llm._spark import bound_batches
+
 MARK = "▁"
 MAX_NODES = 400_000
 CACHE_WORDS = 300_000
@@ -108,6 +110,7 @@ def count_tokens(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_
     Null and empty texts have none of either.  Repeated rows give repeated
     rows, ids may be null, an empty table gives none, other columns are ignored.
     """
+    bound_batches(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(load_pieces(model_path))  # a vocabulary: fixed size
 
     @F.arrow_udf("struct<n_words:bigint,n_tokens:bigint>")

@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.llm._spark import fresh_path, in_use, shared_dir
+from barloom.llm._spark import bound_batches, fresh_path, in_use, shared_dir
 
 BLOCK = 1024
 SEGMENT_IDS = 1 << 17
@@ -306,6 +306,7 @@ def write_token_files(
     empty segment folder and an empty manifest.
     """
     spark = docs.sparkSession
+    bound_batches(spark)
     with open(tokenizer_path, encoding="utf-8") as f:
         spec = spark.sparkContext.broadcast(f.read())  # a vocabulary file: fixed size
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
