@@ -27,7 +27,7 @@ from itertools import accumulate, combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from barloom.llm._spark import bound_batches, cut, discard, stored
@@ -362,8 +362,11 @@ def similar_links(rows: DataFrame, nodes: DataFrame, size: int, similarity: floa
     pairs; then all pairs of a list that these links have not joined.
     """
     postings = nodes.select(F.explode("prefix").alias("token"), "node")
-    shared = postings.groupBy("token").agg(F.count("*").alias("members")).where("members > 1").select("token")
-    lists = cut(postings.join(shared, "token").join(nodes.select("node", "n", "bits"), "node"))
+    # A member has company if the list goes on before or after it: one shuffle of (token, node), and most tokens end here.
+    by_token = Window.partitionBy("token").orderBy("node")
+    listed = postings.select("token", "node", F.coalesce(F.lag("node").over(by_token), F.lead("node").over(by_token)).alias("other"))
+    listed = cut(listed.where("other is not null").select("token", "node"))
+    lists = cut(listed.join(nodes.select("node", "n", "bits"), "node"))
     reach = _may_reach(similarity)
     pair = [F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")]
 

@@ -40,7 +40,8 @@ _LAST_ID = (1 << 63) - 1
 _IS_SPACE = np.zeros(256, dtype=bool)
 _IS_SPACE[[9, 10, 11, 12, 13, 32]] = True
 _BASE, _STEP = 0x9E3779B97F4A7C15, 0xD1B54A32D192ED03
-_PIECE = 1 << 20
+#: Longer texts are hashed in pieces; words of over half a piece by another hash, in any text.
+_PIECE = 1 << 17
 
 
 def _powers(base: int, n: int) -> np.ndarray:
@@ -78,7 +79,10 @@ def word_hashes(raw: bytes) -> np.ndarray:
     starts, ends = edges[::2], edges[1::2]
     sums = np.zeros(len(data) + 1, dtype=np.uint64)
     np.cumsum((data.astype(np.uint64) + np.uint64(1)) * _POWERS[: len(data)], out=sums[1:])
-    return _mix((sums[ends] - sums[starts]) * _INVERSE[starts])
+    out = _mix((sums[ends] - sums[starts]) * _INVERSE[starts])
+    for i in np.flatnonzero(ends - starts > _PIECE // 2).tolist():
+        out[i] = xxhash.xxh64_intdigest(raw[starts[i] : ends[i]])
+    return out
 
 
 def anchors(hashes: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:

@@ -65,3 +65,11 @@ def test_documents_and_a_very_long_text(spark, sf_dir):
     extra = spark.createDataFrame([(10**6, long_text), (10**6 + 1, "start " + long_text[: 2**21])], "doc_id long, text string")
     rows = [tuple(r) for r in docs.unionByName(extra).collect()]
     assert got(substrings.remove_repeats(docs.unionByName(extra))) == brute(rows, 13)
+
+
+def test_word_hashes_do_not_depend_on_the_text():
+    blob = b"x" * (substrings._PIECE // 2 + 5)
+    alone = {w: int(substrings.word_hashes(w)[0]) for w in (b"a", "é".encode(), blob)}
+    short, long = b"a " + blob + b" a", b"\xc3\xa9 a " * substrings._PIECE + blob + b" a"
+    for text in (short, long):
+        assert substrings.word_hashes(text).tolist() == [alone[w] for w in text.split()]
