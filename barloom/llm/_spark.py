@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import gc
 import threading
-import time
 import uuid
 from contextlib import contextmanager
 
@@ -55,23 +53,11 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 
 def discard(*tables: DataFrame) -> None:
-    """Deletes stored tables that nothing reads any more, and lets go of old shuffle files."""
+    """Deletes stored tables that nothing reads any more."""
     spark = tables[0].sparkSession
     for table in tables:
         path = spark._jvm.org.apache.hadoop.fs.Path(table.stored_path)
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-    release(spark)
-
-
-def release(spark: SparkSession) -> None:
-    """Lets Spark's cleaner drop shuffles whose results are stored: it acts when the JVM has collected their plans.
-
-    The first round only frees what holds the plans, so there is a second.
-    """
-    for _ in range(2):
-        gc.collect()
-        spark._jvm.System.gc()
-        time.sleep(0.5)
 
 
 #: Seconds after which an idle Python worker lets go of its caches; Spark itself ends it after a minute.

@@ -365,32 +365,30 @@ def similar_links(rows: DataFrame, nodes: DataFrame, size: int, similarity: floa
     # A member has company if the list goes on before or after it: one shuffle of (token, node), and most tokens end here.
     by_token = Window.partitionBy("token").orderBy("node")
     listed = postings.select("token", "node", F.coalesce(F.lag("node").over(by_token), F.lead("node").over(by_token)).alias("other"))
-    listed = cut(listed.where("other is not null").select("token", "node"))
-    lists = cut(listed.join(nodes.select("node", "n", "bits"), "node"))
+    lists = cut(listed.where("other is not null").select("token", "node").join(nodes.select("node", "n", "bits"), "node"))
     reach = _may_reach(similarity)
     pair = [F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")]
 
     # Another hub for each shingle: where it has only a passage in common with the others, other lists have better ones.
-    hubs = lists.groupBy("token").agg(F.min(F.struct(F.xxhash64("token", "node").alias("rank"), "node", "n", "bits")).alias("hub")).select("token", "hub.*")
-    spokes = lists.alias("x").join(hubs.alias("y"), [F.col("x.token") == F.col("y.token"), F.col("x.node") != F.col("y.node"), reach])
+    ranked = Window.partitionBy("token").orderBy(F.xxhash64("token", "node"), "node")
+    hub = F.first(F.struct("node", "n", "bits")).over(ranked)
+    spokes = lists.select("token", F.struct("node", "n", "bits").alias("x"), hub.alias("y")).where((F.col("x.node") != F.col("y.node")) & reach)
     tested = cut(_thinned(spokes.select(*pair).distinct(), nodes, similarity))
     edges = None if tested.isEmpty() else _verified(tested, nodes, rows, size, similarity)
     if edges is None:
-        lists = lists.withColumn("group", F.col("node"))
+        grouped = lists.withColumn("group", F.col("node"))
     else:
         groups = components(edges)
-        lists = lists.join(groups, "node", "left").withColumn("group", F.coalesce("root", "node")).drop("root")
-        several = lists.groupBy("token").agg(F.min("group").alias("lo"), F.max("group").alias("hi")).where("lo < hi").select("token")
-        lists = lists.join(several, "token")
-
-    # Sizes fall into classes; the partners of a size lie in its own and in the next.
-    y = cut(lists.withColumn("class", F.floor(F.log("n") / math.log(1.02 / similarity))))
-    x = y.withColumn("own", F.col("class")).withColumn("class", F.explode(F.array("class", F.col("class") + 1)))
-    once = (F.col("x.own") < F.col("y.class")) | (F.col("x.node") < F.col("y.node"))
-    keys = [F.col("x.token") == F.col("y.token"), F.col("x.class") == F.col("y.class")]
-    rest = x.alias("x").join(y.alias("y"), [*keys, F.col("x.group") != F.col("y.group"), once, reach])
+        if groups.count() <= BROADCAST_NODES:
+            groups = F.broadcast(groups)
+        grouped = lists.join(groups, "node", "left").withColumn("group", F.coalesce("root", "node")).drop("root")
+
+    # Both sides are one exchange; AQE splits a list that outgrows its task.
+    x, y = grouped.alias("x"), grouped.alias("y")
+    rest = x.join(y, [F.col("x.token") == F.col("y.token"), F.col("x.node") < F.col("y.node"), F.col("x.group") != F.col("y.group"), reach])
     rest = rest.select(*pair).distinct().join(tested, ["a", "b"], "left_anti")
     rest = cut(_thinned(rest, nodes, similarity))
+    discard(lists)
     if rest.isEmpty():
         return edges
     more = _verified(rest, nodes, rows, size, similarity)
@@ -423,6 +421,7 @@ def similar_documents(
     prints = stored(keyed.mapInArrow(lambda b: _set_prints(b, shingle_words, similarity), ddl), "prints")
     nodes = stored(prints.drop("id").dropDuplicates(["node"]), "nodes")
     edges = similar_links(keyed.select("text_key", "text"), nodes, shingle_words, similarity)
+    discard(nodes)
     named = prints.select(F.col("id").alias(id_col), "text_key", "node")
     if edges is None:
         return named.withColumnRenamed("node", "component")

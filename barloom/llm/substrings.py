@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barloom.llm._spark import bound_batches, discard, release, stored
+from barloom.llm._spark import bound_batches, discard, stored
 
 #: Words of a k-gram; a window of 13 words holds nine of them.
 GRAM = 5
@@ -319,7 +319,6 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     units = rows.join(marks, "id").select("id", "text", "marks").mapInArrow(lambda b: _emit_units(b, window), "h long, words string, id long")
     units = stored(units.groupBy("h", "words").agg(F.min("id").alias("id")), "units")
-    release(docs.sparkSession)
     sizes = units.groupBy("h").agg(F.count("*").alias("n"))
     sized = units.join(sizes, "h").withColumn("unit", F.xxhash64("words"))
     # One distinct unit: nothing to stream past it, its smallest id owns every window.
