@@ -170,7 +170,7 @@ class _Encoder:
     with the end mark say where each run ends.  Other tokenizers get whole texts.
     """
 
-    def __init__(self, spec: str):
+    def __init__(self, spec: str, cache_words: int = CACHE_WORDS):
         from tokenizers import Tokenizer
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -184,6 +184,7 @@ class _Encoder:
             self.ends = np.zeros(self.tokenizer.get_vocab_size(), dtype=bool)
             for token, i in self.tokenizer.get_vocab(with_added_tokens=False).items():
                 self.ends[i] = token.endswith(suffix)
+        self.cache_words = cache_words
         self.young: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
 
@@ -210,7 +211,7 @@ class _Encoder:
 
     def _learn(self, missing: set[bytes]) -> None:
         young, old = self.young, self.old
-        if len(young) + len(missing) > CACHE_WORDS:
+        if len(young) + len(missing) > self.cache_words:
             self.old, self.young = young, {}
             young, old = self.young, self.old
         split, odd, runs = [], [], {}
@@ -250,26 +251,26 @@ class _Encoder:
 _encoders: dict[str, _Encoder] = {}
 
 
-def _encoder(spec: str) -> _Encoder:
-    key = md5(spec.encode()).hexdigest()
+def _encoder(spec: str, cache_words: int) -> _Encoder:
+    key = f"{cache_words} {md5(spec.encode()).hexdigest()}"
     if key not in _encoders:
         _encoders.clear()
-        _encoders[key] = _Encoder(spec)
+        _encoders[key] = _Encoder(spec, cache_words)
     return _encoders[key]
 
 
-def _segments(batches, spec: str, end_id: int):
+def _segments(batches, spec: str, end_id: int, cache_words: int):
     before = gc.get_threshold()
     gc.set_threshold(200_000)  # nothing here makes cycles, and collections walk the lists of a batch
     try:
         with in_use(_encoders):
-            yield from _encoded_segments(batches, spec, end_id)
+            yield from _encoded_segments(batches, _encoder(spec, cache_words), end_id)
     finally:
         gc.set_threshold(*before)
 
 
-def _encoded_segments(batches, spec: str, end_id: int):
-    encoder, shard = _encoder(spec), TaskContext.get().partitionId()
+def _encoded_segments(batches, encoder: _Encoder, end_id: int):
+    shard = TaskContext.get().partitionId()
     end = np.array([end_id], dtype="<u4").tobytes()
     seq = first = held = 0
     doc_ids, parts = [], []
@@ -296,14 +297,15 @@ def _encoded_segments(batches, spec: str, end_id: int):
 
 
 def write_token_files(
-    docs: DataFrame, path: str, tokenizer_path: str, end_id: int = 1, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, path: str, tokenizer_path: str, end_id: int = 1, id_col: str = "doc_id", text_col: str = "text", cache_words: int = CACHE_WORDS
 ) -> DataFrame:
     """Writes ``path/segments`` and ``path/manifest``; returns the manifest ``(shard, n_values, base)``.
 
     Documents go in ascending id order, null ids first; rows with one id are
     ordered by their text's hash, and repeated rows are all kept.  Null texts
     are empty; every document ends in ``end_id``.  An empty table writes an
-    empty segment folder and an empty manifest.
+    empty segment folder and an empty manifest.  ``cache_words`` bounds each
+    generation of a worker's cache of words; it changes no result.
     """
     spark = docs.sparkSession
     bound_batches(spark)
@@ -313,7 +315,7 @@ def write_token_files(
     # The last two keys only split many rows of one id between tasks.
     keyed = rows.withColumn("tie", F.xxhash64("text")).withColumn("part", F.spark_partition_id())
     dealt = keyed.repartitionByRange("id", "tie", "part").sortWithinPartitions("id", "tie")
-    dealt.select("id", "text").mapInArrow(lambda b: _segments(b, spec.value, end_id), _SEGMENTS_DDL).write.parquet(f"{path}/segments")
+    dealt.select("id", "text").mapInArrow(lambda b: _segments(b, spec.value, end_id, cache_words), _SEGMENTS_DDL).write.parquet(f"{path}/segments")
     shards = spark.read.parquet(f"{path}/segments").groupBy("shard").agg(F.sum("n_values").alias("n"))
     base, manifest = 0, []
     for r in sorted(shards.collect()):  # one row per written file
@@ -356,10 +358,10 @@ def read_token_files(spark: SparkSession, path: str, id_col: str = "doc_id") ->
     )
 
 
-def token_files(docs: DataFrame, tokenizer_path: str, end_id: int = 1, **columns: str) -> DataFrame:
+def token_files(docs: DataFrame, tokenizer_path: str, end_id: int = 1, cache_words: int = CACHE_WORDS, **columns: str) -> DataFrame:
     """Writes the files to a new folder of the shared directory and reads them back."""
     spark = docs.sparkSession
     shared_dir(spark)
     path = fresh_path(spark, "token-files")
-    write_token_files(docs, path, tokenizer_path, end_id, **columns)
+    write_token_files(docs, path, tokenizer_path, end_id, cache_words=cache_words, **columns)
     return read_token_files(spark, path, columns.get("id_col", "doc_id"))

@@ -60,10 +60,9 @@ def test_edge_rows(spark):
 
 
 @pytest.mark.parametrize("cache", [3, 500_000])
-def test_cache_size_changes_nothing(monkeypatch, cache):
-    monkeypatch.setattr(token_files, "CACHE_WORDS", cache)
+def test_cache_size_changes_nothing(cache):
     with open(PATH, encoding="utf-8") as f:
-        encoder = token_files._Encoder(f.read())
+        encoder = token_files._Encoder(f.read(), cache)
     tokenizer = Tokenizer.from_file(PATH)
     for text in ["one two three four", "five Ône six.", "one two!! a-b ÿ'll x÷y,", "" , "ß ʼn ǅ Ω. ÀÉ,"] * 3:
         assert np.frombuffer(encoder.encode([text.encode()])[0], "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
