@@ -9,6 +9,7 @@ from barloom.functions.stats import safe
 
 #: Column aliases and the bar columns of the canonical schema.
 ALIASES = {"init_exp_t": "init_exp_T", "atr": "atr_pct", "volume_zscore": "volume_z", "volatility": "rolling_volatility", "macd": "macd_hist"}
+RECOVERY_STATUSES = ["normal", "recovered", "failed_irrecoverable", "missing_ticks", "excluded_partial"]
 BAR_COLUMNS = ["open_time", "close_time", "open", "high", "low", "close", "n_ticks", "volume", "dollar"]
 
 
@@ -46,7 +47,7 @@ def _messages(checks: list[tuple[Column, str]]) -> Column:
 
 def recovery_status(recovered: Column, failed: Column) -> Column:
     """Recovered wins over failed; null is neither."""
-    return F.when(F.coalesce(recovered, F.lit(False)), "recovered").when(F.coalesce(failed, F.lit(False)), "failed").otherwise("normal")
+    return F.when(F.coalesce(recovered, F.lit(False)), "recovered").when(F.coalesce(failed, F.lit(False)), "failed_irrecoverable").otherwise("normal")
 
 
 def mark_failed_days(bars: DataFrame, failed: DataFrame, day: str = "day") -> DataFrame:
@@ -57,8 +58,12 @@ def mark_failed_days(bars: DataFrame, failed: DataFrame, day: str = "day") -> Da
     return out.withColumns({"failed_day": is_failed.cast("int"), "sample_weight": F.when(is_failed, 0.5).otherwise(1.0)}).drop("_failed")
 
 
-def monthly_report(bars: DataFrame, today: str) -> DataFrame:
-    """One row per symbol and month of bars with ``day, recovered, failed_day``."""
+def monthly_report(bars: DataFrame, today: str, scores: DataFrame | None = None) -> DataFrame:
+    """One row per symbol and month of bars with ``day, recovered, failed_day``.
+
+    ``scores(symbol, month, quality_score)`` adds the score; months of fewer
+    than 100 bars have none.
+    """
     per_day = bars.groupBy("symbol", "day").agg(
         F.count("*").alias("bars"), F.count_if("recovered").alias("recovered"), F.max(F.col("recovered").cast("int")).alias("is_recovered"), F.max("failed_day").alias("failed"),
     )
@@ -71,39 +76,117 @@ def monthly_report(bars: DataFrame, today: str) -> DataFrame:
     )
     out = out.withColumn("coverage_pct", 100 * safe(F.col("observed_days"), F.col("expected_days")))
     out = out.withColumn("recovery_pct", 100 * safe(F.col("recovered_bars"), F.col("total_bars")))
+    out = out.withColumn("normal_bars", F.col("total_bars") - F.col("recovered_bars"))
+    out = out.withColumn("recovery_day_pct", 100 * safe(F.col("recovered_days"), F.col("observed_days")))
+    if scores is not None:
+        out = out.join(scores.select("symbol", "month", "quality_score"), ["symbol", "month"], "left")
+        out = out.withColumn("quality_score", F.when(F.col("total_bars") >= 100, F.col("quality_score")))
     return out.withColumn("partial_month", F.col("month") == F.date_format(F.lit(today).cast("date"), "yyyy-MM"))
 
 
-def gate_monthly(report: DataFrame, max_recovery: float = 50, min_mean: float = 10) -> DataFrame:
+def gate_monthly(report: DataFrame, max_recovery: float = 50, min_mean: float = 10, min_score: float = 20, allow_partial: bool = True) -> DataFrame:
+    """Errors of each month; the current month is excused when ``allow_partial``.  A missing score is no error."""
+    strict = ~F.col("partial_month") if allow_partial else F.lit(True)
     checks = [
-        (~F.col("partial_month") & (F.col("recovery_pct") > max_recovery), "recovery_pct"),
-        (~F.col("partial_month") & (100 * safe(F.col("recovered_days"), F.col("observed_days")) > max_recovery), "recovered_days"),
-        (~F.col("partial_month") & (F.col("mean_bars") < min_mean), "mean_bars"),
+        (strict & (F.col("recovery_pct") > max_recovery), "recovery_pct"),
+        (strict & (F.col("recovery_day_pct") > max_recovery), "recovered_days"),
+        (strict & (F.col("mean_bars") < min_mean), "mean_bars"),
     ]
+    if "quality_score" in report.columns:
+        score = F.col("quality_score")
+        checks.append((strict & ~F.isnan(score) & (score < min_score), "quality_score"))
     return report.withColumn("errors", _messages(checks))
 
 
-def validate_frame(frame: DataFrame, features: list[str], year: int, min_bars: int = 1) -> DataFrame:
-    """One row per symbol with ``bars, errors, warnings, valid``; a single aggregation over the frame."""
-    bad = lambda c: F.col(c).isNull() | F.isnan(F.col(c).cast("double"))
-    prices = ["open", "high", "low", "close", "volume"]
-    agg = frame.groupBy("symbol").agg(
-        F.count("*").alias("bars"), F.count_if(F.col("open_time").isNull()).alias("no_time"),
-        F.count_if(F.year("open_time") != year).alias("outside"), (F.count("*") - F.count_distinct("open_time")).alias("same_time"),
-        F.count_if(F.expr(" or ".join(f"({c} is null or isnan({c}))" for c in prices))).alias("bad_ohlcv"),
-        F.count_if((F.col("high") < F.greatest("open", "close")) | (F.col("low") > F.least("open", "close"))).alias("inconsistent"),
-        *[F.count_if(bad(c)).alias(f"bad_{c}") for c in features], *[(F.min(c) == F.max(c)).alias(f"flat_{c}") for c in features],
-        (F.min("close") < F.max("close")).alias("varies"),
-    )
-    checks = [(F.col("bars") < min_bars, "too few bars"), (F.col("no_time") > 0, "null open_time"), (F.col("outside") > 0, "outside year"), (F.col("bad_ohlcv") > 0, "ohlcv null or not finite"), (F.col("inconsistent") > 0, "ohlc inconsistent")]
-    checks += [(F.col(f"bad_{c}") > 0, f"{c} null or not finite") for c in features]
-    checks += [(F.col(f"flat_{c}") & F.col("varies") & (F.col("bars") > 1), f"{c} constant") for c in features]
-    out = agg.select("symbol", "bars", _messages(checks).alias("errors"), _messages([(F.col("same_time") > 0, "duplicate timestamps")]).alias("warnings"))
+def validate_studies(studies: DataFrame, min_completion: float = 0.80, max_failed: float = 0.50) -> DataFrame:
+    """Errors of studies with ``completion_rate, failed_days`` (an array, repeats count once) and ``expected_days`` (null or 0: unchecked)."""
+    rate, ratio = F.col("completion_rate"), safe(F.size(F.array_distinct("failed_days")), F.col("expected_days"))
+    checks = [(~rate.between(0, 1), "completion_rate outside [0, 1]"), (rate < min_completion, "completion_rate too low"), (ratio > max_failed, "too many failed days")]
+    out = studies.withColumn("errors", _messages(checks))
+    return out.withColumn("valid", F.size("errors") == 0)
+
+
+#: Of the features those that must move when prices do.
+DYNAMIC = ["log_return", "frac_diff_return", "rolling_volatility", "atr_pct", "vwap", "rsi", "bb_pct_b", "macd_hist"]
+
+
+def _not_finite(c: str) -> Column:
+    return F.isnan(c) | F.abs(F.col(c)).isin(float("inf"))
+
+
+def validate_frame(
+    frame: DataFrame, features: list[str], year: int, min_bars: int = 1, dynamic: list[str] | None = None, allow_partial: bool = True, symbol: str | None = None
+) -> DataFrame:
+    """One row per symbol with ``bars, errors, warnings, valid``; a single aggregation over the frame.
+
+    ``dynamic`` features (by default those of ``DYNAMIC``) must not be constant while the core
+    columns vary.  Rows of a table have no order, so whether times ascend is
+    not asked.  Optional columns (funding_rate_mean, completion_rate,
+    sample_weight, recovery_status) are checked where present.
+    """
+    has = set(frame.columns)
+    prices = [c for c in ("open", "high", "low", "close", "volume", "dollar", "n_ticks") if c in has]
+    frame = frame.withColumns({c: F.col(c).cast("double") for c in {*prices, *features, *({"funding_rate_mean", "completion_rate", "sample_weight"} & has)}})
+    dynamic = [c for c in (DYNAMIC if dynamic is None else dynamic) if c in features]
+    wrong = (F.col("high") < F.greatest("low", "open", "close")) | (F.col("low") > F.least("open", "close")) | (F.col("volume") < 0)
+    agg = {
+        "bars": F.count("*"), "no_time": F.count_if(F.col("open_time").isNull()), "outside": F.count_if(F.year("open_time") != year),
+        "same_time": F.count("*") - F.count_distinct("open_time"), "first_time": F.min("open_time"), "last_time": F.max("open_time"),
+        "ohlcv_null": F.count_if(_any([F.col(c).isNull() | F.isnan(c) for c in prices])), "ohlcv_infinite": F.count_if(_any([_not_finite(c) for c in prices])), "inconsistent": F.count_if(wrong),
+        "varies": _any([F.min(c) < F.max(c) for c in prices]),
+    }
+    agg |= {f"null_{c}": F.count_if(F.col(c).isNull() | F.isnan(c)) for c in features} | {f"infinite_{c}": F.count_if(_not_finite(c)) for c in features}
+    agg |= {f"flat_{c}": F.coalesce(F.min(c) == F.max(c), F.lit(True)) for c in dynamic}
+    checks = [
+        (F.col("bars") < min_bars, "too few bars"), (F.col("no_time") > 0, "null open_time"), (F.col("outside") > 0, "outside year"),
+        (F.col("ohlcv_null") > 0, "ohlcv null"), (F.col("ohlcv_infinite") > 0, "ohlcv not finite"), (F.col("inconsistent") > 0, "ohlcv inconsistent"),
+    ]
+    if not allow_partial:
+        month = F.expr("interval 31 days")
+        checks += [(F.col("first_time") > F.lit(f"{year}-01-01").cast("timestamp_ntz") + month, "starts too late"), (F.col("last_time") < F.lit(f"{year}-12-31 23:59:59").cast("timestamp_ntz") - month, "ends too early")]
+    checks += [(F.col(f"null_{c}") > 0, f"{c} null") for c in features] + [(F.col(f"infinite_{c}") > 0, f"{c} not finite") for c in features]
+    checks += [(F.col(f"flat_{c}") & F.col("varies"), f"{c} constant") for c in dynamic]
+    optional = {
+        "funding_rate_mean": lambda c: F.col(c).isNull() | F.isnan(c) | _not_finite(c),
+        "completion_rate": lambda c: F.col(c).isNull() | ~F.col(c).between(0, 1),
+        "sample_weight": lambda c: F.col(c).isNull() | ~F.col(c).isin(0.5, 1.0),
+        "recovery_status": lambda c: F.col(c).isNull() | ~F.col(c).isin(RECOVERY_STATUSES),
+    }
+    for c, bad in optional.items():
+        if c in has:
+            agg[f"bad_{c}"] = F.count_if(bad(c))
+            checks.append((F.col(f"bad_{c}") > 0, f"{c} unsupported"))
+    if symbol is not None:
+        checks.append((F.coalesce(F.col("symbol") != symbol, F.lit(True)), "unexpected symbol"))
+    out = frame.groupBy("symbol").agg(*[v.alias(k) for k, v in agg.items()])
+    out = out.select("symbol", "bars", _messages(checks).alias("errors"), _messages([(F.col("same_time") > 0, "duplicate timestamps")]).alias("warnings"))
     return out.withColumn("valid", F.size("errors") == 0)
 
 
+def _any(conditions: list[Column]) -> Column:
+    out = F.lit(False)
+    for c in conditions:
+        out = out | F.coalesce(c, F.lit(False))
+    return out
+
+
+def distinct_values(frame: DataFrame, columns: list[str], by: list[str]) -> DataFrame:
+    """How many distinct non-null values each column has per key: one shuffle for all of them."""
+    long = frame.select(*by, F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns])).alias("_e")).select(*by, "_e.*")
+    return long.where("value is not null").distinct().groupBy(*by, "column").agg(F.count("*").alias("distinct_values"))
+
+
+#: Bars that agree in these are copies.
+COPY_KEYS = ["symbol", "open_time", "open", "high", "low", "close", "volume"]
+
+
 def deduplicate_exact(bars: DataFrame) -> DataFrame:
-    return bars.distinct()
+    """Of bars that agree in the key columns present one stays: the least in its other columns, as rows have no order."""
+    keys = [c for c in COPY_KEYS if c in bars.columns]
+    rest = [c for c in bars.columns if c not in keys]
+    if not rest:
+        return bars.distinct()
+    return bars.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("_rest")).select(*keys, "_rest.*").select(bars.columns)
 
 
 def keep_most_liquid(bars: DataFrame) -> DataFrame:

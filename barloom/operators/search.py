@@ -64,38 +64,110 @@ def grid(spark: SparkSession, lambdas: list[float], sizes: list[float]) -> DataF
     return spark.createDataFrame([(i, lam, float(t)) for i, (lam, t) in enumerate((a, b) for a in lambdas for b in sizes)], "param_id int, exp_lambda double, init_exp_t double")
 
 
-def adaptive_bounds(trials: DataFrame, top: float = 0.2, least: int = 3) -> DataFrame:
-    """Bounds of the next search from the best trials: median less two, plus three, standard deviations."""
-    ranked = trials.withColumn("_r", F.row_number().over(Window.orderBy(F.desc("score"), "trial"))).crossJoin(F.broadcast(trials.agg(F.count("*").alias("_n"))))
-    best = ranked.where(F.col("_r") <= F.greatest(F.lit(least), F.floor(F.col("_n") * top)))
-    out = []
-    for c in ("exp_lambda", "init_exp_t"):
-        middle, spread = F.percentile(c, F.lit(0.5)), F.coalesce(F.stddev_pop(c), F.lit(0.0))
-        out += [(middle - 2 * spread).alias(f"{c}_low"), (middle + 3 * spread).alias(f"{c}_high")]
-    return best.agg(*out)
-
-
-def regime_window(day_stats: DataFrame) -> DataFrame:
-    """Months of history to use from the spread of monthly volume and volatility: ``(symbol, day, dollar, close)``."""
-    w = Window.partitionBy("symbol").orderBy("day")
-    moved = day_stats.withColumn("r", F.ln(F.col("close") / F.lag("close").over(w))).withColumn("month", F.date_format("day", "yyyy-MM"))
-    monthly = moved.groupBy("symbol", "month").agg(F.avg("dollar").alias("volume"), (F.stddev_pop("r") * (365**0.5)).alias("vol"))
-    out = monthly.groupBy("symbol").agg(safe(F.max("volume"), F.min("volume")).alias("volume_ratio"), safe(F.max("vol"), F.min("vol")).alias("vol_ratio"))
-    worst = F.greatest("volume_ratio", "vol_ratio")
-    return out.withColumn("window_months", F.when(worst > 3, 1).when(worst > 1.5, 2).otherwise(3))
+#: Per symbol the cap of lambda and the floor of T.
+LAMBDA_CAPS = {"BTCUSDT": 0.993, "ETHUSDT": 0.995, "SOLUSDT": 0.996, "BNBUSDT": 0.995}
+T_FLOORS = {"BTCUSDT": 200, "ETHUSDT": 300, "SOLUSDT": 100, "BNBUSDT": 50}
+OTHER_CAP, OTHER_FLOOR = 0.995, 100
+
+
+def _per_symbol(values: dict, other) -> Column:
+    out = F.lit(other)
+    for symbol, value in values.items():
+        out = F.when(F.col("symbol") == symbol, F.lit(value)).otherwise(out)
+    return out
+
+
+def adaptive_bounds(trials: DataFrame, current: dict[str, float], share: int = 5, least: int = 3) -> DataFrame:
+    """Bounds of each symbol's next search from the best fifth of its trials with a positive score.
+
+    ``trials``: ``symbol, trial, score, init_exp_t, exp_lambda``; ``current``:
+    ``t_min, t_max, lambda_min, lambda_max``, returned for symbols with fewer
+    than ``least`` such trials.  T: median less two, plus three, deviations, at
+    least the floor, made wider when narrow and when the best trials crowd the
+    current edges.  Lambda: two deviations either side, within 0.9 and the cap.
+    """
+    w = Window.partitionBy("symbol")
+    ranked = trials.where("score > 0").withColumns({"_r": F.row_number().over(w.orderBy(F.desc("score"), "trial")), "_n": F.count("*").over(w)})
+    top = F.greatest(F.lit(least), F.floor(F.col("_n") / share))
+    q = lambda c, p: F.percentile(c, F.lit(p))
+    best = ranked.where((F.col("_r") <= top) & (F.col("_n") >= least)).groupBy("symbol").agg(
+        q("init_exp_t", 0.5).alias("tc"), F.stddev_pop("init_exp_t").alias("ts"), q("init_exp_t", 0.9).alias("p90"), q("init_exp_t", 0.1).alias("p10"),
+        q("exp_lambda", 0.5).alias("lc"), F.stddev_pop("exp_lambda").alias("ls"),
+    )
+    col, whole = F.col, lambda c: c.cast("long")
+    out = trials.select("symbol").distinct().join(best, "symbol", "left").withColumns({"floor": _per_symbol(T_FLOORS, OTHER_FLOOR), "cap": _per_symbol(LAMBDA_CAPS, OTHER_CAP)})
+    out = out.withColumns({"lo": F.greatest("floor", whole(col("tc") - 2 * col("ts"))), "hi": whole(col("tc") + 3 * col("ts"))})
+    narrow = col("hi") - col("lo") < col("floor")
+    wide_lo, wide_hi = F.greatest("floor", whole(col("tc") - col("floor"))), whole(col("tc") + col("floor"))
+    out = out.withColumns({
+        "lo": F.when(narrow, wide_lo).otherwise(col("lo")),
+        "hi": F.when(narrow & (wide_hi <= wide_lo), wide_lo * 3).when(narrow, wide_hi).otherwise(col("hi")),
+    })
+    out = out.withColumns({
+        "hi": F.when(col("p90") > current["t_max"] * 0.85, F.lit(int(current["t_max"] * 1.5))).otherwise(col("hi")),
+        "lo": F.when(col("p10") < current["t_min"] * 1.15, F.greatest("floor", F.lit(int(current["t_min"] * 0.5)))).otherwise(col("lo")),
+    }).withColumn("hi", F.when(col("hi") <= col("lo"), col("lo") * 3).otherwise(col("hi")))
+    out = out.withColumns({"a": F.greatest(F.lit(0.9), col("lc") - 2 * col("ls")), "b": F.least("cap", col("lc") + 2 * col("ls"))})
+    apart = lambda a, b: F.when(b <= a, F.least(col("cap"), a + 0.05)).otherwise(b)
+    out = out.withColumn("b", apart(col("a"), col("b")))
+    near_a, near_b = F.greatest(F.lit(0.96), F.round(col("lc") - 0.015, 4)), F.least(col("cap"), F.round(col("lc") + 0.015, 4))
+    tight = col("b") - col("a") < 0.01
+    out = out.withColumns({"a": F.when(tight, near_a).otherwise(col("a")), "b": F.when(tight, apart(near_a, near_b)).otherwise(col("b"))})
+    found = {"t_min": col("lo"), "t_max": col("hi"), "lambda_min": F.round("a", 4), "lambda_max": F.round("b", 4)}
+    derived = col("tc").isNotNull()
+    return out.select("symbol", *[F.when(derived, x).otherwise(F.lit(current[n])).cast("double").alias(n) for n, x in found.items()], derived.alias("derived"))
+
+
+def regime_window(day_stats: DataFrame, most: int = 3) -> DataFrame:
+    """Months of history to use, from the ratios of monthly volume and volatility: ``(symbol, day, dollar, close)``.
+
+    Returns stay within a month; a month without two days has no volatility.
+    One month gives one; a volatility ratio over 2 or a volume ratio over 3
+    gives one, over 1.5 or 2 gives two, otherwise as many as there are, up to ``most``.
+    """
+    tagged = day_stats.withColumn("month", F.date_format("day", "yyyy-MM"))
+    w = Window.partitionBy("symbol", "month").orderBy("day")
+    moved = tagged.withColumn("r", F.ln("close") - F.ln(F.lag("close").over(w)))
+    monthly = moved.groupBy("symbol", "month").agg(F.avg("dollar").alias("volume"), F.coalesce(F.stddev_pop("r") * (365**0.5), F.lit(0.0)).alias("vol"))
+    ratio = lambda c: F.max(c) / F.greatest(F.min(c), F.lit(1e-10))
+    out = monthly.groupBy("symbol").agg(F.count("*").alias("months"), ratio("volume").alias("volume_ratio"), ratio("vol").alias("vol_ratio"))
+    severe = (F.col("vol_ratio") > 2) | (F.col("volume_ratio") > 3)
+    moderate = (F.col("vol_ratio") > 1.5) | (F.col("volume_ratio") > 2)
+    return out.withColumn("window_months", F.when((F.col("months") < 2) | severe, 1).when(moderate, 2).otherwise(F.least("months", F.lit(most))).cast("int"))
 
 
 def failed_day_tally(failures: DataFrame, n: int = 5) -> DataFrame:
-    """Failures per day with the reasons seen, the worst ``n`` days first."""
-    out = failures.groupBy("day").agg(F.count("*").alias("failures"), F.array_join(F.array_sort(F.collect_set("reason")), ",").alias("reasons"))
+    """Failures per day with how often each reason was given (``reason:count``), the worst ``n`` days first."""
+    each = failures.groupBy("day", "reason").agg(F.count("*").alias("times"))
+    named = F.concat_ws(":", "reason", "times")
+    out = each.groupBy("day").agg(F.sum("times").alias("failures"), F.array_join(F.array_sort(F.collect_list(named)), ",").alias("reasons"))
     return out.orderBy(F.desc("failures"), "day").limit(n)
 
 
 def viability(days: DataFrame, by: list[str]) -> DataFrame:
-    """Trading viability from bars per day: steadiness and volume."""
-    out = days.groupBy(*by).agg(F.avg("bars").alias("mean_bars"), safe(F.stddev_pop("bars"), F.avg("bars")).alias("cv"))
-    volume = F.when(F.col("mean_bars") < 50, 0.0).otherwise(F.least(F.col("mean_bars") / 300, F.lit(1.0)))
-    return out.withColumn("volume_score", volume).withColumn("viability", 0.6 * F.greatest(F.lit(0.0), 1 - F.col("cv")) + 0.4 * F.col("volume_score"))
+    """Trading score of days with ``bars, quality, sharpe``: 40 % quality, 30 % steadiness, 20 % volume, 10 % Sharpe, each out of 100."""
+    out = days.groupBy(*by).agg(
+        F.avg("bars").alias("mean_bars"), F.coalesce(F.stddev_samp("bars"), F.lit(0.0)).alias("std_bars"),
+        F.avg("quality").alias("mean_quality"), F.avg("sharpe").alias("mean_sharpe"),
+    )
+    within = lambda c, top: F.greatest(F.lit(0.0), F.least(c, F.lit(top)))
+    steady = (1 - within(F.col("std_bars") / F.col("mean_bars"), 1.0)) * 100
+    volume = F.when(F.col("mean_bars") < 50, 0.0).otherwise(within(F.col("mean_bars") / 300, 1.0) * 100)
+    out = out.withColumns({"stability_score": steady, "volume_score": volume})
+    score = 0.40 * F.col("mean_quality") + 0.30 * F.col("stability_score") + 0.20 * F.col("volume_score") + 0.10 * within(F.col("mean_sharpe") * 20, 100.0)
+    return out.withColumn("trading_score", score)
+
+
+def sampled_days(days: DataFrame, by: list[str], n: int = 10, seed: int = 7) -> DataFrame:
+    """``n`` days a key, the same ones in every run: those with the smallest hash of seed and day."""
+    rank = F.row_number().over(Window.partitionBy(*by).orderBy(F.md5(F.concat_ws(":", F.lit(seed), F.col("day").cast("string"))), "day"))
+    return days.withColumn("_r", rank).where(F.col("_r") <= n).drop("_r")
+
+
+def has_study(targets: DataFrame, studies: DataFrame) -> DataFrame:
+    """``targets(symbol, period)`` with whether a study of that very period is there."""
+    known = studies.select("symbol", "period").distinct().withColumn("_known", F.lit(True))
+    return targets.join(known, ["symbol", "period"], "left").withColumn("known", F.coalesce("_known", F.lit(False))).drop("_known")
 
 
 def search_run_bars(ticks: DataFrame, params: DataFrame, scope: list[str], min_ticks: int) -> DataFrame:

@@ -9,12 +9,14 @@ ORDER = ["ts", "id"]
 
 
 def is_sane() -> Column:
-    return F.coalesce((F.col("price") > 0) & (F.col("quantity") > 0) & F.col("ts").isNotNull(), F.lit(False))
+    """Positive price and quantity at a known time; null and NaN are neither (Spark sorts NaN above all numbers)."""
+    positive = [(F.col(c) > 0) & ~F.isnan(c) for c in ("price", "quantity")]
+    return F.coalesce(positive[0] & positive[1] & F.col("ts").isNotNull(), F.lit(False))
 
 
 def sane(ticks: DataFrame) -> DataFrame:
-    """Positive price and quantity; null counts as neither."""
-    return ticks.where((F.col("price") > 0) & (F.col("quantity") > 0))
+    # Plain comparisons first: they reach the scan.
+    return ticks.where((F.col("price") > 0) & (F.col("quantity") > 0) & ~F.isnan("price") & ~F.isnan("quantity"))
 
 
 def deduplicate(ticks: DataFrame, policy: str = "exact") -> DataFrame:

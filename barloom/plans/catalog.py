@@ -97,10 +97,11 @@ def tick_sanity_filter(spark, sf):
 
 
 _DIRTY = _TICKS + """, dirty AS (SELECT * FROM ticks UNION ALL SELECT * FROM ticks WHERE id % 97 = 0
-  UNION ALL SELECT * REPLACE (-price AS price, id + 10000000 AS id) FROM ticks WHERE id % 101 = 0)"""
+  UNION ALL SELECT * REPLACE (-price AS price, id + 10000000 AS id) FROM ticks WHERE id % 101 = 0
+  UNION ALL SELECT * REPLACE ('NaN'::DOUBLE AS price, id + 20000000 AS id) FROM ticks WHERE id % 103 = 0)"""
 
 
-@query(f"WITH {_DIRTY} SELECT symbol, id, ts, price, quantity FROM dirty WHERE price > 0 AND quantity > 0 QUALIFY row_number() OVER (PARTITION BY symbol, id ORDER BY ts) = 1")
+@query(f"WITH {_DIRTY} SELECT symbol, id, ts, price, quantity FROM dirty WHERE price > 0 AND NOT isnan(price) AND quantity > 0 QUALIFY row_number() OVER (PARTITION BY symbol, id ORDER BY ts) = 1")
 def tick_dedup(spark, sf):
     return ticks.normalise(tables.dirty_ticks(spark, sf)).select("symbol", "id", "ts", "price", "quantity")
 
@@ -114,8 +115,8 @@ m4 AS (SELECT *, last_value(raw IGNORE NULLS) OVER (PARTITION BY symbol ORDER BY
 scored AS (SELECT *, 0.6745 * dev / mad AS mad_z FROM m4)"""
 
 
-@query(f"""WITH {_DIRTY}, uniq AS (SELECT * FROM dirty WHERE price > 0 AND quantity > 0 QUALIFY row_number() OVER (PARTITION BY symbol, id ORDER BY ts) = 1),
-{_mad_sql("uniq", 20)}, a AS (SELECT symbol, count(*) AS received, count(*) FILTER (NOT (price > 0 AND quantity > 0)) AS invalid FROM dirty GROUP BY 1),
+@query(f"""WITH {_DIRTY}, uniq AS (SELECT * FROM dirty WHERE price > 0 AND NOT isnan(price) AND quantity > 0 QUALIFY row_number() OVER (PARTITION BY symbol, id ORDER BY ts) = 1),
+{_mad_sql("uniq", 20)}, a AS (SELECT symbol, count(*) AS received, count(*) FILTER (NOT (price > 0 AND NOT isnan(price) AND quantity > 0)) AS invalid FROM dirty GROUP BY 1),
 b AS (SELECT symbol, count(*) AS uniq, count(*) FILTER (coalesce(mad_z, 0) > 5) AS mad_removed FROM scored GROUP BY 1)
 SELECT symbol, received, invalid, received - invalid - uniq AS duplicates, mad_removed, uniq - mad_removed AS clean FROM a JOIN b USING (symbol)""")
 def tick_audit(spark, sf):
@@ -451,11 +452,24 @@ def validation_leaderboard(spark, sf):
     return search.validation_leaderboard(_trials(spark, sf)).select("trial", "train_score", "validation_score", "gap", "robust", "rank")
 
 
-@query(f"""WITH {_TRIALS}, b AS (SELECT * FROM trials ORDER BY coalesce(validation_score, -1) DESC, trial LIMIT (SELECT greatest(3, floor(count(*) * 0.2)::BIGINT) FROM trials))
-SELECT quantile_cont(exp_lambda, 0.5) - 2 * stddev_pop(exp_lambda) AS exp_lambda_low, quantile_cont(exp_lambda, 0.5) + 3 * stddev_pop(exp_lambda) AS exp_lambda_high,
-quantile_cont(init_exp_t, 0.5) - 2 * stddev_pop(init_exp_t) AS init_exp_t_low, quantile_cont(init_exp_t, 0.5) + 3 * stddev_pop(init_exp_t) AS init_exp_t_high FROM b""", "exp_lambda_low exp_lambda_high init_exp_t_low init_exp_t_high")
+_BOUNDS = {"t_min": 300.0, "t_max": 700.0, "lambda_min": 0.95, "lambda_max": 0.99}
+
+
+@query(f"""WITH {_TRIALS}, t AS (SELECT CASE trial % 3 WHEN 0 THEN 'BTCUSDT' WHEN 1 THEN 'ETHUSDT' ELSE 'OTHER' END AS symbol, trial, validation_score AS score, 0.9 + exp_lambda AS lam, init_exp_t / 100 AS t FROM trials),
+k AS (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY score DESC, trial) AS r, count(*) OVER (PARTITION BY symbol) AS n FROM t WHERE score > 0),
+b AS (SELECT symbol, quantile_cont(t, 0.5) AS tc, stddev_pop(t) AS ts, quantile_cont(t, 0.9) AS p90, quantile_cont(t, 0.1) AS p10, quantile_cont(lam, 0.5) AS lc, stddev_pop(lam) AS ls FROM k WHERE n >= 3 AND r <= greatest(3, n // 5) GROUP BY symbol),
+f AS (SELECT s.symbol, b.* EXCLUDE symbol, CASE s.symbol WHEN 'BTCUSDT' THEN 200 WHEN 'ETHUSDT' THEN 300 ELSE 100 END AS fl, CASE s.symbol WHEN 'BTCUSDT' THEN 0.993::DOUBLE ELSE 0.995::DOUBLE END AS cap FROM (SELECT DISTINCT symbol FROM t) s LEFT JOIN b USING (symbol)),
+c AS (SELECT *, greatest(fl, trunc(tc - 2 * ts)) AS lo, trunc(tc + 3 * ts) AS hi, greatest(0.9, lc - 2 * ls) AS a, least(cap, lc + 2 * ls) AS z FROM f),
+d AS (SELECT * REPLACE (CASE WHEN hi - lo < fl THEN greatest(fl, trunc(tc - fl)) ELSE lo END AS lo, CASE WHEN hi - lo < fl THEN CASE WHEN trunc(tc + fl) <= greatest(fl, trunc(tc - fl)) THEN 3 * greatest(fl, trunc(tc - fl)) ELSE trunc(tc + fl) END ELSE hi END AS hi,
+  CASE WHEN z <= a THEN least(cap, a + 0.05) ELSE z END AS z) FROM c),
+e AS (SELECT * REPLACE (CASE WHEN p10 < 300 * 1.15 THEN greatest(fl, 150) ELSE lo END AS lo, CASE WHEN p90 > 700 * 0.85 THEN 1050 ELSE hi END AS hi), z - a < 0.01 AS tight, greatest(0.96, round(lc - 0.015, 4)) AS na, least(cap, round(lc + 0.015, 4)) AS nz FROM d)
+SELECT symbol, CASE WHEN tc IS NULL THEN 300 ELSE lo END::DOUBLE AS t_min, CASE WHEN tc IS NULL THEN 700 WHEN hi <= lo THEN 3 * lo ELSE hi END::DOUBLE AS t_max,
+CASE WHEN tc IS NULL THEN 0.95 ELSE round(CASE WHEN tight THEN na ELSE a END, 4) END AS lambda_min, CASE WHEN tc IS NULL THEN 0.99 ELSE round(CASE WHEN tight THEN CASE WHEN nz <= na THEN least(cap, na + 0.05) ELSE nz END ELSE z END, 4) END AS lambda_max,
+tc IS NOT NULL AS derived FROM e""", "t_min t_max lambda_min lambda_max")
 def adaptive_bounds(spark, sf):
-    return search.adaptive_bounds(_trials(spark, sf).withColumn("score", F.coalesce("validation_score", F.lit(-1.0))))
+    symbol = F.when(F.col("trial") % 3 == 0, "BTCUSDT").when(F.col("trial") % 3 == 1, "ETHUSDT").otherwise("OTHER")
+    trials = _trials(spark, sf).select(symbol.alias("symbol"), "trial", F.col("validation_score").alias("score"), (0.9 + F.col("exp_lambda")).alias("exp_lambda"), (F.col("init_exp_t") / 100).alias("init_exp_t"))
+    return search.adaptive_bounds(trials, _BOUNDS)
 
 
 _DAYS = f"{_CLEAN}, days AS (SELECT symbol, CAST(ts AS DATE) AS day, count(*) AS bars, avg(price) AS quality, sum(dollar) AS dollar, last(price ORDER BY ts, id) AS close FROM clean GROUP BY 1, 2)"
@@ -472,25 +486,44 @@ def composite_score(spark, sf):
     return search.composite_score(_days(spark, sf), ["symbol"])
 
 
-@query(f"""WITH {_DAYS}, m AS (SELECT *, ln(close / lag(close) OVER (PARTITION BY symbol ORDER BY day)) AS r FROM days),
-k AS (SELECT symbol, strftime(day, '%Y-%m') AS month, avg(dollar) AS volume, stddev_pop(r) * sqrt(365) AS vol FROM m GROUP BY 1, 2),
-x AS (SELECT symbol, max(volume) / min(volume) AS volume_ratio, max(vol) / min(vol) AS vol_ratio FROM k GROUP BY 1)
-SELECT *, CASE WHEN greatest(volume_ratio, vol_ratio) > 3 THEN 1 WHEN greatest(volume_ratio, vol_ratio) > 1.5 THEN 2 ELSE 3 END AS window_months FROM x""", "volume_ratio vol_ratio")
+@query(f"""WITH {_DAYS}, w AS (SELECT symbol, day + CAST((day(day) % 3) * 31 AS INTEGER) AS day, dollar * (1 + day(day) % 3) AS dollar, close FROM days),
+m AS (SELECT *, strftime(day, '%Y-%m') AS month, ln(close) - ln(lag(close) OVER (PARTITION BY symbol, strftime(day, '%Y-%m') ORDER BY day)) AS r FROM w),
+k AS (SELECT symbol, month, avg(dollar) AS volume, coalesce(stddev_pop(r) * sqrt(365), 0) AS vol FROM m GROUP BY 1, 2),
+x AS (SELECT symbol, count(*) AS months, max(volume) / greatest(min(volume), 1e-10) AS volume_ratio, max(vol) / greatest(min(vol), 1e-10) AS vol_ratio FROM k GROUP BY 1)
+SELECT *, CASE WHEN months < 2 OR vol_ratio > 2 OR volume_ratio > 3 THEN 1 WHEN vol_ratio > 1.5 OR volume_ratio > 2 THEN 2 ELSE least(3, months) END::INTEGER AS window_months FROM x""", "volume_ratio vol_ratio")
 def regime_window(spark, sf):
-    return search.regime_window(_days(spark, sf))
+    # A month of days dealt over three, so that months can differ.
+    third = F.dayofmonth("day") % 3
+    return search.regime_window(_days(spark, sf).withColumns({"dollar": F.col("dollar") * (1 + third), "day": F.date_add("day", (third * 31).cast("int"))}))
 
 
-@query(f"""WITH {_DAYS}, f AS (SELECT day, CASE WHEN bars < 60 THEN 'few bars' ELSE 'low quality' END AS reason FROM days WHERE bars < 60 OR quality < 100)
-SELECT day, count(*) AS failures, string_agg(DISTINCT reason, ',' ORDER BY reason) AS reasons FROM f GROUP BY day ORDER BY failures DESC, day LIMIT 5""")
+@query(f"""WITH {_DAYS}, f AS (SELECT day, CASE WHEN bars < 60 THEN 'few bars' ELSE 'low quality' END AS reason FROM days WHERE bars < 60 OR quality < 100),
+g AS (SELECT day, reason, count(*) AS times FROM f GROUP BY 1, 2)
+SELECT day, sum(times)::BIGINT AS failures, string_agg(reason || ':' || times, ',' ORDER BY reason) AS reasons FROM g GROUP BY day ORDER BY failures DESC, day LIMIT 5""")
 def failed_day_tally(spark, sf):
     failed = _days(spark, sf).where("bars < 60 or quality < 100")
     return search.failed_day_tally(failed.select("day", F.when(F.col("bars") < 60, "few bars").otherwise("low quality").alias("reason")))
 
 
-@query(f"""WITH {_DAYS}, a AS (SELECT symbol, avg(bars) AS mean_bars, stddev_pop(bars) / avg(bars) AS cv FROM days GROUP BY 1), b AS (SELECT *, CASE WHEN mean_bars < 50 THEN 0 ELSE least(mean_bars / 300, 1.0) END AS volume_score FROM a)
-SELECT *, 0.6 * greatest(0, 1 - cv) + 0.4 * volume_score AS viability FROM b""", "mean_bars cv volume_score viability")
+@query(f"""WITH {_DAYS}, s AS (SELECT *, quality / 100 - 0.5 AS sharpe FROM days),
+a AS (SELECT symbol, avg(bars) AS mean_bars, coalesce(stddev_samp(bars), 0) AS std_bars, avg(quality) AS mean_quality, avg(sharpe) AS mean_sharpe FROM s GROUP BY 1),
+b AS (SELECT *, (1 - least(greatest(std_bars / mean_bars, 0), 1)) * 100 AS stability_score, CASE WHEN mean_bars < 50 THEN 0 ELSE least(greatest(mean_bars / 300, 0), 1) * 100 END AS volume_score FROM a)
+SELECT *, 0.4 * mean_quality + 0.3 * stability_score + 0.2 * volume_score + 0.1 * least(greatest(mean_sharpe * 20, 0), 100) AS trading_score FROM b""", "mean_bars std_bars mean_quality mean_sharpe stability_score volume_score trading_score")
 def trading_viability(spark, sf):
-    return search.viability(_days(spark, sf), ["symbol"])
+    return search.viability(_days(spark, sf).withColumn("sharpe", F.col("quality") / 100 - 0.5), ["symbol"])
+
+
+@query(f"""WITH {_DAYS} SELECT symbol, day, bars FROM days QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY md5('7:' || day::VARCHAR), day) <= 10""")
+def day_sample(spark, sf):
+    return search.sampled_days(_days(spark, sf).select("symbol", "day", "bars"), ["symbol"])
+
+
+@query(f"""WITH {_DAYS}, s AS (SELECT DISTINCT symbol, strftime(day, '%Y-%m') AS period FROM days WHERE bars > 70)
+SELECT d.symbol, d.period, s.symbol IS NOT NULL AS known FROM (SELECT DISTINCT symbol, strftime(day, '%Y-%m') AS period FROM days UNION SELECT DISTINCT symbol, '2023-12' FROM days) d LEFT JOIN s USING (symbol, period)""")
+def study_exists(spark, sf):
+    days = _days(spark, sf).withColumn("period", F.date_format("day", "yyyy-MM"))
+    targets = days.select("symbol", "period").union(days.select("symbol", F.lit("2023-12"))).distinct()
+    return search.has_study(targets, days.where("bars > 70"))
 
 
 _GRID = [(0, 0.9, 30.0), (1, 0.9, 60.0), (2, 0.95, 30.0)]
@@ -520,7 +553,7 @@ def mark_failed_days(spark, sf):
     return _marked(spark, sf).select("symbol", "day", "failed_day", "sample_weight")
 
 
-@query(f"WITH {_FLAGGED} SELECT symbol, day, CASE WHEN day(day) % 7 = 0 THEN 'recovered' WHEN failed_day = 1 THEN 'failed' ELSE 'normal' END AS recovery_status FROM marked")
+@query(f"WITH {_FLAGGED} SELECT symbol, day, CASE WHEN day(day) % 7 = 0 THEN 'recovered' WHEN failed_day = 1 THEN 'failed_irrecoverable' ELSE 'normal' END AS recovery_status FROM marked")
 def recovery_status(spark, sf):
     return _marked(spark, sf).select("symbol", "day", quality.recovery_status(F.dayofmonth("day") % 7 == 0, F.col("failed_day") == 1).alias("recovery_status"))
 
@@ -529,22 +562,23 @@ _MONTHLY = f"""{_CLEAN}, {_clock_sql(60)}, tagged AS (SELECT symbol, CAST(open_t
 pd AS (SELECT symbol, day, count(*) AS bars, count(*) FILTER (recovered) AS recovered, max(recovered::INTEGER) AS is_recovered, max(failed_day) AS failed FROM tagged GROUP BY 1, 2),
 m AS (SELECT symbol, strftime(day, '%Y-%m') AS month, sum(bars)::BIGINT AS total_bars, count(*) AS observed_days, sum(recovered)::BIGINT AS recovered_bars, sum(is_recovered)::BIGINT AS recovered_days,
  sum(failed)::BIGINT AS failed_days, avg(bars) AS mean_bars, quantile_cont(bars, 0.5) AS median_bars, quantile_cont(bars, 0.1) AS p10_bars, quantile_cont(bars, 0.9) AS p90_bars, max(day(last_day(day)))::INTEGER AS expected_days FROM pd GROUP BY 1, 2),
-rep AS (SELECT *, 100.0 * observed_days / expected_days AS coverage_pct, 100.0 * recovered_bars / total_bars AS recovery_pct, month = '2024-02' AS partial_month FROM m)"""
-_MONTH_FLOATS = "mean_bars median_bars p10_bars p90_bars coverage_pct recovery_pct"
+rep AS (SELECT *, 100.0 * observed_days / expected_days AS coverage_pct, 100.0 * recovered_bars / total_bars AS recovery_pct, total_bars - recovered_bars AS normal_bars, 100.0 * recovered_days / observed_days AS recovery_day_pct, month = '2024-02' AS partial_month, CASE WHEN total_bars >= 100 THEN score END AS quality_score FROM m JOIN (SELECT symbol, strftime(open_time, '%Y-%m') AS month, avg(close) / 3 AS score FROM bars GROUP BY 1, 2) USING (symbol, month))"""
+_MONTH_FLOATS = "mean_bars median_bars p10_bars p90_bars coverage_pct recovery_pct recovery_day_pct quality_score"
 
 
 def _report(spark, sf):
     tagged = hourly(spark, sf).select("symbol", F.to_date("open_time").alias("day"), (F.dayofmonth("open_time") % 7 == 0).alias("recovered"), (F.col("n_ticks") > 8).cast("int").alias("failed_day"))
-    return quality.monthly_report(tagged, "2024-02-10")
+    scores = hourly(spark, sf).groupBy("symbol", F.date_format("open_time", "yyyy-MM").alias("month")).agg((F.avg("close") / 3).alias("quality_score"))
+    return quality.monthly_report(tagged, "2024-02-10", scores)
 
 
-@query(f"WITH {_MONTHLY} SELECT * FROM rep", _MONTH_FLOATS)
+@query(f"WITH {_MONTHLY} SELECT * EXCLUDE score FROM rep", _MONTH_FLOATS)
 def monthly_quality_report(spark, sf):
     return _report(spark, sf)
 
 
 @query(f"""WITH {_MONTHLY} SELECT symbol, month, list_filter([CASE WHEN NOT partial_month AND recovery_pct > 10 THEN 'recovery_pct' END, CASE WHEN NOT partial_month AND 100.0 * recovered_days / observed_days > 10 THEN 'recovered_days' END,
-CASE WHEN NOT partial_month AND mean_bars < 10 THEN 'mean_bars' END], lambda x: x IS NOT NULL)::VARCHAR AS errors FROM rep""")
+CASE WHEN NOT partial_month AND mean_bars < 10 THEN 'mean_bars' END, CASE WHEN NOT partial_month AND quality_score < 20 THEN 'quality_score' END], lambda x: x IS NOT NULL)::VARCHAR AS errors FROM rep""")
 def monthly_gate(spark, sf):
     return quality.gate_monthly(_report(spark, sf), max_recovery=10).select("symbol", "month", F.concat(F.lit("["), F.array_join("errors", ", "), F.lit("]")).alias("errors"))
 
@@ -557,12 +591,35 @@ def daily_audit_gate(spark, sf):
     return gated.select("symbol", "day", "received", "mad_removed", "mad_removed_pct", (F.size("errors") > 0).alias("failed"))
 
 
-@query(f"""WITH {_RETURNS}, x AS (SELECT *, 7.0 AS flat FROM r) SELECT symbol, count(*) AS bars, CASE WHEN count(*) FILTER (log_return IS NULL) > 0 THEN '[log_return null or not finite, flat constant]' ELSE '[flat constant]' END AS errors, false AS valid FROM x GROUP BY 1""")
+@query(f"""WITH {_RETURNS}, x AS (SELECT *, 7.0 AS flat, CASE WHEN symbol = (SELECT min(symbol) FROM r) AND day(open_time) = 3 THEN 'Infinity'::DOUBLE ELSE n_ticks END AS spread FROM r)
+SELECT symbol, count(*) AS bars, '[' || array_to_string(list_filter(['ohlcv inconsistent', CASE WHEN count(*) FILTER (log_return IS NULL) > 0 THEN 'log_return null' END,
+  CASE WHEN count(*) FILTER (isinf(spread)) > 0 THEN 'spread not finite' END, 'flat constant', 'recovery_status unsupported'], lambda e: e IS NOT NULL), ', ') || ']' AS errors, false AS valid FROM x GROUP BY 1""")
 def frame_validation(spark, sf):
-    out = quality.validate_frame(returns(spark, sf).withColumn("flat", F.lit(7.0)), ["log_return", "flat"], 2024)
+    rows = returns(spark, sf)
+    first = rows.select(F.min("symbol")).first()[0]
+    spread = F.when((F.col("symbol") == first) & (F.dayofmonth("open_time") == 3), float("inf")).otherwise(F.col("n_ticks"))
+    rows = rows.withColumns({"flat": F.lit(7.0), "spread": spread, "volume": -F.col("volume"), "recovery_status": F.lit("failed")})
+    out = quality.validate_frame(rows, ["log_return", "spread", "flat"], 2024, dynamic=["log_return", "flat"])
     return out.select("symbol", "bars", F.concat(F.lit("["), F.array_join("errors", ", "), F.lit("]")).alias("errors"), "valid")
 
 
+@query(f"""WITH {_BARS}, x AS (SELECT symbol, unnest(['n_ticks', 'open_time']) AS "column", unnest([n_ticks::VARCHAR, open_time::VARCHAR]) AS v FROM bars) SELECT symbol, "column", count(DISTINCT v) AS distinct_values FROM x GROUP BY ALL""")
+def feature_unique(spark, sf):
+    return quality.distinct_values(hourly(spark, sf), ["n_ticks", "open_time"], ["symbol"])
+
+
+_STUDY_META = [("a", 0.9, ["1", "1", "2"], 4), ("b", 0.7, ["1"], 4), ("c", 1.2, [], None), ("d", 0.8, ["1", "2", "3"], 4), ("e", -0.1, ["x"], 0)]
+
+
+@query("""WITH s(name, rate, failed, expected) AS (VALUES ('a', 0.9, ['1', '1', '2'], 4), ('b', 0.7, ['1'], 4), ('c', 1.2, []::VARCHAR[], NULL), ('d', 0.8, ['1', '2', '3'], 4), ('e', -0.1, ['x'], 0)),
+x AS (SELECT name, list_filter([CASE WHEN rate < 0 OR rate > 1 THEN 'completion_rate outside [0, 1]' END, CASE WHEN rate < 0.8 THEN 'completion_rate too low' END,
+  CASE WHEN expected > 0 AND len(list_distinct(failed)) / expected > 0.5 THEN 'too many failed days' END], lambda e: e IS NOT NULL) AS errors FROM s)
+SELECT name, array_to_string(errors, '; ') AS errors, len(errors) = 0 AS valid FROM x""")
+def study_metadata(spark, sf):
+    rows = spark.createDataFrame(_STUDY_META, "name string, completion_rate double, failed_days array<string>, expected_days int")
+    return quality.validate_studies(rows).select("name", F.array_join("errors", "; ").alias("errors"), "valid")
+
+
 _TIES = "ties AS (SELECT l_returnflag AS symbol, l_shipdate AS open_time, l_shipdate AS close_time, l_extendedprice AS close, l_quantity AS volume, l_extendedprice * l_quantity AS dollar FROM lineitem)"
 
 
@@ -573,9 +630,9 @@ def _ties(spark, sf):
     )
 
 
-@query(f"WITH {_TIES} SELECT DISTINCT symbol, open_time, volume FROM ties")
+@query(f"WITH {_TIES}, c AS (SELECT symbol, open_time, round(close / 1000) AS close, volume, dollar FROM ties) SELECT * FROM c QUALIFY row_number() OVER (PARTITION BY symbol, open_time, close, volume ORDER BY dollar) = 1", "dollar")
 def dedup_exact(spark, sf):
-    return quality.deduplicate_exact(_ties(spark, sf).select("symbol", "open_time", "volume"))
+    return quality.deduplicate_exact(_ties(spark, sf).select("symbol", "open_time", F.round(F.col("close") / 1000).alias("close"), "volume", "dollar"))
 
 
 @query(f"WITH {_TIES} SELECT * FROM ties QUALIFY row_number() OVER (PARTITION BY symbol, open_time ORDER BY dollar DESC, volume DESC, close_time DESC, close DESC) = 1", "dollar")

@@ -36,11 +36,12 @@ def ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dirty_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ticks with repeated rows and rows of negative price, for deduplication and audits."""
+    """Ticks with repeated rows and rows of negative or undefined price, for deduplication and audits."""
     base = ticks(spark, sf_dir)
     again = base.where("id % 97 = 0")
     negative = base.where("id % 101 = 0").withColumn("price", -F.col("price")).withColumn("id", F.col("id") + 10_000_000)
-    return base.unionByName(again).unionByName(negative)
+    undefined = base.where("id % 103 = 0").withColumn("price", F.lit(float("nan"))).withColumn("id", F.col("id") + 20_000_000)
+    return base.unionByName(again).unionByName(negative).unionByName(undefined)
 
 
 def spiky_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
