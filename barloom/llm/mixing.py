@@ -71,14 +71,14 @@ def mix(
     most ``max_epochs`` times its size; over a source they add up to the
     target rounded to whole words.  Null and empty texts have size 0 and take
     0.  A null source is one source, ordered last.  The key depends on seed and
-    id alone, so reruns agree; rows that share an id are ordered by source,
+    id (a null one: on the text) alone, so reruns agree; rows that share an id are ordered by source,
     size and text hash, and equal rows are interchangeable.  An empty table gives none.
     """
     sized = docs.select(
         F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"),
         F.col(source_col).cast("string").alias("source"),
         count_words(F.col(text_col).cast("string")).alias("size"),
-        F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(id_col).cast("string"), F.lit("")))).alias("key"),
+        F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(id_col).cast("string"), F.md5(F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary"))))).alias("key"),
         F.xxhash64(F.col(text_col).cast("string")).alias("tie"),
     ).withColumn("range", F.substring("key", 1, RANGE_DIGITS))
     # Sums per source and range: at most 16 ** RANGE_DIGITS rows a source.
@@ -90,6 +90,8 @@ def mix(
     offsets = offsets.alias("o").join(
         F.broadcast(by_source.alias("t")) if small else by_source.alias("t"), F.col("o.source").eqNullSafe(F.col("t.source"))
     ).select("o.source", "range", "offset", "source_size", "target")
+    if small and ranges.count() <= BROADCAST_ROWS:
+        offsets = F.broadcast(offsets)  # the texts are then shuffled once, for the window
     inside = Window.partitionBy("source", "range").orderBy("key", "size", "tie").rowsBetween(Window.unboundedPreceding, -1)
     summed = sized.withColumn("before", F.coalesce(F.sum("size").over(inside), F.lit(0)))
     joined = summed.alias("d").join(

@@ -134,11 +134,11 @@ def apply_rules(
     own = {c: f"__column_{i}" for i, c in enumerate(docs.columns)}
     measured = docs.select(
         *[docs[f"`{c}`"].alias(x) for c, x in own.items()],
-        F.col(id_col).alias("id"), F.col(host_col).cast("string").alias("host"), text.alias("original"),
+        F.col(id_col).alias("id"), F.col(host_col).cast("string").alias("host"),
         F.xxhash64(F.coalesce(text, F.lit(""))).alias("k1"),
         F.xxhash64(F.lit("second"), F.coalesce(text, F.lit(""))).alias("k2"),
         measures(text).alias("base"),
-    ).select(*own.values(), "id", "host", "original", "k1", "k2", "base.*")
+    ).select(*own.values(), "id", "host", "k1", "k2", "base.*")
 
     common = common_lines(docs, text_col, host_col, min_docs, max_share).withColumnRenamed("host", "common_host")
     source = _content(docs, text_col, host_col)
@@ -163,11 +163,12 @@ def apply_rules(
     left = F.col("n_words") - removed
     base_failed = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > max_repeat_pct * F.col("n_words"))
     depleted = (100 * left < min_kept_pct * F.col("n_words")) | (left < min_words)
-    clean = F.when(F.col("struck").isNull(), F.col("original")).otherwise(
-        F.array_join(F.filter(F.split("original", "\n"), lambda x: ~F.array_contains(F.col("struck"), _line_hash(x))), "\n")
+    original = F.col(own[text_col]).cast("string")  # the row's own column: the text is shuffled once
+    clean = F.when(F.col("struck").isNull(), original).otherwise(
+        F.array_join(F.filter(F.split(original, "\n"), lambda x: ~F.array_contains(F.col("struck"), _line_hash(x))), "\n")
     )
     return joined.select(
-        "id", F.col("original").alias("text"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "id", original.alias("text"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         removed.alias("n_removed_words"), clean.alias("clean_text"), base_failed.alias("base_failed"),
         (~base_failed & ~depleted).alias("kept"), F.struct(*[F.col(x).alias(c) for c, x in own.items()]).alias("row"),
     )

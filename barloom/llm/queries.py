@@ -176,7 +176,7 @@ FROM judged"""
 
 _OP7_SQL = rf"""
 WITH d AS (
-  SELECT doc_id, source, len({_WORDS})::BIGINT AS size, md5('1:' || coalesce(doc_id::VARCHAR, '')) AS key FROM documents
+  SELECT doc_id, source, len({_WORDS})::BIGINT AS size, md5('1:' || coalesce(doc_id::VARCHAR, md5(coalesce(text, '')))) AS key FROM documents
 ), s AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source
 ), w AS (
   SELECT *, 1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 AS weight, 3 * source_size AS stop FROM s

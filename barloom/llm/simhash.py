@@ -235,6 +235,8 @@ def links(fps: DataFrame, distance: int = 3, max_postings: int = 512) -> DataFra
 BITMAP = 8
 #: Sets of more shingles than this have a bitmap of WIDE bits too, for pairs the small one lets through.
 WIDE_FROM, WIDE = 1000, 8192
+#: So many of the shingles that stand in over FREQUENT_FROM prefixes come last in every set's order.
+FREQUENT, FREQUENT_FROM = 100_000, 16
 #: Candidates up to this number are sent to the tasks that read their texts.
 BROADCAST_NODES = 1_000_000
 
@@ -258,16 +260,49 @@ def _set_key(shingles: np.ndarray) -> int:
 
 
 def prefix_length(n: int, similarity: float) -> int:
-    """Two sets that reach ``similarity`` share one of so many smallest elements of each."""
+    """Two sets that reach ``similarity`` share one of so many first elements of each, in any common order."""
     return n - math.ceil(similarity * n - 1e-9) + 1 if n else 0
 
 
+def _prefix(shingles: np.ndarray, similarity: float, frequent: np.ndarray) -> np.ndarray:
+    """The first shingles of a set in an order common to all sets: frequent ones last, then by hash."""
+    length = prefix_length(len(shingles), similarity)
+    if not len(frequent) or not length:
+        return shingles[:length]
+    often = frequent[np.minimum(np.searchsorted(frequent, shingles), len(frequent) - 1)] == shingles
+    return np.concatenate([shingles[~often], shingles[often]])[:length]
+
+
+def _texts(column) -> list[bytes | None]:
+    return column.cast(pa.binary()).to_pylist()
+
+
+def frequent_shingles(keyed: DataFrame, size: int, similarity: float) -> np.ndarray:
+    """The shingles in most prefixes by hash alone, ascending: a fixed number, whatever the corpus.
+
+    Any order of shingles finds all pairs; this one keeps passages that many
+    texts share out of most prefixes, and so the pairs of such texts.  Half as
+    much again of each set is counted, as others move up.
+    """
+
+    def run(batches):
+        none = np.empty(0, np.uint64)
+        for batch in batches:
+            sets = [shingle_set(t, size) for t in _texts(batch.column(0))]
+            parts = [x[: len(_prefix(x, similarity, none)) * 3 // 2].view(np.int64) for x in sets]
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([none.view(np.int64), *parts]))], names=["token"])
+
+    counted = keyed.select("text").mapInArrow(run, "token long").groupBy("token").agg(F.count("*").alias("n"))
+    most = counted.where(F.col("n") > FREQUENT_FROM).orderBy(F.desc("n"), "token").limit(FREQUENT).select("token").collect()
+    return np.sort(np.array([r.token for r in most], dtype=np.int64).view(np.uint64))
+
+
 def _xor_bitmap(shingles: np.ndarray, bits: int) -> np.ndarray:
     odd = np.bincount((shingles & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8))
 
 
-def _set_prints(batches, size: int, similarity: float):
+def _set_prints(batches, size: int, similarity: float, frequent: np.ndarray):
     """``(id, text_key, node, n, prefix, bits)`` of every row; ``node`` names the shingle set."""
     for batch in batches:
         for lo in range(0, batch.num_rows, 512):
@@ -277,7 +312,7 @@ def _set_prints(batches, size: int, similarity: float):
                 shingles = shingle_set(text, size)
                 nodes.append(_set_key(shingles))
                 sizes.append(len(shingles))
-                prefixes.append(shingles[: prefix_length(len(shingles), similarity)].view(np.int64))
+                prefixes.append(_prefix(shingles, similarity, frequent).view(np.int64))
                 bits.append(_xor_bitmap(shingles, 64 * BITMAP).view(np.int64))
                 wide.append(_xor_bitmap(shingles, WIDE).tobytes() if len(shingles) > WIDE_FROM else None)
             yield pa.RecordBatch.from_arrays(
@@ -407,8 +442,8 @@ def similar_documents(
     Similarity is the Jaccard index of the sets of ``shingle_words`` shingles.
     At 0.8 fingerprints of 64 bits differ in about ten bits and share no
     guaranteed byte, so candidates come from prefix filtering, which loses no
-    pair: sets of similarity s share one of the ``n - ceil(s n) + 1`` smallest
-    shingle hashes of each.  Every link is verified on the sets themselves.
+    pair: sets of similarity s share one of the ``n - ceil(s n) + 1`` first
+    shingles of each, in any order common to all sets.  Every link is verified on the sets themselves.
     ``text_key`` orders the rows of one id.  Null and wordless texts are one
     group; other rules are those of ``near_duplicates``.
     """
@@ -418,7 +453,8 @@ def similar_documents(
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     keyed = rows.withColumn("text_key", F.xxhash64("text"))
     ddl = "id long, text_key long, node long, n long, prefix array<long>, bits array<long>, wide binary"
-    prints = stored(keyed.mapInArrow(lambda b: _set_prints(b, shingle_words, similarity), ddl), "prints")
+    often = docs.sparkSession.sparkContext.broadcast(frequent_shingles(keyed, shingle_words, similarity))
+    prints = stored(keyed.mapInArrow(lambda b: _set_prints(b, shingle_words, similarity, often.value), ddl), "prints")
     nodes = stored(prints.drop("id").dropDuplicates(["node"]), "nodes")
     edges = similar_links(keyed.select("text_key", "text"), nodes, shingle_words, similarity)
     discard(nodes)
