@@ -161,6 +161,23 @@ _LETTERS = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
 _JOINED = 256
 
 
+def _word_ends(spec: str) -> np.ndarray:
+    """Which ids end a pre-token, where the tokenizer treats words alike wherever they stand; else empty."""
+    from tokenizers import Tokenizer
+
+    parsed = json.loads(spec)
+    suffix = parsed["model"].get("end_of_word_suffix")
+    steps = [n["type"] for n in (parsed.get("normalizer") or {}).get("normalizers", [])]
+    cuts = [(c["type"], c.get("behavior"), c.get("add_prefix_space")) for c in (parsed.get("pre_tokenizer") or {}).get("pretokenizers", [])]
+    if not suffix or steps != ["NFC", "Replace", "Lowercase"] or cuts != [("Split", "Removed", None), ("ByteLevel", None, False)]:
+        return np.zeros(0, dtype=bool)
+    tokenizer = Tokenizer.from_str(spec)
+    ends = np.zeros(tokenizer.get_vocab_size(), dtype=bool)
+    for token, i in tokenizer.get_vocab(with_added_tokens=False).items():
+        ends[i] = token.endswith(suffix)
+    return ends
+
+
 class _Encoder:
     """Ids of a text as little-endian bytes.
 
@@ -170,20 +187,13 @@ class _Encoder:
     with the end mark say where each run ends.  Other tokenizers get whole texts.
     """
 
-    def __init__(self, spec: str, cache_words: int = CACHE_WORDS):
+    def __init__(self, spec: str, cache_words: int = CACHE_WORDS, ends: np.ndarray | None = None):
         from tokenizers import Tokenizer
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.tokenizer = Tokenizer.from_str(spec)
-        parsed = json.loads(spec)
-        suffix = parsed["model"].get("end_of_word_suffix")
-        steps = [n["type"] for n in (parsed.get("normalizer") or {}).get("normalizers", [])]
-        cuts = [(c["type"], c.get("behavior"), c.get("add_prefix_space")) for c in (parsed.get("pre_tokenizer") or {}).get("pretokenizers", [])]
-        self.by_word = bool(suffix) and steps == ["NFC", "Replace", "Lowercase"] and cuts == [("Split", "Removed", None), ("ByteLevel", None, False)]
-        if self.by_word:
-            self.ends = np.zeros(self.tokenizer.get_vocab_size(), dtype=bool)
-            for token, i in self.tokenizer.get_vocab(with_added_tokens=False).items():
-                self.ends[i] = token.endswith(suffix)
+        self.ends = _word_ends(spec) if ends is None else ends
+        self.by_word = len(self.ends) > 0
         self.cache_words = cache_words
         self.young: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
@@ -251,20 +261,20 @@ class _Encoder:
 _encoders: dict[str, _Encoder] = {}
 
 
-def _encoder(spec: str, cache_words: int) -> _Encoder:
+def _encoder(spec: str, ends: np.ndarray, cache_words: int) -> _Encoder:
     key = f"{cache_words} {md5(spec.encode()).hexdigest()}"
     if key not in _encoders:
         _encoders.clear()
-        _encoders[key] = _Encoder(spec, cache_words)
+        _encoders[key] = _Encoder(spec, cache_words, ends)
     return _encoders[key]
 
 
-def _segments(batches, spec: str, end_id: int, cache_words: int):
+def _segments(batches, spec: str, ends: np.ndarray, end_id: int, cache_words: int):
     before = gc.get_threshold()
     gc.set_threshold(200_000)  # nothing here makes cycles, and collections walk the lists of a batch
     try:
         with in_use(_encoders):
-            yield from _encoded_segments(batches, _encoder(spec, cache_words), end_id)
+            yield from _encoded_segments(batches, _encoder(spec, ends, cache_words), end_id)
     finally:
         gc.set_threshold(*before)
 
@@ -310,12 +320,14 @@ def write_token_files(
     spark = docs.sparkSession
     bound_batches(spark)
     with open(tokenizer_path, encoding="utf-8") as f:
-        spec = spark.sparkContext.broadcast(f.read())  # a vocabulary file: fixed size
+        spec = f.read()
+    # A vocabulary file: fixed size.  It is parsed here, once, so that workers hold no more than the tokenizer.
+    sent = spark.sparkContext.broadcast((spec, _word_ends(spec)))
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     # The last two keys only split many rows of one id between tasks.
     keyed = rows.withColumn("tie", F.xxhash64("text")).withColumn("part", F.spark_partition_id())
     dealt = keyed.repartitionByRange("id", "tie", "part").sortWithinPartitions("id", "tie")
-    dealt.select("id", "text").mapInArrow(lambda b: _segments(b, spec.value, end_id, cache_words), _SEGMENTS_DDL).write.parquet(f"{path}/segments")
+    dealt.select("id", "text").mapInArrow(lambda b: _segments(b, *sent.value, end_id, cache_words), _SEGMENTS_DDL).write.parquet(f"{path}/segments")
     shards = spark.read.parquet(f"{path}/segments").groupBy("shard").agg(F.sum("n_values").alias("n"))
     base, manifest = 0, []
     for r in sorted(shards.collect()):  # one row per written file
