@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from barloom.llm._arrow import numbers
 from barloom.llm._spark import SPACE_CLASS, bound_batches
 
 SYMBOLS = b"#*$%&|<>"
@@ -75,7 +76,7 @@ def measures(text: Column) -> Column:
     def measured(texts: pa.Array) -> pa.Array:
         rows = [base_measures(t) for t in texts.to_pylist()]
         names = [c.split()[0] for c in _BASE_DDL.split(", ")]
-        return pa.StructArray.from_arrays([pa.array([r[i] for r in rows], type=pa.int64()) for i in range(5)], names=names)
+        return pa.StructArray.from_arrays([numbers([r[i] for r in rows]) for i in range(5)], names=names)
 
     return measured(text)
 

@@ -30,6 +30,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from barloom.llm._arrow import binaries, flags, lists, numbers
 from barloom.llm._spark import bound_batches, cut, discard, stored
 from barloom.llm.substrings import word_hashes
 
@@ -107,7 +108,7 @@ def fingerprints(docs: DataFrame, id_col: str, text_col: str, shingle_words: int
             for lo in range(0, batch.num_rows, 512):
                 part = batch.slice(lo, 512)
                 fps = fingerprint_texts(part.column(1).cast(pa.binary()).to_pylist(), shingle_words)
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(fps)], names=["id", "fp"])
+                yield pa.RecordBatch.from_arrays([part.column(0), numbers(fps)], names=["id", "fp"])
 
     bound_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
@@ -290,7 +291,7 @@ def frequent_shingles(keyed: DataFrame, size: int, similarity: float) -> np.ndar
         for batch in batches:
             sets = [shingle_set(t, size) for t in _texts(batch.column(0))]
             parts = [x[: len(_prefix(x, similarity, none)) * 3 // 2].view(np.int64) for x in sets]
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([none.view(np.int64), *parts]))], names=["token"])
+            yield pa.RecordBatch.from_arrays([numbers(np.concatenate([none.view(np.int64), *parts]))], names=["token"])
 
     counted = keyed.select("text").mapInArrow(run, "token long").groupBy("token").agg(F.count("*").alias("n"))
     most = counted.where(F.col("n") > FREQUENT_FROM).orderBy(F.desc("n"), "token").limit(FREQUENT).select("token").collect()
@@ -317,8 +318,7 @@ def _set_prints(batches, size: int, similarity: float, frequent: np.ndarray):
                 wide.append(_xor_bitmap(shingles, WIDE).tobytes() if len(shingles) > WIDE_FROM else None)
             yield pa.RecordBatch.from_arrays(
                 [
-                    part.column(0), part.column(2), pa.array(nodes, pa.int64()), pa.array(sizes, pa.int64()),
-                    pa.array(prefixes, pa.list_(pa.int64())), pa.array(bits, pa.list_(pa.int64())), pa.array(wide, pa.binary()),
+                    part.column(0), part.column(2), numbers(nodes), numbers(sizes), lists(prefixes), lists(bits), binaries(wide),
                 ],
                 names=["id", "text_key", "node", "n", "prefix", "bits", "wide"],
             )
@@ -347,7 +347,7 @@ def _thinned(pairs: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame
                     continue
                 x, y = (np.frombuffer(b.as_buffer(), dtype=np.uint64) for b in (x, y))
                 keep.append(int(np.bitwise_count(x ^ y).sum()) * (1 + similarity) <= (1 - similarity) * total + 1e-6)
-            yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
+            yield batch.select([0, 1]).filter(flags(keep))
 
     wide = nodes.where("wide is not null")
     both = pairs.join(wide.select(F.col("node").alias("a"), F.col("wide").alias("x"), F.col("n").alias("xn")), "a", "left")
@@ -363,7 +363,7 @@ def _reaching(batches, similarity: float):
             x, y = (np.frombuffer(s.as_buffer(), dtype=np.uint64) for s in (x, y))
             both = len(np.intersect1d(x, y, assume_unique=True))
             good.append(both >= similarity * (len(x) + len(y) - both) - 1e-9)
-        yield batch.select([0, 1]).filter(pa.array(good, pa.bool_()))
+        yield batch.select([0, 1]).filter(flags(good))
 
 
 def _verified(pairs: DataFrame, nodes: DataFrame, rows: DataFrame, size: int, similarity: float) -> DataFrame:
@@ -376,8 +376,8 @@ def _verified(pairs: DataFrame, nodes: DataFrame, rows: DataFrame, size: int, si
     def run(batches):
         for batch in batches:
             sets = [shingle_set(t, size) for t in batch.column(1).cast(pa.binary()).to_pylist()]
-            same = pa.array([_set_key(s) == node for s, node in zip(sets, batch.column(0).to_pylist(), strict=True)], pa.bool_())
-            out = pa.RecordBatch.from_arrays([batch.column(0), pa.array([s.tobytes() for s in sets], pa.binary())], names=["node", "shingles"])
+            same = flags([_set_key(s) == node for s, node in zip(sets, batch.column(0).to_pylist(), strict=True)])
+            out = pa.RecordBatch.from_arrays([batch.column(0), binaries([s.tobytes() for s in sets])], names=["node", "shingles"])
             yield out.filter(same)
 
     texts = rows.join(wanted, "text_key").select("node", "text")
@@ -400,30 +400,30 @@ def similar_links(rows: DataFrame, nodes: DataFrame, size: int, similarity: floa
     # A member has company if the list goes on before or after it: one shuffle of (token, node), and most tokens end here.
     by_token = Window.partitionBy("token").orderBy("node")
     listed = postings.select("token", "node", F.coalesce(F.lag("node").over(by_token), F.lead("node").over(by_token)).alias("other"))
-    lists = cut(listed.where("other is not null").select("token", "node").join(nodes.select("node", "n", "bits"), "node"))
+    postings = cut(listed.where("other is not null").select("token", "node").join(nodes.select("node", "n", "bits"), "node"))
     reach = _may_reach(similarity)
     pair = [F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")]
 
     # Another hub for each shingle: where it has only a passage in common with the others, other lists have better ones.
     ranked = Window.partitionBy("token").orderBy(F.xxhash64("token", "node"), "node")
     hub = F.first(F.struct("node", "n", "bits")).over(ranked)
-    spokes = lists.select("token", F.struct("node", "n", "bits").alias("x"), hub.alias("y")).where((F.col("x.node") != F.col("y.node")) & reach)
+    spokes = postings.select("token", F.struct("node", "n", "bits").alias("x"), hub.alias("y")).where((F.col("x.node") != F.col("y.node")) & reach)
     tested = cut(_thinned(spokes.select(*pair).distinct(), nodes, similarity))
     edges = None if tested.isEmpty() else _verified(tested, nodes, rows, size, similarity)
     if edges is None:
-        grouped = lists.withColumn("group", F.col("node"))
+        grouped = postings.withColumn("group", F.col("node"))
     else:
         groups = components(edges)
         if groups.count() <= BROADCAST_NODES:
             groups = F.broadcast(groups)
-        grouped = lists.join(groups, "node", "left").withColumn("group", F.coalesce("root", "node")).drop("root")
+        grouped = postings.join(groups, "node", "left").withColumn("group", F.coalesce("root", "node")).drop("root")
 
     # Both sides are one exchange; AQE splits a list that outgrows its task.
     x, y = grouped.alias("x"), grouped.alias("y")
     rest = x.join(y, [F.col("x.token") == F.col("y.token"), F.col("x.node") < F.col("y.node"), F.col("x.group") != F.col("y.group"), reach])
     rest = rest.select(*pair).distinct().join(tested, ["a", "b"], "left_anti")
     rest = cut(_thinned(rest, nodes, similarity))
-    discard(lists)
+    discard(postings)
     if rest.isEmpty():
         return edges
     more = _verified(rest, nodes, rows, size, similarity)

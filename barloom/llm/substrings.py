@@ -14,7 +14,8 @@ window over it also starts in a document with a smaller id.
    units: matching statistics tell for every window whether, and in which
    document first, the words already stood.  Units that bring new windows are
    added; ids ascend, so a state's first document is its smallest.
-   Shards beyond ``MAX_UNITS`` distinct units are split by window instead.
+   Anchors beyond ``MAX_UNITS`` distinct units are split by a hash of the whole
+   window, so no shard outgrows a task; every window is decided by an automaton.
 4. Every distinct window then has one owner, the smallest id that holds it.
    Documents learn the windows they own and drop the words of all others
    that are shared; maximal spans are the unions of such windows.
@@ -248,7 +249,7 @@ def _stream_shards(batches, window: int):
     shard, automaton = None, SuffixAutomaton()
     for batch in batches:
         rows = []
-        for h, unit, text, doc in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
+        for h, unit, text, doc, at in zip(*(batch.column(i).to_pylist() for i in range(5)), strict=True):
             if h != shard:
                 shard, automaton = h, SuffixAutomaton()
             words = text.encode().split()
@@ -256,7 +257,7 @@ def _stream_shards(batches, window: int):
             if -1 in owners:  # new material joins the reference
                 automaton.add(words, doc)
                 owners = [doc if x == -1 else x for x in owners]
-            rows += [(owner, unit, a, b) for owner, a, b in _owned_runs(owners)]
+            rows += [(owner, unit, at + a, at + b) for owner, a, b in _owned_runs(owners)]
         columns = list(zip(*rows, strict=True)) if rows else [[], [], [], []]
         yield pa.RecordBatch.from_arrays(
             [pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int64()), pa.array(columns[2], pa.int32()), pa.array(columns[3], pa.int32())],
@@ -321,18 +322,14 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     units = stored(units.groupBy("h", "words").agg(F.min("id").alias("id")), "units")
     sizes = units.groupBy("h").agg(F.count("*").alias("n"))
     sized = units.join(sizes, "h").withColumn("unit", F.xxhash64("words"))
-    # One distinct unit: nothing to stream past it, its smallest id owns every window.
-    single = sized.where("n = 1").select("id", "unit", F.lit(0).alias("first"), (F.size(F.split("words", " ")) - (window - 1)).alias("last"))
-    shards = sized.where(F.col("n").between(2, MAX_UNITS)).select("h", "unit", "words", "id")
-    streamed = shards.repartition("h").sortWithinPartitions("h", "id").mapInArrow(
-        lambda b: _stream_shards(b, window), "id long, unit long, first int, last int"
-    )
+    whole = sized.where(F.col("n") <= MAX_UNITS).select("h", "unit", "words", "id", F.lit(0).alias("at"))
+    # An anchor with very many units: every window is dealt by a hash of itself, and streamed like a unit.
     apart = sized.where(F.col("n") > MAX_UNITS).select("unit", "id", F.split("words", " ").alias("w"))
-    apart = apart.select("unit", "id", "w", F.explode(F.sequence(F.lit(0), F.size("w") - window)).alias("first"))
-    apart = apart.select("unit", "id", "first", F.array_join(F.slice("w", F.col("first") + 1, window), " ").alias("words"))
-    owners = apart.groupBy("words").agg(F.min("id").alias("owner"))
-    split = apart.join(owners, "words").select(F.col("owner").alias("id"), "unit", "first", (F.col("first") + 1).alias("last"))
-    owned = single.unionByName(streamed).unionByName(split).groupBy("id").agg(F.collect_set(F.struct("unit", "first", "last")).alias("owned"))
+    apart = apart.select("unit", "id", "w", F.explode(F.sequence(F.lit(0), F.size("w") - window)).alias("at"))
+    apart = apart.select("unit", "id", "at", F.array_join(F.slice("w", F.col("at") + 1, window), " ").alias("words")).withColumn("h", F.xxhash64("words"))
+    shards = whole.unionByName(apart).repartition("h").sortWithinPartitions("h", "id")
+    streamed = shards.mapInArrow(lambda b: _stream_shards(b, window), "id long, unit long, first int, last int")
+    owned = streamed.groupBy("id").agg(F.collect_set(F.struct("unit", "first", "last")).alias("owned"))
     known = stored(marks.join(owned, "id", "left"), "owned")
     discard(marks, units)
     stripped = rows.join(known, "id", "left").select("id", "text", "marks", "owned").mapInArrow(

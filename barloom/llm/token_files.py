@@ -32,6 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from barloom.llm._arrow import binaries, lists, numbers
 from barloom.llm._spark import bound_batches, fresh_path, in_use, shared_dir
 
 BLOCK = 1024
@@ -279,6 +280,14 @@ def _segments(batches, spec: str, ends: np.ndarray, end_id: int, cache_words: in
         gc.set_threshold(*before)
 
 
+def _id_list(ids: list[int | None]) -> pa.Array:
+    """One list of ids, any of them null."""
+    known = np.fromiter((i is not None for i in ids), dtype=bool, count=len(ids))
+    flat = np.fromiter((i or 0 for i in ids), dtype=np.int64, count=len(ids))
+    child = pa.Array.from_buffers(pa.int64(), len(ids), [pa.py_buffer(np.packbits(known, bitorder="little")), pa.py_buffer(flat)])
+    return pa.Array.from_buffers(pa.list_(pa.int64()), 1, [None, pa.py_buffer(np.array([0, len(ids)], dtype=np.int32))], children=[child])
+
+
 def _encoded_segments(batches, encoder: _Encoder, end_id: int):
     shard = TaskContext.get().partitionId()
     end = np.array([end_id], dtype="<u4").tobytes()
@@ -287,9 +296,11 @@ def _encoded_segments(batches, encoder: _Encoder, end_id: int):
 
     def segment():
         ids = np.frombuffer(b"".join(parts), dtype="<u4")
-        row = {"shard": shard, "seq": seq, "first": first, "n_values": len(ids), "doc_ids": doc_ids, "lengths": [len(p) // 4 for p in parts]}
-        row |= {k: v if k == "payload" else v.tolist() for k, v in encode_blocks(ids).items()}
-        return pa.RecordBatch.from_pylist([row], schema=SEGMENTS)
+        blocks = encode_blocks(ids)
+        columns = [numbers([shard], np.int32), numbers([seq], np.int32), numbers([first]), numbers([len(ids)]), _id_list(doc_ids), lists([[len(p) // 4 for p in parts]])]
+        columns += [lists([blocks["bases"]]), lists([blocks["widths"]], np.int32), lists([blocks["block_offsets"]]), binaries([blocks["payload"]])]
+        columns += [lists([blocks["patch_at"]], np.int32), lists([blocks["patch_high"]])]
+        return pa.RecordBatch.from_arrays(columns, schema=SEGMENTS)
 
     for batch in batches:
         raw = batch.column(1).cast(pa.binary())
@@ -348,9 +359,9 @@ def _documents(batches):
             lengths = np.asarray(row["lengths"].values, dtype=np.int64)
             ends = np.cumsum(lengths)
             starts = ends - lengths
-            tokens = pa.array([raw[4 * a : 4 * b] for a, b in zip(starts, ends, strict=True)], type=pa.binary())
+            tokens = binaries([raw[4 * a : 4 * b] for a, b in zip(starts, ends, strict=True)])
             yield pa.RecordBatch.from_arrays(
-                [row["doc_ids"].values, pa.array(starts + row["base"].as_py() + row["first"].as_py()), pa.array(lengths), tokens],
+                [row["doc_ids"].values, numbers(starts + row["base"].as_py() + row["first"].as_py()), numbers(lengths), tokens],
                 names=["id", "start", "n_tokens", "token_ids"],
             )
 
