@@ -35,8 +35,8 @@ def boilerplate_lines(lines: DataFrame, min_sites: int) -> DataFrame:
     margin = max(2, math.ceil(5 * 1.04 / 2 ** (LG_K / 2) * min_sites))
     judged = cut(sketched.where(F.col("estimate") >= min_sites - margin))
     near = judged.where(F.col("estimate") <= min_sites + margin).select("line")
-    # Distinct pairs first: a hot line is then as many rows as it has sites.
-    exact = lines.join(near, "line").distinct().groupBy("line").agg(F.count("*").alias("n")).where(F.col("n") >= min_sites)
+    # Distinct pairs before the join: a hot line is then as many rows as it has sites.
+    exact = lines.distinct().join(near, "line", "left_semi").groupBy("line").agg(F.count("*").alias("n")).where(F.col("n") >= min_sites)
     sure = judged.where(F.col("estimate") > min_sites + margin).select("line")
     return sure.unionByName(exact.select("line"))
 
