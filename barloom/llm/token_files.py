@@ -39,7 +39,7 @@ BLOCK = 1024
 SEGMENT_IDS = 1 << 17
 PERCENTILE = 95.0
 #: Distinct words kept by one Python worker, in two generations.
-CACHE_WORDS = 1_000_000
+CACHE_WORDS = 1_500_000
 
 SEGMENTS = pa.schema(
     [
