@@ -1,20 +1,19 @@
 """A quality classifier on supervised subword embeddings.
 
 Every word stands for itself and for its character n-grams (``<`` and ``>``
-mark its ends), hashed into one table of learned vectors; of word bigrams the
-pattern "the same word again" is a feature of its own.  A document
-is the mean of the vectors of all its features, a softmax over it the output.
+mark its ends), and every two neighbouring words for their bigram, all hashed
+into one table of learned vectors.  A document is the mean of the vectors of
+all its features, a softmax over it the output.  A word has some ten features
+and a bigram is one, so bigrams count ``PAIR_WEIGHT`` times in the mean.
 Training is numpy stochastic gradient descent over a bounded sample of
 labelled rows, in one task on an executor; only the trained table reaches the
 driver.  Since mean and output are linear, scoring needs one number a feature,
-and that of a word is kept in a bounded cache: no text is cut.
+and that of a word is kept in a bounded cache: no text is cut.  Bytes that are
+not UTF-8 read as U+FFFD.
 """
 
 from __future__ import annotations
 
-from itertools import islice
-from operator import eq
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -26,22 +25,30 @@ from barloom.llm._spark import bound_batches
 BUCKETS = 1 << 16
 DIM = 16
 GRAMS = (3, 4, 5)
-EPOCHS = 4
-RATE = 0.5
+EPOCHS = 8
+RATE = 1.0
 #: Labelled rows that training uses, those with the smallest hash of their id.
 TRAIN_ROWS = 3000
 CACHE_WORDS = 400_000
-#: The repeated-word bigram has the row after the hashed ones and counts as so many features.
-REPEAT, REPEAT_WEIGHT = BUCKETS, 8
+#: Words looked up at once.
+PART = 100_000
+#: How often a word bigram counts in a document's mean.
+PAIR_WEIGHT = 8
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
-def word_features(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Bucket numbers of all features of all words, flat, and how many each word has (at least one)."""
-    text = "".join([f"<{w.decode()}>" for w in words])
+def _buckets(key: np.ndarray) -> np.ndarray:
+    key = (key ^ (key >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
+    return ((key ^ (key >> np.uint64(29))) & np.uint64(BUCKETS - 1)).astype(np.int64)
+
+
+def word_features(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Bucket numbers of all features of all words, flat, how many each word has (at least one), and each word's own key."""
+    spelled = [w.decode(errors="replace") for w in words]
+    text = "".join([f"<{w}>" for w in spelled])
     chars = np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32).astype(np.uint64)
-    sizes = np.fromiter((len(w.decode()) + 2 for w in words), dtype=np.int64, count=len(words))
+    sizes = np.fromiter((len(w) + 2 for w in spelled), dtype=np.int64, count=len(words))
     ends = np.cumsum(sizes)
     starts = ends - sizes
     owner = np.repeat(np.arange(len(words)), sizes)
@@ -61,16 +68,17 @@ def word_features(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     place = np.arange(len(chars)) - np.repeat(starts, sizes)
     powers = np.multiply.accumulate(np.concatenate([[np.uint64(1)], np.full(max(sizes.max(initial=1) - 1, 0), _STEP)]).astype(np.uint64))
     np.cumsum(chars * powers[place], out=sums[1:])
-    keys.append(sums[ends] - sums[starts] + np.uint64(77))
+    own_keys = sums[ends] - sums[starts] + np.uint64(77)
+    keys.append(own_keys)
     owners.append(np.arange(len(words)))
     key, own = np.concatenate(keys), np.concatenate(owners)
-    key = (key ^ (key >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
-    bucket = ((key ^ (key >> np.uint64(29))) & np.uint64(BUCKETS - 1)).astype(np.int64)
-    return bucket[np.argsort(own, kind="stable")], np.bincount(own, minlength=len(words))
+    return _buckets(key)[np.argsort(own, kind="stable")], np.bincount(own, minlength=len(words)), own_keys
 
 
-def repeated_pairs(words: list[bytes]) -> int:
-    return sum(map(eq, words, islice(words, 1, None)))
+def pair_features(keys: np.ndarray) -> np.ndarray:
+    """Bucket numbers of the bigrams of words with these keys, in order."""
+    first = keys[:-1]
+    return _buckets((first ^ (first >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD) + keys[1:])
 
 
 def document_features(text: bytes) -> tuple[np.ndarray, np.ndarray]:
@@ -79,12 +87,10 @@ def document_features(text: bytes) -> tuple[np.ndarray, np.ndarray]:
     if not words:
         return np.empty(0, np.int64), np.empty(0, np.float32)
     distinct: dict[bytes, int] = {}
-    for w in words:
-        distinct[w] = distinct.get(w, 0) + 1
-    buckets, sizes = word_features(list(distinct))
-    counts = np.repeat(np.fromiter(distinct.values(), dtype=np.int64, count=len(distinct)), sizes)
-    total = np.bincount(buckets, weights=counts, minlength=BUCKETS + 1)
-    total[REPEAT] = REPEAT_WEIGHT * repeated_pairs(words)
+    at = np.fromiter((distinct.setdefault(w, len(distinct)) for w in words), dtype=np.int64, count=len(words))
+    buckets, sizes, keys = word_features(list(distinct))
+    total = np.bincount(buckets, weights=np.repeat(np.bincount(at), sizes), minlength=BUCKETS)
+    total += PAIR_WEIGHT * np.bincount(pair_features(keys[at]), minlength=BUCKETS)
     used = np.flatnonzero(total)
     return used, (total[used] / total.sum()).astype(np.float32)
 
@@ -97,9 +103,9 @@ def train(texts: list[bytes], labels: list[int], seed: int = 7) -> tuple[np.ndar
     y = np.array(labels, dtype=np.int64)
     share = (y.sum() + 1) / (len(y) + 2)
     if len(set(labels)) < 2:
-        return np.zeros(BUCKETS + 1), float(np.log(share / (1 - share)))
+        return np.zeros(BUCKETS), float(np.log(share / (1 - share)))
     rng = np.random.default_rng(seed)
-    vectors = rng.uniform(-1 / DIM, 1 / DIM, (BUCKETS + 1, DIM)).astype(np.float32)
+    vectors = rng.uniform(-1 / DIM, 1 / DIM, (BUCKETS, DIM)).astype(np.float32)
     out, bias = np.zeros((2, DIM), dtype=np.float32), np.zeros(2, dtype=np.float32)
     docs = [document_features(t) for t in texts]
     weight = np.array([0.5 / (1 - y.mean()), 0.5 / y.mean()], dtype=np.float32)
@@ -129,20 +135,26 @@ class Scorer:
 
     def __init__(self, slope: np.ndarray, bias: float):
         self.slope, self.bias = slope, bias
-        self.known: dict[bytes, complex] = {}
+        self.known: dict[bytes, int] = {}  # word -> its row of the arrays
+        self.sums = np.empty(CACHE_WORDS + PART)
+        self.sizes = np.empty(CACHE_WORDS + PART, dtype=np.int64)
+        self.keys = np.empty(CACHE_WORDS + PART, dtype=np.uint64)
 
     def _learn(self, words: list[bytes]) -> None:
-        buckets, sizes = word_features(words)
-        sums = np.add.reduceat(self.slope[buckets], np.cumsum(sizes) - sizes)
-        self.known.update(zip(words, (sums + 1j * sizes).tolist(), strict=True))
+        buckets, sizes, keys = word_features(words)
+        lo = len(self.known)
+        hi = lo + len(words)
+        self.sums[lo:hi] = np.add.reduceat(self.slope[buckets], np.cumsum(sizes) - sizes)
+        self.sizes[lo:hi], self.keys[lo:hi] = sizes, keys
+        self.known.update(zip(words, range(lo, hi), strict=True))
 
     def score(self, texts: list[bytes]) -> np.ndarray:
-        sums = np.zeros(len(texts), dtype=complex)
+        sums, sizes = np.zeros(len(texts)), np.zeros(len(texts))
         for i, text in enumerate(texts):
             words = text.split()
-            sums[i] = REPEAT_WEIGHT * repeated_pairs(words) * (self.slope[REPEAT] + 1j)
-            for lo in range(0, len(words), 100_000):
-                part = words[lo : lo + 100_000]
+            last = np.empty(0, dtype=np.uint64)  # the word before this part
+            for lo in range(0, len(words), PART):
+                part = words[lo : lo + PART]
                 found = list(map(self.known.get, part))
                 if None in found:
                     missing = {w for w, v in zip(part, found, strict=True) if v is None}
@@ -150,8 +162,13 @@ class Scorer:
                         self.known, missing = {}, set(part)
                     self._learn(list(missing))
                     found = list(map(self.known.__getitem__, part))
-                sums[i] += sum(found)
-        odds = self.bias + sums.real / np.maximum(sums.imag, 1)
+                at = np.array(found)
+                keys = np.concatenate([last, self.keys[at]])
+                pairs = self.slope[pair_features(keys)]
+                sums[i] += self.sums[at].sum() + PAIR_WEIGHT * pairs.sum()
+                sizes[i] += self.sizes[at].sum() + PAIR_WEIGHT * len(pairs)
+                last = keys[-1:]
+        odds = self.bias + sums / np.maximum(sizes, 1)
         return 1 / (1 + np.exp(-np.clip(odds, -700, 700)))
 
 
@@ -207,7 +224,7 @@ def fit(
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     sample = texts.join(F.broadcast(drawn), "id").orderBy("id", F.xxhash64("text"), "text").limit(train_rows).select("text", "label")
     model = sample.coalesce(1).mapInArrow(lambda b: _fit(b, seed), "model binary").collect()
-    return bytes(model[0].model) if model else np.zeros(BUCKETS + 2).tobytes()
+    return bytes(model[0].model) if model else np.zeros(BUCKETS + 1).tobytes()
 
 
 def score(docs: DataFrame, model: bytes, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.3) -> DataFrame:
@@ -217,7 +234,7 @@ def score(docs: DataFrame, model: bytes, id_col: str = "doc_id", text_col: str =
     scores; an empty table gives none; other columns are ignored.
     """
     bound_batches(docs.sparkSession)
-    sent = docs.sparkSession.sparkContext.broadcast(model)  # BUCKETS + 2 doubles
+    sent = docs.sparkSession.sparkContext.broadcast(model)  # BUCKETS + 1 doubles
 
     @F.arrow_udf("double")
     def scored(texts: pa.Array) -> pa.Array:
