@@ -187,6 +187,19 @@ def time_bars(ticks: DataFrame, minutes: int) -> DataFrame:
     return grouped.select("symbol", F.col("w.start").alias("open_time"), F.col("w.end").alias("close_time"), "open", "high", "low", "close", "n_ticks", "volume", "dollar")
 
 
+def threshold_bars(ticks: DataFrame, scope: list[str], threshold: float, column: str | None = None) -> DataFrame:
+    """Bars of ``threshold`` ticks, or of so much of ``column``; the last bar of a scope may hold less.
+
+    A tick belongs to the bar in which what came before it ends, so a tick that
+    crosses a multiple closes its bar.  Null amounts count as nothing.
+    """
+    w = Window.partitionBy(*scope).orderBy("ts", "id")
+    amount = F.coalesce(F.col(column), F.lit(0.0)) if column else F.lit(1.0)
+    before = F.sum(amount).over(w) - amount
+    cut = ticks.withColumn("bar", F.floor(before / threshold))
+    return cut.groupBy(*scope, "bar").agg(F.min("ts").alias("open_time"), F.max("ts").alias("close_time"), *_ohlcv())
+
+
 def day_bars(ticks: DataFrame) -> DataFrame:
     grouped = ticks.groupBy("symbol", F.to_date("ts").alias("day")).agg(F.min("ts").alias("open_time"), F.max("ts").alias("close_time"), *_ohlcv())
     return grouped

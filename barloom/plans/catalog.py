@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barloom.functions import stats
-from barloom.operators import bars, features, joins, quality, search, ticks, winsor
+from barloom.operators import bars, features, joins, quality, search, studies, ticks, winsor
 from barloom.plans import pipelines
 from barloom.sources import sinks, tables
 from barloom.streaming import stream
@@ -529,12 +529,72 @@ def study_exists(spark, sf):
 _GRID = [(0, 0.9, 30.0), (1, 0.9, 60.0), (2, 0.95, 30.0)]
 
 
-@query("WITH RECURSIVE " + f"{_CLEAN}, {_DIRECTION}, " + ", ".join(
+_GRID_SQL = f"{_CLEAN}, {_DIRECTION}, " + ", ".join(
     f"p{i} AS (WITH RECURSIVE {_fold_sql('run', 'symbol', lam, t, 20)} SELECT {i} AS param_id, {lam}::DOUBLE AS exp_lambda, {t}::DOUBLE AS init_exp_t, symbol, count(*) AS bars, avg(n_ticks) AS mean_ticks FROM folded GROUP BY symbol)"
-    for i, lam, t in _GRID) + " SELECT * FROM p0 UNION ALL SELECT * FROM p1 UNION ALL SELECT * FROM p2", "exp_lambda init_exp_t mean_ticks")
+    for i, lam, t in _GRID) + ", found AS (SELECT * FROM p0 UNION ALL SELECT * FROM p1 UNION ALL SELECT * FROM p2)"
+
+
+def _grid(spark):
+    return spark.createDataFrame(_GRID, "param_id int, exp_lambda double, init_exp_t double")
+
+
+@query(f"WITH RECURSIVE {_GRID_SQL} SELECT * FROM found", "exp_lambda init_exp_t mean_ticks")
 def grid_search_leaderboard(spark, sf):
-    params = spark.createDataFrame(_GRID, "param_id int, exp_lambda double, init_exp_t double")
-    return search.search_run_bars(ticks.with_direction(clean(spark, sf), ["symbol"]), params, ["symbol"], 20)
+    return search.search_run_bars(ticks.with_direction(clean(spark, sf), ["symbol"]), _grid(spark), ["symbol"], 20)
+
+
+@query(f"""WITH RECURSIVE {_GRID_SQL} SELECT *, bars >= 40 AS meets FROM found SEMI JOIN (SELECT symbol FROM clean GROUP BY 1 HAVING count(*) >= 100) t USING (symbol)
+WHERE bars >= 5 QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY bars DESC, param_id) = 1""", "exp_lambda init_exp_t mean_ticks")
+def scope_search(spark, sf):
+    return studies.day_search(ticks.with_direction(clean(spark, sf), ["symbol"]), _grid(spark), ["symbol"], 20)
+
+
+_CONFIGS = ", ".join(f"({lam}::DOUBLE, {t}::DOUBLE)" for lam, t in studies.DIAGNOSTIC_GRID)
+
+
+@query(f"""WITH {_DAYS}, t AS (SELECT symbol, day, bars + 10 >= 60 + init_exp_t / 500 AS succeeded FROM days, (VALUES {_CONFIGS}) p(exp_lambda, init_exp_t)),
+a AS (SELECT symbol, count(*) AS tests, count(*) FILTER (succeeded) AS successes, count(DISTINCT day) AS days, count(DISTINCT day) FILTER (NOT succeeded) AS failed_days, count(*) FILTER (succeeded) / count(*) AS success_rate FROM t GROUP BY 1),
+b AS (SELECT *, CASE WHEN success_rate >= 0.8 THEN 'EXCELLENT' WHEN success_rate >= 0.6 THEN 'GOOD' WHEN success_rate >= 0.4 THEN 'FAIR' ELSE 'POOR' END AS assessment, failed_days / days AS failed_day_ratio,
+  CASE WHEN success_rate >= 0.8 THEN 1.0 WHEN success_rate >= 0.6 THEN 0.9 WHEN success_rate >= 0.4 THEN 0.85 ELSE 0.8 END::DOUBLE AS demand FROM a)
+SELECT * REPLACE (CASE WHEN failed_days >= 3 AND demand >= 0.9 THEN greatest(0.8, demand * 0.85) ELSE demand END::DOUBLE AS demand) FROM b""", "success_rate failed_day_ratio demand")
+def period_diagnostic(spark, sf):
+    tests = _days(spark, sf).crossJoin(F.broadcast(studies.diagnostic_grid(spark)))  # five candidates
+    return studies.diagnose(tests.withColumn("succeeded", F.col("bars") + 10 >= 60 + F.col("init_exp_t") / 500), ["symbol"])
+
+
+@query(f"""WITH {_DAYS}, x AS (SELECT symbol, exp_lambda, init_exp_t, CASE WHEN bars >= 50 THEN quality * exp_lambda END AS quality_score, bars, quality / 100 AS abs_acf_lag1, bars / 100 AS cv_ticks, quality > 100 * exp_lambda AS is_stationary, close / 100 AS std_return, quality / close AS sharpe_ratio
+  FROM days, (VALUES {_CONFIGS}) p(exp_lambda, init_exp_t))
+SELECT symbol, exp_lambda, init_exp_t, avg(quality_score) AS quality_score_mean, stddev_samp(quality_score) AS quality_score_std, count(quality_score) AS n_days, avg(abs_acf_lag1) AS abs_acf_lag1, avg(cv_ticks) AS cv_ticks, avg(std_return) AS std_return,
+  avg(sharpe_ratio) AS sharpe_ratio, avg(bars) AS n_bars_mean, stddev_samp(bars) AS n_bars_std, count(*) FILTER (is_stationary) / count(*) AS stationary_ratio, count(quality_score) / 31 AS completion_rate FROM x GROUP BY 1, 2, 3""",
+    "quality_score_mean quality_score_std abs_acf_lag1 cv_ticks std_return sharpe_ratio n_bars_mean n_bars_std stationary_ratio completion_rate")
+def grid_aggregation(spark, sf):
+    q, lam = F.col("quality"), F.col("exp_lambda")
+    days = _days(spark, sf).crossJoin(F.broadcast(studies.diagnostic_grid(spark).drop("param_id")))  # five candidates
+    results = days.withColumns({
+        "quality_score": F.when(F.col("bars") >= 50, q * lam), "abs_acf_lag1": q / 100, "cv_ticks": F.col("bars") / 100,
+        "is_stationary": q > 100 * lam, "std_return": F.col("close") / 100, "sharpe_ratio": q / F.col("close"),
+    })
+    return studies.aggregate_grid(results, 31)
+
+
+_STUDY = f"{_TRIALS}, studied AS (SELECT trial % 4 AS study, trial, CASE WHEN trial % 11 = 5 THEN 'FAIL' WHEN validation_score IS NULL THEN 'PRUNED' ELSE 'COMPLETE' END AS state, round(validation_score, 2) AS value FROM trials)"
+
+
+def _studied(spark, sf):
+    state = F.when(F.col("trial") % 11 == 5, "FAIL").when(F.col("validation_score").isNull(), "PRUNED").otherwise("COMPLETE")
+    return _trials(spark, sf).select((F.col("trial") % 4).alias("study"), "trial", state.alias("state"), F.round("validation_score", 2).alias("value"))
+
+
+@query(f"""WITH {_STUDY}, b AS (SELECT study, trial, value FROM studied WHERE state = 'COMPLETE' AND value IS NOT NULL QUALIFY row_number() OVER (PARTITION BY study ORDER BY value DESC, trial) = 1)
+SELECT study, count(*) AS trials, count(*) FILTER (state = 'COMPLETE') AS complete, count(*) FILTER (state = 'FAIL') AS fail, count(*) FILTER (state = 'PRUNED') AS pruned, any_value(b.trial) AS best_trial, any_value(b.value) AS best_value
+FROM studied LEFT JOIN b USING (study) GROUP BY 1""", "best_value:2")
+def study_overview(spark, sf):
+    return studies.overview(_studied(spark, sf), ["study"])
+
+
+@query(f"WITH {_STUDY} SELECT *, row_number() OVER (PARTITION BY study ORDER BY value DESC NULLS LAST, trial)::INTEGER AS rank FROM studied QUALIFY rank <= 10", "value:2")
+def study_top_trials(spark, sf):
+    return studies.top_trials(_studied(spark, sf), ["study"])
 
 
 # -- quality ------------------------------------------------------------------
@@ -845,6 +905,18 @@ def bar_type_comparison(spark, sf):
     return out
 
 
+@query(f"""WITH {_CLEAN}, c AS (SELECT *, floor((sum(quantity) OVER (PARTITION BY symbol ORDER BY ts, id ROWS UNBOUNDED PRECEDING) - quantity) / 5000)::BIGINT AS bar FROM clean)
+SELECT symbol, bar, min(ts) AS open_time, max(ts) AS close_time, first(price ORDER BY ts, id) AS open, max(price) AS high, min(price) AS low, last(price ORDER BY ts, id) AS close, count(*) AS n_ticks, sum(quantity) AS volume, sum(dollar) AS dollar FROM c GROUP BY 1, 2""", _OHLC)
+def volume_bars(spark, sf):
+    return bars.threshold_bars(clean(spark, sf), ["symbol"], 5000, "quantity")
+
+
+@query(f"""WITH {_CLEAN}, c AS (SELECT *, (row_number() OVER (PARTITION BY symbol ORDER BY ts, id) - 1) // 50 AS bar FROM clean)
+SELECT symbol, bar, min(ts) AS open_time, max(ts) AS close_time, first(price ORDER BY ts, id) AS open, max(price) AS high, min(price) AS low, last(price ORDER BY ts, id) AS close, count(*) AS n_ticks, sum(quantity) AS volume, sum(dollar) AS dollar FROM c GROUP BY 1, 2""", _OHLC)
+def tick_count_bars(spark, sf):
+    return bars.threshold_bars(clean(spark, sf), ["symbol"], 50)
+
+
 # -- store and pipelines ------------------------------------------------------
 
 

@@ -81,3 +81,21 @@ def replace_and_rotate(old: DataFrame, new: DataFrame, keep: int = 300) -> DataF
 def dataset_name(symbol: str, year: int, months: list[int] | None = None) -> str:
     """Runs over some months never take the annual name."""
     return f"{symbol}_{year}" + (f"_months_{'_'.join(f'{m:02d}' for m in months)}" if months else "")
+
+
+def write_daily_files(bars: DataFrame, path: str, interval: str | None = None, time: str = "open_time") -> None:
+    """A folder a symbol and date (and interval); days that are already there are left as they are."""
+    keys = ("symbol", "interval", "date") if interval else ("symbol", "date")
+    dated = bars.withColumn("date", F.to_date(time))
+    append_missing_days(dated.withColumn("interval", F.lit(interval)) if interval else dated, path, keys)
+
+
+def write_report(report: DataFrame, path: str, kind: str = "csv") -> None:
+    """A report, a row a day or a study, as one CSV or JSON-lines file that replaces an older one."""
+    writer = report.coalesce(1).write.mode("overwrite")
+    if kind == "csv":
+        writer.option("header", True).csv(path)
+    elif kind == "json":
+        writer.option("ignoreNullFields", False).json(path)
+    else:
+        raise ValueError(f"no writer for {kind}")

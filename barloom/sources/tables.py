@@ -85,6 +85,37 @@ def bars_of_year(store: DataFrame, symbol: str, year: int) -> DataFrame:
     return store.where((F.col("symbol") == symbol) & (F.col("open_time") >= start) & (F.col("open_time") < end))
 
 
+def of_period(store: DataFrame, symbol: str | None = None, period: str | None = None) -> DataFrame:
+    """Rows of a store keyed by symbol and period (studies, failed days, summaries); None is any."""
+    for column, wanted in (("symbol", symbol), ("period", period)):
+        if wanted is not None:
+            store = store.where(F.col(column) == wanted)
+    return store
+
+
+def positioning_between(store: DataFrame, symbol: str, first: str, last: str) -> DataFrame:
+    """Positioning of a symbol by funding time, both ends included."""
+    return store.where((F.col("symbol") == symbol) & F.col("funding_time").between(F.lit(first).cast("timestamp_ntz"), F.lit(last).cast("timestamp_ntz")))
+
+
+def available_datasets(spark: SparkSession, path: str) -> list[tuple[str, int]]:
+    """``(symbol, year)`` of every annual dataset ``path/<year>/<symbol>_<year>.parquet``, in order.
+
+    Datasets over some months and reports are left out.  Only names are listed, through Hadoop's file system.
+    """
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = hadoop.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = []
+    for folder in fs.listStatus(hadoop) if fs.exists(hadoop) else []:
+        if not (folder.isDirectory() and folder.getPath().getName().isdigit()):
+            continue
+        for entry in fs.listStatus(folder.getPath()):
+            symbol, _, year = entry.getPath().getName().removesuffix(".parquet").rpartition("_")
+            if entry.getPath().getName().endswith(".parquet") and symbol and year.isdigit() and "_months" not in symbol:
+                found.append((folder.getPath().getName(), symbol, int(year)))
+    return [(symbol, year) for _, symbol, year in sorted(found)]
+
+
 def read_trade_csv(spark: SparkSession, path: str, header: bool = False) -> DataFrame:
     """Exchange trade files: typed columns, unit of time found from the file, rows without a time dropped.
 
