@@ -4,7 +4,9 @@ A pre-token is a word (no ASCII white space) after the mark U+2581.  Its count
 is the number of pieces in its most probable segmentation.  Forward scores
 depend on the prefix alone, so distinct pre-tokens are inserted into one trie
 and each node's best score and count are worked out once, from the pieces that
-end there; the node where a pre-token ends stores its count.  Documents then
+end there; a node also keeps the positions from which its prefix can still
+grow into a piece, so that no other substrings are looked up.  The node where a
+pre-token ends stores its count.  Documents then
 add up the counts of their words.  Every task keeps a trie of bounded size:
 nothing is shuffled, and starting it afresh changes no count.
 
@@ -46,20 +48,22 @@ class Trie:
     """Forward scores and counts of every prefix of the pre-tokens inserted."""
 
     def __init__(self, pieces: dict):
-        self.pieces = pieces
         self.byte_score = pieces[None]
-        self.longest = max(len(p) for p in pieces if p is not None)
+        # Every prefix of a piece; those that are no piece themselves have the score of the impossible.
+        self.starts: dict[str, float] = {p[:n]: -math.inf for p in pieces if p is not None for n in range(1, len(p))}
+        self.starts.update((p, s) for p, s in pieces.items() if p is not None)
         self.clear()
 
     def clear(self) -> None:
         self.child: dict[int, int] = {}
         self.score, self.tokens = [0], [0]
+        self.growing: list[tuple[int, ...]] = [()]
         self.terminal: dict[bytes, int] = {}
 
     def insert(self, word: bytes) -> int:
         """The count of one word; only nodes that are new are worked out."""
         text = MARK + word.decode()
-        child, score, tokens, pieces = self.child, self.score, self.tokens, self.pieces
+        child, score, tokens, growing, known = self.child, self.score, self.tokens, self.growing, self.starts.get
         node, path = 0, [0]
         for end, c in enumerate(text, start=1):
             key = node << 21 | ord(c)
@@ -67,16 +71,18 @@ class Trie:
                 size = len(c.encode())
                 best = score[node] + size * self.byte_score
                 fewest = tokens[node] + size
-                for begin in range(max(0, end - self.longest), end):
-                    if (s := pieces.get(text[begin:end])) is not None:
+                live = []
+                for begin in (*growing[node], end - 1):
+                    if (s := known(text[begin:end])) is not None:
+                        live.append(begin)
                         at = path[begin]
                         s += score[at]
-                        n = tokens[at] + 1
-                        if s > best or s == best and n < fewest:
-                            best, fewest = s, n
+                        if s >= best and (s > best or tokens[at] + 1 < fewest):
+                            best, fewest = s, tokens[at] + 1
                 to = child[key] = len(score)
                 score.append(best)
                 tokens.append(fewest)
+                growing.append(tuple(live))
             node = to
             path.append(node)
         self.terminal[word] = tokens[node]
