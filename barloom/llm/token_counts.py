@@ -28,8 +28,8 @@ from pyspark.sql import functions as F
 from barloom.llm._spark import bound_batches
 
 MARK = "▁"
-MAX_NODES = 400_000
-CACHE_WORDS = 300_000
+MAX_NODES = 1_000_000
+CACHE_WORDS = 500_000
 
 
 def load_pieces(model_path: str) -> dict[str, int]:
