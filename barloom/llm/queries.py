@@ -6,7 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.llm import chat, decontaminate, line_spread, mixing, quality_model, quality_rules, simhash, substrings, token_counts, token_files
+from barloom.llm import (
+    centroids, chat, decontaminate, filter_audit, line_spread, mixing, quality_model, quality_rules, simhash, substrings, token_counts, token_files, url_filters,
+)
 from barloom.llm._spark import read_table
 
 
@@ -92,6 +94,26 @@ def op10_line_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean.select("doc_id", "n_lines", "n_removed", digest.alias("clean_sha256"))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every order of five filters over all documents, by language."""
+    return filter_audit.audit(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+#: Fixed values of the contract: verdict, host, path.
+_RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"), ("block", "net", "/es/"), ("block", "net", "/fr/")]
+
+
+def op12_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's verdict by the longest rule, else by its aliases."""
+    rules = spark.createDataFrame(_RULES, "verdict string, host string, path string")
+    return url_filters.judge(read_table(spark, sf_dir, "pages"), rules)
+
+
+def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector's cluster after three rounds from sixteen hash-chosen centroids."""
+    return centroids.cluster(read_table(spark, sf_dir, "embeddings"), clusters=16, rounds=3)
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_token_counts": op2_token_counts,
@@ -103,6 +125,9 @@ QUERIES = {
     "op8_substrings": op8_substrings,
     "op9_token_files": op9_token_files,
     "op10_line_spread": op10_line_spread,
+    "op11_filter_audit": op11_filter_audit,
+    "op12_url_filters": op12_url_filters,
+    "op13_centroids": op13_centroids,
 }
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
@@ -221,4 +246,101 @@ WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce('=' || source, '
 SELECT doc_id, coalesce(n_lines, 0)::BIGINT AS n_lines, coalesce(n_removed, 0)::BIGINT AS n_removed, sha256(coalesce(clean, '')) AS clean_sha256
 FROM d LEFT JOIN sums USING (rid)"""
 
-ORACLE_SQL: dict[str, str] = {"op4_decontaminate": _OP4_SQL, "op5_chat": _OP5_SQL, "op6_quality_rules": _OP6_SQL, "op7_mixing": _OP7_SQL, "op8_substrings": _OP8_SQL, "op10_line_spread": _OP10_SQL}
+_OP11_SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), firsts AS (SELECT t, min(doc_id) AS least FROM d GROUP BY t
+), g AS (SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id
+), fails AS (
+  SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic, map {
+    'A': len(w) < 200, 'B': 100 * len(list_distinct(w)) < 50 * len(w), 'C': 100 * length(regexp_replace(d.t, '[^A-Z]', '', 'g')) > 3 * length(d.t),
+    'D': regexp_matches(d.t, '[#$%&*|]'), 'E': least IS NOT NULL AND least < coalesce(d.doc_id, 9223372036854775807)} AS f
+  FROM d JOIN firsts ON d.t = firsts.t LEFT JOIN g ON d.doc_id = g.doc_id
+), kinds AS (
+  SELECT part, f['A'] AS a, f['B'] AS b, f['C'] AS c, f['D'] AS d, f['E'] AS e, any_value(f) AS f, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic FROM fails GROUP BY ALL
+), orders AS (
+  SELECT l AS o FROM (VALUES ('A'), ('B'), ('C'), ('D'), ('E')) v(l)
+  UNION ALL SELECT o || l FROM orders, (VALUES ('A'), ('B'), ('C'), ('D'), ('E')) v(l) WHERE NOT contains(o, l)
+), steps AS (SELECT o, s, o[s] AS letter, o[1:s - 1] AS earlier FROM orders, range(1, 6) r(s) WHERE length(o) = 5
+), judged AS (
+  SELECT part, o, s, letter, n, good, toxic, f[letter] AS failing, len(list_filter(string_split(earlier, ''), lambda x: x <> '' AND f[x])) > 0 AS gone,
+    len(list_filter(['A', 'B', 'C', 'D', 'E'], lambda x: f[x])) AS n_failing
+  FROM steps, kinds
+), rows AS (
+  SELECT part, o AS filter_order, s::INTEGER AS step, letter, sum(CASE WHEN NOT gone AND NOT failing THEN n ELSE 0 END)::BIGINT AS kept,
+    sum(CASE WHEN NOT gone AND failing THEN n ELSE 0 END)::BIGINT AS removed, sum(CASE WHEN gone AND failing THEN n ELSE 0 END)::BIGINT AS redundant,
+    sum(CASE WHEN failing AND n_failing = 1 THEN n ELSE 0 END)::BIGINT AS unique_fails,
+    sum(CASE WHEN NOT gone AND failing THEN good ELSE 0 END)::BIGINT AS good_lost, sum(CASE WHEN NOT gone AND failing THEN toxic ELSE 0 END)::BIGINT AS toxic_lost
+  FROM judged GROUP BY ALL
+)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost, (sum(removed) OVER (PARTITION BY part, letter))::BIGINT AS shapley FROM rows"""
+
+_OP12_SQL = r"""
+WITH RECURSIVE p AS (
+  SELECT page_id, html, url, translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)([^?#]*)(\?[^#]*)?', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)([^?#]*)(\?[^#]*)?', 2) AS path, regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)([^?#]*)(\?[^#]*)?', 3) AS query
+  FROM pages
+), n AS (
+  SELECT *, CASE WHEN contains(url, '://') THEN regexp_replace(host, ':(80|443)$', '') || CASE WHEN path = '' THEN '/' ELSE path END || query END AS node FROM p
+), tags AS (
+  SELECT node, host, path, unnest(regexp_extract_all(regexp_replace(html, '(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>', '', 'g'), '(?is)<(?:link|meta)\b[^>]*>')) AS tag
+  FROM n WHERE regexp_matches(html, '(?i)canonical|http-equiv')
+), goals AS (
+  SELECT node, host, path, trim(replace(CASE
+    WHEN lower(tag) LIKE '<link%' AND regexp_matches(regexp_extract(tag, '(?is)[\s"'']rel\s*=\s*("[^"]*"|''[^'']*''|[^\s"''>]+)', 1), '(?i)(^|[\s"''])canonical($|[\s"''])')
+    THEN regexp_replace(regexp_extract(tag, '(?is)[\s"'']href\s*=\s*("[^"]*"|''[^'']*''|[^\s"''>]+)', 1), '^["'']|["'']$', '', 'g')
+    WHEN lower(tag) LIKE '<meta%' AND regexp_matches(tag, '(?is)[\s"'']http-equiv\s*=\s*["'']?\s*refresh')
+    THEN regexp_extract(regexp_replace(regexp_extract(tag, '(?is)[\s"'']content\s*=\s*("[^"]*"|''[^'']*''|[^\s"''>]+)', 1), '^["'']|["'']$', '', 'g'), '(?is)^[\s\d.]*[;,]?\s*url\s*=\s*["'']?([^"'']*)', 1) END, '&amp;', '&')) AS t
+  FROM tags
+), targets AS (
+  SELECT node AS a, CASE WHEN regexp_matches(t, '^[A-Za-z][A-Za-z0-9+.-]*://') THEN t WHEN t LIKE '//%' THEN 'http:' || t
+    WHEN regexp_matches(t, '^[A-Za-z][A-Za-z0-9+.-]*:') OR host = '' THEN NULL WHEN t LIKE '/%' THEN 'http://' || host || t
+    WHEN t LIKE '?%' OR t LIKE '#%' THEN 'http://' || host || path || t
+    ELSE 'http://' || host || CASE WHEN path = '' THEN '/' ELSE regexp_replace(path, '[^/]*$', '') END || t END AS u
+  FROM goals WHERE t <> ''
+), links AS (
+  SELECT DISTINCT a, regexp_replace(translate(regexp_extract(u, '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), ':(80|443)$', '')
+    || CASE WHEN regexp_extract(u, '(?s)^.*?://([^/?#]*)([^?#]*)', 2) = '' THEN '/' ELSE regexp_extract(u, '(?s)^.*?://([^/?#]*)([^?#]*)', 2) END
+    || regexp_extract(u, '(?s)^.*?://([^/?#]*)([^?#]*)(\?[^#]*)?', 3) AS b FROM targets WHERE u IS NOT NULL AND a IS NOT NULL
+), both_ways AS (SELECT a, b FROM links UNION SELECT b, a FROM links
+), reach AS (SELECT a, a AS b FROM both_ways UNION SELECT r.a, e.b FROM reach r JOIN both_ways e ON r.b = e.a
+), rules AS (SELECT * FROM (VALUES ('allow', 'com', '/'), ('block', 'example.com', '/en/'), ('allow', 'www.example.com', '/en/'), ('block', 'net', '/es/'), ('block', 'net', '/fr/')) v(verdict, rule_host, rule_path)
+), urls AS (
+  SELECT DISTINCT host, path FROM n UNION SELECT regexp_extract(a, '^[^/]*'), regexp_extract(a, '(?s)^[^/]*([^?]*)', 1) FROM both_ways
+), ruled AS (
+  SELECT host, path, arg_max(rule_host || rule_path, length(rule_host || rule_path)) AS rule, arg_max(verdict, length(rule_host || rule_path)) AS verdict
+  FROM urls JOIN rules ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path) GROUP BY host, path
+), aliases AS (
+  SELECT r.a, min(v.verdict) AS verdict FROM reach r JOIN ruled v ON regexp_extract(r.b, '^[^/]*') = v.host AND regexp_extract(r.b, '(?s)^[^/]*([^?]*)', 1) = v.path GROUP BY r.a
+)
+SELECT page_id, n.host, n.path, v.rule, coalesce(v.verdict, l.verdict, 'allow') AS verdict
+FROM n LEFT JOIN ruled v ON n.host = v.host AND n.path = v.path LEFT JOIN aliases l ON n.node = l.a"""
+
+_OP13_ASSIGN = """
+), a{0} AS (
+  SELECT vec_id, any_value(v) AS v, arg_min(k, dist * 16 + k) AS k, min(dist) AS dist
+  FROM (SELECT rid, vec_id, v, k, list_sum(list_transform(range(1, 65), lambda i: (v[i] - c[i]) * (v[i] - c[i])))::BIGINT AS dist FROM x, c{0}) GROUP BY rid, vec_id"""
+
+_OP13_MOVE = """
+), s{0} AS (
+  SELECT k, list(floor_div ORDER BY i) AS c FROM (
+    SELECT k, i, CASE WHEN sum(v[i]) % count(*) < 0 THEN sum(v[i]) // count(*) - 1 ELSE sum(v[i]) // count(*) END AS floor_div FROM a{0}, range(1, 65) r(i) GROUP BY k, i) GROUP BY k
+), c{1} AS (SELECT c{0}.k, coalesce(s{0}.c, c{0}.c) AS c FROM c{0} LEFT JOIN s{0} ON c{0}.k = s{0}.k"""
+
+_OP13_SQL = (
+    """
+WITH x AS (
+  SELECT row_number() OVER () AS rid, vec_id, list_transform(embedding, lambda e: floor(64 * e::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda e: e IS NOT NULL AND isfinite(e))) = 64
+), c0 AS (
+  SELECT row_number() OVER (ORDER BY key, v) - 1 AS k, v::HUGEINT[] AS c FROM (SELECT sha256('1:' || coalesce(vec_id::VARCHAR, '')) AS key, v FROM x ORDER BY key, v LIMIT 16)"""
+    + "".join((_OP13_ASSIGN + _OP13_MOVE).format(i, i + 1) for i in range(3))
+    + _OP13_ASSIGN.format(3)
+    + """
+)
+SELECT vec_id, a3.k::INTEGER AS cluster, dist AS distance, (sum(dist) OVER (PARTITION BY a3.k))::BIGINT AS cluster_inertia, (sum(dist) OVER ())::BIGINT AS inertia,
+  sha256(array_to_string(c3.c, ',')) AS centroid_sha256
+FROM a3 JOIN c3 ON a3.k = c3.k"""
+)
+
+ORACLE_SQL: dict[str, str] = {"op4_decontaminate": _OP4_SQL, "op5_chat": _OP5_SQL, "op6_quality_rules": _OP6_SQL, "op7_mixing": _OP7_SQL, "op8_substrings": _OP8_SQL, "op10_line_spread": _OP10_SQL, "op11_filter_audit": _OP11_SQL, "op12_url_filters": _OP12_SQL, "op13_centroids": _OP13_SQL}
