@@ -90,11 +90,11 @@ def dimension_order(kept: DataFrame, dimensions: int, scale: int) -> np.ndarray:
     return np.argsort(-variance, kind="stable")
 
 
-def first_centroids(kept: DataFrame, clusters: int, scale: int, seed: int) -> np.ndarray:
+def first_centroids(kept: DataFrame, clusters: int, dimensions: int, scale: int, seed: int) -> np.ndarray:
     """The vectors with the smallest hashes of seed and id (ties: the smaller vector), in that order."""
     key = F.sha2(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("id").cast("string"), F.lit(""))), 256)
     rows = kept.select(key.alias("key"), "vector").orderBy("key", "vector").limit(clusters).collect()
-    return quantised(np.array([r["vector"] for r in rows], dtype=float).reshape(len(rows), -1), scale)
+    return quantised(np.array([r["vector"] for r in rows], dtype=float).reshape(len(rows), dimensions), scale)
 
 
 def _moved(kept: DataFrame, centroids: np.ndarray, order: np.ndarray, scale: int) -> np.ndarray:
@@ -134,7 +134,7 @@ def cluster(
     their names.
     """
     kept = kept_vectors(table, id_col, vector_col, dimensions)
-    centroids = first_centroids(kept, clusters, scale, seed)
+    centroids = first_centroids(kept, clusters, dimensions, scale, seed)
     order = dimension_order(kept, dimensions, scale) if len(centroids) else np.arange(dimensions)
     for _ in range(rounds if len(centroids) else 0):
         centroids = _moved(kept, centroids, order, scale)

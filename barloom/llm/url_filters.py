@@ -103,7 +103,8 @@ def with_rules(urls: DataFrame, rules: DataFrame) -> DataFrame:
     hosts = urls.select("host").where("host <> ''").distinct().select("host", F.explode(_suffixes(F.col("host"))).alias("suffix"))
     text = F.concat("suffix", "rule_path")
     entry = F.struct(F.length(text).alias("size"), F.length("suffix").alias("host_size"), (F.col("verdict") == "allow").alias("allows"), "rule_path", text.alias("text"), "verdict")
-    of_host = hosts.join(clean, "suffix").groupBy("host").agg(F.collect_list(entry).alias("entries"))
+    # Written: behind an aggregate Spark does not split a hot host's side of the join.
+    of_host = stored(hosts.join(clean, "suffix").groupBy("host").agg(F.collect_list(entry).alias("entries")), "host-rules")
     fitting = F.filter("entries", lambda e: F.col("path").startswith(e["rule_path"]))
     best = F.array_max(fitting)
     return urls.join(of_host, "host", "left").withColumn("rule", F.when(best.isNotNull(), F.struct(best["text"].alias("text"), best["verdict"].alias("verdict")))).drop("entries")
