@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import math
 
+from statistics import NormalDist
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -13,6 +15,18 @@ from pyspark.sql import functions as F
 ADF_1PCT = (-3.43035, -6.5393, -16.786, -79.433)
 #: The same table at 5 %.
 ADF_5PCT = (-2.86154, -2.8903, -4.234, -40.040)
+#: MacKinnon (1994), constant only: the normal quantile of the p-value as a polynomial in the statistic, at and below ADF_MIDDLE and above it.
+ADF_LOW_P = (2.1659, 1.4412, 0.038269)
+ADF_HIGH_P = (1.7339, 0.93202, -0.12745, -0.010368)
+#: Where the two meet, and beyond which the p-value is 0 or 1.
+ADF_MIDDLE, ADF_LEAST, ADF_MOST = -1.61, -18.83, 2.74
+#: Royston (1995): the two largest weights as polynomials in 1/sqrt(n), and mean and deviation of the transformed W for up to 11 and for more values.
+ROYSTON_LAST = (0.0, 0.221157, -0.147981, -2.071190, 4.434685, -2.706056)
+ROYSTON_SECOND = (0.0, 0.042981, -0.293762, -1.752461, 5.682633, -3.582633)
+ROYSTON_FEW = ((-2.273, 0.459), (0.5440, -0.39978, 0.025054, -0.0006714), (1.3822, -0.77857, 0.062767, -0.0020322))
+ROYSTON_MANY = ((-1.5861, -0.31082, -0.083751, 0.0038915), (-0.4803, -0.082676, 0.0030302))
+#: The approximation is not used from here on.
+SHAPIRO_ROWS = 5000
 
 
 def safe(x: Column, y: Column) -> Column:
@@ -66,7 +80,7 @@ def variance_bins(rows: DataFrame, by: list[str], order: list[str], column: str,
 
 
 def levene(rows: DataFrame, by: list[str], order: list[str], column: str, bins: int = 10) -> DataFrame:
-    """Median-centred Levene statistic over the bins, and the largest to smallest variance ratio."""
+    """Median-centred Levene statistic over the bins, its p-value, and the largest to smallest variance ratio."""
     kept = rows.where(F.col(column).isNotNull())
     kept = kept.withColumn("_i", F.row_number().over(Window.partitionBy(*by).orderBy(*order)) - 1)
     kept = kept.withColumn("_size", F.floor(F.count("*").over(Window.partitionBy(*by)) / bins)).where("_size > 0")
@@ -80,7 +94,9 @@ def levene(rows: DataFrame, by: list[str], order: list[str], column: str, bins:
         safe(F.max("_var"), F.min("_var")).alias("variance_ratio"),
     )
     between = F.col("_sq") - F.col("_N") * F.col("_all") ** 2
-    return total.select(*by, safe((F.col("_N") - F.col("_k")) * between, (F.col("_k") - 1) * F.col("_within")).alias("levene"), "variance_ratio")
+    statistic = safe((F.col("_N") - F.col("_k")) * between, (F.col("_k") - 1) * F.col("_within"))
+    out = total.withColumn("levene", statistic)
+    return out.select(*by, "levene", f_survival_column(F.col("levene"), F.col("_k") - 1, F.col("_N") - F.col("_k")).alias("levene_p"), "variance_ratio")
 
 
 def adf_statistic(x: np.ndarray, lags: int = 5) -> tuple[float, float]:
@@ -95,23 +111,80 @@ def adf_statistic(x: np.ndarray, lags: int = 5) -> tuple[float, float]:
     sigma = left @ left / (len(y) - design.shape[1])
     cov = sigma * np.linalg.pinv(design.T @ design)
     n = len(y)
+    if not cov[0, 0] > 0:  # a constant series, or one that the regression fits exactly
+        return float("nan"), float("nan")
     return float(beta[0] / np.sqrt(cov[0, 0])), sum(c / n**i for i, c in enumerate(ADF_1PCT))
 
 
-def adf_best_lag(x: np.ndarray) -> tuple[float, int]:
-    """The statistic at the lag with the least AIC, over a common sample."""
-    most = int(np.ceil(12 * (len(x) / 100) ** 0.25))
+def _polynomial(coefficients, x: float) -> float:
+    return sum(c * x**i for i, c in enumerate(coefficients))
+
+
+def adf_p_value(stat: float) -> float:
+    """Asymptotic p-value of the statistic with a constant."""
+    if not np.isfinite(stat):
+        return float("nan")
+    if stat > ADF_MOST:
+        return 1.0
+    if stat < ADF_LEAST:
+        return 0.0
+    return NormalDist().cdf(_polynomial(ADF_LOW_P if stat <= ADF_MIDDLE else ADF_HIGH_P, stat))
+
+
+def adf_best_lag(x: np.ndarray, most: int | None = None) -> tuple[float, int]:
+    """The statistic at the lag with the least AIC, and that lag.
+
+    One orthogonal decomposition serves all lags: over their common sample the
+    residual sum of squares falls by the square of ``y``'s part along each new
+    direction.
+    """
+    if most is None:
+        most = max(0, min(math.ceil(12 * (len(x) / 100) ** 0.25), len(x) // 2 - 2))
     d = np.diff(x)
     y = d[most:]
-    best = None
-    for lags in range(most + 1):
-        design = np.column_stack([x[most:-1], *[d[most - k : len(d) - k] for k in range(1, lags + 1)], np.ones(len(y))])
-        beta, *_ = np.linalg.lstsq(design, y, rcond=None)
-        left = y - design @ beta
-        aic = len(y) * np.log(left @ left / len(y)) + 2 * design.shape[1]
-        if best is None or aic < best[0]:
-            best = (aic, lags)
-    return adf_statistic(x, best[1])[0], best[1]
+    if len(y) <= most + 2:
+        return float("nan"), 0
+    design = np.column_stack([np.ones(len(y)), x[most:-1], *[d[most - k : len(d) - k] for k in range(1, most + 1)]])
+    along = np.linalg.qr(design)[0].T @ y
+    left = np.maximum(y @ y - np.cumsum(along**2), 1e-300)[1:]
+    lag = int(np.argmin(len(y) * np.log(left / len(y)) + 2 * np.arange(2, most + 3)))
+    return adf_statistic(x, lag)[0], lag
+
+
+def shapiro_wilk(x: np.ndarray) -> tuple[float, float]:
+    """W and its p-value by Royston's approximation; nan for fewer than three values, from ``SHAPIRO_ROWS`` on, and for equal values."""
+    n, x = len(x), np.sort(x)
+    if n < 3 or n >= SHAPIRO_ROWS or x[0] == x[-1]:
+        return float("nan"), float("nan")
+    normal = NormalDist()
+    m = np.array([normal.inv_cdf((i - 0.375) / (n + 0.25)) for i in range(1, n + 1)])
+    total, u = float(m @ m), 1 / math.sqrt(n)
+    weights = np.zeros(n)
+    if n == 3:
+        weights[[0, 2]] = -math.sqrt(0.5), math.sqrt(0.5)
+    else:
+        ends = [m[-1] / math.sqrt(total) + _polynomial(ROYSTON_LAST, u)]
+        if n > 5:
+            ends.append(m[-2] / math.sqrt(total) + _polynomial(ROYSTON_SECOND, u))
+        k = len(ends)
+        scale = (total - 2 * float(m[n - k :] @ m[n - k :])) / (1 - 2 * sum(e * e for e in ends))
+        weights = m / math.sqrt(scale)
+        for i, e in enumerate(ends):
+            weights[n - 1 - i], weights[i] = e, -e
+    c = x - x.mean()
+    w = min(1.0, float(weights @ x) ** 2 / float(c @ c))
+    if n == 3:
+        return w, max(0.0, 6 / math.pi * (math.asin(math.sqrt(w)) - math.asin(math.sqrt(0.75))))
+    if w == 1.0:
+        return w, 1.0
+    if n <= 11:
+        limit = _polynomial(ROYSTON_FEW[0], n)
+        if math.log(1 - w) >= limit:
+            return w, 0.0
+        y, mean, spread = -math.log(limit - math.log(1 - w)), _polynomial(ROYSTON_FEW[1], n), math.exp(_polynomial(ROYSTON_FEW[2], n))
+    else:
+        y, mean, spread = math.log(1 - w), _polynomial(ROYSTON_MANY[0], math.log(n)), math.exp(_polynomial(ROYSTON_MANY[1], math.log(n)))
+    return w, 1 - normal.cdf((y - mean) / spread)
 
 
 def _acf_points(x: np.ndarray, points: float) -> float:
@@ -124,7 +197,7 @@ def _acf_points(x: np.ndarray, points: float) -> float:
 def quality_score(returns: np.ndarray, n_ticks: np.ndarray) -> float:
     """Effect-size score of a bar series, at most 90."""
     r = returns[np.isfinite(returns)]
-    if len(r) < 20:
+    if len(r) < 14:  # too few for the unit-root test
         return 0.0
     score = _acf_points(r, 20.0) + _acf_points(r**2, 20.0)
     size = len(r) // 10
@@ -170,13 +243,48 @@ def f_survival(f: float, d1: float, d2: float) -> float:
     return 1 - front * _beta_fraction(b, a, 1 - x) / b
 
 
-def legacy_quality_score(returns: np.ndarray, n_ticks: np.ndarray) -> float:
-    """The older score of at most 100 points, from p-values."""
+def lgamma_column(x: Column) -> Column:
+    """Logarithm of the gamma function for positive ``x``: Stirling's series after ten steps of the recurrence."""
+    z = x + 10
+    series = (z - 0.5) * F.ln(z) - z + 0.5 * math.log(2 * math.pi) + 1 / (12 * z) - 1 / (360 * F.pow(z, F.lit(3.0))) + 1 / (1260 * F.pow(z, F.lit(5.0)))
+    return series - sum((F.ln(x + i) for i in range(1, 10)), F.ln(x))
+
+
+def f_survival_column(f: Column, d1: Column, d2: Column, steps: int = 300) -> Column:
+    """P(F > f) as a column: the incomplete beta function by its continued fraction (modified Lentz)."""
+    f, d1, d2 = f.cast("double"), d1.cast("double"), d2.cast("double")
+    tiny = lambda v: F.when(F.abs(v) < 1e-300, 1e-300).otherwise(v)
+
+    def fraction(a: Column, b: Column, x: Column) -> Column:
+        def step(s: Column, m: Column) -> Column:
+            even = m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m))
+            odd = -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1))
+            d = 1 / tiny(1 + even * s["d"])
+            c = tiny(1 + even / s["c"])
+            return F.struct(tiny(1 + odd / c).alias("c"), (1 / tiny(1 + odd * d)).alias("d"), (s["out"] * c * d).alias("half"))
+
+        def whole(s: Column, m: Column) -> Column:
+            t = step(s, m.cast("double"))
+            return F.struct(t["c"].alias("c"), t["d"].alias("d"), (t["half"] * t["c"] * t["d"]).alias("out"))
+
+        first = 1 / tiny(1 - (a + b) * x / (a + 1))
+        start = F.struct(F.lit(1.0).alias("c"), first.alias("d"), first.alias("out"))
+        return F.aggregate(F.sequence(F.lit(1), F.lit(steps)), start, whole)["out"]
+
+    a, b, x = d2 / 2, d1 / 2, d2 / (d2 + d1 * f)
+    front = F.exp(a * F.ln(x) + b * F.ln(1 - x) - (lgamma_column(a) + lgamma_column(b) - lgamma_column(a + b)))
+    near = x < (a + 1) / (a + b + 2)
+    value = F.when(near, front * fraction(a, b, x) / a).otherwise(1 - front * fraction(b, a, 1 - x) / b)
+    return F.when(f.isNull() | (d1 < 1) | (d2 < 1), None).when(f > 0, value).otherwise(1.0)
+
+
+def legacy_quality_score(returns: np.ndarray, n_ticks: np.ndarray, most: int | None = None) -> float:
+    """The older score of at most 100 points, from p-values; ``most``: the longest lag of the unit-root test."""
     r = returns[np.isfinite(returns)]
     if len(r) < 30:
         return 0.0
     acf1 = abs(np.corrcoef(r[1:], r[:-1])[0, 1])
-    stat, critical = adf_best_lag(r)[0], sum(c / len(r) ** i for i, c in enumerate(ADF_5PCT))
+    stationary = adf_p_value(adf_best_lag(r, most)[0]) < 0.05
     size = len(r) // 10
     dev = r[: size * 10].reshape(10, size)
     dev = np.abs(dev - np.median(dev, axis=1, keepdims=True))
@@ -187,22 +295,39 @@ def legacy_quality_score(returns: np.ndarray, n_ticks: np.ndarray) -> float:
     var = (c**2).mean()
     jb = len(r) / 6 * (((c**3).mean() / var**1.5) ** 2 + ((c**4).mean() / var**2 - 3) ** 2 / 4)
     cv = n_ticks.std() / n_ticks.mean() if n_ticks.mean() > 0 else 2.0
-    return float(max(0, 30 * (1 - acf1)) + (25 if stat <= critical else 0) + min(20, 20 * levene_p) + max(0, 15 * (1 - min(cv, 1))) + min(10, 10 * math.exp(-jb / 2)))
+    return float(max(0, 30 * (1 - acf1)) + (25 if stationary else 0) + min(20, 20 * levene_p) + max(0, 15 * (1 - min(cv, 1))) + min(10, 10 * math.exp(-jb / 2)))
 
 
-def adf(rows: DataFrame, by: list[str], order: list[str], column: str, lags: int = 5) -> DataFrame:
-    """Per key, over bars (not ticks): a group is one symbol's bars."""
+def adf(rows: DataFrame, by: list[str], order: list[str], column: str, lags: int | None = 5, most: int | None = None) -> DataFrame:
+    """Statistic, lag, p-value and critical values per key, over bars (not ticks): a group is one symbol's bars.  ``lags`` None: by AIC, up to ``most``."""
     kinds = dict(rows.dtypes)
 
     def run(key, pdf: pd.DataFrame) -> pd.DataFrame:
         x = pdf.sort_values(order)[column].dropna().to_numpy()
-        stat, critical = adf_statistic(x, lags)
-        return pd.DataFrame([[*key, len(x), stat, critical]])
+        stat, used = (adf_statistic(x, lags)[0], lags) if lags is not None else adf_best_lag(x, most)
+        n = len(x) - 1 - used
+        critical = [_polynomial(t, 1 / n) if np.isfinite(stat) else float("nan") for t in (ADF_1PCT, ADF_5PCT)]
+        return pd.DataFrame([[*key, len(x), stat, used, adf_p_value(stat), *critical]])
 
-    ddl = ", ".join(f"{c} {kinds[c]}" for c in by) + ", n long, adf double, adf_crit_1pct double"
+    ddl = ", ".join(f"{c} {kinds[c]}" for c in by) + ", n long, adf double, lag int, adf_p double, adf_crit_1pct double, adf_crit_5pct double"
     return rows.select(*by, *order, column).groupBy(*by).applyInPandas(run, ddl)
 
 
+def shapiro(rows: DataFrame, by: list[str], column: str) -> DataFrame:
+    """W and p-value per key; null from ``SHAPIRO_ROWS`` values on, whose rows never meet in one task."""
+    kinds = dict(rows.dtypes)
+    kept = rows.where(F.col(column).isNotNull() & ~F.isnan(column)).select(*by, column)
+    sizes = kept.groupBy(*by).agg(F.count("*").alias("n"))
+
+    def run(key, pdf: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame([[*key, *shapiro_wilk(pdf[column].to_numpy())]])
+
+    small = kept.join(F.broadcast(sizes.where(F.col("n") < SHAPIRO_ROWS).select(*by)), by, "left_semi")  # a row a key
+    ddl = ", ".join(f"{c} {kinds[c]}" for c in by) + ", w double, w_p double"
+    found = small.groupBy(*by).applyInPandas(run, ddl)
+    return sizes.join(found, by, "left").select(*by, "n", F.nanvl("w", F.lit(None)).alias("shapiro_w"), F.nanvl("w_p", F.lit(None)).alias("shapiro_p"))
+
+
 def quality_scores(bars: DataFrame, by: list[str], order: list[str], score=quality_score) -> DataFrame:
     """Score per key from ``log_return`` and ``n_ticks``."""
     kinds = dict(bars.dtypes)

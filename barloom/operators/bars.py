@@ -10,12 +10,34 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 BAR = "open_time, close_time, open, high, low, close, n_ticks, volume, dollar"
 
 
+class Ticks:
+    """Ticks in order with the running sums that every fold over them reads.
+
+    ``first``: whether the scope begins here; its first tick counts in a bar, not in the bar's run.
+    """
+
+    def __init__(self, ts, price, quantity, dollar, b, first: bool):
+        self.ts, self.price, self.quantity, self.dollar, self.b = ts, price, quantity, dollar, b
+        up = b == 1
+        run = dollar.copy()
+        if first and len(run):
+            run[0] = 0.0
+        total = lambda x: np.concatenate([[0.0], np.cumsum(x)])
+        self.run_sums = [total(np.where(up, run, 0.0)), total(np.where(up, 0.0, run))]
+        self.signed = total(np.where(up, run, -run))
+        self.side = [total(np.where(up, dollar, 0.0)), total(np.where(up, 0.0, dollar))]
+        self.buys = np.concatenate([[0], np.cumsum(up)])
+
+    def __len__(self) -> int:
+        return len(self.ts)
+
+
 class _Fold:
     """Bars of one scope from its ticks in order; ``feed`` takes any number at a time."""
 
@@ -44,12 +66,20 @@ class _Fold:
             if sum(len(x[0]) for x in self.held) < self.warm:
                 return
             ts, price, quantity, dollar, b = (np.concatenate(x) for x in zip(*self.held, strict=True))
-            self.held, self.ready = [], True
-            d, up = dollar[: self.warm], b[: self.warm] == 1
+            self.held = []
+        self.take(Ticks(ts, price, quantity, dollar, b, self.seen == 0))
+
+    def take(self, ticks: Ticks) -> None:
+        """Like ``feed``, for sums that other folds share; the first ones must fill the warm-up."""
+        if self.warm == 0:
+            return
+        if not self.ready:
+            self.ready = True
+            d, up = ticks.dollar[: self.warm], ticks.b[: self.warm] == 1
             self.p = up.sum() / self.warm
             self.e_side = [d[s].mean() if s.any() else d.mean() for s in (up, ~up)]
             self.e_v = d.mean()
-        self._scan(ts, price, quantity, dollar, b)
+        self._scan(ticks)
 
     def _threshold(self) -> float:
         if self.kind == "run":
@@ -72,16 +102,9 @@ class _Fold:
             earliest, step = earliest + step, step * 2
         return n
 
-    def _scan(self, ts, price, quantity, dollar, b) -> None:
-        up = b == 1
-        run = dollar.copy()
-        if self.seen == 0:
-            run[0] = 0.0  # the scope's first tick counts in the bar, not in its run
-        total = lambda x: np.concatenate([[0.0], np.cumsum(x)])
-        run_sums = [total(np.where(up, run, 0.0)), total(np.where(up, 0.0, run))]
-        signed = total(np.where(up, run, -run))
-        side = [total(np.where(up, dollar, 0.0)), total(np.where(up, 0.0, dollar))]
-        buys = np.concatenate([[0], np.cumsum(up)])
+    def _scan(self, ticks: Ticks) -> None:
+        ts, price, quantity, dollar = ticks.ts, ticks.price, ticks.quantity, ticks.dollar
+        run_sums, signed, side, buys = ticks.run_sums, ticks.signed, ticks.side, ticks.buys
         at, n = 0, len(ts)
         while at < n:
             end = self._end(at, run_sums, signed)
@@ -120,56 +143,170 @@ class _Fold:
         self._open_bar()
 
 
-def _fold_batches(batches, kind: str, keys: int, min_ticks: int, names: list[str]):
-    """Rows: scope columns, n, lambda, T, ts, price, quantity, dollar, b; sorted, scopes whole."""
-    scope, fold = None, None
+#: A scope warms up over a tenth of its ticks, 100 at most: once so many are there its length does not matter.
+KNOWN = 1000
+
+CANDIDATES = "array<struct<param_id:int,exp_lambda:double,init_exp_t:double>>"
+
 
-    def emit(rows, own):
-        columns = list(zip(*rows, strict=True))
-        arrays = [pa.array([v] * len(rows), type=t) for v, t in zip(own, types, strict=True)]
-        arrays += [pa.array(columns[0], pa.int64()), pa.array(columns[1], stamp), pa.array(columns[2], stamp)]
-        arrays += [pa.array(columns[i], pa.float64()) for i in range(3, 7)]
-        arrays += [pa.array(columns[7], pa.int64()), pa.array(columns[8], pa.float64()), pa.array(columns[9], pa.float64())]
-        return pa.RecordBatch.from_arrays(arrays, names=names)
+class Scope:
+    """All candidates' folds over one scope; ticks are held until the length of the warm-up is known.
 
+    ``least``: scopes of fewer ticks have no folds.
+    """
+
+    def __init__(self, kind: str, candidates: list[tuple[int, float, float]], min_ticks: int, least: int = 0):
+        self.kind, self.candidates, self.min_ticks, self.least = kind, candidates, min_ticks, least
+        self.folds: list[_Fold] | None = None
+        self.held: list[tuple] = []
+        self.size = 0
+        self.last_price, self.last_b = None, 1.0
+
+    def _directions(self, price: np.ndarray) -> np.ndarray:
+        """Sign of the price change, carried over unchanged prices; +1 before any change."""
+        moves = np.sign(np.diff(price, prepend=price[:1] if self.last_price is None else self.last_price))
+        at = np.maximum.accumulate(np.where(moves != 0, np.arange(len(moves)), -1))
+        out = np.where(at >= 0, moves[at], self.last_b)
+        self.last_price, self.last_b = price[-1], out[-1]
+        return out
+
+    def feed(self, ts, price, quantity, dollar, b=None) -> None:
+        if not len(ts):
+            return
+        b = self._directions(price) if b is None else b
+        if self.folds is not None:
+            part = Ticks(ts, price, quantity, dollar, b, False)
+            for fold in self.folds:
+                fold.take(part)
+            return
+        self.held.append((ts, price, quantity, dollar, b))
+        self.size += len(ts)
+        if self.size >= max(KNOWN, self.least):
+            self._start()
+
+    def _start(self) -> None:
+        self.folds = [_Fold(self.kind, self.size, lam, t0, self.min_ticks) for _, lam, t0 in self.candidates]
+        part = Ticks(*(np.concatenate(x) for x in zip(*self.held, strict=True)), True)
+        self.held = []
+        for fold in self.folds:
+            fold.take(part)
+
+    def finish(self) -> list[_Fold]:
+        """The folds, none where the scope is too short."""
+        if self.folds is None and self.held and self.size >= self.least:
+            self._start()
+        return self.folds or []
+
+
+def laid_out(ticks: DataFrame, scope: list[str], candidates: DataFrame | None = None) -> DataFrame:
+    """Ticks dealt by scope and sorted, in one exchange: the scope, ``candidates``, ``ts, price, quantity, dollar, b``.
+
+    Candidate lists of their own (``scope``, ``candidates``) come as one row a
+    scope before its ticks, so no tick carries them.  Without a column ``b``
+    it is null, and the fold applies the tick rule within the scope.  A null
+    key is no scope.
+    """
+    kinds = dict(ticks.dtypes)
+    b = F.col("b").cast("double") if "b" in kinds else F.lit(None).cast("double")
+    rows = ticks.select(*scope, F.lit(None).cast(CANDIDATES).alias("candidates"), F.lit(1).alias("_kind"), "ts", "price", "quantity", "dollar", b.alias("b"), "id")
+    if candidates is not None:
+        blank = [F.lit(None).cast(kinds[c]).alias(c) for c in ("ts", "price", "quantity", "dollar")]
+        heads = candidates.select(*scope, F.col("candidates").cast(CANDIDATES).alias("candidates"), F.lit(0).alias("_kind"), *blank, F.lit(None).cast("double").alias("b"), F.lit(None).cast(kinds["id"]).alias("id"))
+        rows = rows.unionByName(heads)
+    rows = rows.dropna(subset=scope)
+    return rows.repartition(*scope).sortWithinPartitions(*scope, "_kind", "ts", "id").drop("_kind", "id")
+
+
+def scopes_of(batches, keys: int, make):
+    """``(own, scope, over)`` for each run of rows of one scope: its key, its ``Scope``, and whether it ends here.
+
+    ``make(candidates)`` gives a scope its folds; ``candidates`` is the list of
+    its head row, or None.  A scope without ticks yields nothing.
+    """
+    own, held = None, None
     for batch in batches:
         if not batch.num_rows:
             continue
-        types, stamp = [batch.column(i).type for i in range(keys)], batch.column(keys + 3).type
         owners = list(zip(*(batch.column(i).to_pylist() for i in range(keys)), strict=True))
         cuts = [0, *[i for i in range(1, len(owners)) if owners[i] != owners[i - 1]], len(owners)]
-        ts, price, quantity, dollar, b = (batch.column(keys + 3 + i).to_numpy(zero_copy_only=False) for i in range(5))
+        heads = batch.column(keys)
+        ts, price, quantity, dollar, b = (batch.column(keys + 1 + i).to_numpy(zero_copy_only=False) for i in range(5))
         for lo, hi in zip(cuts, cuts[1:], strict=False):
-            if owners[lo] != scope:
-                scope = owners[lo]
-                fold = _Fold(kind, *(batch.column(keys + i)[lo].as_py() for i in range(3)), min_ticks)
-            fold.feed(ts[lo:hi], price[lo:hi], quantity[lo:hi], dollar[lo:hi], b[lo:hi])
-            if fold.bars:
-                yield emit(fold.bars, scope)
-                fold.bars = []
-
-
-def _folded_bars(ticks: DataFrame, kind: str, scope: list[str], lam, t0, min_ticks: int) -> DataFrame:
-    as_column = lambda x: (x if isinstance(x, Column) else F.lit(x)).cast("double")
-    sizes = ticks.groupBy(*scope).agg(F.count("*").alias("n"))  # one row a scope
-    rows = ticks.join(sizes, scope).select(*scope, "n", as_column(lam).alias("lam"), as_column(t0).alias("t0"), "ts", "price", "quantity", "dollar", F.col("b").cast("double").alias("b"), "id")
-    sorted_rows = rows.repartition(*scope).sortWithinPartitions(*scope, "ts", "id").drop("id")
+            if owners[lo] != own:
+                if held is not None:
+                    yield own, held, True
+                own, given = owners[lo], None
+                if heads[lo].is_valid:
+                    given = [(c["param_id"], c["exp_lambda"], c["init_exp_t"]) for c in heads[lo].as_py()]
+                    lo += 1
+                held = make(given)
+            while lo < hi and heads[lo].is_valid:  # a second list of the same scope
+                lo += 1
+            if lo < hi:
+                held.feed(ts[lo:hi], price[lo:hi], quantity[lo:hi], dollar[lo:hi], None if np.isnan(b[lo]) else b[lo:hi])
+                yield own, held, False
+    if held is not None:
+        yield own, held, True
+
+
+def candidate_bars(ticks: DataFrame, scope: list[str], candidates: DataFrame | list[tuple[int, float, float]], min_ticks: int = 400, kind: str = "run") -> DataFrame:
+    """Bars of every candidate in every scope: ``scope, param_id, exp_lambda, init_exp_t`` and the bar columns.
+
+    ``candidates``: one list ``(param_id, exp_lambda, init_exp_t)`` for all
+    scopes, or ``(scope, candidates)`` with a list for each; scopes without a
+    list have no bars.  Ticks are shuffled once however many candidates there
+    are, and their running sums are computed once for all of them.
+    """
+    per_scope = isinstance(candidates, DataFrame)
+    shared = [] if per_scope else candidates
     kinds = dict(ticks.dtypes)
-    names = [*scope, "bar_id", *[c.strip() for c in BAR.split(",")]]
-    ddl = ", ".join(f"{c} {kinds[c]}" for c in scope)
+    names = [*scope, "param_id", "exp_lambda", "init_exp_t", "bar_id", *[c.strip() for c in BAR.split(",")]]
+
+    def run(batches):
+        types, stamp = [], None
+
+        def noted(it):
+            nonlocal types, stamp
+            for batch in it:
+                types, stamp = [batch.column(i).type for i in range(len(scope))], batch.column(len(scope) + 1).type
+                yield batch
+
+        for own, held, over in scopes_of(noted(batches), len(scope), lambda given: Scope(kind, given or shared, min_ticks)):
+            folds = held.finish() if over else held.folds or []
+            rows = [(*c, *bar) for c, fold in zip(held.candidates, folds, strict=False) for bar in fold.bars]
+            if rows:
+                for fold in folds:
+                    fold.bars = []
+                yield _bar_batch(rows, own, types, stamp, names)
+
+    ddl = ", ".join(f"{c} {kinds[c]}" for c in scope) + ", param_id int, exp_lambda double, init_exp_t double"
     ddl += f", bar_id long, open_time {kinds['ts']}, close_time {kinds['ts']}, open double, high double, low double, close double, n_ticks long, volume double, dollar double"
-    return sorted_rows.mapInArrow(lambda it: _fold_batches(it, kind, len(scope), min_ticks, names), ddl)
+    return laid_out(ticks, scope, candidates if per_scope else None).mapInArrow(run, ddl)
+
+
+def _bar_batch(rows: list[tuple], own: tuple, types: list, stamp, names: list[str]) -> pa.RecordBatch:
+    columns = list(zip(*rows, strict=True))
+    arrays = [pa.array([v] * len(rows), type=t) for v, t in zip(own, types, strict=True)]
+    arrays += [pa.array(columns[0], pa.int32()), pa.array(columns[1], pa.float64()), pa.array(columns[2], pa.float64())]
+    arrays += [pa.array(columns[3], pa.int64()), pa.array(columns[4], stamp), pa.array(columns[5], stamp)]
+    arrays += [pa.array(columns[i], pa.float64()) for i in range(6, 10)]
+    arrays += [pa.array(columns[10], pa.int64()), pa.array(columns[11], pa.float64()), pa.array(columns[12], pa.float64())]
+    return pa.RecordBatch.from_arrays(arrays, names=names)
+
+
+def _folded_bars(ticks: DataFrame, kind: str, scope: list[str], lam: float, t0: float, min_ticks: int) -> DataFrame:
+    return candidate_bars(ticks, scope, [(0, float(lam), float(t0))], min_ticks, kind).drop("param_id", "exp_lambda", "init_exp_t")
 
 
-def run_bars(ticks: DataFrame, scope: list[str], lam: float | Column = 0.9975, t0: float | Column = 2000, min_ticks: int = 400) -> DataFrame:
+def run_bars(ticks: DataFrame, scope: list[str], lam: float = 0.9975, t0: float = 2000, min_ticks: int = 400) -> DataFrame:
     """Dollar-run bars of ticks with ``b`` and ``dollar``; ticks after the last close stay residual.
 
-    The two parameters may be columns that are constant in each scope.
+    ``candidate_bars`` takes parameters that differ by scope.
     """
     return _folded_bars(ticks, "run", scope, lam, t0, min_ticks)
 
 
-def imbalance_bars(ticks: DataFrame, scope: list[str], lam: float | Column = 0.9975, t0: float | Column = 2000, min_ticks: int = 400) -> DataFrame:
+def imbalance_bars(ticks: DataFrame, scope: list[str], lam: float = 0.9975, t0: float = 2000, min_ticks: int = 400) -> DataFrame:
     return _folded_bars(ticks, "imbalance", scope, lam, t0, min_ticks)
 
 

@@ -170,14 +170,9 @@ def has_study(targets: DataFrame, studies: DataFrame) -> DataFrame:
     return targets.join(known, ["symbol", "period"], "left").withColumn("known", F.coalesce("_known", F.lit(False))).drop("_known")
 
 
-def search_run_bars(ticks: DataFrame, params: DataFrame, scope: list[str], min_ticks: int) -> DataFrame:
-    """Bars of every candidate in every scope: one plan in which (candidate, scope) is a fold of its own.
+def search_run_bars(ticks: DataFrame, params: list[tuple[int, float, float]], scope: list[str], min_ticks: int) -> DataFrame:
+    """Bars of every candidate ``(param_id, exp_lambda, init_exp_t)`` in every scope that has any; ticks are shuffled once."""
+    from barloom.operators import trials
 
-    ``params`` is the grid the caller lists, a few rows, and is broadcast.
-    """
-    from barloom.operators import bars
-
-    each = ticks.crossJoin(F.broadcast(params.select("param_id", "exp_lambda", "init_exp_t")))
-    keys = ["param_id", "exp_lambda", "init_exp_t", *scope]
-    made = bars.run_bars(each, keys, F.col("exp_lambda"), F.col("init_exp_t"), min_ticks)
-    return made.groupBy(*keys).agg(F.count("*").alias("bars"), F.avg("n_ticks").alias("mean_ticks"))
+    found = trials.score_candidates(ticks, scope, params, min_ticks).where("bars > 0")
+    return found.select("param_id", "exp_lambda", "init_exp_t", *scope, "bars", "mean_ticks")

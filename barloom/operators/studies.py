@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from barloom.operators import search
+from barloom.operators import trials
 
 #: Least share of successes, share of days then demanded, name of the level.
 LEVELS = [(0.80, 1.00, "EXCELLENT"), (0.60, 0.90, "GOOD"), (0.40, 0.85, "FAIR"), (0.00, 0.80, "POOR")]
@@ -52,26 +52,10 @@ def diagnose(tests: DataFrame, by: list[str]) -> DataFrame:
     return out.withColumn("demand", F.when(strict, F.greatest(F.lit(0.80), F.col("demand") * 0.85)).otherwise(F.col("demand")))
 
 
-def best_per_scope(found: DataFrame, scope: list[str], least: int = 5) -> DataFrame:
-    """The candidate with most bars in every scope, the first of equals; those with under ``least`` bars are pruned."""
-    rank = F.row_number().over(Window.partitionBy(*scope).orderBy(F.desc("bars"), "param_id"))
-    return found.where(F.col("bars") >= least).withColumn("_r", rank).where("_r = 1").drop("_r")
-
-
-def day_search(ticks: DataFrame, params: DataFrame, scope: list[str], min_ticks: int, least_ticks: int = 100, least_bars: int = 5, enough: int = 40) -> DataFrame:
-    """A search over each scope's own ticks, all candidates at once; ``meets`` tells whether the winner has ``enough`` bars.
-
-    Scopes of under ``least_ticks`` ticks, and those where every candidate is
-    pruned, have no row.  A null key is no scope.
-    """
-    large = ticks.groupBy(*scope).agg(F.count("*").alias("_n")).where(F.col("_n") >= least_ticks).drop("_n")
-    found = search.search_run_bars(ticks.join(large, scope, "left_semi"), params, scope, min_ticks)
-    return best_per_scope(found, scope, least_bars).withColumn("meets", F.col("bars") >= enough)
-
-
-def diagnostic_grid(spark: SparkSession) -> DataFrame:
-    rows = [(i, lam, t) for i, (lam, t) in enumerate(DIAGNOSTIC_GRID)]
-    return spark.createDataFrame(rows, "param_id int, exp_lambda double, init_exp_t double")
+def diagnostic_tests(ticks: DataFrame, scope: list[str], min_ticks: int, enough: int = 50, grid: list[tuple[int, float, float]] | None = None, lags: int | None = 5) -> DataFrame:
+    """Trials of the diagnostic's candidates on every scope's ticks; they succeed with ``enough`` bars."""
+    grid = [(i, lam, t) for i, (lam, t) in enumerate(DIAGNOSTIC_GRID)] if grid is None else grid
+    return trials.score_candidates(ticks, scope, grid, min_ticks, lags=lags).withColumn("succeeded", F.col("bars") >= enough)
 
 
 def overview(trials: DataFrame, by: list[str], maximise: bool = True) -> DataFrame:

@@ -7,12 +7,13 @@ rates) defined once here for both engines.  Floats are rounded on both sides.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barloom.functions import stats
-from barloom.operators import bars, features, joins, quality, search, studies, ticks, winsor
+from barloom.operators import bars, features, joins, quality, search, studies, ticks, trials, winsor
 from barloom.plans import pipelines
 from barloom.sources import sinks, tables
 from barloom.streaming import stream
@@ -177,11 +178,12 @@ def day_bar(spark, sf):
     return bars.day_bars(clean(spark, sf))
 
 
-def _fold_sql(kind: str, scope: str, lam: float, t0: float, min_ticks: int) -> str:
-    """The fold tick by tick: one recursion step a tick, all scopes side by side."""
+def _fold_sql(kind: str, scope: str, lam: float | str, t0: float | str, min_ticks: int, source: str = "directed") -> str:
+    """The fold tick by tick: one recursion step a tick, all scopes side by side; parameters may be names of scope columns."""
+    new = f"{1 - lam:.6f}" if isinstance(lam, float) else f"(1 - {lam})"
     theta = "greatest(buy_run + CASE WHEN x.b = 1 THEN x.d ELSE 0 END, sell_run + CASE WHEN x.b = 1 THEN 0 ELSE x.d END)" if kind == "run" else "abs(buy_run + x.b * x.d)"
     want = "e_t * greatest(p * e_buy, (1 - p) * e_sell)" if kind == "run" else "e_t * e_v * abs(2 * p - 1)"
-    return f"""o AS (SELECT {scope}, price, quantity, dollar AS d, b, ts, id, row_number() OVER (PARTITION BY {scope} ORDER BY ts, id) - 1 AS i, count(*) OVER (PARTITION BY {scope}) AS n FROM directed),
+    return f"""o AS (SELECT {scope}, price, quantity, dollar AS d, b, ts, id, row_number() OVER (PARTITION BY {scope} ORDER BY ts, id) - 1 AS i, count(*) OVER (PARTITION BY {scope}) AS n FROM {source}),
 w AS (SELECT {scope}, avg(CASE WHEN b = 1 THEN 1.0 ELSE 0.0 END) AS p, coalesce(avg(d) FILTER (b = 1), avg(d)) AS e_buy, coalesce(avg(d) FILTER (b <> 1), avg(d)) AS e_sell, avg(d) AS e_v
   FROM o WHERE i < least(100, n // 10) GROUP BY ALL),
 f AS (SELECT {scope}, 0::BIGINT AS i, {t0}::DOUBLE AS e_t, w.p::DOUBLE AS p, w.e_buy::DOUBLE AS e_buy, w.e_sell::DOUBLE AS e_sell, w.e_v::DOUBLE AS e_v, 0::DOUBLE AS buy_run, 0::DOUBLE AS sell_run,
@@ -189,9 +191,9 @@ f AS (SELECT {scope}, 0::BIGINT AS i, {t0}::DOUBLE AS e_t, w.p::DOUBLE AS p, w.e
   FROM w JOIN o USING ({scope}) WHERE o.i = 0
  UNION ALL
  SELECT {scope}, i,
-  CASE WHEN closed THEN {1 - lam:.6f} * (buys + sells) + {lam} * e_t ELSE e_t END, CASE WHEN closed THEN {1 - lam:.6f} * buys / (buys + sells) + {lam} * p ELSE p END,
-  CASE WHEN closed AND buys > 0 THEN {1 - lam:.6f} * buy_sum / buys + {lam} * e_buy ELSE e_buy END, CASE WHEN closed AND sells > 0 THEN {1 - lam:.6f} * sell_sum / sells + {lam} * e_sell ELSE e_sell END,
-  CASE WHEN closed THEN {1 - lam:.6f} * (buy_sum + sell_sum) / (buys + sells) + {lam} * e_v ELSE e_v END,
+  CASE WHEN closed THEN {new} * (buys + sells) + {lam} * e_t ELSE e_t END, CASE WHEN closed THEN {new} * buys / (buys + sells) + {lam} * p ELSE p END,
+  CASE WHEN closed AND buys > 0 THEN {new} * buy_sum / buys + {lam} * e_buy ELSE e_buy END, CASE WHEN closed AND sells > 0 THEN {new} * sell_sum / sells + {lam} * e_sell ELSE e_sell END,
+  CASE WHEN closed THEN {new} * (buy_sum + sell_sum) / (buys + sells) + {lam} * e_v ELSE e_v END,
   CASE WHEN closed THEN 0 ELSE buy_run END, CASE WHEN closed THEN 0 ELSE sell_run END, CASE WHEN closed THEN 0 ELSE buy_sum END, CASE WHEN closed THEN 0 ELSE sell_sum END,
   CASE WHEN closed THEN 0 ELSE buys END, CASE WHEN closed THEN 0 ELSE sells END, bar_id + closed::BIGINT, closed, bar_id
  FROM (SELECT f.{scope.replace(", ", ", f.")}, x.i, e_t, p, e_buy, e_sell, e_v, {"buy_run + CASE WHEN x.b = 1 THEN x.d ELSE 0 END" if kind == "run" else "buy_run + x.b * x.d"} AS buy_run,
@@ -534,47 +536,162 @@ _GRID_SQL = f"{_CLEAN}, {_DIRECTION}, " + ", ".join(
     for i, lam, t in _GRID) + ", found AS (SELECT * FROM p0 UNION ALL SELECT * FROM p1 UNION ALL SELECT * FROM p2)"
 
 
-def _grid(spark):
-    return spark.createDataFrame(_GRID, "param_id int, exp_lambda double, init_exp_t double")
-
-
 @query(f"WITH RECURSIVE {_GRID_SQL} SELECT * FROM found", "exp_lambda init_exp_t mean_ticks")
 def grid_search_leaderboard(spark, sf):
-    return search.search_run_bars(ticks.with_direction(clean(spark, sf), ["symbol"]), _grid(spark), ["symbol"], 20)
+    return search.search_run_bars(clean(spark, sf), _GRID, ["symbol"], 20)
+
 
+#: Of the trials up to the first with twice the bars that are enough, the one with most bars.
+_DAY_WINNER = "ORDER BY bars >= {stop} DESC, CASE WHEN bars >= {stop} THEN param_id END, bars DESC, param_id"
 
-@query(f"""WITH RECURSIVE {_GRID_SQL} SELECT *, bars >= 40 AS meets FROM found SEMI JOIN (SELECT symbol FROM clean GROUP BY 1 HAVING count(*) >= 100) t USING (symbol)
-WHERE bars >= 5 QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY bars DESC, param_id) = 1""", "exp_lambda init_exp_t mean_ticks")
+
+@query(f"""WITH RECURSIVE {_GRID_SQL} SELECT symbol, param_id, exp_lambda, init_exp_t, bars, mean_ticks, bars >= 40 AS meets FROM found SEMI JOIN (SELECT symbol FROM clean GROUP BY 1 HAVING count(*) >= 100) t USING (symbol)
+WHERE bars >= 5 QUALIFY row_number() OVER (PARTITION BY symbol {_DAY_WINNER.format(stop=80)}) = 1""", "exp_lambda init_exp_t mean_ticks")
 def scope_search(spark, sf):
-    return studies.day_search(ticks.with_direction(clean(spark, sf), ["symbol"]), _grid(spark), ["symbol"], 20)
+    return trials.day_search(clean(spark, sf), ["symbol"], _GRID, 20)
+
+
+# -- trials: the days of these searches are weeks, as a day of the fixture has too few ticks ----
+
+_WEEKLY = f"{_CLEAN}, wk AS (SELECT *, CAST(date_trunc('week', ts) AS DATE) AS day FROM clean), " + _DIRECTION.replace("PARTITION BY symbol", "PARTITION BY symbol, day").replace("FROM clean", "FROM wk")
+_TRIED_BY = "symbol, day, param_id, lam, t0"
+
+
+def _weekly(spark, sf) -> DataFrame:
+    return clean(spark, sf).withColumn("day", F.to_date(F.date_trunc("week", "ts")))
+
+
+def _points_sql(n: int) -> str:
+    return "pts(param_id, u, v) AS (VALUES " + ", ".join(f"({i}, {u!r}::DOUBLE, {v!r}::DOUBLE)" for i, u, v in trials.points(n)) + ")"
+
+
+def _tried_sql(lists: str, min_ticks: int) -> str:
+    """``folded`` and ``counted`` (one row a scope and candidate) of ``lists(symbol, day, param_id, lam, t0)``."""
+    tried = f"tried AS (SELECT d.*, l.param_id, l.lam, l.t0 FROM directed d JOIN {lists} l ON d.symbol = l.symbol AND d.day = l.day)"
+    counted = f"counted AS (SELECT {_TRIED_BY}, count(f.bar_id) AS bars, avg(f.n_ticks) AS mean_ticks FROM (SELECT DISTINCT {_TRIED_BY} FROM tried) LEFT JOIN folded f USING ({_TRIED_BY}) GROUP BY ALL)"
+    return f"{tried}, {_fold_sql('run', _TRIED_BY, 'lam', 't0', min_ticks, 'tried')}, {counted}"
+
+
+def _adf_sql(name: str, source: str, key: str, order: str, column: str, lags: int, sample: int | None = None) -> str:
+    """``name(key, stat, n, rss)``: the regression by orthogonal steps (lags first, the level last); ``sample``: leaves out as many rows as that lag would."""
+    parts, own = [], [f"l{k}" for k in range(1, lags + 1)]
+    longest = max(sample or 0, lags)
+    parts.append(f"{name}_0 AS (SELECT {key}, {order} AS o, {column} - lag({column}) OVER w AS y, lag({column}) OVER w AS x FROM {source} WHERE {column} IS NOT NULL WINDOW w AS (PARTITION BY {key} ORDER BY {order}))")
+    lagged = "".join(f", lag(y, {k}) OVER w AS l{k}" for k in range(1, longest + 1))
+    parts.append(f"{name}_1 AS (SELECT {key}, y, x{lagged} FROM {name}_0 WINDOW w AS (PARTITION BY {key} ORDER BY o))")
+    mean = ", ".join(f"{c} - avg({c}) OVER (PARTITION BY {key}) AS {c}" for c in ["y", "x", *own])
+    parts.append(f"{name}_2 AS (SELECT {key}, {mean} FROM {name}_1 WHERE {f'l{longest}' if longest else 'y'} IS NOT NULL)")
+    for k, lag in enumerate(own):
+        rest = ", ".join(f"{c} - {lag} * sum({c} * {lag}) OVER (PARTITION BY {key}) / nullif(sum({lag} * {lag}) OVER (PARTITION BY {key}), 0) AS {c}" for c in ["y", "x", *own[k + 1 :]])
+        parts.append(f"{name}_{k + 3} AS (SELECT {key}, {rest} FROM {name}_{k + 2})")
+    parts.append(f"{name}_s AS (SELECT {key}, count(*) AS n, sum(x * y) / sum(x * x) AS beta, sum(x * x) AS xx, sum(y * y) - sum(x * y) * sum(x * y) / sum(x * x) AS rss FROM {name}_{lags + 2} GROUP BY {key})")
+    parts.append(f"{name} AS (SELECT {key}, beta / sqrt(rss / (n - {lags + 2}) / xx) AS stat, n, rss FROM {name}_s)")
+    return ", ".join(parts)
+
+
+def _cdf_sql(z: str) -> str:
+    """The normal distribution by Simpson's rule."""
+    weight = "CASE WHEN i % 2000 = 0 THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END"
+    return f"(0.5 + ({z}) / 6000 / sqrt(2 * pi()) * list_sum(list_transform(range(0, 2001), lambda i: {weight} * exp(-pow(({z}) * i / 2000, 2) / 2))))"
+
+
+def _polynomial_sql(coefficients, x: str) -> str:
+    return "(" + " + ".join(f"{c} * pow({x}, {i})" for i, c in enumerate(coefficients)) + ")"
+
+
+def _adf_z_sql(stat: str) -> str:
+    return f"CASE WHEN {stat} <= {stats.ADF_MIDDLE} THEN {_polynomial_sql(stats.ADF_LOW_P, stat)} ELSE {_polynomial_sql(stats.ADF_HIGH_P, stat)} END"
 
 
-_CONFIGS = ", ".join(f"({lam}::DOUBLE, {t}::DOUBLE)" for lam, t in studies.DIAGNOSTIC_GRID)
+def _scores_sql(name: str, source: str, key: str, order: str) -> str:
+    """``name(key, bars, quality_score, abs_acf_lag1, cv_ticks, is_stationary, std_return, sharpe_ratio)`` of bars with ``close`` and ``n_ticks``."""
+    band = "1.96 / sqrt(nr)"
+    acf = lambda c: f"CASE WHEN abs({c}) <= {band} THEN 20 ELSE coalesce(greatest(0, 20 * (1 - (abs({c}) - {band}) / ({band}))), 0) END"
+    crit = _polynomial_sql(stats.ADF_1PCT, "(1 / a.n::DOUBLE)")
+    adf = f"CASE WHEN stat <= {crit} THEN 10 ELSE coalesce(10 * (1 - least(1, greatest(0, (stat - {crit}) / -{crit}))), 0) END"
+    by = " AND ".join(f"q.{c.strip()} = a.{c.strip()}" for c in key.split(","))
+    both = " AND ".join(f"q.{c.strip()} = v.{c.strip()}" for c in key.split(","))
+    return f"""{name}_r AS (SELECT {key}, {order}, n_ticks, ln(close / lag(close) OVER (PARTITION BY {key} ORDER BY {order})) AS r FROM {source}),
+{name}_l AS (SELECT *, lag(r) OVER (PARTITION BY {key} ORDER BY {order}) AS p, row_number() OVER (PARTITION BY {key} ORDER BY {order}) - 2 AS i, count(r) OVER (PARTITION BY {key}) // 10 AS size, avg(r) OVER (PARTITION BY {key}) AS m FROM {name}_r),
+{name}_b AS (SELECT {key}, i // size AS bin, var_pop(r) AS v FROM {name}_l WHERE r IS NOT NULL AND size > 0 AND i // size < 10 GROUP BY ALL),
+{name}_v AS (SELECT {key}, min(v) AS lo, max(v) AS hi FROM {name}_b GROUP BY ALL),
+{name}_q AS (SELECT {key}, count(*) AS bars, count(r) AS nr, corr(r, p) AS acf, corr(r * r, p * p) AS acf2, stddev_pop(n_ticks) / avg(n_ticks) AS cv, avg(pow(r - m, 2)) AS var, avg(pow(r - m, 3)) AS m3, avg(pow(r - m, 4)) AS m4,
+  avg(r) AS mean, stddev_samp(r) AS std FROM {name}_l GROUP BY ALL),
+{_adf_sql(f"{name}_a", f"{name}_r", key, order, "r", 5)},
+{name} AS (SELECT q.*, CASE WHEN q.nr < 14 THEN 0 ELSE {acf("acf")} + {acf("acf2")} + CASE WHEN lo > 0 THEN greatest(0, 20 * (1 - log10(hi / lo))) ELSE 0 END + {adf} + greatest(0, 10 * (1 - least(cv, 1)))
+  + greatest(0, 10 * (1 - CASE WHEN var > 0 THEN abs(m3 / pow(var, 1.5)) + abs(m4 / pow(var, 2) - 3) ELSE 5 END / 5)) END::DOUBLE AS quality_score,
+  CASE WHEN q.nr >= 3 THEN abs(acf) END AS abs_acf_lag1, cv AS cv_ticks, CASE WHEN q.nr >= 14 THEN {_adf_z_sql("stat")} < -1.6448536269514722 END AS is_stationary, std AS std_return, CASE WHEN q.nr >= 2 THEN coalesce(mean / nullif(std, 0) * sqrt(252), 0) END AS sharpe_ratio
+  FROM {name}_q q LEFT JOIN {name}_v v ON {both} LEFT JOIN {name}_a a ON {by})"""
 
 
-@query(f"""WITH {_DAYS}, t AS (SELECT symbol, day, bars + 10 >= 60 + init_exp_t / 500 AS succeeded FROM days, (VALUES {_CONFIGS}) p(exp_lambda, init_exp_t)),
-a AS (SELECT symbol, count(*) AS tests, count(*) FILTER (succeeded) AS successes, count(DISTINCT day) AS days, count(DISTINCT day) FILTER (NOT succeeded) AS failed_days, count(*) FILTER (succeeded) / count(*) AS success_rate FROM t GROUP BY 1),
+_MINI_SQL = f"""lists AS (SELECT symbol, day, param_id, round(0.97 + v * (0.9999 - 0.97), 6) AS lam, least(floor(10 + u * (90 - 10 + 1)), 90) AS t0 FROM (SELECT DISTINCT symbol, day FROM wk), pts)"""
+
+
+@query(f"""WITH RECURSIVE {_WEEKLY}, {_points_sql(8)}, {_MINI_SQL}, {_tried_sql("lists", 5)}
+SELECT symbol, day, param_id, lam AS exp_lambda, t0 AS init_exp_t, bars, mean_ticks, bars >= 12 AS meets FROM counted SEMI JOIN (SELECT symbol, day FROM wk GROUP BY ALL HAVING count(*) >= 100) t USING (symbol, day)
+WHERE bars >= 5 QUALIFY row_number() OVER (PARTITION BY symbol, day {_DAY_WINNER.format(stop=24)}) = 1""", "exp_lambda init_exp_t mean_ticks")
+def mini_search(spark, sf):
+    weeks = _weekly(spark, sf)
+    bounds = trials.day_bounds(weeks.select("symbol", "day").distinct(), {}, other=30.0, least=10.0)
+    return trials.day_search(weeks, ["symbol", "day"], trials.spread_candidates(bounds, ["symbol", "day"], 8), 5, least_bars=5, enough=12)
+
+
+_PRIOR = """prior AS (SELECT symbol, '2023-11' AS period, 0.995::DOUBLE AS exp_lambda, (20 + count(*) % 9)::DOUBLE AS init_exp_t FROM clean GROUP BY symbol
+  UNION ALL SELECT symbol, '2023-12', 0.9::DOUBLE, 500.0::DOUBLE FROM clean GROUP BY symbol)"""
+_FAILED_SQL = f"""{_PRIOR}, failing AS (SELECT DISTINCT symbol, day FROM wk WHERE day(day) % 3 <> 0),
+b AS (SELECT symbol, greatest(10, floor(init_exp_t * 0.5)) AS lo, greatest(greatest(10, floor(init_exp_t * 0.5)) + 10, floor(init_exp_t * 1.5)) AS hi FROM prior WHERE period = '2023-11'),
+lists AS (SELECT symbol, day, param_id, round(0.99 + v * (0.999 - 0.99), 6) AS lam, least(floor(lo + u * (hi - lo + 1)), hi) AS t0 FROM failing JOIN b USING (symbol), pts)"""
+_FOUND_SQL = f"""{_scores_sql("s", "folded", _TRIED_BY, "bar_id")},
+days AS (SELECT c.*, strftime(c.day, '%Y-%m') AS month, s.quality_score FROM counted c LEFT JOIN s USING ({_TRIED_BY})),
+obj AS (SELECT symbol, month, param_id, lam AS exp_lambda, t0 AS init_exp_t, count(*) AS days, count(*) FILTER (bars >= 16) AS successes, avg(quality_score) FILTER (bars >= 16) AS q, stddev_pop(quality_score) FILTER (bars >= 16) AS std FROM days GROUP BY ALL),
+scored AS (SELECT symbol, month, param_id, exp_lambda, init_exp_t, days, successes, coalesce(q, 0) AS mean_quality, successes / days AS success_rate, CASE WHEN successes = 0 OR successes / days < 0.4 THEN 0 ELSE 50 * successes / days + 0.35 * q + 0.15 * greatest(0, 100 - std) END::DOUBLE AS score FROM obj),
+found AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY symbol, month ORDER BY score DESC, param_id) = 1)"""
+
+
+def _failed_search(spark, sf):
+    weeks = _weekly(spark, sf)
+    counts = clean(spark, sf).groupBy("symbol").agg(F.count("*").alias("n"))
+    of = lambda period, lam, t: counts.select("symbol", F.lit(period).alias("period"), F.lit(lam).alias("exp_lambda"), t.cast("double").alias("init_exp_t"))
+    prior = of("2023-11", 0.995, 20 + F.col("n") % 9).unionByName(of("2023-12", 0.9, F.lit(500.0)))
+    failed = weeks.where(F.dayofmonth("day") % 3 != 0).select("symbol", "day").distinct()
+    return weeks, failed, trials.failed_day_search(weeks, failed, prior, 6, 5, 16, least_t=10.0)
+
+
+@query(f"WITH RECURSIVE {_WEEKLY}, {_points_sql(6)}, {_FAILED_SQL}, {_tried_sql('lists', 5)}, {_FOUND_SQL} SELECT * FROM found", "exp_lambda init_exp_t mean_quality success_rate score")
+def failed_day_search(spark, sf):
+    return _failed_search(spark, sf)[2]
+
+
+@query(f"""WITH RECURSIVE {_WEEKLY}, {_points_sql(6)}, {_FAILED_SQL}, {_tried_sql('lists', 5)}, {_FOUND_SQL}
+SELECT f.symbol, f.day, f.lam AS exp_lambda, f.t0 AS init_exp_t, bar_id, open_time, close_time, open, high, low, close, n_ticks, volume, dollar FROM folded f
+JOIN found g ON f.symbol = g.symbol AND strftime(f.day, '%Y-%m') = g.month AND f.param_id = g.param_id QUALIFY count(*) OVER (PARTITION BY f.symbol, f.day) >= 16""", "exp_lambda init_exp_t " + _OHLC)
+def failed_day_recovery(spark, sf):
+    weeks, failed, found = _failed_search(spark, sf)
+    return trials.recovered_bars(weeks, failed, found, 5, 16)
+
+
+#: The diagnostic's candidates with a fiftieth of their T.
+_CONFIGS = [(i, lam, t / 50) for i, (lam, t) in enumerate(studies.DIAGNOSTIC_GRID)]
+_TESTED = f"""{_WEEKLY}, lists AS (SELECT symbol, day, param_id, lam, t0 FROM (SELECT DISTINCT symbol, day FROM wk), (VALUES {", ".join(f"({i}, {lam}::DOUBLE, {t}::DOUBLE)" for i, lam, t in _CONFIGS)}) p(param_id, lam, t0)), {_tried_sql("lists", 5)}"""
+
+
+@query(f"""WITH RECURSIVE {_TESTED}, tests AS (SELECT *, bars >= 12 AS succeeded FROM counted),
+a AS (SELECT symbol, count(*) AS tests, count(*) FILTER (succeeded) AS successes, count(DISTINCT day) AS days, count(DISTINCT day) FILTER (NOT succeeded) AS failed_days, count(*) FILTER (succeeded) / count(*) AS success_rate FROM tests GROUP BY 1),
 b AS (SELECT *, CASE WHEN success_rate >= 0.8 THEN 'EXCELLENT' WHEN success_rate >= 0.6 THEN 'GOOD' WHEN success_rate >= 0.4 THEN 'FAIR' ELSE 'POOR' END AS assessment, failed_days / days AS failed_day_ratio,
   CASE WHEN success_rate >= 0.8 THEN 1.0 WHEN success_rate >= 0.6 THEN 0.9 WHEN success_rate >= 0.4 THEN 0.85 ELSE 0.8 END::DOUBLE AS demand FROM a)
 SELECT * REPLACE (CASE WHEN failed_days >= 3 AND demand >= 0.9 THEN greatest(0.8, demand * 0.85) ELSE demand END::DOUBLE AS demand) FROM b""", "success_rate failed_day_ratio demand")
 def period_diagnostic(spark, sf):
-    tests = _days(spark, sf).crossJoin(F.broadcast(studies.diagnostic_grid(spark)))  # five candidates
-    return studies.diagnose(tests.withColumn("succeeded", F.col("bars") + 10 >= 60 + F.col("init_exp_t") / 500), ["symbol"])
+    return studies.diagnose(studies.diagnostic_tests(_weekly(spark, sf), ["symbol", "day"], 5, 12, _CONFIGS), ["symbol"])
 
 
-@query(f"""WITH {_DAYS}, x AS (SELECT symbol, exp_lambda, init_exp_t, CASE WHEN bars >= 50 THEN quality * exp_lambda END AS quality_score, bars, quality / 100 AS abs_acf_lag1, bars / 100 AS cv_ticks, quality > 100 * exp_lambda AS is_stationary, close / 100 AS std_return, quality / close AS sharpe_ratio
-  FROM days, (VALUES {_CONFIGS}) p(exp_lambda, init_exp_t))
+@query(f"""WITH RECURSIVE {_TESTED}, {_scores_sql("s", "folded", _TRIED_BY, "bar_id")},
+x AS (SELECT c.symbol, c.lam AS exp_lambda, c.t0 AS init_exp_t, CASE WHEN c.bars >= 12 THEN s.quality_score END AS quality_score, c.bars, s.abs_acf_lag1, s.cv_ticks, s.is_stationary, s.std_return, s.sharpe_ratio FROM counted c LEFT JOIN s USING ({_TRIED_BY}))
 SELECT symbol, exp_lambda, init_exp_t, avg(quality_score) AS quality_score_mean, stddev_samp(quality_score) AS quality_score_std, count(quality_score) AS n_days, avg(abs_acf_lag1) AS abs_acf_lag1, avg(cv_ticks) AS cv_ticks, avg(std_return) AS std_return,
-  avg(sharpe_ratio) AS sharpe_ratio, avg(bars) AS n_bars_mean, stddev_samp(bars) AS n_bars_std, count(*) FILTER (is_stationary) / count(*) AS stationary_ratio, count(quality_score) / 31 AS completion_rate FROM x GROUP BY 1, 2, 3""",
+  avg(sharpe_ratio) AS sharpe_ratio, avg(bars) AS n_bars_mean, stddev_samp(bars) AS n_bars_std, count(*) FILTER (is_stationary) / count(*) AS stationary_ratio, count(quality_score) / 5 AS completion_rate FROM x GROUP BY 1, 2, 3""",
     "quality_score_mean quality_score_std abs_acf_lag1 cv_ticks std_return sharpe_ratio n_bars_mean n_bars_std stationary_ratio completion_rate")
 def grid_aggregation(spark, sf):
-    q, lam = F.col("quality"), F.col("exp_lambda")
-    days = _days(spark, sf).crossJoin(F.broadcast(studies.diagnostic_grid(spark).drop("param_id")))  # five candidates
-    results = days.withColumns({
-        "quality_score": F.when(F.col("bars") >= 50, q * lam), "abs_acf_lag1": q / 100, "cv_ticks": F.col("bars") / 100,
-        "is_stationary": q > 100 * lam, "std_return": F.col("close") / 100, "sharpe_ratio": q / F.col("close"),
-    })
-    return studies.aggregate_grid(results, 31)
+    tests = studies.diagnostic_tests(_weekly(spark, sf), ["symbol", "day"], 5, 12, _CONFIGS)
+    return studies.aggregate_grid(tests.withColumn("quality_score", F.when(F.col("succeeded"), F.col("quality_score"))), 5)
 
 
 _STUDY = f"{_TRIALS}, studied AS (SELECT trial % 4 AS study, trial, CASE WHEN trial % 11 = 5 THEN 'FAIL' WHEN validation_score IS NULL THEN 'PRUNED' ELSE 'COMPLETE' END AS state, round(validation_score, 2) AS value FROM trials)"
@@ -860,9 +977,20 @@ def variance_bins(spark, sf):
     return stats.variance_bins(returns(spark, sf), ["symbol"], ["open_time"], "log_return")
 
 
-@query(f"""WITH {_RETURNS}, {_BINS}, z AS (SELECT symbol, bin, v, abs(v - quantile_cont(v, 0.5) OVER (PARTITION BY symbol, bin)) AS z FROM bins), e AS (SELECT symbol, bin, count(*) AS n, avg(z) AS m, var_pop(z) AS w, var_pop(v) AS vv FROM z GROUP BY 1, 2),
-t AS (SELECT symbol, sum(n) AS nn, count(*) AS k, sum(n * m) / sum(n) AS mm, sum(n * w) AS within, sum(n * m * m) AS sq, max(vv) / min(vv) AS variance_ratio FROM e GROUP BY 1)
-SELECT symbol, (nn - k) * (sq - nn * mm * mm) / ((k - 1) * within) AS levene, variance_ratio FROM t""", "levene variance_ratio")
+#: ``fp(symbol, f, p)``: the upper tail of F by the continued fraction of the incomplete beta function, a step a row of the recursion.
+_F_SQL = """fa AS (SELECT *, d2 / 2.0 AS a0, d1 / 2.0 AS b0, d2 / (d2 + d1 * f) AS x0 FROM {source}),
+fb AS (SELECT symbol, f, x0 < (a0 + 1) / (a0 + b0 + 2) AS near, exp(a0 * ln(x0) + b0 * ln(1 - x0) - (lgamma(a0) + lgamma(b0) - lgamma(a0 + b0))) AS front,
+  CASE WHEN x0 < (a0 + 1) / (a0 + b0 + 2) THEN a0 ELSE b0 END AS a, CASE WHEN x0 < (a0 + 1) / (a0 + b0 + 2) THEN b0 ELSE a0 END AS b, CASE WHEN x0 < (a0 + 1) / (a0 + b0 + 2) THEN x0 ELSE 1 - x0 END AS x FROM fa),
+fc AS (SELECT symbol, 0 AS m, a, b, x, 1::DOUBLE AS c, 1 / (1 - (a + b) * x / (a + 1)) AS d, 1 / (1 - (a + b) * x / (a + 1)) AS h FROM fb
+  UNION ALL SELECT symbol, m + 1, a, b, x, 1 + odd / c1, 1 / (1 + odd * d1), h * c1 * d1 * (1 + odd / c1) / (1 + odd * d1)
+  FROM (SELECT *, 1 + even / c AS c1, 1 / (1 + even * d) AS d1 FROM (SELECT *, (m + 1) * (b - (m + 1)) * x / ((a + 2 * m + 1) * (a + 2 * m + 2)) AS even, -(a + m + 1) * (a + b + m + 1) * x / ((a + 2 * m + 2) * (a + 2 * m + 3)) AS odd FROM fc WHERE m < 200))),
+fp AS (SELECT fb.symbol, f, CASE WHEN near THEN front * h / fb.a ELSE 1 - front * h / fb.a END AS p FROM fb JOIN fc ON fb.symbol = fc.symbol AND m = 200)"""
+
+
+@query(f"""WITH RECURSIVE {_RETURNS}, {_BINS}, z AS (SELECT symbol, bin, v, abs(v - quantile_cont(v, 0.5) OVER (PARTITION BY symbol, bin)) AS z FROM bins), e AS (SELECT symbol, bin, count(*) AS n, avg(z) AS m, var_pop(z) AS w, var_pop(v) AS vv FROM z GROUP BY 1, 2),
+t AS (SELECT symbol, sum(n) AS nn, count(*) AS k, sum(n * m) / sum(n) AS mm, sum(n * w) AS within, sum(n * m * m) AS sq, max(vv) / min(vv) AS variance_ratio FROM e GROUP BY 1),
+{_F_SQL.format(source="(SELECT symbol, (nn - k) * (sq - nn * mm * mm) / ((k - 1) * within) AS f, k - 1 AS d1, nn - k AS d2 FROM t)")}
+SELECT symbol, f AS levene, p AS levene_p, variance_ratio FROM fp JOIN t USING (symbol)""", "levene levene_p variance_ratio")
 def levene_stat(spark, sf):
     return stats.levene(returns(spark, sf), ["symbol"], ["open_time"], "log_return")
 
@@ -873,19 +1001,53 @@ def return_histogram(spark, sf):
     return rows.groupBy("symbol", F.floor(F.col("log_return") / 0.25).alias("bin")).agg(F.count("*").alias("n"))
 
 
-@query(None, "adf adf_crit_1pct")
+def _adf_columns(n: str, used: str) -> str:
+    crit = ", ".join(f"{_polynomial_sql(t, '(1 / nobs::DOUBLE)')} AS adf_crit_{p}pct" for t, p in ((stats.ADF_1PCT, 1), (stats.ADF_5PCT, 5)))
+    return f"{n} AS n, stat AS adf, {used} AS lag, {_cdf_sql(_adf_z_sql('stat'))} AS adf_p, {crit}"
+
+
+_ADF_FLOATS = "adf adf_p adf_crit_1pct adf_crit_5pct"
+
+
+@query(f"WITH {_RETURNS}, {_adf_sql('a', 'r', 'symbol', 'open_time', 'log_return', 5)}, b AS (SELECT symbol, stat, n AS nobs FROM a) SELECT symbol, {_adf_columns('nobs + 6', '5')} FROM b", _ADF_FLOATS)
 def adf_fixed_lag(spark, sf):
     return stats.adf(returns(spark, sf), ["symbol"], ["open_time"], "log_return")
 
 
-@query(None, "quality_score")
+_MOST = 4
+#: ``best(symbol, stat, lag, nobs)``: each lag over the common sample for its AIC, then the winner over its own sample.
+_BEST_LAG = ", ".join(f"{_adf_sql(f'c{k}', 'r', 'symbol', 'open_time', 'log_return', k, _MOST)}, {_adf_sql(f'g{k}', 'r', 'symbol', 'open_time', 'log_return', k)}" for k in range(_MOST + 1)) + (
+    ", aic AS (" + " UNION ALL ".join(f"SELECT symbol, {k} AS lag, n * ln(rss / n) + 2 * {k + 2} AS v FROM c{k}" for k in range(_MOST + 1)) + ")"
+    + ", own AS (" + " UNION ALL ".join(f"SELECT symbol, {k} AS lag, stat, n AS nobs FROM g{k}" for k in range(_MOST + 1)) + ")"
+    + ", best AS (SELECT o.* FROM own o JOIN (SELECT symbol, arg_min(lag, v) AS lag FROM aic GROUP BY symbol) a ON o.symbol = a.symbol AND o.lag = a.lag)"
+)
+
+
+@query(f"WITH {_RETURNS}, {_BEST_LAG} SELECT symbol, {_adf_columns('nobs + 1 + lag', 'lag')} FROM best", _ADF_FLOATS)
+def adf_by_aic(spark, sf):
+    return stats.adf(returns(spark, sf), ["symbol"], ["open_time"], "log_return", None, _MOST)
+
+
+@query(f"WITH {_BARS}, {_scores_sql('s', 'bars', 'symbol', 'open_time')} SELECT symbol, bars, quality_score FROM s", "quality_score")
 def quality_score_v2(spark, sf):
     return stats.quality_scores(returns(spark, sf), ["symbol"], ["open_time"])
 
 
-@query(None, "quality_score")
+@query(f"""WITH RECURSIVE {_RETURNS}, {_BINS}, {_BEST_LAG}, z AS (SELECT symbol, bin, v, abs(v - quantile_cont(v, 0.5) OVER (PARTITION BY symbol, bin)) AS z FROM bins), e AS (SELECT symbol, bin, count(*) AS n, avg(z) AS m, var_pop(z) AS w FROM z GROUP BY 1, 2),
+t AS (SELECT symbol, sum(n) AS nn, count(*) AS k, sum(n * m) / sum(n) AS mm, sum(n * w) AS within, sum(n * m * m) AS sq FROM e GROUP BY 1),
+{_F_SQL.format(source="(SELECT symbol, (nn - k) * (sq - nn * mm * mm) / ((k - 1) * within) AS f, k - 1 AS d1, nn - k AS d2 FROM t)")},
+x AS (SELECT *, avg(log_return) OVER (PARTITION BY symbol) AS m, lag(log_return) OVER ({_W}) AS p FROM r),
+y AS (SELECT symbol, count(*) AS bars, count(log_return) / 6 * (pow(avg(pow(log_return - m, 3)) / pow(avg(pow(log_return - m, 2)), 1.5), 2) + pow(avg(pow(log_return - m, 4)) / pow(avg(pow(log_return - m, 2)), 2) - 3, 2) / 4) AS jb,
+  abs(corr(log_return, p)) AS acf, stddev_pop(n_ticks) / avg(n_ticks) AS cv FROM x GROUP BY 1)
+SELECT symbol, bars, greatest(0, 30 * (1 - acf)) + CASE WHEN {_adf_z_sql("stat")} < -1.6448536269514722 THEN 25 ELSE 0 END + least(20, 20 * fp.p) + greatest(0, 15 * (1 - least(cv, 1))) + least(10, 10 * exp(-jb / 2)) AS quality_score
+FROM y JOIN best USING (symbol) JOIN fp USING (symbol)""", "quality_score")
 def legacy_quality_score(spark, sf):
-    return stats.quality_scores(returns(spark, sf), ["symbol"], ["open_time"], stats.legacy_quality_score)
+    return stats.quality_scores(returns(spark, sf), ["symbol"], ["open_time"], partial(stats.legacy_quality_score, most=_MOST))
+
+
+@query(None, "shapiro_w shapiro_p")
+def shapiro_wilk(spark, sf):
+    return stats.shapiro(returns(spark, sf), ["symbol"], "log_return")
 
 
 _COMPARE = [(15, "T15"), (60, "T60"), (240, "T240")]

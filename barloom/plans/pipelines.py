@@ -29,9 +29,8 @@ def daily_bars(clean: DataFrame, studies: DataFrame, min_ticks: int = 400, defau
     defaults = defaults or DEFAULTS
     days = clean.select("symbol", F.to_date("ts").alias("day")).distinct().withColumn("period", F.date_format("day", "yyyy-MM"))
     params = joins.param_lookup(days, studies, defaults).drop("period").withColumnRenamed("source", "study_source")
-    directed = ticks.with_direction(clean.withColumn("day", F.to_date("ts")), ["symbol", "day"])
-    scope = ["symbol", "day", "exp_lambda", "init_exp_t"]
-    made = bars.run_bars(directed.join(params.drop("study_source"), ["symbol", "day"]), scope, F.col("exp_lambda"), F.col("init_exp_t"), min_ticks)
+    one = F.array(F.struct(F.lit(0).alias("param_id"), "exp_lambda", "init_exp_t"))
+    made = bars.candidate_bars(clean.withColumn("day", F.to_date("ts")), ["symbol", "day"], params.select("symbol", "day", one.alias("candidates")), min_ticks).drop("param_id")
     return made.join(params.select("symbol", "day", "study_source"), ["symbol", "day"])
 
 
@@ -64,11 +63,8 @@ def fallback_day(clean_day: DataFrame, levels: list[tuple[float, float]], min_ti
 
     All levels are folded side by side and one is kept; ``level`` says which.
     """
-    spark = clean_day.sparkSession
-    grid = spark.createDataFrame([(i, lam, float(t)) for i, (lam, t) in enumerate(levels)], "level int, exp_lambda double, init_exp_t double")
-    directed = ticks.with_direction(clean_day.withColumn("day", F.to_date("ts")), ["symbol", "day"]).crossJoin(F.broadcast(grid))
-    scope = ["symbol", "day", "level", "exp_lambda", "init_exp_t"]
-    made = bars.run_bars(directed, scope, F.col("exp_lambda"), F.col("init_exp_t"), min_ticks).drop("exp_lambda", "init_exp_t")
+    made = bars.candidate_bars(clean_day.withColumn("day", F.to_date("ts")), ["symbol", "day"], [(i, lam, float(t)) for i, (lam, t) in enumerate(levels)], min_ticks)
+    made = made.drop("exp_lambda", "init_exp_t").withColumnRenamed("param_id", "level")
     whole = bars.day_bars(clean_day).withColumns({"level": F.lit(len(levels)), "bar_id": F.lit(0).cast("long")})
     every = made.unionByName(whole.select(made.columns))
     counts = every.groupBy("symbol", "day", "level").agg(F.count("*").alias("bars"))

@@ -47,8 +47,6 @@ def test_diagnosis_and_search_edges(spark):
     assert (found["a"].successes, found["a"].failed_days, found["a"].assessment, found["a"].demand) == (6, 4, "POOR", 0.8)
     assert (found["b"].success_rate, found["b"].failed_day_ratio) == (0.0, 1.0)
     assert studies.diagnose(tests.limit(0), ["period"]).collect() == []
-    tried = spark.createDataFrame([(0, "x", 9), (1, "x", 9), (0, "y", 4)], "param_id int, day string, bars long")
-    assert [(r.day, r.param_id) for r in studies.best_per_scope(tried, ["day"]).collect()] == [("x", 0)]
 
 
 def test_overview_without_complete_trials(spark):
