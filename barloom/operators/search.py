@@ -44,10 +44,11 @@ def assign_splits(bars: DataFrame, spec: WindowSpec) -> DataFrame:
 
 
 def validation_leaderboard(trials: DataFrame) -> DataFrame:
-    """By validation score, with the gap to training; robust trials have at most the median gap."""
+    """By validation score, with the gap to training; robust trials have at most the median gap and, where there is such a column, a stability."""
     scored = trials.where("validation_score is not null").withColumn("gap", F.greatest(F.col("train_score") - F.col("validation_score"), F.lit(0.0)))
+    steady = F.col("stability").isNotNull() if "stability" in trials.columns else F.lit(True)
     middle = scored.agg(F.percentile("gap", F.lit(0.5)).alias("median_gap"))  # one row
-    out = scored.crossJoin(F.broadcast(middle)).withColumn("robust", F.coalesce(F.col("gap") <= F.col("median_gap"), F.lit(False))).drop("median_gap")
+    out = scored.crossJoin(F.broadcast(middle)).withColumn("robust", F.coalesce(F.col("gap") <= F.col("median_gap"), F.lit(False)) & steady).drop("median_gap")
     return out.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("validation_score"), "trial")))
 
 
@@ -60,6 +61,36 @@ def composite_score(days: DataFrame, by: list[str], min_bars: int = 50, max_t: f
     return out.withColumn("score", F.when(failed, 0.0).otherwise(F.coalesce(score, F.lit(0.0))))
 
 
+def stopped_early(trials: DataFrame, by: list[str], pruned: int = 10, stale: int = 15, least_gain: float = 1e-6) -> DataFrame:
+    """Where each study's trials would have stopped: ``by, ran, stopped_at, reason`` (null if never) from ``(by, trial, state, value)``.
+
+    A study stops at the last of ``pruned`` pruned trials in a row, or at a
+    complete trial that is the ``stale``-th without a gain over the best value
+    seen.  Pruned trials, and complete ones before any positive value, age the
+    study too; failed ones only break a row of pruned ones.  One pass over a
+    study's own trials, in order.
+    """
+    step = F.struct("trial", "state", "value")
+    ordered = F.array_sort(F.collect_list(step))
+    start = F.expr("named_struct('row', 0, 'age', 0, 'best', cast(null as double), 'seen', cast(null as double), 'ran', 0L, 'at', cast(null as bigint), 'reason', cast(null as string))")
+
+    def take(s: Column, t: Column) -> Column:
+        lost, done = t["state"] == "PRUNED", t["state"] == "COMPLETE"
+        best = F.when(done, F.greatest(s["best"], t["value"])).otherwise(s["best"])
+        gained = done & (best > 0) & F.coalesce(best > s["seen"] + least_gain, F.lit(True))
+        age = F.when(gained, 0).when(lost | done, s["age"] + 1).otherwise(s["age"])
+        row = F.when(lost, s["row"] + 1).otherwise(0)
+        reason = F.when(lost & (row >= pruned), "pruned").when(done & (best > 0) & ~gained & (age >= stale), "no improvement")
+        next_ = F.struct(
+            row.alias("row"), age.alias("age"), best.alias("best"), F.when(gained, best).otherwise(s["seen"]).alias("seen"), (s["ran"] + 1).alias("ran"),
+            F.when(reason.isNotNull(), t["trial"].cast("long")).alias("at"), reason.alias("reason"),
+        )
+        return F.when(s["reason"].isNotNull(), s).otherwise(next_)
+
+    out = trials.groupBy(*by).agg(F.aggregate(ordered, start, take).alias("s"))
+    return out.select(*by, F.col("s.ran").alias("ran"), F.col("s.at").alias("stopped_at"), F.col("s.reason").alias("reason"))
+
+
 def grid(spark: SparkSession, lambdas: list[float], sizes: list[float]) -> DataFrame:
     return spark.createDataFrame([(i, lam, float(t)) for i, (lam, t) in enumerate((a, b) for a in lambdas for b in sizes)], "param_id int, exp_lambda double, init_exp_t double")
 
@@ -77,12 +108,15 @@ def _per_symbol(values: dict, other) -> Column:
     return out
 
 
-def adaptive_bounds(trials: DataFrame, current: dict[str, float], share: int = 5, least: int = 3) -> DataFrame:
+BOUNDS = ["t_min", "t_max", "lambda_min", "lambda_max"]
+
+
+def adaptive_bounds(trials: DataFrame, current: dict[str, float] | DataFrame, share: int = 5, least: int = 3) -> DataFrame:
     """Bounds of each symbol's next search from the best fifth of its trials with a positive score.
 
     ``trials``: ``symbol, trial, score, init_exp_t, exp_lambda``; ``current``:
-    ``t_min, t_max, lambda_min, lambda_max``, returned for symbols with fewer
-    than ``least`` such trials.  T: median less two, plus three, deviations, at
+    ``BOUNDS``, for all symbols or (a frame) a row for each, returned for
+    symbols with fewer than ``least`` such trials.  T: median less two, plus three, deviations, at
     least the floor, made wider when narrow and when the best trials crowd the
     current edges.  Lambda: two deviations either side, within 0.9 and the cap.
     """
@@ -95,7 +129,11 @@ def adaptive_bounds(trials: DataFrame, current: dict[str, float], share: int = 5
         q("exp_lambda", 0.5).alias("lc"), F.stddev_pop("exp_lambda").alias("ls"),
     )
     col, whole = F.col, lambda c: c.cast("long")
-    out = trials.select("symbol").distinct().join(best, "symbol", "left").withColumns({"floor": _per_symbol(T_FLOORS, OTHER_FLOOR), "cap": _per_symbol(LAMBDA_CAPS, OTHER_CAP)})
+    if isinstance(current, DataFrame):
+        symbols = current.select("symbol", *[F.col(n).cast("double").alias(f"now_{n}") for n in BOUNDS])
+    else:
+        symbols = trials.select("symbol").distinct().select("symbol", *[F.lit(float(current[n])).alias(f"now_{n}") for n in BOUNDS])
+    out = symbols.join(best, "symbol", "left").withColumns({"floor": _per_symbol(T_FLOORS, OTHER_FLOOR), "cap": _per_symbol(LAMBDA_CAPS, OTHER_CAP)})
     out = out.withColumns({"lo": F.greatest("floor", whole(col("tc") - 2 * col("ts"))), "hi": whole(col("tc") + 3 * col("ts"))})
     narrow = col("hi") - col("lo") < col("floor")
     wide_lo, wide_hi = F.greatest("floor", whole(col("tc") - col("floor"))), whole(col("tc") + col("floor"))
@@ -104,8 +142,8 @@ def adaptive_bounds(trials: DataFrame, current: dict[str, float], share: int = 5
         "hi": F.when(narrow & (wide_hi <= wide_lo), wide_lo * 3).when(narrow, wide_hi).otherwise(col("hi")),
     })
     out = out.withColumns({
-        "hi": F.when(col("p90") > current["t_max"] * 0.85, F.lit(int(current["t_max"] * 1.5))).otherwise(col("hi")),
-        "lo": F.when(col("p10") < current["t_min"] * 1.15, F.greatest("floor", F.lit(int(current["t_min"] * 0.5)))).otherwise(col("lo")),
+        "hi": F.when(col("p90") > col("now_t_max") * 0.85, whole(col("now_t_max") * 1.5)).otherwise(col("hi")),
+        "lo": F.when(col("p10") < col("now_t_min") * 1.15, F.greatest("floor", whole(col("now_t_min") * 0.5))).otherwise(col("lo")),
     }).withColumn("hi", F.when(col("hi") <= col("lo"), col("lo") * 3).otherwise(col("hi")))
     out = out.withColumns({"a": F.greatest(F.lit(0.9), col("lc") - 2 * col("ls")), "b": F.least("cap", col("lc") + 2 * col("ls"))})
     apart = lambda a, b: F.when(b <= a, F.least(col("cap"), a + 0.05)).otherwise(b)
@@ -115,7 +153,7 @@ def adaptive_bounds(trials: DataFrame, current: dict[str, float], share: int = 5
     out = out.withColumns({"a": F.when(tight, near_a).otherwise(col("a")), "b": F.when(tight, apart(near_a, near_b)).otherwise(col("b"))})
     found = {"t_min": col("lo"), "t_max": col("hi"), "lambda_min": F.round("a", 4), "lambda_max": F.round("b", 4)}
     derived = col("tc").isNotNull()
-    return out.select("symbol", *[F.when(derived, x).otherwise(F.lit(current[n])).cast("double").alias(n) for n, x in found.items()], derived.alias("derived"))
+    return out.select("symbol", *[F.when(derived, x).otherwise(col(f"now_{n}")).cast("double").alias(n) for n, x in found.items()], derived.alias("derived"))
 
 
 def regime_window(day_stats: DataFrame, most: int = 3) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from barloom.functions import stats
 from barloom.operators import bars, features, joins, quality, search, studies, ticks, trials, winsor
-from barloom.plans import pipelines
+from barloom.plans import pipelines, search_runs
 from barloom.sources import sinks, tables
 from barloom.streaming import stream
 
@@ -448,26 +448,31 @@ def _trials(spark, sf):
     return out.withColumn("validation_score", F.when(F.col("trial") % 7 != 3, F.col("validation_score")))
 
 
-@query(f"""WITH {_TRIALS}, g AS (SELECT trial, train_score, validation_score, greatest(train_score - validation_score, 0) AS gap FROM trials WHERE validation_score IS NOT NULL)
-SELECT *, gap <= quantile_cont(gap, 0.5) OVER () AS robust, row_number() OVER (ORDER BY validation_score DESC, trial)::INTEGER AS rank FROM g""", "train_score validation_score gap")
+@query(f"""WITH {_TRIALS}, g AS (SELECT trial, train_score, validation_score, CASE WHEN trial % 4 <> 1 THEN exp_lambda END AS stability, greatest(train_score - validation_score, 0) AS gap FROM trials WHERE validation_score IS NOT NULL)
+SELECT * EXCLUDE stability, gap <= quantile_cont(gap, 0.5) OVER () AND stability IS NOT NULL AS robust, row_number() OVER (ORDER BY validation_score DESC, trial)::INTEGER AS rank FROM g""", "train_score validation_score gap")
 def validation_leaderboard(spark, sf):
-    return search.validation_leaderboard(_trials(spark, sf)).select("trial", "train_score", "validation_score", "gap", "robust", "rank")
+    tried = _trials(spark, sf).withColumn("stability", F.when(F.col("trial") % 4 != 1, F.col("exp_lambda")))
+    return search.validation_leaderboard(tried).select("trial", "train_score", "validation_score", "gap", "robust", "rank")
 
 
 _BOUNDS = {"t_min": 300.0, "t_max": 700.0, "lambda_min": 0.95, "lambda_max": 0.99}
 
 
-@query(f"""WITH {_TRIALS}, t AS (SELECT CASE trial % 3 WHEN 0 THEN 'BTCUSDT' WHEN 1 THEN 'ETHUSDT' ELSE 'OTHER' END AS symbol, trial, validation_score AS score, 0.9 + exp_lambda AS lam, init_exp_t / 100 AS t FROM trials),
-k AS (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY score DESC, trial) AS r, count(*) OVER (PARTITION BY symbol) AS n FROM t WHERE score > 0),
+#: ``e``: the next bounds of each symbol from ``t(symbol, trial, score, lam, t)`` and ``cur(symbol, now_t_min, now_t_max, now_lambda_min, now_lambda_max)``.
+_NEXT_BOUNDS = """k AS (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY score DESC, trial) AS r, count(*) OVER (PARTITION BY symbol) AS n FROM t WHERE score > 0),
 b AS (SELECT symbol, quantile_cont(t, 0.5) AS tc, stddev_pop(t) AS ts, quantile_cont(t, 0.9) AS p90, quantile_cont(t, 0.1) AS p10, quantile_cont(lam, 0.5) AS lc, stddev_pop(lam) AS ls FROM k WHERE n >= 3 AND r <= greatest(3, n // 5) GROUP BY symbol),
-f AS (SELECT s.symbol, b.* EXCLUDE symbol, CASE s.symbol WHEN 'BTCUSDT' THEN 200 WHEN 'ETHUSDT' THEN 300 ELSE 100 END AS fl, CASE s.symbol WHEN 'BTCUSDT' THEN 0.993::DOUBLE ELSE 0.995::DOUBLE END AS cap FROM (SELECT DISTINCT symbol FROM t) s LEFT JOIN b USING (symbol)),
+f AS (SELECT s.*, b.* EXCLUDE symbol, CASE s.symbol WHEN 'BTCUSDT' THEN 200 WHEN 'ETHUSDT' THEN 300 ELSE 100 END AS fl, CASE s.symbol WHEN 'BTCUSDT' THEN 0.993::DOUBLE ELSE 0.995::DOUBLE END AS cap FROM cur s LEFT JOIN b USING (symbol)),
 c AS (SELECT *, greatest(fl, trunc(tc - 2 * ts)) AS lo, trunc(tc + 3 * ts) AS hi, greatest(0.9, lc - 2 * ls) AS a, least(cap, lc + 2 * ls) AS z FROM f),
 d AS (SELECT * REPLACE (CASE WHEN hi - lo < fl THEN greatest(fl, trunc(tc - fl)) ELSE lo END AS lo, CASE WHEN hi - lo < fl THEN CASE WHEN trunc(tc + fl) <= greatest(fl, trunc(tc - fl)) THEN 3 * greatest(fl, trunc(tc - fl)) ELSE trunc(tc + fl) END ELSE hi END AS hi,
   CASE WHEN z <= a THEN least(cap, a + 0.05) ELSE z END AS z) FROM c),
-e AS (SELECT * REPLACE (CASE WHEN p10 < 300 * 1.15 THEN greatest(fl, 150) ELSE lo END AS lo, CASE WHEN p90 > 700 * 0.85 THEN 1050 ELSE hi END AS hi), z - a < 0.01 AS tight, greatest(0.96, round(lc - 0.015, 4)) AS na, least(cap, round(lc + 0.015, 4)) AS nz FROM d)
-SELECT symbol, CASE WHEN tc IS NULL THEN 300 ELSE lo END::DOUBLE AS t_min, CASE WHEN tc IS NULL THEN 700 WHEN hi <= lo THEN 3 * lo ELSE hi END::DOUBLE AS t_max,
-CASE WHEN tc IS NULL THEN 0.95 ELSE round(CASE WHEN tight THEN na ELSE a END, 4) END AS lambda_min, CASE WHEN tc IS NULL THEN 0.99 ELSE round(CASE WHEN tight THEN CASE WHEN nz <= na THEN least(cap, na + 0.05) ELSE nz END ELSE z END, 4) END AS lambda_max,
-tc IS NOT NULL AS derived FROM e""", "t_min t_max lambda_min lambda_max")
+e AS (SELECT * REPLACE (CASE WHEN p10 < now_t_min * 1.15 THEN greatest(fl, trunc(now_t_min * 0.5)) ELSE lo END AS lo, CASE WHEN p90 > now_t_max * 0.85 THEN trunc(now_t_max * 1.5) ELSE hi END AS hi), z - a < 0.01 AS tight, greatest(0.96, round(lc - 0.015, 4)) AS na, least(cap, round(lc + 0.015, 4)) AS nz FROM d)
+SELECT symbol, CASE WHEN tc IS NULL THEN now_t_min ELSE lo END::DOUBLE AS t_min, CASE WHEN tc IS NULL THEN now_t_max WHEN hi <= lo THEN 3 * lo ELSE hi END::DOUBLE AS t_max,
+CASE WHEN tc IS NULL THEN now_lambda_min ELSE round(CASE WHEN tight THEN na ELSE a END, 4) END AS lambda_min, CASE WHEN tc IS NULL THEN now_lambda_max ELSE round(CASE WHEN tight THEN CASE WHEN nz <= na THEN least(cap, na + 0.05) ELSE nz END ELSE z END, 4) END AS lambda_max,
+tc IS NOT NULL AS derived FROM e"""
+
+
+@query(f"""WITH {_TRIALS}, t AS (SELECT CASE trial % 3 WHEN 0 THEN 'BTCUSDT' WHEN 1 THEN 'ETHUSDT' ELSE 'OTHER' END AS symbol, trial, validation_score AS score, 0.9 + exp_lambda AS lam, init_exp_t / 100 AS t FROM trials),
+cur AS (SELECT DISTINCT symbol, 300::DOUBLE AS now_t_min, 700::DOUBLE AS now_t_max, 0.95::DOUBLE AS now_lambda_min, 0.99::DOUBLE AS now_lambda_max FROM t), {_NEXT_BOUNDS}""", "t_min t_max lambda_min lambda_max")
 def adaptive_bounds(spark, sf):
     symbol = F.when(F.col("trial") % 3 == 0, "BTCUSDT").when(F.col("trial") % 3 == 1, "ETHUSDT").otherwise("OTHER")
     trials = _trials(spark, sf).select(symbol.alias("symbol"), "trial", F.col("validation_score").alias("score"), (0.9 + F.col("exp_lambda")).alias("exp_lambda"), (F.col("init_exp_t") / 100).alias("init_exp_t"))
@@ -694,6 +699,65 @@ def grid_aggregation(spark, sf):
     return studies.aggregate_grid(tests.withColumn("quality_score", F.when(F.col("succeeded"), F.col("quality_score"))), 5)
 
 
+def _blocks_sql(n: int, name: str = "wk") -> str:
+    """Ticks with ``day``, the first day of their block of ``n`` days of the month, and their direction within it."""
+    return f"{name} AS (SELECT *, CAST(ts AS DATE) - ((day(ts) - 1) % {n})::INTEGER AS day FROM clean), " + _DIRECTION.replace("PARTITION BY symbol", "PARTITION BY symbol, day").replace("FROM clean", f"FROM {name}")
+
+
+def _blocks(spark, sf, n: int) -> DataFrame:
+    return clean(spark, sf).withColumn("day", F.date_sub(F.to_date("ts"), (F.dayofmonth("ts") - 1) % n))
+
+
+def _flat_bounds(spark, sf, *values: float) -> DataFrame:
+    return clean(spark, sf).select("symbol").distinct().select("symbol", *[F.lit(float(v)).alias(c) for c, v in zip(search.BOUNDS, values, strict=True)])
+
+
+def _composite_sql(source: str, least_bars: int, extra: str = "") -> str:
+    return f"""SELECT symbol, param_id, exp_lambda, init_exp_t, days, completion, mean_quality, std_quality,
+  CASE WHEN completion < 0.6 THEN 0.0 ELSE coalesce(0.60 * mean_quality + 25 * pow(completion, 0.3) + 15 / (1 + std_quality / 20), 0) END::DOUBLE AS score FROM (
+  SELECT symbol, param_id, lam AS exp_lambda, t0 AS init_exp_t, count(*) AS days, avg((bars >= {least_bars})::INTEGER) AS completion, avg(quality_score) FILTER (bars >= {least_bars}) AS mean_quality,
+    stddev_pop(quality_score) FILTER (bars >= {least_bars}) AS std_quality FROM {source} {extra} GROUP BY ALL)"""
+
+
+_SHARES = (0.2, 0.5, 1.0)
+_HALVING = f"""{_CLEAN}, {_blocks_sql(3)}, {_points_sql(8)}, lists AS (SELECT symbol, day, param_id, round(0.9 + v * (0.99 - 0.9), 6) AS lam, least(floor(5 + u * (40 - 5 + 1)), 40) AS t0 FROM (SELECT DISTINCT symbol, day FROM wk), pts), {_tried_sql("lists", 3)},
+{_scores_sql("s", "folded", _TRIED_BY, "bar_id")}, rounds AS (SELECT symbol, day, CASE WHEN r <= ceil(n * 0.2) THEN 0 WHEN r <= ceil(n * 0.5) THEN 1 ELSE 2 END AS round FROM (
+  SELECT symbol, day, row_number() OVER (PARTITION BY symbol ORDER BY md5('7:' || day::VARCHAR), day) AS r, count(*) OVER (PARTITION BY symbol) AS n FROM (SELECT DISTINCT symbol, day FROM wk))),
+days AS (SELECT c.*, s.quality_score, round FROM counted c LEFT JOIN s USING ({_TRIED_BY}) JOIN rounds g ON c.symbol = g.symbol AND c.day = g.day),
+sc0 AS ({_composite_sql("days", 8, "WHERE round <= 0")}), alive1 AS (SELECT symbol, param_id FROM sc0 QUALIFY score >= quantile_cont(score, 0.5) OVER (PARTITION BY symbol)),
+sc1 AS ({_composite_sql("days", 8, "SEMI JOIN alive1 USING (symbol, param_id) WHERE round <= 1")}), alive2 AS (SELECT symbol, param_id FROM sc1 QUALIFY score >= quantile_cont(score, 0.5) OVER (PARTITION BY symbol)),
+sc2 AS ({_composite_sql("days", 8, "SEMI JOIN alive2 USING (symbol, param_id)")})"""
+_SCORE_FLOATS = "exp_lambda init_exp_t completion mean_quality std_quality score"
+
+
+@query(f"WITH RECURSIVE {_HALVING} SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY score DESC, param_id)::INTEGER AS rank FROM sc2", _SCORE_FLOATS)
+def halving_search(spark, sf):
+    lists = trials.spread_candidates(_flat_bounds(spark, sf, 5, 40, 0.9, 0.99), ["symbol"], 8)
+    return search_runs.halving_search(_blocks(spark, sf, 3), lists, sinks.scratch(spark, "halving"), _SHARES, 3, 8)
+
+
+_WINDOWS = [("w1", "2024-01-01", "2024-01-11"), ("w2", "2024-01-11", "2024-01-21"), ("w3", "2024-01-21", "2024-02-01")]
+
+
+def _year_sql() -> str:
+    parts = ["now0 AS (SELECT DISTINCT symbol, 100::DOUBLE AS t_min, 300::DOUBLE AS t_max, 0.9::DOUBLE AS lambda_min, 0.99::DOUBLE AS lambda_max FROM clean)"]
+    for i, (name, first, after) in enumerate(_WINDOWS):
+        ticks_sql = _blocks_sql(5).replace("FROM clean)", f"FROM clean WHERE CAST(ts AS DATE) >= DATE '{first}' AND CAST(ts AS DATE) < DATE '{after}')", 1)
+        lists = f"lists AS (SELECT symbol, day, param_id, round(lambda_min + v * (lambda_max - lambda_min), 6) AS lam, least(floor(t_min * pow((t_max + 1) / t_min, u)), t_max) AS t0 FROM (SELECT DISTINCT symbol, day FROM wk) JOIN now{i} USING (symbol), pts)"
+        days = f"days AS (SELECT c.*, s.quality_score FROM counted c LEFT JOIN s USING ({_TRIED_BY}))"
+        inner = f"WITH RECURSIVE {ticks_sql}, {lists}, {_tried_sql('lists', 10)}, {_scores_sql('s', 'folded', _TRIED_BY, 'bar_id')}, {days} SELECT now{i}.*, x.* EXCLUDE symbol, '{name}' AS \"window\" FROM now{i} LEFT JOIN ({_composite_sql('days', 2)}) x USING (symbol)"
+        parts.append(f"found{i} AS ({inner})")
+        cur = ", ".join(f"{c} AS now_{c}" for c in search.BOUNDS)
+        source = f"t AS (SELECT symbol, param_id AS trial, score, exp_lambda AS lam, init_exp_t AS t FROM found{i} WHERE param_id IS NOT NULL), cur AS (SELECT symbol, {cur} FROM now{i})"
+        parts.append(f"now{i + 1} AS (WITH {source}, {_NEXT_BOUNDS})".replace("tc IS NOT NULL AS derived FROM e)", "FROM e)").replace("AS lambda_max,\nFROM e", "AS lambda_max FROM e"))
+    return f"WITH {_CLEAN}, {_points_sql(6)}, " + ", ".join(parts) + " " + " UNION ALL ".join(f"SELECT * FROM found{i}" for i in range(len(_WINDOWS)))
+
+
+@query(_year_sql(), "t_min t_max lambda_min lambda_max " + _SCORE_FLOATS)
+def year_search(spark, sf):
+    return search_runs.year_search(_blocks(spark, sf, 5), _WINDOWS, _flat_bounds(spark, sf, 100, 300, 0.9, 0.99), sinks.scratch(spark, "year"), 6, 10, 2)
+
+
 _STUDY = f"{_TRIALS}, studied AS (SELECT trial % 4 AS study, trial, CASE WHEN trial % 11 = 5 THEN 'FAIL' WHEN validation_score IS NULL THEN 'PRUNED' ELSE 'COMPLETE' END AS state, round(validation_score, 2) AS value FROM trials)"
 
 
@@ -714,6 +778,19 @@ def study_top_trials(spark, sf):
     return studies.top_trials(_studied(spark, sf), ["study"])
 
 
+@query(f"""WITH RECURSIVE {_STUDY}, q AS (SELECT *, row_number() OVER (PARTITION BY study ORDER BY trial) AS i FROM studied),
+g AS (SELECT study, 0::BIGINT AS i, 0 AS streak, 0 AS age, NULL::DOUBLE AS best, NULL::DOUBLE AS seen, NULL::BIGINT AS stopped_at, NULL::VARCHAR AS reason FROM (SELECT DISTINCT study FROM studied)
+  UNION ALL SELECT study, i, streak, age, best, CASE WHEN gained THEN best ELSE seen END, CASE WHEN why IS NOT NULL THEN trial END, why FROM (
+    SELECT *, CASE WHEN state = 'PRUNED' AND streak >= 3 THEN 'pruned' WHEN state = 'COMPLETE' AND best > 0 AND NOT gained AND age >= 4 THEN 'no improvement' END AS why FROM (
+      SELECT * REPLACE (CASE WHEN gained THEN 0 WHEN state IN ('PRUNED', 'COMPLETE') THEN age + 1 ELSE age END AS age, CASE WHEN state = 'PRUNED' THEN streak + 1 ELSE 0 END AS streak) FROM (
+        SELECT *, state = 'COMPLETE' AND coalesce(best, 0) > 0 AND (seen IS NULL OR best > seen + 1e-6) AS gained FROM (
+          SELECT g.study, q.i, q.trial, q.state, g.streak, g.age, g.seen, CASE WHEN q.state = 'COMPLETE' THEN greatest(g.best, q.value) ELSE g.best END AS best
+          FROM g JOIN q ON g.study = q.study AND q.i = g.i + 1 WHERE g.reason IS NULL)))))
+SELECT study, max(i) AS ran, max(stopped_at) AS stopped_at, max(reason) AS reason FROM g GROUP BY study""")
+def early_stop(spark, sf):
+    return search.stopped_early(_studied(spark, sf), ["study"], pruned=3, stale=4)
+
+
 # -- quality ------------------------------------------------------------------
 
 _FAILED = "failed AS (SELECT symbol, day FROM days WHERE bars < 60)"

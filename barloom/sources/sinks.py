@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -18,6 +19,16 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(at)
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder below the one that all machines share (``spark.checkpoint.dir``); a local session without it gets one under ``/tmp``."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        root = "/tmp/checkpoints"
+    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 def publish(frame: DataFrame, path: str, check: Callable[[DataFrame], list[str]], partition_by: list[str] | None = None) -> None:
     """Check, write beside the target, read back, check again, then rename; the old target survives any failure."""
     spark = frame.sparkSession

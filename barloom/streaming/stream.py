@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -12,13 +11,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from barloom.operators.bars import _ohlcv
+from barloom.sources import sinks
 
 
 def drain(out: DataFrame) -> DataFrame:
     """Runs a stream over the data there is, into Parquet in the session's shared folder, and reads it back."""
     spark = out.sparkSession
-    root = spark.conf.get("spark.checkpoint.dir", None) or f"/tmp/checkpoints/{uuid.uuid4().hex}"
-    path = f"{root.rstrip('/')}/stream-{uuid.uuid4().hex}"
+    path = sinks.scratch(spark, "stream")
     schema = out.schema
     query = out.writeStream.format("parquet").option("path", f"{path}/out").option("checkpointLocation", f"{path}/state").trigger(availableNow=True).start()
     query.awaitTermination()
