@@ -86,7 +86,7 @@ def levene(rows: DataFrame, by: list[str], order: list[str], column: str, bins:
     kept = kept.withColumn("_size", F.floor(F.count("*").over(Window.partitionBy(*by)) / bins)).where("_size > 0")
     kept = kept.withColumn("bin", F.floor(F.col("_i") / F.col("_size"))).where(F.col("bin") < bins)
     centre = kept.groupBy(*by, "bin").agg(F.percentile(column, F.lit(0.5)).alias("_med"))
-    dev = kept.join(F.broadcast(centre), [*by, "bin"]).withColumn("_z", F.abs(F.col(column) - F.col("_med")))  # ten rows a key
+    dev = kept.join(centre, [*by, "bin"]).withColumn("_z", F.abs(F.col(column) - F.col("_med")))  # ten rows a key
     each = dev.groupBy(*by, "bin").agg(F.count("*").alias("_n"), F.avg("_z").alias("_m"), F.var_pop("_z").alias("_v"), F.var_pop(column).alias("_var"))
     total = each.groupBy(*by).agg(
         F.sum("_n").alias("_N"), F.count("*").alias("_k"), (F.sum(F.col("_n") * F.col("_m")) / F.sum("_n")).alias("_all"),
@@ -322,7 +322,7 @@ def shapiro(rows: DataFrame, by: list[str], column: str) -> DataFrame:
     def run(key, pdf: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame([[*key, *shapiro_wilk(pdf[column].to_numpy())]])
 
-    small = kept.join(F.broadcast(sizes.where(F.col("n") < SHAPIRO_ROWS).select(*by)), by, "left_semi")  # a row a key
+    small = kept.join(sizes.where(F.col("n") < SHAPIRO_ROWS).select(*by), by, "left_semi")
     ddl = ", ".join(f"{c} {kinds[c]}" for c in by) + ", w double, w_p double"
     found = small.groupBy(*by).applyInPandas(run, ddl)
     return sizes.join(found, by, "left").select(*by, "n", F.nanvl("w", F.lit(None)).alias("shapiro_w"), F.nanvl("w_p", F.lit(None)).alias("shapiro_p"))

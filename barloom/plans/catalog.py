@@ -132,6 +132,13 @@ def mad_filter(spark, sf):
     return ticks.mad_filter(ticks.sane(tables.spiky_ticks(spark, sf)), ["symbol"], 50, 5.0).select("symbol", "id", "ts", "price")
 
 
+@query(f"WITH {_SPIKY.replace('event_type AS symbol', chr(39) + 'all' + chr(39) + ' AS symbol')}, {_mad_sql('clean', 50)} SELECT symbol, id, ts, price, mad_z FROM scored", "mad_z")
+def mad_scores_one_symbol(spark, sf):
+    """All ticks as one symbol, cut into pieces that are scored side by side."""
+    rows = ticks.sane(tables.spiky_ticks(spark, sf)).withColumn("symbol", F.lit("all"))
+    return ticks.mad_scores(rows, ["symbol"], 50, piece_rows=500).select("symbol", "id", "ts", "price", "mad_z")
+
+
 @query(f"WITH {_SPIKY}, {_mad_sql('clean', 50)} SELECT symbol, CAST(ts AS DATE) AS day, count(*) AS received, count(*) FILTER (coalesce(mad_z, 0) > 5) AS mad_removed FROM scored GROUP BY ALL")
 def mad_audit_daily(spark, sf):
     scored = ticks.mad_scores(ticks.sane(tables.spiky_ticks(spark, sf)), ["symbol"], 50)
@@ -355,6 +362,14 @@ def asof_funding(spark, sf):
     return joins.asof_backward(left, rates, "open_time", "funding_time", ["symbol"], ["funding_rate_mean"])
 
 
+@query(f"WITH {_CLEAN}, {_FUNDING}, g AS (SELECT funding_time, avg(funding_rate) AS rate FROM funding GROUP BY 1) SELECT c.id, c.ts, c.price, g.rate FROM clean c ASOF LEFT JOIN g ON c.ts >= g.funding_time", "rate")
+def asof_one_key(spark, sf):
+    """Every tick with the market's last rate: one key, cut into pieces."""
+    rates = tables.funding(spark, sf).groupBy("funding_time").agg(F.avg("funding_rate").alias("rate")).withColumn("market", F.lit("all"))
+    left = clean(spark, sf).select(F.lit("all").alias("market"), "id", "ts", "price")
+    return joins.asof_backward(left, rates, "ts", "funding_time", ["market"], ["rate"], piece_rows=500).drop("market")
+
+
 @query(f"WITH {_BARS}, {_FUNDING} SELECT b.symbol, b.close_time, b.close, f.funding_time, f.funding_rate FROM bars b LEFT JOIN funding f ON b.symbol = f.symbol AND f.funding_time <= b.close_time AND f.funding_time > b.close_time - INTERVAL '8 hours'", "close funding_rate")
 def band_positioning(spark, sf):
     left = hourly(spark, sf).select("symbol", "close_time", "close")
