@@ -38,6 +38,17 @@ class Ticks:
         return len(self.ts)
 
 
+#: Columns of a fold's snapshot.
+SNAPSHOT = (
+    "e_t double, p double, e_buy double, e_sell double, e_v double, buy_run double, sell_run double, buys long, sells long, buy_sum double, sell_sum double, ticks long, "
+    "volume double, dollar double, high double, low double, first_at long, first_price double, last_at long, last_price double, seen long, number long"
+)
+
+
+def _plain(tick: tuple) -> tuple:
+    return (None, None) if tick[0] is None else (int(tick[0]), float(tick[1]))
+
+
 class _Fold:
     """Bars of one scope from its ticks in order; ``feed`` takes any number at a time."""
 
@@ -81,6 +92,22 @@ class _Fold:
             self.e_v = d.mean()
         self._scan(ticks)
 
+    def snapshot(self) -> tuple:
+        """All that a fold past its warm-up knows, as plain numbers; ``restore`` takes it back."""
+        first, last = self.first or (None, None), self.last or (None, None)
+        return (
+            float(self.e_t), float(self.p), *map(float, self.e_side), float(self.e_v), *map(float, self.runs), *map(int, self.count), *map(float, self.sums), int(self.ticks),
+            float(self.volume), float(self.dollar), float(self.high), float(self.low), *_plain(first), *_plain(last), int(self.seen), int(self.number),
+        )
+
+    def restore(self, kept: tuple) -> None:
+        self.ready = True
+        self.e_t, self.p, e_buy, e_sell, self.e_v, *rest = kept
+        self.e_side, self.runs, self.count, self.sums = [e_buy, e_sell], np.array(rest[:2], dtype=float), np.array(rest[2:4], dtype=np.int64), np.array(rest[4:6], dtype=float)
+        self.ticks, self.volume, self.dollar, self.high, self.low = rest[6:11]
+        self.first, self.last = (tuple(x) if x[0] is not None else None for x in (rest[11:13], rest[13:15]))
+        self.seen, self.number = rest[15:]
+
     def _threshold(self) -> float:
         if self.kind == "run":
             return self.e_t * max(self.p * self.e_side[0], (1 - self.p) * self.e_side[1])
@@ -143,6 +170,13 @@ class _Fold:
         self._open_bar()
 
 
+def tick_directions(price: np.ndarray, last_price: float | None, last_b: float = 1.0) -> np.ndarray:
+    """Sign of the price change, carried over unchanged prices; +1 before any change.  ``last_*``: of the tick before."""
+    moves = np.sign(np.diff(price, prepend=price[:1] if last_price is None else last_price))
+    at = np.maximum.accumulate(np.where(moves != 0, np.arange(len(moves)), -1))
+    return np.where(at >= 0, moves[at], last_b)
+
+
 #: A scope warms up over a tenth of its ticks, 100 at most: once so many are there its length does not matter.
 KNOWN = 1000
 
@@ -162,18 +196,12 @@ class Scope:
         self.size = 0
         self.last_price, self.last_b = None, 1.0
 
-    def _directions(self, price: np.ndarray) -> np.ndarray:
-        """Sign of the price change, carried over unchanged prices; +1 before any change."""
-        moves = np.sign(np.diff(price, prepend=price[:1] if self.last_price is None else self.last_price))
-        at = np.maximum.accumulate(np.where(moves != 0, np.arange(len(moves)), -1))
-        out = np.where(at >= 0, moves[at], self.last_b)
-        self.last_price, self.last_b = price[-1], out[-1]
-        return out
-
     def feed(self, ts, price, quantity, dollar, b=None) -> None:
         if not len(ts):
             return
-        b = self._directions(price) if b is None else b
+        if b is None:
+            b = tick_directions(price, self.last_price, self.last_b)
+            self.last_price, self.last_b = price[-1], b[-1]
         if self.folds is not None:
             part = Ticks(ts, price, quantity, dollar, b, False)
             for fold in self.folds:

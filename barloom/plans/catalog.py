@@ -1240,3 +1240,18 @@ def stream_dedup(spark, sf):
 def stream_run_bars(spark, sf):
     out = _drained(stream.run_bars(_tick_stream(spark, sf), 0.9, 30, 20))
     return out.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("open_time", "close_time")})
+
+
+_STREAM_RUN = f"{_CLEAN}, {_DIRECTION}, {_fold_sql('run', 'symbol', 0.9, 30, 20).replace('least(100, n // 10)', '100')}"
+
+
+@query(f"""WITH RECURSIVE {_STREAM_RUN}, {_MACD.format(source="folded")}, g AS (SELECT symbol, bar_id, open_time, close, ln(close / lag(close) OVER ({_W})) AS log_return, close / (dollar / volume) - 1 AS price_to_vwap, macd - {_sma('macd', 9)} AS macd_hist FROM k)
+SELECT * FROM g""", "close log_return price_to_vwap macd_hist")
+def stream_features(spark, sf):
+    """The run-bar stream with features behind a tail of earlier bars."""
+    path = sinks.scratch(spark, "stream-features")
+    made = stream.run_bars(_tick_stream(spark, sf), 0.9, 30, 20)
+    run = stream.bar_features(made, path, features.bar_features).option("checkpointLocation", f"{path}/state").trigger(availableNow=True).start()
+    run.awaitTermination()
+    out = spark.read.parquet(f"{path}/out")
+    return out.select("symbol", "bar_id", F.col("open_time").cast("timestamp_ntz").alias("open_time"), "close", "log_return", "price_to_vwap", "macd_hist")

@@ -19,6 +19,11 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(at)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    fs, at = _fs(spark, path)
+    fs.delete(at, True)
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A new folder below the one that all machines share (``spark.checkpoint.dir``); a local session without it gets one under ``/tmp``."""
     root = spark.conf.get("spark.checkpoint.dir", None)

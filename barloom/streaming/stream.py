@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.readwriter import DataStreamWriter
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from barloom.operators import bars
 from barloom.operators.bars import _ohlcv
 from barloom.sources import sinks
 
@@ -40,65 +42,71 @@ def time_bars(ticks: DataFrame, minutes: int, late: str = "1 hour") -> DataFrame
     return grouped.select("symbol", F.col("w.start").alias("open_time"), F.col("w.end").alias("close_time"), "open", "high", "low", "close", "n_ticks", "volume", "dollar")
 
 
-_STATE = "ready boolean, e_t double, p double, e_buy double, e_sell double, buy_run double, sell_run double, buys long, sells long, buy_sum double, sell_sum double, number long, last_price double, last_b double, open_us long, open double, high double, low double, volume double, warm array<struct<us:long,price:double,quantity:double,b:double>>, seen long"
+_STATE = f"ready boolean, {bars.SNAPSHOT}, price_before double, b_before double, warm array<struct<us:long,price:double,quantity:double,b:double>>"
 _BARS = "symbol string, bar_id long, open_time timestamp, close_time timestamp, open double, high double, low double, close double, n_ticks long, volume double, dollar double"
 
 
 def run_bars(ticks: DataFrame, lam: float, t0: float, min_ticks: int, warm_up: int = 100) -> DataFrame:
-    """Run bars per symbol, tick rule, with a state of fixed size.
+    """Run bars per symbol, tick rule, with a state of fixed size; the ticks of a batch are folded as arrays.
 
     Batches must arrive in time order.  The warm-up is always ``warm_up``
-    ticks: a stream has no length, so this equals the batch fold for scopes of
-    at least ``10 * warm_up`` ticks.
+    ticks (at most 100): a stream has no length, so this equals the batch fold
+    for scopes of at least ``10 * warm_up`` ticks.
     """
+    size = len(bars.SNAPSHOT.split(", "))
+    names = [c.split()[0] for c in _BARS.split(", ")]
 
     def step(key, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        s = list(state.get) if state.exists else [False, float(t0), 0.0, 0.0, 0.0, 0.0, 0.0, 0, 0, 0.0, 0.0, 0, None, 1.0, None, None, None, None, 0.0, [], 0]
-        out = []
-
-        def take(ts, price, quantity, b):
-            d, first = price * quantity, s[20] == 0
-            s[20] += 1
-            if s[14] is None:
-                s[14], s[15], s[16], s[17], s[18] = ts, price, price, price, 0.0
-            s[16], s[17], s[18] = max(s[16], price), min(s[17], price), s[18] + quantity
-            side = 0 if b == 1 else 1
-            s[7 + side] += 1
-            s[9 + side] += d
-            if first:
-                return
-            s[5 + side] += d
-            n = s[7] + s[8]
-            if max(s[5], s[6]) >= s[1] * max(s[2] * s[3], (1 - s[2]) * s[4]) and n >= min_ticks:
-                out.append((key[0], s[11], s[14], ts, s[15], s[16], s[17], price, n, s[18], s[9] + s[10]))
-                s[1] = (1 - lam) * n + lam * s[1]
-                s[2] = (1 - lam) * (s[7] / n) + lam * s[2]
-                for i in (0, 1):
-                    if s[7 + i]:
-                        s[3 + i] = (1 - lam) * (s[9 + i] / s[7 + i]) + lam * s[3 + i]
-                s[5:11], s[14], s[11] = [0.0, 0.0, 0, 0, 0.0, 0.0], None, s[11] + 1
-
+        fold = bars._Fold("run", 10 * warm_up, lam, t0, min_ticks)
+        price_before, b_before = None, 1.0
+        if state.exists:
+            ready, *kept, price_before, b_before, warm = state.get
+            if ready:
+                fold.restore(tuple(kept))
+            elif warm:
+                us, price, quantity, b = (np.array(c, dtype=float if i else np.int64) for i, c in enumerate(zip(*warm, strict=True)))
+                fold.feed(us, price, quantity, price * quantity, b)
         rows = pd.concat(list(frames)).sort_values(["ts", "id"])
-        micros = rows["ts"].to_numpy(dtype="datetime64[us]").astype("int64").tolist()
-        for ts, price, quantity in zip(micros, rows["price"].tolist(), rows["quantity"].tolist(), strict=True):
-            move = 0.0 if s[12] is None else np.sign(price - s[12])
-            b = move if move else s[13]
-            s[12], s[13] = float(price), float(b)
-            if s[0]:
-                take(ts, price, quantity, b)
-                continue
-            s[19] = [*s[19], (ts, float(price), float(quantity), float(b))]
-            if len(s[19]) == warm_up:
-                d = np.array([x[1] * x[2] for x in s[19]])
-                up = np.array([x[3] == 1 for x in s[19]])
-                s[2] = float(up.mean())
-                s[3], s[4] = (float(d[m].mean() if m.any() else d.mean()) for m in (up, ~up))
-                held, s[19], s[0] = [tuple(x) for x in s[19]], [], True
-                for x in held:
-                    take(*x)
-        state.update(tuple(s))
-        made = pd.DataFrame(out, columns=[c.split()[0] for c in _BARS.split(", ")])
+        us = rows["ts"].to_numpy(dtype="datetime64[us]").astype("int64")
+        price, quantity = rows["price"].to_numpy(dtype=float), rows["quantity"].to_numpy(dtype=float)
+        b = bars.tick_directions(price, price_before, b_before)
+        fold.feed(us, price, quantity, price * quantity, b)
+        warm = [] if fold.ready else [(int(u), float(p), float(q), float(d)) for part in fold.held for u, p, q, _, d in zip(*part, strict=True)]
+        kept = fold.snapshot() if fold.ready else (None,) * size
+        state.update((fold.ready, *kept, float(price[-1]), float(b[-1]), warm))
+        made = pd.DataFrame([(key[0], *bar) for bar in fold.bars], columns=names)
         yield made.assign(**{c: pd.to_datetime(made[c].astype("int64"), unit="us") for c in ("open_time", "close_time")})
 
     rows = event_time(ticks).select("symbol", "id", "ts", "price", "quantity")
     return rows.groupBy("symbol").applyInPandasWithState(step, _BARS, _STATE, "append", GroupStateTimeout.NoTimeout)
+
+
+#: Bars of each symbol that features look back on.
+TAIL = 600
+
+
+def bar_features(new_bars: DataFrame, path: str, features: Callable[[DataFrame], DataFrame], tail: int = TAIL) -> DataStreamWriter:
+    """A stream of bars to their features, each batch computed by the batch operators behind the last ``tail`` bars before it.
+
+    ``features`` maps bars to rows with the same ``symbol`` and ``bar_id``.
+    The tail after batch n is the table ``path/tail/batch=n``, and its features
+    are ``path/out/batch=n``; a batch that is run again after a failure reads
+    the tail before it and overwrites its own.  Start the writer with a
+    checkpoint of its own.
+    """
+
+    def take(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        batch = batch.persist()  # read twice, folded once
+        before, after, out = f"{path}/tail/batch={number - 1}", f"{path}/tail/batch={number}", f"{path}/out/batch={number}"
+        rows = batch
+        if sinks.exists(spark, f"{before}/_SUCCESS"):
+            rows = spark.read.schema(batch.schema).parquet(before).unionByName(batch)
+        made = features(rows).join(batch.select("symbol", "bar_id"), ["symbol", "bar_id"], "left_semi")
+        made.write.mode("overwrite").parquet(out)
+        newest = F.row_number().over(Window.partitionBy("symbol").orderBy(F.desc("bar_id")))
+        rows.withColumn("_r", newest).where(F.col("_r") <= tail).drop("_r").write.mode("overwrite").parquet(after)
+        batch.unpersist()
+        sinks.remove(spark, f"{path}/tail/batch={number - 2}")
+
+    return new_bars.writeStream.foreachBatch(take)
