@@ -56,21 +56,22 @@ def funding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rates.agg(((F.avg("value") - 50) / 1e4).alias("funding_rate")).select("symbol", F.col("w.end").alias("funding_time"), "funding_rate")
 
 
-def epoch_to_ts(epoch: Column, largest: Column) -> Column:
-    """Exchange epochs are milliseconds, or microseconds when the largest exceeds 1e14."""
-    micros = F.when(largest > 10**14, epoch).otherwise(epoch * 1000)
-    return F.timestamp_micros(micros).cast("timestamp_ntz")
+def epoch_to_ts(epoch: Column) -> Column:
+    """Exchange epochs are microseconds above 1e14, milliseconds else.
+
+    Each value tells by itself: as milliseconds 1e14 is the year 5138, as
+    microseconds it is March 1973, so no largest value of a file or frame is needed.
+    """
+    return F.timestamp_micros(F.when(epoch > 10**14, epoch).otherwise(epoch * 1000)).cast("timestamp_ntz")
 
 
 def normalise_times(rows: DataFrame, column: str = "ts") -> DataFrame:
-    """Numbers are epochs (unit found from the largest), times with zone become UTC, others already are."""
+    """Numbers are epochs, times with zone become UTC, others already are; in one pass."""
     if column not in rows.columns:
         raise ValueError(f"missing time column: {column}")
     kind = dict(rows.dtypes)[column]
     if kind in ("bigint", "int", "double", "float"):
-        largest = rows.agg(F.max(column).alias("_largest"))  # one row
-        joined = rows.crossJoin(F.broadcast(largest))
-        return joined.withColumn(column, epoch_to_ts(F.col(column).cast("long"), F.col("_largest"))).drop("_largest")
+        return rows.withColumn(column, epoch_to_ts(F.col(column).cast("long")))
     return rows.withColumn(column, F.to_timestamp_ntz(F.col(column)) if kind == "string" else F.col(column).cast("timestamp_ntz"))
 
 
@@ -116,18 +117,25 @@ def available_datasets(spark: SparkSession, path: str) -> list[tuple[str, int]]:
     return [(symbol, year) for _, symbol, year in sorted(found)]
 
 
-def read_trade_csv(spark: SparkSession, path: str, header: bool = False) -> DataFrame:
-    """Exchange trade files: typed columns, unit of time found from the file, rows without a time dropped.
+def decoded(line: Column) -> Column:
+    """A line of bytes as text: UTF-8, or Latin-1 where it is not that; without a byte-order mark."""
+    text = F.when(F.is_valid_utf8(line), line).otherwise(F.decode(line.cast("binary"), "ISO-8859-1"))
+    return F.regexp_replace(text, "^(\ufeff|\u00ef\u00bb\u00bf)", "")
+
+
+def read_trade_csv(spark: SparkSession, path: str) -> DataFrame:
+    """Exchange trade files: typed columns, in one scan that splits large files.
 
-    A header line, a byte-order mark included, has no numeric id and time and drops out too.
+    Files may differ in charset and in the unit of their times.  A header
+    line, or any other without a numeric time, drops out.
     """
-    raw = spark.read.schema(RAW_TRADE).option("header", header).option("mode", "PERMISSIVE").csv(path)
-    largest = raw.agg(F.max("time").alias("largest"))  # one row
-    rows = raw.where("time is not null").crossJoin(F.broadcast(largest))
+    options = {"mode": "PERMISSIVE", "ignoreLeadingWhiteSpace": "true", "ignoreTrailingWhiteSpace": "true"}
+    ddl = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in RAW_TRADE)
+    rows = spark.read.text(path).select(F.from_csv(decoded(F.col("value")), ddl, options).alias("r")).select("r.*").where("time is not null")
+    at = epoch_to_ts(F.col("time"))
     return rows.select(
-        "id", epoch_to_ts(F.col("time"), F.col("largest")).alias("ts"), "price", F.col("qty").alias("quantity"),
-        (F.lower(F.trim("is_buyer_maker")) == "true").alias("is_buyer_maker"),
-        F.date_format(epoch_to_ts(F.col("time"), F.col("largest")), "yyyy-MM-dd").alias("download_date"),
+        "id", at.alias("ts"), "price", F.col("qty").alias("quantity"),
+        (F.lower(F.trim("is_buyer_maker")) == "true").alias("is_buyer_maker"), F.date_format(at, "yyyy-MM-dd").alias("download_date"),
     )
 
 
