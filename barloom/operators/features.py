@@ -123,8 +123,8 @@ def bar_features(bars: DataFrame, atr: str = "ewm", ma: str = "sma") -> DataFram
     return with_structure(with_activity(with_volatility(with_returns(bars), atr)), ma)
 
 
-def compute_features(bars: DataFrame, funding: DataFrame | None = None, winsorize: list[str] | None = None) -> DataFrame:
-    """All features, rows that miss a bar feature dropped; funding may stay null."""
+def compute_features(bars: DataFrame, funding: DataFrame | None = None, winsorize: list[str] | None = None, required: list[str] | None = None) -> DataFrame:
+    """All features; rows that miss a ``required`` one (by default any bar feature) go, funding may stay null."""
     from barloom.operators import joins, winsor
 
     out = bar_features(bars)
@@ -133,7 +133,8 @@ def compute_features(bars: DataFrame, funding: DataFrame | None = None, winsoriz
         out = joins.asof_backward(out, rates, "open_time", "funding_time", ["symbol"], ["funding_rate_mean"])
     if winsorize:
         out = winsor.clip_global(out, winsorize)
-    return out.na.drop(subset=BAR_FEATURES)
+    required = BAR_FEATURES if required is None else required
+    return out.na.drop(subset=required) if required else out
 
 
 def drawdown(returns: DataFrame, scope: list[str], order: list[str], column: str = "log_return") -> DataFrame:

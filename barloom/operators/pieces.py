@@ -36,9 +36,7 @@ def cut_keys(rows: DataFrame, keys: list[str], time: str, piece_rows: int, secon
 
     cut = counts.groupBy(*keys).agg(F.aggregate(ordered, start, take)["out"].alias("_cut"))
     table = cut.select(*keys, F.explode("_cut").alias("_c")).select(*keys, "_c._bucket", "_c._piece")
-    path = sinks.scratch(rows.sparkSession, "pieces")
-    table.write.parquet(path)
-    return rows.sparkSession.read.schema(table.schema).parquet(path)
+    return sinks.kept(table, "pieces")
 
 
 def in_pieces(rows: DataFrame, table: DataFrame, keys: list[str], time: str, seconds: int) -> DataFrame:

@@ -119,12 +119,17 @@ def validate_frame(
 ) -> DataFrame:
     """One row per symbol with ``bars, errors, warnings, valid``; a single aggregation over the frame.
 
-    ``dynamic`` features (by default those of ``DYNAMIC``) must not be constant while the core
+    A frame without rows has one row, for ``symbol``, whose error says so;
+    columns that are missing are an error of each row, and what needs them is
+    not asked.  ``dynamic`` features (by default those of ``DYNAMIC``) must not be constant while the core
     columns vary.  Rows of a table have no order, so whether times ascend is
     not asked.  Optional columns (funding_rate_mean, completion_rate,
     sample_weight, recovery_status) are checked where present.
     """
-    has = set(frame.columns)
+    gone = [c for c in [*BAR_COLUMNS, *features] if c not in frame.columns]
+    frame = frame.withColumns({c: F.lit(None).cast("timestamp_ntz" if c.endswith("_time") else "double") for c in BAR_COLUMNS if c in gone} | ({} if "symbol" in frame.columns else {"symbol": F.lit(None).cast("string")}))
+    features = [c for c in features if c not in gone]
+    has = set(frame.columns) - set(gone)
     prices = [c for c in ("open", "high", "low", "close", "volume", "dollar", "n_ticks") if c in has]
     frame = frame.withColumns({c: F.col(c).cast("double") for c in {*prices, *features, *({"funding_rate_mean", "completion_rate", "sample_weight"} & has)}})
     dynamic = [c for c in (DYNAMIC if dynamic is None else dynamic) if c in features]
@@ -137,8 +142,9 @@ def validate_frame(
     }
     agg |= {f"null_{c}": F.count_if(F.col(c).isNull() | F.isnan(c)) for c in features} | {f"infinite_{c}": F.count_if(_not_finite(c)) for c in features}
     agg |= {f"flat_{c}": F.coalesce(F.min(c) == F.max(c), F.lit(True)) for c in dynamic}
+    absent = F.lit(bool(gone)), f"missing columns: {', '.join(gone)}"
     checks = [
-        (F.col("bars") < min_bars, "too few bars"), (F.col("no_time") > 0, "null open_time"), (F.col("outside") > 0, "outside year"),
+        absent, (F.col("bars") < min_bars, "too few bars"), (F.lit("open_time" in has) & (F.col("no_time") > 0), "null open_time"), (F.col("outside") > 0, "outside year"),
         (F.col("ohlcv_null") > 0, "ohlcv null"), (F.col("ohlcv_infinite") > 0, "ohlcv not finite"), (F.col("inconsistent") > 0, "ohlcv inconsistent"),
     ]
     if not allow_partial:
@@ -160,7 +166,14 @@ def validate_frame(
         checks.append((F.coalesce(F.col("symbol") != symbol, F.lit(True)), "unexpected symbol"))
     out = frame.groupBy("symbol").agg(*[v.alias(k) for k, v in agg.items()])
     out = out.select("symbol", "bars", _messages(checks).alias("errors"), _messages([(F.col("same_time") > 0, "duplicate timestamps")]).alias("warnings"))
-    return out.withColumn("valid", F.size("errors") == 0)
+    # One row in front, so that a frame without rows has a verdict too; the other side has a row a symbol.
+    said = frame.sparkSession.range(1).select(F.lit(0).alias("_one")).join(out, F.lit(True), "left")
+    empty = F.col("bars").isNull()
+    said = said.select(
+        F.coalesce("symbol", F.when(empty, F.lit(symbol))).alias("symbol"), F.coalesce("bars", F.lit(0)).alias("bars"),
+        F.when(empty, F.array(F.lit("frame is empty"))).otherwise(F.col("errors")).alias("errors"), F.coalesce("warnings", F.array().cast("array<string>")).alias("warnings"),
+    )
+    return said.withColumn("valid", F.size("errors") == 0)
 
 
 def _any(conditions: list[Column]) -> Column:
@@ -170,6 +183,20 @@ def _any(conditions: list[Column]) -> Column:
     return out
 
 
+def value_sets(frame: DataFrame, columns: dict[str, list | None]) -> DataFrame:
+    """``column, values, unexpected``: the distinct values of each column as sorted strings, and those outside its allowed list (None: anything).
+
+    For columns of few values (source, status, symbol); null counts as ``null``.  One pass, reduced before the shuffle.
+    """
+    long = frame.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.coalesce(F.col(c).cast("string"), F.lit("null")).alias("value")) for c in columns])).alias("_e")).select("_e.*")
+    sets = long.groupBy("column").agg(F.array_sort(F.collect_set("value")).alias("values"))
+    allowed = F.lit(None).cast("array<string>")
+    for c, values in columns.items():
+        if values is not None:
+            allowed = F.when(F.col("column") == c, F.array(*[F.lit(str(v)) for v in values]).cast("array<string>")).otherwise(allowed)
+    return sets.withColumn("unexpected", F.when(allowed.isNull(), F.array().cast("array<string>")).otherwise(F.array_except("values", F.coalesce(allowed, F.array().cast("array<string>")))))
+
+
 def distinct_values(frame: DataFrame, columns: list[str], by: list[str]) -> DataFrame:
     """How many distinct non-null values each column has per key: one shuffle for all of them."""
     long = frame.select(*by, F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns])).alias("_e")).select(*by, "_e.*")

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from barloom.functions import stats
 from barloom.operators import bars, features, joins, quality, search, studies, ticks, trials, winsor
-from barloom.plans import pipelines, search_runs
+from barloom.plans import builds, pipelines, search_runs
 from barloom.sources import acquire, sinks, tables
 from barloom.streaming import stream
 
@@ -107,12 +107,12 @@ def tick_dedup(spark, sf):
     return ticks.normalise(tables.dirty_ticks(spark, sf)).select("symbol", "id", "ts", "price", "quantity")
 
 
-def _mad_sql(source: str, width: int) -> str:
-    frame = f"(PARTITION BY symbol ORDER BY ts, id ROWS BETWEEN {width - 1} PRECEDING AND CURRENT ROW)"
+def _mad_sql(source: str, width: int, scope: str = "symbol") -> str:
+    frame = f"(PARTITION BY {scope} ORDER BY ts, id ROWS BETWEEN {width - 1} PRECEDING AND CURRENT ROW)"
     return f"""m1 AS (SELECT *, CASE WHEN count(price) OVER {frame} = {width} THEN quantile_cont(price, 0.5) OVER {frame} END AS med FROM {source}),
 m2 AS (SELECT *, abs(price - med) AS dev FROM m1),
 m3 AS (SELECT *, nullif(CASE WHEN count(dev) OVER {frame} = {width} THEN quantile_cont(dev, 0.5) OVER {frame} END, 0) AS raw FROM m2),
-m4 AS (SELECT *, last_value(raw IGNORE NULLS) OVER (PARTITION BY symbol ORDER BY ts, id) AS mad FROM m3),
+m4 AS (SELECT *, last_value(raw IGNORE NULLS) OVER (PARTITION BY {scope} ORDER BY ts, id) AS mad FROM m3),
 scored AS (SELECT *, 0.6745 * dev / mad AS mad_z FROM m4)"""
 
 
@@ -877,16 +877,27 @@ def feature_unique(spark, sf):
     return quality.distinct_values(hourly(spark, sf), ["n_ticks", "open_time"], ["symbol"])
 
 
-_STUDY_META = [("a", 0.9, ["1", "1", "2"], 4), ("b", 0.7, ["1"], 4), ("c", 1.2, [], None), ("d", 0.8, ["1", "2", "3"], 4), ("e", -0.1, ["x"], 0)]
+@query(f"""WITH {_FLAGGED}, x AS (SELECT symbol, CASE WHEN day(day) % 7 = 0 THEN 'recovered' WHEN day(day) = 3 THEN 'odd' WHEN failed_day = 1 THEN 'failed_irrecoverable' ELSE 'normal' END AS recovery_status, CASE WHEN day(day) <> 4 THEN failed_day END AS failed_day FROM marked),
+l AS (SELECT DISTINCT unnest(['symbol', 'recovery_status', 'failed_day']) AS "column", coalesce(unnest([symbol, recovery_status, failed_day::VARCHAR]), 'null') AS v FROM x)
+SELECT "column", string_agg(v, ',' ORDER BY v) AS "values", coalesce(string_agg(v, ',' ORDER BY v) FILTER ("column" = 'recovery_status' AND v = 'odd' OR "column" = 'failed_day' AND v = 'null'), '') AS unexpected FROM l GROUP BY 1""")
+def value_sets(spark, sf):
+    status = F.when(F.dayofmonth("day") % 7 == 0, "recovered").when(F.dayofmonth("day") == 3, "odd").when(F.col("failed_day") == 1, "failed_irrecoverable").otherwise("normal")
+    rows = _marked(spark, sf).select("symbol", status.alias("recovery_status"), F.when(F.dayofmonth("day") != 4, F.col("failed_day")).alias("failed_day"))
+    out = quality.value_sets(rows, {"symbol": None, "recovery_status": quality.RECOVERY_STATUSES, "failed_day": [0, 1]})
+    return out.select("column", F.array_join("values", ",").alias("values"), F.array_join("unexpected", ",").alias("unexpected"))
 
 
-@query("""WITH s(name, rate, failed, expected) AS (VALUES ('a', 0.9, ['1', '1', '2'], 4), ('b', 0.7, ['1'], 4), ('c', 1.2, []::VARCHAR[], NULL), ('d', 0.8, ['1', '2', '3'], 4), ('e', -0.1, ['x'], 0)),
-x AS (SELECT name, list_filter([CASE WHEN rate < 0 OR rate > 1 THEN 'completion_rate outside [0, 1]' END, CASE WHEN rate < 0.8 THEN 'completion_rate too low' END,
-  CASE WHEN expected > 0 AND len(list_distinct(failed)) / expected > 0.5 THEN 'too many failed days' END], lambda e: e IS NOT NULL) AS errors FROM s)
-SELECT name, array_to_string(errors, '; ') AS errors, len(errors) = 0 AS valid FROM x""")
+@query(f"""WITH {_TRIALS}, s AS (SELECT trial % 20 AS study, avg(train_score) / 28 + CASE WHEN trial % 20 = 7 THEN 1 ELSE 0 END AS completion_rate, list(trial % 3 ORDER BY trial) AS failed_days, CASE WHEN trial % 20 % 4 <> 1 THEN count(*) END AS expected_days FROM trials GROUP BY trial % 20),
+x AS (SELECT *, list_filter([CASE WHEN completion_rate < 0 OR completion_rate > 1 THEN 'completion_rate outside [0, 1]' END, CASE WHEN completion_rate < 0.91 THEN 'completion_rate too low' END,
+  CASE WHEN expected_days > 0 AND len(list_distinct(failed_days)) / expected_days > 0.5 THEN 'too many failed days' END], lambda e: e IS NOT NULL) AS errors FROM s)
+SELECT study, completion_rate, array_to_string(errors, '; ') AS errors, len(errors) = 0 AS valid FROM x""", "completion_rate")
 def study_metadata(spark, sf):
-    rows = spark.createDataFrame(_STUDY_META, "name string, completion_rate double, failed_days array<string>, expected_days int")
-    return quality.validate_studies(rows).select("name", F.array_join("errors", "; ").alias("errors"), "valid")
+    """Studies made of the suppliers' trials: their completion, failed days and expected days."""
+    study = F.col("trial") % 20
+    rate = F.avg("train_score") / 28 + F.max(F.when(study == 7, 1).otherwise(0))
+    rows = _trials(spark, sf).groupBy(study.alias("study")).agg(rate.alias("completion_rate"), F.collect_list((F.col("trial") % 3).cast("string")).alias("failed_days"), F.count("*").alias("_n"))
+    rows = rows.withColumn("expected_days", F.when(F.col("study") % 4 != 1, F.col("_n")))
+    return quality.validate_studies(rows, 0.91).select("study", "completion_rate", F.array_join("errors", "; ").alias("errors"), "valid")
 
 
 _TIES = "ties AS (SELECT l_returnflag AS symbol, l_shipdate AS open_time, l_shipdate AS close_time, l_extendedprice AS close, l_quantity AS volume, l_extendedprice * l_quantity AS dollar FROM lineitem)"
@@ -1228,6 +1239,129 @@ def acquire_days(spark, sf):
     return acquire.acquire_days(everything.where("dayofmonth(day) % 4 <> 0"), wanted, "events_file", delays=())
 
 
+# -- builds: thirds of a month stand for months -------------------------------
+
+_THIRD = "strftime(ts, '%Y-%m') || '-' || least((day(ts) - 1) // 10, 2)"
+
+
+def _third():
+    return F.concat(builds.month(), F.lit("-"), F.least(F.floor((F.dayofmonth("ts") - 1) / 10), F.lit(2)).cast("string"))
+
+
+def _build_ticks(spark, sf):
+    """Dirty ticks; one symbol has too few days in its last third."""
+    return tables.dirty_ticks(spark, sf).where("symbol <> 'error' or dayofmonth(ts) <= 24")
+
+
+_BUILD = _DIRTY + f""", kept AS (SELECT *, CAST(ts AS DATE) AS day, {_THIRD} AS period FROM dirty WHERE symbol <> 'error' OR day(ts) <= 24),
+loaded AS (SELECT symbol, period FROM kept GROUP BY 1, 2 HAVING count(DISTINCT day) >= 8), wanted AS (SELECT * FROM kept SEMI JOIN loaded USING (symbol, period)),
+uniq AS (SELECT * FROM wanted WHERE price > 0 AND NOT isnan(price) AND quantity > 0 QUALIFY row_number() OVER (PARTITION BY symbol, id ORDER BY ts) = 1)"""
+
+
+def _build_sql(scope: str) -> str:
+    clean_sql = "clean AS (SELECT *, price * quantity AS dollar FROM scored WHERE coalesce(mad_z, 0) <= 8)"
+    direction = _DIRECTION.replace("PARTITION BY symbol", f"PARTITION BY {scope}")
+    return f"{_BUILD}, {_mad_sql('uniq', 10, scope)}, {clean_sql}, {direction}"
+
+
+def _third_params(spark):
+    return spark.createDataFrame([(f"2024-01-{i}", 0.9 + i / 50, 8.0 + 2 * i) for i in range(3)], "period string, exp_lambda double, init_exp_t double")
+
+
+_THIRD_PARAMS = "params(period, lam, t0) AS (VALUES ('2024-01-0', 0.9::DOUBLE, 8::DOUBLE), ('2024-01-1', 0.92::DOUBLE, 10::DOUBLE), ('2024-01-2', 0.94::DOUBLE, 12::DOUBLE))"
+_BY_DAY = f"{_build_sql('symbol, day')}, {_THIRD_PARAMS}, tried AS (SELECT d.*, lam, t0 FROM directed d JOIN params USING (period)), {_fold_sql('run', 'symbol, day, lam, t0', 'lam', 't0', 5, 'tried')}"
+
+
+def _month_days(spark, sf):
+    raw = _build_ticks(spark, sf)
+    params = raw.select("symbol").distinct().crossJoin(F.broadcast(_third_params(spark)))  # three rows
+    return builds.month_days(raw, params, 8, 5, 5, 10, 8.0, _third())
+
+
+@query(f"""WITH RECURSIVE {_BY_DAY} SELECT symbol, day, lam AS exp_lambda, t0 AS init_exp_t, bar_id, open_time, close_time, open, high, low, close, n_ticks, volume, dollar, day AS bar_date,
+  (count(*) OVER (PARTITION BY symbol, day) < 5)::INTEGER AS base_failed_day, false AS recovered_bar FROM folded""", "exp_lambda init_exp_t " + _OHLC)
+def month_build(spark, sf):
+    return _month_days(spark, sf)[0]
+
+
+@query(f"""WITH RECURSIVE {_BY_DAY}, a AS (SELECT symbol, day, count(*) AS received, count(*) FILTER (price <= 0 OR quantity <= 0) AS invalid FROM wanted GROUP BY 1, 2), c AS (SELECT symbol, day, count(*) AS clean FROM clean GROUP BY 1, 2),
+u AS (SELECT symbol, day, sum(n_ticks)::BIGINT AS consumed, count(*) AS bars FROM folded GROUP BY 1, 2)
+SELECT symbol, day, 'base' AS source, received, invalid, greatest(0, received - invalid - coalesce(clean, 0)) AS mad_removed, coalesce(clean, 0) AS clean, coalesce(consumed, 0) AS consumed, coalesce(clean, 0) - coalesce(consumed, 0) AS residual,
+  coalesce(bars, 0) AS bars, CASE WHEN coalesce(clean, 0) = 0 THEN 'empty_after_clean' ELSE '' END AS errors FROM a LEFT JOIN c USING (symbol, day) LEFT JOIN u USING (symbol, day)""")
+def month_audit(spark, sf):
+    return _month_days(spark, sf)[1]
+
+
+_PERIOD_STUDIES = "studied AS (SELECT symbol, p AS period, lam AS exp_lambda, (30 + count(*) % 5)::DOUBLE AS init_exp_t FROM events e JOIN (SELECT event_id, event_type AS symbol FROM events) USING (event_id), (VALUES ('2024-01-0', 0.95::DOUBLE), ('2024-01-1', 0.9::DOUBLE)) v(p, lam) WHERE symbol <> 'view' OR p <> '2024-01-0' GROUP BY ALL)"
+_BY_PERIOD = f"""{_build_sql("symbol, period")}, {_PERIOD_STUDIES}, params AS (SELECT l.symbol, l.period, coalesce(s.exp_lambda, 0.9975)::DOUBLE AS lam, coalesce(s.init_exp_t, 20)::DOUBLE AS t0, coalesce(s.period, 'default') AS study_source FROM loaded l ASOF LEFT JOIN studied s ON l.symbol = s.symbol AND l.period > s.period),
+tried AS (SELECT d.*, lam, t0, study_source FROM directed d JOIN params USING (symbol, period)), {_fold_sql("run", "symbol, period, lam, t0", "lam", "t0", 5, "tried")}"""
+
+
+def _period_studies(spark, sf):
+    counts = tables.ticks(spark, sf).groupBy("symbol").agg(F.count("*").alias("n"))
+    of = lambda p, lam: counts.select("symbol", F.lit(p).alias("period"), F.lit(lam).alias("exp_lambda"), (30 + F.col("n") % 5).cast("double").alias("init_exp_t"))
+    return of("2024-01-0", 0.95).where("symbol <> 'view'").unionByName(of("2024-01-1", 0.9))
+
+
+@query(f"WITH RECURSIVE {_BY_PERIOD} SELECT symbol, period, lam AS exp_lambda, t0 AS init_exp_t, bar_id, open_time, close_time, open, high, low, close, n_ticks, volume, dollar FROM folded", "exp_lambda init_exp_t " + _OHLC)
+def period_build(spark, sf):
+    raw = _build_ticks(spark, sf)
+    params = joins.param_lookup(builds.loaded_periods(raw, 8, _third()), _period_studies(spark, sf), {"exp_lambda": 0.9975, "init_exp_t": 20.0})
+    return builds.whole_periods(raw, params, 8, 5, 10, 8.0, _third())
+
+
+@query(f"""WITH RECURSIVE {_BY_PERIOD}, f2 AS (SELECT *, ln(close / lag(close) OVER ({_W})) AS log_return FROM folded), q AS (SELECT a.symbol, a.period, quantile_cont(b.log_return, 0.01) AS lo, quantile_cont(b.log_return, 0.99) AS hi FROM (SELECT DISTINCT symbol, period FROM f2) a JOIN f2 b ON a.symbol = b.symbol AND b.period < a.period GROUP BY 1, 2)
+SELECT p.symbol, p.period, open_time, close, {_CLIP}, year(open_time)::INTEGER AS year, month(open_time)::INTEGER AS month, study_source FROM f2 p LEFT JOIN q ON p.symbol = q.symbol AND p.period = q.period JOIN params s ON p.symbol = s.symbol AND p.period = s.period""", "close log_return")
+def walk_forward_build(spark, sf):
+    """The walk-forward frame with the features that need no warm-up beyond a bar."""
+    return _walk_forward(spark, sf)
+
+
+def _walk_forward(spark, sf):
+    raw, wanted = _build_ticks(spark, sf), ["symbol", "period", "open_time", "close", "log_return", "year", "month", "study_source"]
+    return builds.walk_forward(raw, _period_studies(spark, sf), None, 8, 5, 10, 8.0, {"exp_lambda": 0.9975, "init_exp_t": 20.0}, _third(), ["log_return"], required=[]).select(wanted)
+
+
+_REC_COLUMNS = "symbol, day, open_time, close_time, open, high, low, close, n_ticks, volume, dollar"
+_APPEND = f"""{_DIRTY}, asked AS (SELECT *, CAST(ts AS DATE) AS day FROM dirty WHERE day(ts) BETWEEN 11 AND 20 AND day(ts) <> 15),
+uniq AS (SELECT * FROM asked WHERE price > 0 AND NOT isnan(price) AND quantity > 0 QUALIFY row_number() OVER (PARTITION BY symbol, id ORDER BY ts) = 1), {_mad_sql("uniq", 10, "symbol, day")},
+clean AS (SELECT *, price * quantity AS dollar FROM scored WHERE coalesce(mad_z, 0) <= 8), {_DIRECTION.replace("PARTITION BY symbol", "PARTITION BY symbol, day")},
+base AS (WITH RECURSIVE lists AS (SELECT DISTINCT symbol, day, 0 AS param_id, 0.9::DOUBLE AS lam, 12::DOUBLE AS t0 FROM clean), {_tried_sql("lists", 5)} SELECT * FROM folded),
+failing AS (SELECT d.symbol, d.day FROM (SELECT DISTINCT symbol, day FROM clean) d LEFT JOIN (SELECT symbol, day, count(*) AS n FROM base GROUP BY ALL) c ON d.symbol = c.symbol AND d.day = c.day WHERE coalesce(n, 0) < 5),
+eligible AS (SELECT * FROM failing QUALIFY count(*) OVER (PARTITION BY symbol, strftime(day, '%Y-%m')) >= 3),
+rec AS (WITH RECURSIVE {_points_sql(4)}, lists AS (SELECT symbol, day, param_id, round(0.99 + v * (0.999 - 0.99), 6) AS lam, least(floor(6 + u * (18 - 6 + 1)), 18) AS t0 FROM eligible, pts), {_tried_sql("lists", 5)}, {_FOUND_SQL.replace(">= 16", ">= 5")}
+  SELECT f.* FROM folded f JOIN found g ON f.symbol = g.symbol AND strftime(f.day, '%Y-%m') = g.month AND f.param_id = g.param_id QUALIFY count(*) OVER (PARTITION BY f.symbol, f.day) >= 5),
+merged AS (SELECT {_REC_COLUMNS}, false AS recovered FROM base ANTI JOIN rec USING (symbol, day) UNION ALL SELECT {_REC_COLUMNS}, true FROM rec),
+marked AS (SELECT m.*, (f.day IS NOT NULL AND NOT recovered)::INTEGER AS failed_day FROM merged m LEFT JOIN failing f ON m.symbol = f.symbol AND m.day = f.day)"""
+_APPENDED = f"""{_APPEND}, sane AS (SELECT *, price * quantity AS dollar FROM ticks WHERE price > 0 AND quantity > 0), {_clock_sql(60).replace("FROM clean", "FROM sane")},
+b AS (SELECT symbol, open_time, close, true AS ctx, NULL::DATE AS day, NULL::INTEGER AS failed_day, NULL::BOOLEAN AS recovered FROM bars WHERE day(open_time) < 11 UNION ALL SELECT symbol, open_time, close, false, day, failed_day, recovered FROM marked),
+g AS (SELECT *, ln(close / lag(close) OVER ({_W})) AS log_return FROM b), q AS (SELECT symbol, quantile_cont(log_return, 0.01) AS lo, quantile_cont(log_return, 0.99) AS hi FROM g WHERE ctx GROUP BY 1)"""
+
+
+def _append(spark, sf):
+    hours = hourly(spark, sf).withColumn("day", F.to_date("open_time"))
+    store = hours.where("dayofmonth(day) < 11 or dayofmonth(day) = 15")
+    options = dict(n=4, min_bars=5, min_ticks=5, defaults={"exp_lambda": 0.9, "init_exp_t": 12.0}, least_t=2.0, width=10, k=8.0, clipped=["log_return"])
+    none = spark.createDataFrame([], "symbol string, period string, exp_lambda double, init_exp_t double")
+    return store, builds.append_range(tables.dirty_ticks(spark, sf), store, "2024-01-11", "2024-01-20", none, **options)
+
+
+@query(f"""WITH RECURSIVE {_APPENDED} SELECT p.symbol, day, open_time, close, {_CLIP}, failed_day, CASE WHEN failed_day = 1 THEN 0.5 ELSE 1 END::DOUBLE AS sample_weight,
+  CASE WHEN recovered THEN 'recovered' WHEN failed_day = 1 THEN 'failed_irrecoverable' ELSE 'normal' END AS recovery_status FROM g p JOIN q ON p.symbol = q.symbol WHERE NOT ctx""", "close log_return sample_weight")
+def append_range(spark, sf):
+    """Ten days appended behind a store that already has one of them; failed days are searched and recovered."""
+    return _append(spark, sf)[1].select("symbol", "day", "open_time", "close", "log_return", "failed_day", "sample_weight", "recovery_status")
+
+
+@query(f"""WITH RECURSIVE {_APPEND}, st AS (SELECT symbol, day, CASE WHEN max(recovered::INTEGER) = 1 THEN 'recovered' WHEN max(failed_day) = 1 THEN 'failed_irrecoverable' ELSE 'normal' END AS status FROM marked GROUP BY 1, 2),
+e AS (SELECT a.symbol, a.day, day(a.day) = 15 AS had, status FROM (SELECT DISTINCT symbol, CAST(ts AS DATE) AS day FROM dirty WHERE day(ts) BETWEEN 11 AND 20) a LEFT JOIN st ON a.symbol = st.symbol AND a.day = st.day)
+SELECT symbol, count(*) AS asked, count(*) FILTER (had) AS skipped, count(*) FILTER (status IS NOT NULL) AS appended, count(*) FILTER (status = 'recovered') AS recovered, count(*) FILTER (status = 'failed_irrecoverable') AS failed, count(*) FILTER (NOT had AND status IS NULL) AS empty FROM e GROUP BY 1""")
+def append_report(spark, sf):
+    store, rows = _append(spark, sf)
+    asked = tables.dirty_ticks(spark, sf).select("symbol", F.to_date("ts").alias("day")).where("dayofmonth(day) between 11 and 20")
+    return builds.append_report(rows, asked, store)
+
+
 # -- streams ------------------------------------------------------------------
 
 

@@ -34,6 +34,13 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def kept(frame: DataFrame, name: str) -> DataFrame:
+    """``frame`` written to a new shared folder and read back: computed once however many plans read it."""
+    path = scratch(frame.sparkSession, name)
+    frame.write.parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)
+
+
 def publish(frame: DataFrame, path: str, check: Callable[[DataFrame], list[str]], partition_by: list[str] | None = None) -> None:
     """Check, write beside the target, read back, check again, then rename; the old target survives any failure."""
     spark = frame.sparkSession
@@ -41,11 +48,13 @@ def publish(frame: DataFrame, path: str, check: Callable[[DataFrame], list[str]]
         raise ValueError(f"not published: {errors}")
     staged, old = f"{path}.staged", f"{path}.old"
     writer = frame.write.mode("overwrite")
-    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(staged)
-    if errors := check(spark.read.parquet(staged)):
-        fs, at = _fs(spark, staged)
-        fs.delete(at, True)
-        raise ValueError(f"not published after reading back: {errors}")
+    try:
+        (writer.partitionBy(*partition_by) if partition_by else writer).parquet(staged)
+        if errors := check(spark.read.schema(frame.schema).parquet(staged)):
+            raise ValueError(f"not published after reading back: {errors}")
+    except BaseException:
+        remove(spark, staged)
+        raise
     fs, target = _fs(spark, path)
     _, stage_at = _fs(spark, staged)
     _, old_at = _fs(spark, old)
