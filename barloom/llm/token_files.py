@@ -156,10 +156,12 @@ def _nones(row: list):
         return
 
 
-#: A run of Latin letters and the marks after it: two pre-tokens for tokenizers with word ends.
-_LETTERS = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
+#: A line: a run of Latin letters and the marks after it (two pre-tokens for tokenizers with word ends), or anything else.
+_LINES = re.compile(r"^(?:([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)|(.*))$", re.M)
 #: Missing runs of letters given to the library as one text.
 _JOINED = 256
+#: Texts whose missing words are learned together.
+_AT_ONCE = 128
 
 
 def _word_ends(spec: str) -> np.ndarray:
@@ -221,33 +223,38 @@ class _Encoder:
         return out
 
     def _learn(self, missing: set[bytes]) -> None:
+        """Ids of words that no generation has; all of them are cut into runs and marks by one pass of one expression."""
+        if len(self.young) + len(missing) > self.cache_words:
+            self.old, self.young = self.young, {}
         young, old = self.young, self.old
-        if len(young) + len(missing) > self.cache_words:
-            self.old, self.young = young, {}
-            young, old = self.young, self.old
-        split, odd, runs = [], [], {}
-        for word in missing:
-            if (ids := old.get(word)) is not None:
-                young[word] = ids
-            elif m := _LETTERS.fullmatch(word.decode()):
-                run = m[1].lower().encode()
-                split.append((word, run, m[2]))
-                runs[run] = young.get(run) or old.get(run)
-            else:
-                odd.append(word)
-        runs |= self._runs([r for r, ids in runs.items() if ids is None])
-        young |= runs
-        marks = list({mark for *_, mark in split if mark})
-        after = dict(zip(marks, self._whole(marks), strict=True)) | {"": b""}
-        young.update([(word, runs[run] + after[mark]) for word, run, mark in split])
-        young.update(zip(odd, self._whole([w.decode() for w in odd]), strict=True))
+        if old:
+            known = old.keys() & missing
+            young.update(zip(known, map(old.__getitem__, known), strict=True))
+            missing = missing - known
+        words = list(missing)
+        if not words:
+            return
+        lines = _LINES.findall(b"\n".join(words).decode(errors="replace"))
+        first, marks, odd = zip(*lines, strict=True)
+        runs = "\n".join(first).lower().encode().split(b"\n")  # of these letters, one at a time or together, are the same
+        new = list({r for r in runs if r and r not in young})
+        if old:
+            new = [r for r in new if r not in old]
+        found = self._runs(new)
+        ids = {r: found.get(r) or young.get(r) or old.get(r, b"") for r in set(runs)}
+        after = list(set(marks) - {""})
+        ends = dict(zip(after, self._whole(after), strict=True)) | {"": b""}
+        left = [i for i, o in enumerate(odd) if o]
+        young.update(zip(words, map(bytes.__add__, map(ids.__getitem__, runs), map(ends.__getitem__, marks)), strict=True))
+        young.update(zip([words[i] for i in left], self._whole([odd[i] for i in left]), strict=True))
+        young.update(found)
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         if not self.by_word:
-            return self._whole([t.decode() for t in texts])
+            return self._whole([t.decode(errors="replace") for t in texts])
         out = []
-        for lo in range(0, len(texts), 64):
-            split = [t.split() for t in texts[lo : lo + 64]]
+        for lo in range(0, len(texts), _AT_ONCE):
+            split = [t.split() for t in texts[lo : lo + _AT_ONCE]]
             rows = [list(map(self.young.get, words)) for words in split]
             gaps = [(row, i, words[i]) for words, row in zip(split, rows, strict=True) for i in _nones(row)]
             if gaps:

@@ -86,3 +86,12 @@ def test_other_tokenizers_get_whole_texts():
     assert not encoder.by_word
     tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
     assert np.frombuffer(encoder.encode([b" two  words\n"])[0], "<u4").tolist() == tokenizer.encode(" two  words\n", add_special_tokens=False).ids
+
+
+def test_bytes_that_are_not_utf8_are_replacement_characters(spark):
+    """Such texts count as what a decoder makes of them: U+FFFD for what is not UTF-8."""
+    raw = [b"good words, Here", b"caf\xe9 au lait\xff", b"\xff\xfe", b"x\xc3", b"\xe2\x82 word"]
+    df = spark.createDataFrame([(i, bytearray(t)) for i, t in enumerate(raw)], "doc_id long, b binary").selectExpr("doc_id", "cast(b as string) as text")
+    tokenizer = Tokenizer.from_file(PATH)
+    found = {r.doc_id: list(np.frombuffer(r.token_ids, "<u4")) for r in token_files.token_files(df, PATH, end_id=1).collect()}
+    assert found == {i: tokenizer.encode(t.decode(errors="replace"), add_special_tokens=False).ids + [1] for i, t in enumerate(raw)}
