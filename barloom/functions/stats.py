@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-
+from functools import partial
 from statistics import NormalDist
 
 import numpy as np
@@ -358,3 +358,37 @@ def bar_metrics(bars: DataFrame, by: list[str], order: list[str]) -> DataFrame:
         F.min("drawdown").alias("max_drawdown"), F.sum("volume").alias("volume"), F.sum("dollar").alias("dollar"),
     )
     return out.withColumn("sharpe", F.coalesce(safe(F.col("mean_return"), F.col("std_return")) * (252**0.5), F.lit(0.0)))
+
+
+def variance_over_bins(rows: DataFrame, by: list[str], order: list[str], column: str, bins: int = 10) -> DataFrame:
+    """``variance_over_bins``: sample variance of the whole series over the mean of its bins'."""
+    size = F.col("rows")
+    inner = variance_bins(rows, by, order, column, bins).groupBy(*by).agg(F.avg(F.col("variance") * size / F.nullif(size - 1, F.lit(0))).alias("_inner"))
+    outer = rows.groupBy(*by).agg(F.var_samp(column).alias("_outer"))
+    return outer.join(inner, by).select(*by, safe(F.col("_outer"), F.col("_inner")).alias("variance_over_bins"))
+
+
+def all_statistics(bars: DataFrame, by: list[str], order: list[str], lags: int = 20, most: int | None = None) -> DataFrame:
+    """Every statistic of a set of bars, a row a key: metrics, moments and tests of the returns, sampling, and the older score.
+
+    Each test is a pass over the bars (write them once if they are costly to
+    make); what is joined has a row a key.  Statistics that a short series does
+    not have are null.  ``most``: the longest lag of the unit-root test.
+    """
+    w = Window.partitionBy(*by).orderBy(*order)
+    rows = bars.withColumn("log_return", F.ln(F.col("close") / F.lag("close").over(w)))
+    series = (rows, by, order, "log_return")
+    parts = [
+        bar_metrics(rows, by, order).drop("n"),
+        moments(rows, by, "log_return").select(*by, "skew", "kurt", "jb", "jb_p"),
+        shapiro(rows, by, "log_return").drop("n"),
+        ljung_box(*series, lags).select(*by, "lb", "lb_p"),
+        acf(*series).select(*by, F.col("acf").alias("acf_lag1"), F.abs("acf").alias("abs_acf_lag1")),
+        adf(*series, None, most).drop("n").withColumn("is_stationary", F.col("adf_p") < 0.05),
+        levene(*series), variance_over_bins(*series), sampling_efficiency(rows, by),
+        quality_scores(rows, by, order, partial(legacy_quality_score, most=most)).select(*by, "quality_score"),
+    ]
+    out = rows.groupBy(*by).agg(F.count("*").alias("n_bars"))
+    for part in parts:
+        out = out.join(part, by, "left")
+    return out

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from barloom.operators import pieces
@@ -71,8 +71,8 @@ def band(left: DataFrame, right: DataFrame, left_on: str, right_on: str, by: lis
 
 
 def param_lookup(targets: DataFrame, studies: DataFrame, defaults: dict) -> DataFrame:
-    """Parameters of the latest study strictly before each target period; defaults without one."""
+    """Parameters of the latest study strictly before each target period; defaults (numbers, or columns of the target) without one."""
     values = list(defaults)
     found = asof_backward(targets, studies.withColumn("source", F.col("period")), "period", "period", ["symbol"], [*values, "source"], strict=True)
-    filled = {v: F.coalesce(F.col(v), F.lit(d)) for v, d in defaults.items()}
+    filled = {v: F.coalesce(F.col(v), d if isinstance(d, Column) else F.lit(d)) for v, d in defaults.items()}
     return found.withColumns(filled | {"source": F.coalesce("source", F.lit("default"))})

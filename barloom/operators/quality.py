@@ -237,6 +237,49 @@ def integrity_score(bars: DataFrame) -> DataFrame:
     return agg.withColumn("score", score.cast("double"))
 
 
+#: The range in which 95 % of a feature's values must lie.
+FEATURE_RANGES = {"log_return": (-5.0, 5.0), "rsi": (0.0, 100.0), "bb_pct_b": (-0.5, 1.5), "vwap": (0.0, 1e6)}
+
+
+def integrity_report(
+    frame: DataFrame, year: int, ranges: dict[str, tuple[float, float]] | None = None, least_bars: int = 8000, max_copies: float = 0.001, max_null: float = 0.01, max_outside: float = 0.05
+) -> DataFrame:
+    """What a published dataset fails, a row a symbol: ``bars, copies, shared_times, worst_null, failed`` (names of checks) in two aggregations.
+
+    Checks: enough bars, first and last time within 30 days of the year's
+    ends, exact copies, missing values of any column, weights other than 0.5
+    and 1, OHLC that contradict each other, and features out of range.
+    """
+    ranges = {c: r for c, r in (FEATURE_RANGES if ranges is None else ranges).items() if c in frame.columns}
+    n = F.col("_n")
+    share = lambda condition: F.sum(F.when(condition, n).otherwise(0)) / F.sum(n)
+    counted = frame.groupBy(*frame.columns).agg(F.count("*").alias("_n"))  # copies meet before anything else
+    nulls = [share(F.col(c).isNull()) for c in frame.columns if c != "symbol"]
+    weight = F.col("sample_weight") if "sample_weight" in frame.columns else F.lit(1.0)
+    bad = (F.col("high") < F.greatest("open", "close", "low")) | (F.col("low") > F.least("open", "close"))
+    out = counted.groupBy("symbol").agg(
+        F.sum("_n").alias("bars"), F.sum(n - 1).alias("copies"), (F.count("*") - F.count_distinct("open_time")).alias("shared_times"), F.greatest(*nulls, F.lit(0.0)).alias("worst_null"),
+        F.min("open_time").alias("_first"), F.max("open_time").alias("_last"), share(~F.coalesce(weight.isin(0.5, 1.0), F.lit(False))).alias("_weights"), share(bad).alias("_bad"),
+        *[share(~F.col(c).between(lo, hi)).alias(f"_range_{c}") for c, (lo, hi) in ranges.items()],
+    )
+    month = F.expr("interval 30 days")
+    start, end = (F.lit(t).cast("timestamp_ntz") for t in (f"{year}-01-01", f"{year}-12-31"))
+    checks = [
+        (F.col("bars") < least_bars, "bars"), ((F.col("_first") > start + month) | (F.col("_last") < end - month) | (F.year("_first") < year) | (F.year("_last") > year), "dates"),
+        (F.col("copies") / F.col("bars") > max_copies, "copies"), (F.col("shared_times") > 0, "times"), (F.col("worst_null") > max_null, "nulls"), (F.col("_weights") > 0, "weights"), (F.col("_bad") > 0, "ohlc"),
+        *[(F.col(f"_range_{c}") > max_outside, f"range of {c}") for c in ranges],
+    ]
+    return out.select("symbol", "bars", "copies", "shared_times", "worst_null", _messages(checks).alias("failed"))
+
+
+def date_sets(wanted: DataFrame, there: DataFrame, keys: list[str] | None = None) -> DataFrame:
+    """Every ``symbol, day`` of either side once, and ``side``: ``both``, ``wanted`` (missing) or ``there`` (unasked): union, intersection and differences in one shuffle."""
+    keys = keys or ["symbol", "day"]
+    marked = wanted.select(*keys, F.lit(1).alias("_s")).unionByName(there.select(*keys, F.lit(2).alias("_s")))
+    sides = marked.groupBy(*keys).agg(F.bit_or("_s").alias("_s"))
+    return sides.select(*keys, F.when(F.col("_s") == 3, "both").when(F.col("_s") == 1, "wanted").otherwise("there").alias("side"))
+
+
 def study_summary(studies: DataFrame, failed: DataFrame, bars: DataFrame, faithful: bool = False) -> DataFrame:
     """Study, failed days and bars per symbol and period; faithful keeps the fan-out of the plain joins."""
     keys = ["symbol", "period"]

@@ -175,10 +175,15 @@ def regime_window(day_stats: DataFrame, most: int = 3) -> DataFrame:
 
 
 def failed_day_tally(failures: DataFrame, n: int = 5) -> DataFrame:
-    """Failures per day with how often each reason was given (``reason:count``), the worst ``n`` days first."""
-    each = failures.groupBy("day", "reason").agg(F.count("*").alias("times"))
+    """Failures per day with how often each reason was given (``reason:count``), the worst ``n`` days first.
+
+    A column ``details`` is collected, each text once, in order.
+    """
+    more = [F.collect_set("details").alias("_d")] if "details" in failures.columns else []
+    each = failures.groupBy("day", "reason").agg(F.count("*").alias("times"), *more)
     named = F.concat_ws(":", "reason", "times")
-    out = each.groupBy("day").agg(F.sum("times").alias("failures"), F.array_join(F.array_sort(F.collect_list(named)), ",").alias("reasons"))
+    texts = [F.array_sort(F.array_distinct(F.flatten(F.collect_list("_d")))).alias("details")] if more else []
+    out = each.groupBy("day").agg(F.sum("times").alias("failures"), F.array_join(F.array_sort(F.collect_list(named)), ",").alias("reasons"), *texts)
     return out.orderBy(F.desc("failures"), "day").limit(n)
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from barloom.operators import bars, features, joins, quality, ticks, trials, winsor
-from barloom.plans.pipelines import CLIPPED, DEFAULTS
+from barloom.plans.pipelines import CLIPPED, symbol_defaults
 from barloom.sources import sinks
 
 #: Failed days of a month from which on a search for their parameters is worth it.
@@ -86,7 +86,7 @@ def walk_forward(
     Rows carry ``symbol, period, year, month, study_source``; those that miss a
     ``required`` feature (by default any) go.
     """
-    params = joins.param_lookup(loaded_periods(raw, min_days, period), studies, defaults or DEFAULTS).withColumnRenamed("source", "study_source")
+    params = joins.param_lookup(loaded_periods(raw, min_days, period), studies, defaults or symbol_defaults()).withColumnRenamed("source", "study_source")
     made = whole_periods(raw, params, min_days, min_ticks, width, k, period)
     rows = winsor.clip_accumulating(features.compute_features(made, funding, required=required), CLIPPED if clipped is None else clipped, "period")
     tagged = rows.withColumns({"year": F.year("open_time"), "month": F.month("open_time")})
@@ -108,13 +108,13 @@ def bars_with_recovery(
     keys = ["symbol", "day"]
     own = sinks.kept(clean.join(wanted.select(*keys).distinct(), keys, "left_semi"), "ticks")  # read by three folds
     days = own.select(*keys).distinct()
-    params = joins.param_lookup(days.withColumn("period", month("day")), studies, defaults or DEFAULTS)
+    params = joins.param_lookup(days.withColumn("period", month("day")), studies, defaults or symbol_defaults())
     base = sinks.kept(bars.candidate_bars(own, keys, _one_candidate(params, keys), min_ticks).drop("param_id"), "base-bars")
     counts = base.groupBy(*keys).agg(F.count("*").alias("_n"))
     failed = sinks.kept(days.join(counts, keys, "left").where(F.coalesce("_n", F.lit(0)) < min_bars).select(*keys), "failed-days")
     often = failed.groupBy("symbol", month("day").alias("month")).agg(F.count("*").alias("_n")).where(F.col("_n") >= min_failed).drop("_n")
     eligible = failed.withColumn("month", month("day")).join(often, ["symbol", "month"], "left_semi").select(*keys)
-    found = sinks.kept(trials.failed_day_search(own, eligible, studies, n, min_ticks, min_bars, defaults, least_t), "found")
+    found = sinks.kept(trials.failed_day_search(own, eligible, studies, n, min_ticks, min_bars, defaults or symbol_defaults(), least_t), "found")
     recovered = sinks.kept(trials.recovered_bars(own, eligible, found, min_ticks, min_bars).withColumn("recovered", F.lit(True)), "recovered")
     merged = bars.merge_recovered(base.withColumn("recovered", F.lit(False)), recovered)
     lost = failed.join(recovered.select(*keys).distinct(), keys, "left_anti")
@@ -161,3 +161,21 @@ def append_report(rows: DataFrame, asked: DataFrame, store: DataFrame) -> DataFr
         F.count("*").alias("asked"), F.count_if("had").alias("skipped"), F.count_if(F.col("status").isNotNull()).alias("appended"),
         of("recovered").alias("recovered"), of("failed_irrecoverable").alias("failed"), F.count_if(F.col("had").isNull() & F.col("status").isNull()).alias("empty"),
     )
+
+
+def migrate(datasets: DataFrame, studies: DataFrame, store: str) -> dict[str, int]:
+    """Annual datasets and studies into a store: ``store/bars`` by symbol and day (days that are there are replaced), ``store/studies`` by symbol and period.
+
+    Studies without both parameters are left out; failed dates of studies go to
+    ``store/failed_days``, a row each.  Running it again changes nothing.  Returns rows written.
+    """
+    spark = datasets.sparkSession
+    bars_in = datasets.withColumn("day", F.to_date("open_time")).dropna(subset=["symbol", "day"])
+    known = studies.where("exp_lambda is not null and init_exp_t is not null")
+    old = spark.read.schema(known.schema).parquet(f"{store}/studies") if sinks.exists(spark, f"{store}/studies") else known.limit(0)
+    merged = sinks.kept(sinks.upsert(old, known, ["symbol", "period"]), "studies")
+    failed = merged.select("symbol", "period", F.explode(F.array_distinct("failed_dates")).alias("failed_date"))
+    sinks.replace_days(bars_in, f"{store}/bars")
+    merged.write.mode("overwrite").parquet(f"{store}/studies")
+    failed.write.mode("overwrite").parquet(f"{store}/failed_days")
+    return {"bars": bars_in.count(), "studies": known.count(), "failed_days": failed.count()}

@@ -519,12 +519,13 @@ def regime_window(spark, sf):
     return search.regime_window(_days(spark, sf).withColumns({"dollar": F.col("dollar") * (1 + third), "day": F.date_add("day", (third * 31).cast("int"))}))
 
 
-@query(f"""WITH {_DAYS}, f AS (SELECT day, CASE WHEN bars < 60 THEN 'few bars' ELSE 'low quality' END AS reason FROM days WHERE bars < 60 OR quality < 100),
-g AS (SELECT day, reason, count(*) AS times FROM f GROUP BY 1, 2)
-SELECT day, sum(times)::BIGINT AS failures, string_agg(reason || ':' || times, ',' ORDER BY reason) AS reasons FROM g GROUP BY day ORDER BY failures DESC, day LIMIT 5""")
+@query(f"""WITH {_DAYS}, f AS (SELECT day, CASE WHEN bars < 60 THEN 'few bars' ELSE 'low quality' END AS reason, symbol AS details FROM days WHERE bars < 60 OR quality < 100),
+g AS (SELECT day, reason, count(*) AS times FROM f GROUP BY 1, 2), d AS (SELECT day, string_agg(DISTINCT details, ',' ORDER BY details) AS details FROM f GROUP BY 1)
+SELECT day, sum(times)::BIGINT AS failures, string_agg(reason || ':' || times, ',' ORDER BY reason) AS reasons, any_value(details) AS details FROM g JOIN d USING (day) GROUP BY day ORDER BY failures DESC, day LIMIT 5""")
 def failed_day_tally(spark, sf):
     failed = _days(spark, sf).where("bars < 60 or quality < 100")
-    return search.failed_day_tally(failed.select("day", F.when(F.col("bars") < 60, "few bars").otherwise("low quality").alias("reason")))
+    reason = F.when(F.col("bars") < 60, "few bars").otherwise("low quality")
+    return search.failed_day_tally(failed.select("day", reason.alias("reason"), F.col("symbol").alias("details"))).withColumn("details", F.array_join("details", ","))
 
 
 @query(f"""WITH {_DAYS}, s AS (SELECT *, quality / 100 - 0.5 AS sharpe FROM days),
@@ -877,6 +878,30 @@ def feature_unique(spark, sf):
     return quality.distinct_values(hourly(spark, sf), ["n_ticks", "open_time"], ["symbol"])
 
 
+@query(f"""WITH {_RETURNS}, u AS (SELECT symbol, open_time, open, high, low, close, CASE WHEN symbol <> 'view' OR day(open_time) <> 5 THEN log_return END AS log_return, close * 2 AS rsi, CASE WHEN symbol = 'error' AND hour(open_time) = 3 THEN 0.7 ELSE 1 END AS sample_weight FROM r),
+x AS (SELECT * FROM u UNION ALL SELECT * FROM u WHERE symbol = 'click' AND day(open_time) = 2),
+c AS (SELECT symbol, open_time, open, high, low, close, log_return, rsi, sample_weight, count(*) AS n FROM x GROUP BY ALL),
+a AS (SELECT symbol, sum(n)::BIGINT AS bars, sum(n - 1)::BIGINT AS copies, count(*) - count(DISTINCT open_time) AS shared_times, sum(n) FILTER (log_return IS NULL) / sum(n) AS worst_null, sum(n) FILTER (sample_weight NOT IN (0.5, 1)) AS w, sum(n) FILTER (log_return NOT BETWEEN -5 AND 5) / sum(n) AS lr, sum(n) FILTER (rsi NOT BETWEEN 0 AND 100) / sum(n) AS rs FROM c GROUP BY 1)
+SELECT symbol, bars, copies, shared_times, coalesce(worst_null, 0) AS worst_null, array_to_string(list_filter([CASE WHEN bars < 675 THEN 'bars' END, 'dates', CASE WHEN copies / bars > 0.001 THEN 'copies' END, CASE WHEN shared_times > 0 THEN 'times' END, CASE WHEN worst_null > 0.01 THEN 'nulls' END,
+  CASE WHEN w > 0 THEN 'weights' END, CASE WHEN lr > 0.05 THEN 'range of log_return' END, CASE WHEN rs > 0.05 THEN 'range of rsi' END], lambda e: e IS NOT NULL), ',') AS failed FROM a""", "worst_null")
+def integrity_report(spark, sf):
+    at = F.col("open_time")
+    missing = (F.col("symbol") == "view") & (F.dayofmonth(at) == 5)
+    rows = returns(spark, sf).select(
+        "symbol", at, "open", "high", "low", "close", F.when(~missing, F.col("log_return")).alias("log_return"), (F.col("close") * 2).alias("rsi"),
+        F.when((F.col("symbol") == "error") & (F.hour(at) == 3), 0.7).otherwise(1.0).alias("sample_weight"),
+    )
+    rows = rows.unionByName(rows.where("symbol = 'click' and dayofmonth(open_time) = 2"))
+    return quality.integrity_report(rows, 2024, least_bars=675).withColumn("failed", F.array_join("failed", ","))
+
+
+@query(f"""WITH {_DAYS}, w AS (SELECT symbol, day FROM days WHERE bars > 62), t AS (SELECT symbol, day FROM days WHERE quality > 48)
+SELECT symbol, day, CASE WHEN w.day IS NOT NULL AND t.day IS NOT NULL THEN 'both' WHEN w.day IS NOT NULL THEN 'wanted' ELSE 'there' END AS side FROM w FULL JOIN t USING (symbol, day)""")
+def date_sets(spark, sf):
+    days = _days(spark, sf)
+    return quality.date_sets(days.where("bars > 62"), days.where("quality > 48"))
+
+
 @query(f"""WITH {_FLAGGED}, x AS (SELECT symbol, CASE WHEN day(day) % 7 = 0 THEN 'recovered' WHEN day(day) = 3 THEN 'odd' WHEN failed_day = 1 THEN 'failed_irrecoverable' ELSE 'normal' END AS recovery_status, CASE WHEN day(day) <> 4 THEN failed_day END AS failed_day FROM marked),
 l AS (SELECT DISTINCT unnest(['symbol', 'recovery_status', 'failed_day']) AS "column", coalesce(unnest([symbol, recovery_status, failed_day::VARCHAR]), 'null') AS v FROM x)
 SELECT "column", string_agg(v, ',' ORDER BY v) AS "values", coalesce(string_agg(v, ',' ORDER BY v) FILTER ("column" = 'recovery_status' AND v = 'odd' OR "column" = 'failed_day' AND v = 'null'), '') AS unexpected FROM l GROUP BY 1""")
@@ -1170,6 +1195,32 @@ def bar_type_comparison(spark, sf):
     return out
 
 
+_TYPED = f"""{_RUN}, {", ".join(_clock_sql(m, f"b{m}") for m, _ in _COMPARE)}, bars AS (SELECT 'DRB:' || symbol AS symbol, open_time, close, n_ticks, volume, dollar FROM folded {" ".join(f"UNION ALL SELECT '{n}:' || symbol, open_time, close, n_ticks, volume, dollar FROM b{m}" for m, n in _COMPARE)}),
+r AS (SELECT *, ln(close / lag(close) OVER ({_W})) AS log_return FROM bars)"""
+
+
+@query(f"""WITH RECURSIVE {_TYPED}, {_BINS}, {_BEST_LAG}, z AS (SELECT symbol, bin, v, abs(v - quantile_cont(v, 0.5) OVER (PARTITION BY symbol, bin)) AS z FROM bins),
+e AS (SELECT symbol, bin, count(*) AS n, avg(z) AS m, var_pop(z) AS w, var_samp(v) AS vs FROM z GROUP BY 1, 2),
+t AS (SELECT symbol, sum(n) AS nn, count(*) AS k, sum(n * m) / sum(n) AS mm, sum(n * w) AS within, sum(n * m * m) AS sq, avg(vs) AS inner_var FROM e GROUP BY 1),
+{_F_SQL.format(source="(SELECT symbol, (nn - k) * (sq - nn * mm * mm) / ((k - 1) * within) AS f, k - 1 AS d1, nn - k AS d2 FROM t)")},
+x AS (SELECT *, avg(log_return) OVER (PARTITION BY symbol) AS m, lag(log_return) OVER ({_W}) AS p FROM r),
+y AS (SELECT symbol, count(*) AS n_bars, count(log_return) / 6 * (pow(avg(pow(log_return - m, 3)) / pow(avg(pow(log_return - m, 2)), 1.5), 2) + pow(avg(pow(log_return - m, 4)) / pow(avg(pow(log_return - m, 2)), 2) - 3, 2) / 4) AS jb,
+  corr(log_return, p) AS acf_lag1, stddev_pop(n_ticks) / avg(n_ticks) AS cv_ticks, avg(log_return) / stddev_samp(log_return) * sqrt(252) AS sharpe, var_samp(log_return) AS outer_var, sum(volume) FILTER (log_return IS NOT NULL) AS volume FROM x GROUP BY 1)
+SELECT symbol, n_bars, sharpe, volume, jb, exp(-jb / 2) AS jb_p, acf_lag1, stat AS adf, lag, {_cdf_sql(_adf_z_sql("stat"))} AS adf_p, {_adf_z_sql("stat")} < -1.6448536269514722 AS is_stationary, f AS levene, fp.p AS levene_p, outer_var / inner_var AS variance_over_bins, cv_ticks,
+  greatest(0, 30 * (1 - abs(acf_lag1))) + CASE WHEN {_adf_z_sql("stat")} < -1.6448536269514722 THEN 25 ELSE 0 END + least(20, 20 * fp.p) + greatest(0, 15 * (1 - least(cv_ticks, 1))) + least(10, 10 * exp(-jb / 2)) AS quality_score
+FROM y JOIN best USING (symbol) JOIN fp USING (symbol) JOIN t USING (symbol)""", "sharpe volume jb:4 jb_p acf_lag1 adf adf_p levene levene_p variance_over_bins cv_ticks quality_score")
+def bar_type_statistics(spark, sf):
+    """Run bars against clock bars by every test, a row for each type and symbol (``type:symbol``)."""
+    shared = ["symbol", "open_time", "close", "n_ticks", "volume", "dollar"]
+    every = _run(spark, sf).select(shared).withColumn("symbol", F.concat(F.lit("DRB:"), "symbol"))
+    for minutes, name in _COMPARE:
+        every = every.unionByName(bars.time_bars(clean(spark, sf), minutes).select(shared).withColumn("symbol", F.concat(F.lit(f"{name}:"), "symbol")))
+    out = stats.all_statistics(sinks.kept(every, "typed-bars"), ["symbol"], ["open_time"], most=_MOST)
+    return out.select(
+        "symbol", "n_bars", "sharpe", "volume", "jb", "jb_p", "acf_lag1", "adf", "lag", "adf_p", "is_stationary", "levene", "levene_p", "variance_over_bins", "cv_ticks", "quality_score"
+    )
+
+
 @query(f"""WITH {_CLEAN}, c AS (SELECT *, floor((sum(quantity) OVER (PARTITION BY symbol ORDER BY ts, id ROWS UNBOUNDED PRECEDING) - quantity) / 5000)::BIGINT AS bar FROM clean)
 SELECT symbol, bar, min(ts) AS open_time, max(ts) AS close_time, first(price ORDER BY ts, id) AS open, max(price) AS high, min(price) AS low, last(price ORDER BY ts, id) AS close, count(*) AS n_ticks, sum(quantity) AS volume, sum(dollar) AS dollar FROM c GROUP BY 1, 2""", _OHLC)
 def volume_bars(spark, sf):

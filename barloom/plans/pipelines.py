@@ -13,11 +13,21 @@ from pyspark.sql import functions as F
 from barloom.operators import bars, features, joins, quality, ticks, winsor
 from barloom.sources import sinks
 
+#: Parameters of symbols without a study, and T where it differs.
 DEFAULTS = {"exp_lambda": 0.9975, "init_exp_t": 2000.0}
+DEFAULT_T = {"BTCUSDT": 14738.0, "ETHUSDT": 5000.0, "BNBUSDT": 500.0, "SOLUSDT": 2000.0}
 #: Columns that the causal winsorizer clips.
 CLIPPED = ["log_return", "frac_diff_return", "volume_z", "dollar_value_z", "n_ticks_z", "price_to_vwap"]
 
 
+def symbol_defaults() -> dict[str, Column]:
+    """``DEFAULTS`` as columns over ``symbol``."""
+    t = F.lit(DEFAULTS["init_exp_t"])
+    for symbol, value in DEFAULT_T.items():
+        t = F.when(F.col("symbol") == symbol, F.lit(value)).otherwise(t)
+    return {"exp_lambda": F.lit(DEFAULTS["exp_lambda"]), "init_exp_t": t}
+
+
 def clean_ticks(raw: DataFrame, width: int = 100, k: float = 10.0) -> DataFrame:
     """Normalised ticks without outliers; the filter's window stays within a symbol's day, which bounds it."""
     rows = ticks.normalise(raw).withColumn("day", F.to_date("ts"))
@@ -26,7 +36,7 @@ def clean_ticks(raw: DataFrame, width: int = 100, k: float = 10.0) -> DataFrame:
 
 def daily_bars(clean: DataFrame, studies: DataFrame, min_ticks: int = 400, defaults: dict | None = None) -> DataFrame:
     """Run bars of each symbol's day with the parameters of the latest study before its month."""
-    defaults = defaults or DEFAULTS
+    defaults = defaults or symbol_defaults()
     days = clean.select("symbol", F.to_date("ts").alias("day")).distinct().withColumn("period", F.date_format("day", "yyyy-MM"))
     params = joins.param_lookup(days, studies, defaults).drop("period").withColumnRenamed("source", "study_source")
     one = F.array(F.struct(F.lit(0).alias("param_id"), "exp_lambda", "init_exp_t"))

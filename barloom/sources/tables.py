@@ -149,6 +149,19 @@ def read_ticks(spark: SparkSession, path: str, symbol: str | None = None, first:
     return rows if last is None else rows.where(F.col("download_date") <= last)
 
 
+def read_funding_files(spark: SparkSession, path: str, first: str | None = None, last: str | None = None) -> DataFrame:
+    """Cached funding files (``symbol, funding_time, funding_rate``): one row a symbol and time, as months overlap at their ends; of several the least rate.
+
+    Times, both ends included, reach the scan.
+    """
+    rows = spark.read.parquet(path)
+    for bound, op in ((first, ">="), (last, "<=")):
+        if bound is not None:
+            at = F.lit(bound).cast("timestamp_ntz")
+            rows = rows.where(F.col("funding_time") >= at if op == ">=" else F.col("funding_time") <= at)
+    return rows.where("funding_time is not null").groupBy("symbol", "funding_time").agg(F.min("funding_rate").alias("funding_rate"))
+
+
 def stored_days(spark: SparkSession, path: str) -> DataFrame:
     """Days of a tick store: partition values only."""
     return spark.read.parquet(path).select("symbol", "download_date").distinct()
