@@ -25,11 +25,17 @@ def sane(ticks: DataFrame) -> DataFrame:
 
 
 def deduplicate(ticks: DataFrame, policy: str = "exact") -> DataFrame:
-    """One row per ``(symbol, id)``, or per ``(symbol, ts, price, quantity)`` where the id is null."""
+    """One row per ``(symbol, id)``, or per ``(symbol, ts, price, quantity)`` where the id is null or the frame has none; the least in its other columns."""
     if policy == "none":
         return ticks
     if policy != "exact":
         raise ValueError(f"unknown dedup policy: {policy}")
+    if "id" not in ticks.columns:
+        keys = ["symbol", "ts", "price", "quantity"]
+        rest = [c for c in ticks.columns if c not in keys]
+        if not rest:
+            return ticks.distinct()
+        return ticks.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("row")).select(*keys, "row.*").select(ticks.columns)
     key = F.when(F.col("id").isNull(), F.struct("ts", "price", "quantity"))
     # Grouping combines on the map side; a window would move every duplicate.
     others = [c for c in ticks.columns if c not in ("symbol", "id")]

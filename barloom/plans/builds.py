@@ -102,7 +102,8 @@ def bars_with_recovery(
     ``clean`` ticks with ``day``.  A day fails with under ``min_bars`` bars; a
     month's failed days are searched if there are ``min_failed`` of them.  Days
     that stay failed keep their base bars at ``failed_day`` 1 and half weight;
-    one without any bar has none.  What later steps read more than once is a
+    one without any bar has none.  ``study_source`` names the study, or the
+    search, that a day's parameters are from.  What later steps read more than once is a
     written table.
     """
     keys = ["symbol", "day"]
@@ -118,8 +119,12 @@ def bars_with_recovery(
     recovered = sinks.kept(trials.recovered_bars(own, eligible, found, min_ticks, min_bars).withColumn("recovered", F.lit(True)), "recovered")
     merged = bars.merge_recovered(base.withColumn("recovered", F.lit(False)), recovered)
     lost = failed.join(recovered.select(*keys).distinct(), keys, "left_anti")
-    marked = quality.mark_failed_days(merged, lost)
-    return marked.withColumn("recovery_status", quality.recovery_status(F.col("recovered"), F.col("failed_day") == 1))
+    marked = quality.mark_failed_days(merged, lost).join(params.select(*keys, F.col("source").alias("study_source")), keys)
+    search = F.concat(F.lit("failed_days_"), F.date_format("day", "yyyy_MM"))
+    return marked.withColumns({
+        "study_source": F.when(F.col("recovered"), search).otherwise(F.col("study_source")),
+        "recovery_status": quality.recovery_status(F.col("recovered"), F.col("failed_day") == 1),
+    })
 
 
 def process_days(
@@ -163,6 +168,26 @@ def append_report(rows: DataFrame, asked: DataFrame, store: DataFrame) -> DataFr
     )
 
 
+#: Columns of a daily file, whatever its bars.
+FILE_COLUMNS = ["symbol", *[c.strip() for c in bars.BAR.split(",")]]
+
+
+def historic_files(raw: DataFrame, path: str, minutes: tuple[int, ...] = (1, 5, 15, 30, 60), params: DataFrame | None = None, min_ticks: int = 400, width: int = 100, k: float = 10.0) -> DataFrame:
+    """A folder a symbol, interval and date for clock bars (``5m``) and, with ``params`` (``symbol, exp_lambda, init_exp_t``), run bars (``run``).
+
+    Days that are there are left as they are, so that a stopped run goes on.
+    Returns all files that are there then.  Ticks are cleaned once.
+    """
+    clean = sinks.kept(ticks.mad_filter(ticks.normalise(raw).withColumn("day", F.to_date("ts")), ["symbol", "day"], width, k), "ticks")
+    for m in minutes:
+        sinks.write_daily_files(bars.time_bars(clean, m).select(FILE_COLUMNS), path, f"{m}m")
+    if params is not None:
+        days = clean.select("symbol", "day").distinct().join(params, "symbol")
+        made = bars.candidate_bars(clean, ["symbol", "day"], _one_candidate(days, ["symbol", "day"]), min_ticks)
+        sinks.write_daily_files(made.select(FILE_COLUMNS), path, "run")
+    return raw.sparkSession.read.parquet(path)
+
+
 def migrate(datasets: DataFrame, studies: DataFrame, store: str) -> dict[str, int]:
     """Annual datasets and studies into a store: ``store/bars`` by symbol and day (days that are there are replaced), ``store/studies`` by symbol and period.
 

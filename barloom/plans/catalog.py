@@ -175,7 +175,7 @@ def _time_bars(minutes: int, name: str):
     query(f"WITH {_CLEAN}, {_clock_sql(minutes)} SELECT * FROM bars", _OHLC)(run)
 
 
-for _minutes, _name in ((5, "time_bars_5m"), (15, "time_bars_15m"), (60, "time_bars_1h"), (1440, "time_bars_1d")):
+for _minutes, _name in ((1, "time_bars_1m"), (5, "time_bars_5m"), (15, "time_bars_15m"), (60, "time_bars_1h"), (1440, "time_bars_1d")):
     _time_bars(_minutes, _name)
 
 
@@ -1073,6 +1073,11 @@ def bar_metrics(spark, sf):
     return stats.bar_metrics(_small(spark, sf), ["symbol"], ["open_time"])
 
 
+@query(f"WITH {_RETURNS}, l AS (SELECT symbol, log_return AS x, lag(log_return, 5) OVER ({_W}) AS y FROM r WHERE log_return IS NOT NULL) SELECT symbol, corr(x, y) AS acf, count(*) AS pairs FROM l WHERE y IS NOT NULL GROUP BY symbol", "acf")
+def acf_lag5(spark, sf):
+    return stats.acf(returns(spark, sf), ["symbol"], ["open_time"], "log_return", 5)
+
+
 @query(f"WITH {_RETURNS}, l AS (SELECT symbol, log_return AS x, lag(log_return) OVER ({_W}) AS y FROM r WHERE log_return IS NOT NULL) SELECT symbol, corr(x, y) AS acf, count(*) AS pairs FROM l WHERE y IS NOT NULL GROUP BY 1", "acf")
 def acf_lag1(spark, sf):
     return stats.acf(returns(spark, sf), ["symbol"], ["open_time"], "log_return")
@@ -1373,38 +1378,84 @@ def _walk_forward(spark, sf):
     return builds.walk_forward(raw, _period_studies(spark, sf), None, 8, 5, 10, 8.0, {"exp_lambda": 0.9975, "init_exp_t": 20.0}, _third(), ["log_return"], required=[]).select(wanted)
 
 
+_FILED = ((15, "15m"), (60, "60m"))
+
+
+@query(f"""WITH RECURSIVE {_CLEAN}, {_DIRECTION.replace("SELECT *, coalesce", "SELECT *, CAST(ts AS DATE) AS day, coalesce").replace("PARTITION BY symbol", "PARTITION BY symbol, CAST(ts AS DATE)")}, {_fold_sql("run", "symbol, day", 0.9, 8.0, 5)}, {", ".join(_clock_sql(m, f"b{m}") for m, _ in _FILED)},
+u AS (SELECT symbol, 'run' AS "interval", open_time, n_ticks, volume, close FROM folded {" ".join(f"UNION ALL SELECT symbol, '{n}', open_time, n_ticks, volume, close FROM b{m}" for m, n in _FILED)})
+SELECT symbol, "interval", CAST(open_time AS DATE) AS date, count(*) AS bars, sum(n_ticks)::BIGINT AS n_ticks, sum(volume) AS volume, avg(close) AS mean_close FROM u GROUP BY ALL""", "volume mean_close")
+def historic_files(spark, sf):
+    """Daily files of clock and run bars, written, written again and read back."""
+    path, raw = sinks.scratch(spark, "historic"), tables.ticks(spark, sf)
+    params = raw.select("symbol").distinct().select("symbol", F.lit(0.9).alias("exp_lambda"), F.lit(8.0).alias("init_exp_t"))
+    builds.historic_files(raw.where("dayofmonth(ts) < 20"), path, tuple(m for m, _ in _FILED), params, 5)
+    files = builds.historic_files(raw, path, tuple(m for m, _ in _FILED), params, 5)
+    return files.groupBy("symbol", "interval", "date").agg(F.count("*").alias("bars"), F.sum("n_ticks").alias("n_ticks"), F.sum("volume").alias("volume"), F.avg("close").alias("mean_close"))
+
+
 _REC_COLUMNS = "symbol, day, open_time, close_time, open, high, low, close, n_ticks, volume, dollar"
-_APPEND = f"""{_DIRTY}, asked AS (SELECT *, CAST(ts AS DATE) AS day FROM dirty WHERE day(ts) BETWEEN 11 AND 20 AND day(ts) <> 15),
+def _append_sql(asked: str, min_failed: int) -> str:
+    """``marked``: bars of the asked days with recovery, as ``builds.bars_with_recovery`` makes them."""
+    return f"""{_DIRTY}, asked AS (SELECT *, CAST(ts AS DATE) AS day FROM dirty WHERE {asked}),
 uniq AS (SELECT * FROM asked WHERE price > 0 AND NOT isnan(price) AND quantity > 0 QUALIFY row_number() OVER (PARTITION BY symbol, id ORDER BY ts) = 1), {_mad_sql("uniq", 10, "symbol, day")},
 clean AS (SELECT *, price * quantity AS dollar FROM scored WHERE coalesce(mad_z, 0) <= 8), {_DIRECTION.replace("PARTITION BY symbol", "PARTITION BY symbol, day")},
 base AS (WITH RECURSIVE lists AS (SELECT DISTINCT symbol, day, 0 AS param_id, 0.9::DOUBLE AS lam, 12::DOUBLE AS t0 FROM clean), {_tried_sql("lists", 5)} SELECT * FROM folded),
 failing AS (SELECT d.symbol, d.day FROM (SELECT DISTINCT symbol, day FROM clean) d LEFT JOIN (SELECT symbol, day, count(*) AS n FROM base GROUP BY ALL) c ON d.symbol = c.symbol AND d.day = c.day WHERE coalesce(n, 0) < 5),
-eligible AS (SELECT * FROM failing QUALIFY count(*) OVER (PARTITION BY symbol, strftime(day, '%Y-%m')) >= 3),
+eligible AS (SELECT * FROM failing QUALIFY count(*) OVER (PARTITION BY symbol, strftime(day, '%Y-%m')) >= {min_failed}),
 rec AS (WITH RECURSIVE {_points_sql(4)}, lists AS (SELECT symbol, day, param_id, round(0.99 + v * (0.999 - 0.99), 6) AS lam, least(floor(6 + u * (18 - 6 + 1)), 18) AS t0 FROM eligible, pts), {_tried_sql("lists", 5)}, {_FOUND_SQL.replace(">= 16", ">= 5")}
   SELECT f.* FROM folded f JOIN found g ON f.symbol = g.symbol AND strftime(f.day, '%Y-%m') = g.month AND f.param_id = g.param_id QUALIFY count(*) OVER (PARTITION BY f.symbol, f.day) >= 5),
 merged AS (SELECT {_REC_COLUMNS}, false AS recovered FROM base ANTI JOIN rec USING (symbol, day) UNION ALL SELECT {_REC_COLUMNS}, true FROM rec),
 marked AS (SELECT m.*, (f.day IS NOT NULL AND NOT recovered)::INTEGER AS failed_day FROM merged m LEFT JOIN failing f ON m.symbol = f.symbol AND m.day = f.day)"""
-_APPENDED = f"""{_APPEND}, sane AS (SELECT *, price * quantity AS dollar FROM ticks WHERE price > 0 AND quantity > 0), {_clock_sql(60).replace("FROM clean", "FROM sane")},
+
+
+def _appended_sql(asked: str, min_failed: int) -> str:
+    """``g`` (bars behind the store's, with returns) and ``q`` (the bounds of the store's)."""
+    return f"""{_append_sql(asked, min_failed)}, sane AS (SELECT *, price * quantity AS dollar FROM ticks WHERE price > 0 AND quantity > 0), {_clock_sql(60).replace("FROM clean", "FROM sane")},
 b AS (SELECT symbol, open_time, close, true AS ctx, NULL::DATE AS day, NULL::INTEGER AS failed_day, NULL::BOOLEAN AS recovered FROM bars WHERE day(open_time) < 11 UNION ALL SELECT symbol, open_time, close, false, day, failed_day, recovered FROM marked),
 g AS (SELECT *, ln(close / lag(close) OVER ({_W})) AS log_return FROM b), q AS (SELECT symbol, quantile_cont(log_return, 0.01) AS lo, quantile_cont(log_return, 0.99) AS hi FROM g WHERE ctx GROUP BY 1)"""
 
 
+_RANGE = ("day(ts) BETWEEN 11 AND 20 AND day(ts) <> 15", 3)
+
+
+_APPEND_OPTIONS = dict(n=4, min_bars=5, min_ticks=5, defaults={"exp_lambda": 0.9, "init_exp_t": 12.0}, least_t=2.0, width=10, k=8.0, clipped=["log_return"])
+_APPENDED_ROWS = ["symbol", "day", "open_time", "close", "log_return", "failed_day", "sample_weight", "recovery_status"]
+
+
+def _stored_hours(spark, sf):
+    """A store of bars: ten days and the fifteenth."""
+    return hourly(spark, sf).withColumn("day", F.to_date("open_time")).where("dayofmonth(day) < 11 or dayofmonth(day) = 15")
+
+
+def _no_studies(spark):
+    return spark.createDataFrame([], "symbol string, period string, exp_lambda double, init_exp_t double")
+
+
 def _append(spark, sf):
-    hours = hourly(spark, sf).withColumn("day", F.to_date("open_time"))
-    store = hours.where("dayofmonth(day) < 11 or dayofmonth(day) = 15")
-    options = dict(n=4, min_bars=5, min_ticks=5, defaults={"exp_lambda": 0.9, "init_exp_t": 12.0}, least_t=2.0, width=10, k=8.0, clipped=["log_return"])
-    none = spark.createDataFrame([], "symbol string, period string, exp_lambda double, init_exp_t double")
-    return store, builds.append_range(tables.dirty_ticks(spark, sf), store, "2024-01-11", "2024-01-20", none, **options)
+    store = _stored_hours(spark, sf)
+    return store, builds.append_range(tables.dirty_ticks(spark, sf), store, "2024-01-11", "2024-01-20", _no_studies(spark), **_APPEND_OPTIONS)
+
+
+def _appended_rows_sql(asked: str, min_failed: int) -> str:
+    return f"""WITH RECURSIVE {_appended_sql(asked, min_failed)} SELECT p.symbol, day, open_time, close, {_CLIP}, failed_day, CASE WHEN failed_day = 1 THEN 0.5 ELSE 1 END::DOUBLE AS sample_weight,
+  CASE WHEN recovered THEN 'recovered' WHEN failed_day = 1 THEN 'failed_irrecoverable' ELSE 'normal' END AS recovery_status FROM g p JOIN q ON p.symbol = q.symbol WHERE NOT ctx"""
 
 
-@query(f"""WITH RECURSIVE {_APPENDED} SELECT p.symbol, day, open_time, close, {_CLIP}, failed_day, CASE WHEN failed_day = 1 THEN 0.5 ELSE 1 END::DOUBLE AS sample_weight,
-  CASE WHEN recovered THEN 'recovered' WHEN failed_day = 1 THEN 'failed_irrecoverable' ELSE 'normal' END AS recovery_status FROM g p JOIN q ON p.symbol = q.symbol WHERE NOT ctx""", "close log_return sample_weight")
+@query(_appended_rows_sql(*_RANGE), "close log_return sample_weight")
 def append_range(spark, sf):
     """Ten days appended behind a store that already has one of them; failed days are searched and recovered."""
-    return _append(spark, sf)[1].select("symbol", "day", "open_time", "close", "log_return", "failed_day", "sample_weight", "recovery_status")
+    return _append(spark, sf)[1].select(_APPENDED_ROWS)
+
+
+@query(_appended_rows_sql("day(ts) IN (11, 14, 19)", 1), "close log_return sample_weight")
+def specific_days(spark, sf):
+    """Chosen days, one of which the store has; even a single failed day is searched."""
+    days = tables.dirty_ticks(spark, sf).select("symbol", F.to_date("ts").alias("day")).where("dayofmonth(day) in (11, 14, 15, 19)")
+    rows = builds.process_days(tables.dirty_ticks(spark, sf), _stored_hours(spark, sf), days, _no_studies(spark), **_APPEND_OPTIONS)
+    return rows.select(_APPENDED_ROWS)
 
 
-@query(f"""WITH RECURSIVE {_APPEND}, st AS (SELECT symbol, day, CASE WHEN max(recovered::INTEGER) = 1 THEN 'recovered' WHEN max(failed_day) = 1 THEN 'failed_irrecoverable' ELSE 'normal' END AS status FROM marked GROUP BY 1, 2),
+@query(f"""WITH RECURSIVE {_append_sql(*_RANGE)}, st AS (SELECT symbol, day, CASE WHEN max(recovered::INTEGER) = 1 THEN 'recovered' WHEN max(failed_day) = 1 THEN 'failed_irrecoverable' ELSE 'normal' END AS status FROM marked GROUP BY 1, 2),
 e AS (SELECT a.symbol, a.day, day(a.day) = 15 AS had, status FROM (SELECT DISTINCT symbol, CAST(ts AS DATE) AS day FROM dirty WHERE day(ts) BETWEEN 11 AND 20) a LEFT JOIN st ON a.symbol = st.symbol AND a.day = st.day)
 SELECT symbol, count(*) AS asked, count(*) FILTER (had) AS skipped, count(*) FILTER (status IS NOT NULL) AS appended, count(*) FILTER (status = 'recovered') AS recovered, count(*) FILTER (status = 'failed_irrecoverable') AS failed, count(*) FILTER (NOT had AND status IS NULL) AS empty FROM e GROUP BY 1""")
 def append_report(spark, sf):

@@ -116,11 +116,17 @@ def write_daily_files(bars: DataFrame, path: str, interval: str | None = None, t
 
 
 def write_report(report: DataFrame, path: str, kind: str = "csv") -> None:
-    """A report, a row a day or a study, as one CSV or JSON-lines file that replaces an older one."""
+    """A report, a row a day or a study, as one CSV, JSON-lines or text file that replaces an older one.
+
+    In a text file a row is a paragraph of ``name: value`` lines, nulls empty.
+    """
     writer = report.coalesce(1).write.mode("overwrite")
     if kind == "csv":
         writer.option("header", True).csv(path)
     elif kind == "json":
         writer.option("ignoreNullFields", False).json(path)
+    elif kind == "text":
+        lines = [F.concat(F.lit(f"{c}: "), F.coalesce(F.col(f"`{c}`").cast("string"), F.lit(""))) for c in report.columns]
+        report.select(F.concat(F.concat_ws("\n", *lines), F.lit("\n")).alias("value")).coalesce(1).write.mode("overwrite").text(path)
     else:
         raise ValueError(f"no writer for {kind}")

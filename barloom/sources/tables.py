@@ -6,7 +6,7 @@ their total order.  ``ts`` is a time without zone and means UTC.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -173,16 +173,20 @@ def read_dated_files(spark: SparkSession, path: str, first: str, last: str) -> D
     return spark.read.parquet(path).where((day >= first) & (day <= last))
 
 
-def synthetic_ticks(spark: SparkSession, n: int = 300_000, seed: int = 42, symbol: str = "SYN") -> DataFrame:
-    """A random walk on a 100 ms grid with log-normal quantities."""
-    from pyspark.sql import Window
+def synthetic_ticks(spark: SparkSession, n: int = 300_000, seed: int = 42, symbol: str = "SYN", block: int = 100_000) -> DataFrame:
+    """A random walk on a 100 ms grid with log-normal quantities.
 
-    rows = spark.range(n).select("id", F.randn(seed).alias("move"), F.randn(seed + 1).alias("size"))
-    walk = Window.orderBy("id").rowsBetween(Window.unboundedPreceding, 0)
+    The walk adds up in two levels, within blocks of ids and over the blocks' sums, so that no task holds more than a block.
+    """
+    rows = spark.range(n).select("id", F.randn(seed).alias("move"), F.randn(seed + 1).alias("size")).withColumn("_block", F.floor(F.col("id") / block))
+    before = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    starts = rows.groupBy("_block").agg(F.sum("move").alias("_sum")).select("_block", F.coalesce(F.sum("_sum").over(before), F.lit(0.0)).alias("_start"))  # a row a block
+    within = Window.partitionBy("_block").orderBy("id").rowsBetween(Window.unboundedPreceding, 0)
+    walked = rows.withColumn("_own", F.sum("move").over(within)).join(starts, "_block")
     start = F.lit("2024-01-01").cast("timestamp_ntz")
-    return rows.select(
+    return walked.select(
         F.lit(symbol).alias("symbol"), "id", (start + F.make_dt_interval(secs=F.col("id") * 0.1)).alias("ts"),
-        F.greatest(F.lit(1.0), 40_000 + 2 * F.sum("move").over(walk)).alias("price"), F.exp(-0.1 + 0.35 * F.col("size")).alias("quantity"),
+        F.greatest(F.lit(1.0), 40_000 + 2 * (F.col("_start") + F.col("_own"))).alias("price"), F.exp(-0.1 + 0.35 * F.col("size")).alias("quantity"),
         (F.col("size") > 0).alias("is_buyer_maker"),
     )
 
@@ -198,3 +202,16 @@ def parse_study_reports(spark: SparkSession, path: str) -> DataFrame:
         F.regexp_extract("value", rf"Completion Rate:\s*{number}", 1).cast("double").alias("completion_pct"),
         F.regexp_extract_all("value", F.lit(r"DATE:\s*(\d{4}-\d{2}-\d{2})"), F.lit(1)).alias("failed_dates"),
     ).where("period <> ''").orderBy("period")
+
+
+def parse_failed_days(spark: SparkSession, path: str) -> DataFrame:
+    """Failed days of text analyses: ``file, period, failed_date, trials, insufficient_bars, errors, details``, a row for each ``DATE:`` paragraph."""
+    rows = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("file"), "value")
+    paragraphs = rows.select("file", F.regexp_extract("value", r"(?m)^Period:\s*(\d{4}-\d{2})", 1).alias("period"), F.explode(F.regexp_extract_all("value", F.lit(r"(?ms)^DATE:.*?(?=^DATE:|^=|\z)"), F.lit(0))).alias("p"))
+    whole = lambda pattern: F.regexp_extract("p", pattern, 1).try_cast("int")
+    details = F.regexp_extract("p", r"(?m)^\s*Details:[ \t]*(.*?)\s*$", 1)
+    return paragraphs.select(
+        "file", "period", F.regexp_extract("p", r"^DATE:\s*(\S+)", 1).alias("failed_date"), whole(r"Failed (\d+) times").alias("trials"),
+        whole(r"Insufficient bars:\s*(\d+)").alias("insufficient_bars"), whole(r"Errors:\s*(\d+)").alias("errors"),
+        F.when(details != "", F.split(details, r",\s*")).otherwise(F.array().cast("array<string>")).alias("details"),
+    )

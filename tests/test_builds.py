@@ -96,6 +96,8 @@ def test_recovered_days_are_normal_weight_and_the_others_half(spark):
     found = builds.bars_with_recovery(clean, days, none, min_failed=3, **options)
     per = {r.day.day: r for r in found.groupBy("day").agg(F.count("*").alias("n"), F.max("failed_day").alias("failed"), F.max("recovery_status").alias("status"), F.min("sample_weight").alias("weight")).collect()}
     assert any(r.status == "recovered" for r in per.values())
+    sources = {(r.recovered, r.study_source) for r in found.select("recovered", "study_source").distinct().collect()}
+    assert sources <= {(True, "failed_days_2024_01"), (False, "default")} and (True, "failed_days_2024_01") in sources
     assert all((r.n >= 12, r.failed, r.weight) == ((True, 0, 1.0) if r.status == "recovered" else (False, 1, 0.5)) for r in per.values())
 
 

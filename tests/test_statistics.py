@@ -73,3 +73,27 @@ def test_upper_tail_of_f_as_a_column(spark):
             assert r.p is None
         else:
             assert r.p == pytest.approx(stats.f_survival(r.f, r.d1, r.d2), rel=1e-7, abs=1e-12)
+
+
+def test_all_statistics_of_short_and_long_series(spark):
+    rng = np.random.default_rng(6)
+    rows = []
+    for key, n in (("long", 200), ("short", 12), ("one", 1)):
+        close = 100 * np.exp(np.cumsum(rng.normal(size=n)) / 50)
+        rows += [(key, i, float(c), int(t), 1.0, float(c)) for i, (c, t) in enumerate(zip(close, rng.integers(5, 50, n), strict=True))]
+    df = spark.createDataFrame(rows, "k string, at int, close double, n_ticks int, volume double, dollar double")
+    found = {r.k: r for r in stats.all_statistics(df, ["k"], ["at"]).collect()}
+    close = np.array([r[2] for r in rows if r[0] == "long"])
+    ticks = np.array([r[3] for r in rows if r[0] == "long"], dtype=float)
+    returns = np.diff(np.log(close))
+    r = found["long"]
+    assert (r.n_bars, found["short"].n_bars, found["one"].n_bars) == (200, 12, 1)
+    assert (r.shapiro_w, r.shapiro_p) == pytest.approx(stats.shapiro_wilk(returns))
+    stat, lag = stats.adf_best_lag(returns)
+    assert (r.adf, r.lag, r.adf_p) == (pytest.approx(stat), lag, pytest.approx(stats.adf_p_value(stat)))
+    assert r.acf_lag1 == pytest.approx(np.corrcoef(returns[1:], returns[:-1])[0, 1]) and r.abs_acf_lag1 == abs(r.acf_lag1)
+    bins = returns[: len(returns) // 10 * 10].reshape(10, -1)
+    assert r.variance_over_bins == pytest.approx(returns.var(ddof=1) / bins.var(axis=1, ddof=1).mean())
+    assert r.quality_score == pytest.approx(stats.legacy_quality_score(returns, ticks))
+    assert found["one"].adf is None or math.isnan(found["one"].adf)
+    assert found["one"].std_return is None and found["one"].cv_ticks == 0.0
