@@ -8,6 +8,8 @@ the end of a bar is found by searching running sums, not tick by tick.
 
 from __future__ import annotations
 
+import json
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -227,20 +229,22 @@ class Scope:
 
 
 def laid_out(ticks: DataFrame, scope: list[str], candidates: DataFrame | None = None) -> DataFrame:
-    """Ticks dealt by scope and sorted, in one exchange: the scope, ``candidates``, ``ts, price, quantity, dollar, b``.
+    """Ticks dealt by scope and sorted, in one exchange: the scope, ``ts, price, quantity, dollar, b``, and ``candidates`` if they are given.
 
     Candidate lists of their own (``scope``, ``candidates``) come as one row a
-    scope before its ticks, so no tick carries them.  Without a column ``b``
+    scope before its ticks, so no tick carries them; as JSON, since a nested
+    column costs every batch that goes to Python.  Without a column ``b``
     it is null, and the fold applies the tick rule within the scope.  A null
     key is no scope.
     """
     kinds = dict(ticks.dtypes)
     b = F.col("b").cast("double") if "b" in kinds else F.lit(None).cast("double")
-    rows = ticks.select(*scope, F.lit(None).cast(CANDIDATES).alias("candidates"), F.lit(1).alias("_kind"), "ts", "price", "quantity", "dollar", b.alias("b"), "id")
+    rows = ticks.select(*scope, F.lit(1).alias("_kind"), "ts", "price", "quantity", "dollar", b.alias("b"), "id")
     if candidates is not None:
         blank = [F.lit(None).cast(kinds[c]).alias(c) for c in ("ts", "price", "quantity", "dollar")]
-        heads = candidates.select(*scope, F.col("candidates").cast(CANDIDATES).alias("candidates"), F.lit(0).alias("_kind"), *blank, F.lit(None).cast("double").alias("b"), F.lit(None).cast(kinds["id"]).alias("id"))
-        rows = rows.unionByName(heads)
+        listed = F.to_json(F.col("candidates").cast(CANDIDATES)).alias("candidates")
+        heads = candidates.where(F.col("candidates").isNotNull()).select(*scope, F.lit(0).alias("_kind"), *blank, F.lit(None).cast("double").alias("b"), F.lit(None).cast(kinds["id"]).alias("id"), listed)
+        rows = rows.withColumn("candidates", F.lit(None).cast("string")).unionByName(heads)
     rows = rows.dropna(subset=scope)
     return rows.repartition(*scope).sortWithinPartitions(*scope, "_kind", "ts", "id").drop("_kind", "id")
 
@@ -257,18 +261,18 @@ def scopes_of(batches, keys: int, make):
             continue
         owners = list(zip(*(batch.column(i).to_pylist() for i in range(keys)), strict=True))
         cuts = [0, *[i for i in range(1, len(owners)) if owners[i] != owners[i - 1]], len(owners)]
-        heads = batch.column(keys)
-        ts, price, quantity, dollar, b = (batch.column(keys + 1 + i).to_numpy(zero_copy_only=False) for i in range(5))
+        ts, price, quantity, dollar, b = (batch.column(keys + i).to_numpy(zero_copy_only=False) for i in range(5))
+        head = batch.column(keys + 5).is_valid().to_numpy(zero_copy_only=False) if batch.num_columns > keys + 5 else np.zeros(len(ts), dtype=bool)
         for lo, hi in zip(cuts, cuts[1:], strict=False):
             if owners[lo] != own:
                 if held is not None:
                     yield own, held, True
                 own, given = owners[lo], None
-                if heads[lo].is_valid:
-                    given = [(c["param_id"], c["exp_lambda"], c["init_exp_t"]) for c in heads[lo].as_py()]
+                if head[lo]:
+                    given = [(c["param_id"], c["exp_lambda"], c["init_exp_t"]) for c in json.loads(batch.column(keys + 5)[lo].as_py())]
                     lo += 1
                 held = make(given)
-            while lo < hi and heads[lo].is_valid:  # a second list of the same scope
+            while lo < hi and head[lo]:  # a second list of the same scope
                 lo += 1
             if lo < hi:
                 held.feed(ts[lo:hi], price[lo:hi], quantity[lo:hi], dollar[lo:hi], None if np.isnan(b[lo]) else b[lo:hi])
@@ -296,7 +300,7 @@ def candidate_bars(ticks: DataFrame, scope: list[str], candidates: DataFrame | l
         def noted(it):
             nonlocal types, stamp
             for batch in it:
-                types, stamp = [batch.column(i).type for i in range(len(scope))], batch.column(len(scope) + 1).type
+                types, stamp = [batch.column(i).type for i in range(len(scope))], batch.column(len(scope)).type
                 yield batch
 
         for own, held, over in scopes_of(noted(batches), len(scope), lambda given: Scope(kind, given or shared, min_ticks)):
