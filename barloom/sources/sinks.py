@@ -27,6 +27,8 @@ def remove(spark: SparkSession, path: str) -> None:
 def scratch(spark: SparkSession, name: str) -> str:
     """A new folder below the one that all machines share (``spark.checkpoint.dir``); a local session without it gets one under ``/tmp``."""
     root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root and (held := spark.sparkContext._jsc.sc().getCheckpointDir()).isDefined():
+        root = held.get()
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")

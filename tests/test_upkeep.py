@@ -68,6 +68,9 @@ def test_migration_can_run_again(spark, tmp_path):
 def test_scratch_needs_a_shared_folder_on_a_cluster(spark, monkeypatch):
     from barloom.sources import sinks
 
+    class Unset:
+        isDefined = staticmethod(lambda: False)
+
     class Cluster:
         class conf:
             get = staticmethod(lambda name, default: default)
@@ -75,8 +78,12 @@ def test_scratch_needs_a_shared_folder_on_a_cluster(spark, monkeypatch):
         class sparkContext:
             master = "spark://somewhere"
 
+            class _jsc:
+                sc = staticmethod(lambda: type("Context", (), {"getCheckpointDir": staticmethod(Unset)}))
+
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         sinks.scratch(Cluster, "x")
+    assert sinks.scratch(spark, "x") != sinks.scratch(spark, "x")
 
 
 def test_a_text_report(spark, tmp_path):
