@@ -60,7 +60,9 @@ class _DayReader(DataSourceReader):
         if found is None:
             return
         for batch in found.select(_ARROW.names).cast(_ARROW).to_batches(max_chunksize=100_000):
-            keys = [pa.array([partition.symbol] * batch.num_rows), pa.array([partition.day] * batch.num_rows).cast(pa.date32())]
+            if not batch.num_rows:  # a chunk that a filter emptied
+                continue
+            keys = [pa.array([partition.symbol] * batch.num_rows, pa.string()), pa.array([partition.day] * batch.num_rows, pa.string()).cast(pa.date32())]
             yield pa.RecordBatch.from_arrays([*keys, *batch.columns], names=["symbol", "day", *_ARROW.names])
 
 

@@ -72,3 +72,15 @@ def test_local_first_then_the_fallback(spark):
         acquire.acquire_days(local, wanted, "test_fallback", "cloud")
     with pytest.raises(ValueError, match="fallback"):
         acquire.acquire_days(local, wanted)
+
+
+def test_a_fallback_answer_with_emptied_chunks():
+    """A filter over a file of several row groups leaves chunks without rows."""
+    column = lambda values, kind: pa.chunked_array([[], values[:2], [], values[2:]], kind)
+    at = [datetime.datetime(2024, 1, 2, h) for h in range(3)]
+    table = pa.table({"id": column([1, 2, 3], pa.int64()), "ts": column(at, pa.timestamp("us")), **{c: column([1.0, 2.0, 3.0], pa.float64()) for c in ("price", "quantity")}, "is_buyer_maker": column([True] * 3, pa.bool_())})
+    reader = acquire._DayReader(lambda symbol, day: table, [["A", "2024-01-02"]], ())
+    batches = list(reader.read(reader.partitions()[0]))
+    assert {b.schema.field("symbol").type for b in batches} == {pa.string()}
+    found = pa.Table.from_batches(batches).to_pylist()
+    assert [(r["symbol"], r["day"], r["id"]) for r in found] == [("A", datetime.date(2024, 1, 2), i) for i in (1, 2, 3)]
