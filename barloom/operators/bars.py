@@ -3,7 +3,7 @@
 A run or imbalance bar ends where all bars before it say, so a scope (symbol,
 or symbol and day) is one sequential fold; scopes run in parallel.  The fold
 streams sorted partitions with a state of fixed size.  Inside an Arrow batch
-the end of a bar is found by searching running sums, not tick by tick.
+the end of a bar is found by searching the bar's running sums, not tick by tick.
 """
 
 from __future__ import annotations
@@ -15,13 +15,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+#: Ticks that a fold looks through at once at least; a bar that goes on doubles them.
+STRETCH = 64
 BAR = "open_time, close_time, open, high, low, close, n_ticks, volume, dollar"
 
 
 class Ticks:
-    """Ticks in order with the running sums that every fold over them reads.
+    """Ticks in order with the parts that every fold over them adds up.
 
     ``first``: whether the scope begins here; its first tick counts in a bar, not in the bar's run.
+    ``parts``: dollars of buys and of sells for the runs, the same for the sums, signed dollars.
     """
 
     def __init__(self, ts, price, quantity, dollar, b, first: bool):
@@ -30,10 +33,7 @@ class Ticks:
         run = dollar.copy()
         if first and len(run):
             run[0] = 0.0
-        total = lambda x: np.concatenate([[0.0], np.cumsum(x)])
-        self.run_sums = [total(np.where(up, run, 0.0)), total(np.where(up, 0.0, run))]
-        self.signed = total(np.where(up, run, -run))
-        self.side = [total(np.where(up, dollar, 0.0)), total(np.where(up, 0.0, dollar))]
+        self.parts = np.stack([np.where(up, run, 0.0), np.where(up, 0.0, run), np.where(up, dollar, 0.0), np.where(up, 0.0, dollar), np.where(up, run, -run)])
         self.buys = np.concatenate([[0], np.cumsum(up)])
 
     def __len__(self) -> int:
@@ -89,9 +89,10 @@ class _Fold:
         if not self.ready:
             self.ready = True
             d, up = ticks.dollar[: self.warm], ticks.b[: self.warm] == 1
+            mean = lambda x: np.cumsum(x)[-1] / len(x)
             self.p = up.sum() / self.warm
-            self.e_side = [d[s].mean() if s.any() else d.mean() for s in (up, ~up)]
-            self.e_v = d.mean()
+            self.e_side = [mean(d[s]) if s.any() else mean(d) for s in (up, ~up)]
+            self.e_v = mean(d)
         self._scan(ticks)
 
     def snapshot(self) -> tuple:
@@ -115,29 +116,37 @@ class _Fold:
             return self.e_t * max(self.p * self.e_side[0], (1 - self.p) * self.e_side[1])
         return self.e_t * self.e_v * abs(2 * self.p - 1)
 
-    def _end(self, at: int, run_sums, signed) -> int:
-        """First index from ``at`` where the bar closes, or the length of the batch."""
-        n = len(signed) - 1
-        earliest = max(at + self.min_ticks - self.ticks - 1, at, 1 - self.seen)
-        want = self._threshold()
-        if self.kind == "run":  # both runs only grow
-            reached = min(int(np.searchsorted(s[1:], want - r + s[at], side="left")) for s, r in zip(run_sums, self.runs, strict=True))
-            return min(n, max(earliest, reached))
-        theta, step = self.runs[0] - signed[at], 256
-        while earliest < n:
-            part = np.flatnonzero(np.abs(theta + signed[earliest + 1 : min(n, earliest + step) + 1]) >= want)
-            if len(part):
-                return earliest + int(part[0])
-            earliest, step = earliest + step, step * 2
-        return n
-
     def _scan(self, ticks: Ticks) -> None:
-        ts, price, quantity, dollar = ticks.ts, ticks.price, ticks.quantity, ticks.dollar
-        run_sums, signed, side, buys = ticks.run_sums, ticks.signed, ticks.side, ticks.buys
-        at, n = 0, len(ts)
+        """Takes stretches of ticks: up to the end of the bar, or as many as it may still need.
+
+        Sums start at zero with each bar and take in one tick after the other,
+        whatever the stretches and batches: a run that meets the threshold
+        exactly, as in copies of a tick, ends its bar in every cut alike.
+        """
+        ts, price, quantity, dollar, buys = ticks.ts, ticks.price, ticks.quantity, ticks.dollar, ticks.buys
+        rows = slice(0, 4) if self.kind == "run" else slice(2, 5)
+        parts, at, n, step, want = ticks.parts[rows], 0, len(ticks), 0, self._threshold()
         while at < n:
-            end = self._end(at, run_sums, signed)
-            stop = min(end + 1, n)
+            if not step:  # a new bar, or one that goes on from the batch before
+                step = max(STRETCH, self.min_ticks - self.ticks, min(int(self.e_t), 8 * STRETCH))
+            stop = min(at + step, n)
+            sums = np.empty((len(parts), stop - at + 1))
+            sums[:, 0] = [*self.runs, *self.sums] if self.kind == "run" else [*self.sums, self.runs[0]]
+            sums[:, 1:] = parts[:, at:stop]
+            sums = np.add.accumulate(sums, axis=1, out=sums)[:, 1:]
+            earliest = max(self.min_ticks - self.ticks - 1, 0, 1 - self.seen - at)
+            if self.kind == "run":  # both runs only grow
+                end = max(earliest, min(int(sums[0].searchsorted(want)), int(sums[1].searchsorted(want))))
+            else:
+                found = np.flatnonzero(np.abs(sums[2, earliest:]) >= want)
+                end = earliest + int(found[0]) if len(found) else stop - at
+            closed = end < stop - at
+            stop = at + end + 1 if closed else stop
+            last = sums[:, stop - at - 1]
+            if self.kind == "run":
+                self.runs, self.sums = last[:2].copy(), last[2:].copy()
+            else:
+                self.sums, self.runs = last[:2].copy(), np.array([last[2], 0.0])
             if self.first is None:
                 self.first = (ts[at], price[at])
             self.last = (ts[stop - 1], price[stop - 1])
@@ -147,13 +156,10 @@ class _Fold:
             self.dollar += dollar[at:stop].sum()
             got = buys[stop] - buys[at]
             self.count += (got, stop - at - got)
-            self.sums += (side[0][stop] - side[0][at], side[1][stop] - side[1][at])
-            if self.kind == "run":
-                self.runs += (run_sums[0][stop] - run_sums[0][at], run_sums[1][stop] - run_sums[1][at])
-            else:
-                self.runs[0] += signed[stop] - signed[at]
-            if end < n:
+            step = 0 if closed else 2 * step
+            if closed:
                 self._close()
+                want = self._threshold()
             at = stop
         self.seen += n
 
@@ -162,13 +168,13 @@ class _Fold:
         self.number += 1
         keep, new = self.lam, 1 - self.lam
         self.e_t = new * self.ticks + keep * self.e_t
-        self.p = new * (self.count[0] / self.ticks) + keep * self.p
+        self.p = new * self.count[0] / self.ticks + keep * self.p
         if self.kind == "run":
             for s in (0, 1):
                 if self.count[s]:
-                    self.e_side[s] = new * (self.sums[s] / self.count[s]) + keep * self.e_side[s]
+                    self.e_side[s] = new * self.sums[s] / self.count[s] + keep * self.e_side[s]
         else:
-            self.e_v = new * (self.sums.sum() / self.ticks) + keep * self.e_v
+            self.e_v = new * self.sums.sum() / self.ticks + keep * self.e_v
         self._open_bar()
 
 

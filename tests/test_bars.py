@@ -56,6 +56,51 @@ def test_fold_equals_plain_loop(seed, n, params, kind, batch):
         assert bar[7] == hi - lo and bar[8] == pytest.approx(quantity[lo:hi].sum()) and bar[9] == pytest.approx(dollar[lo:hi].sum())
 
 
+def added_up(x):
+    total = 0.0
+    for v in x:
+        total += v
+    return total
+
+
+def tick_by_tick(dollar, b, lam, t0, min_ticks):
+    """The run fold with every sum added up from zero, one tick after the other: a run that meets the threshold exactly is decided like this."""
+    w = min(100, len(b) // 10)
+    up, new = b[:w] == 1, 1 - lam
+    p, e_t = up.sum() / w, t0
+    e = [added_up(dollar[:w][m]) / m.sum() if m.any() else added_up(dollar[:w]) / w for m in (up, ~up)]
+    runs, sums, counts, out = [0.0, 0.0], [0.0, 0.0], [0, 0], []
+    for i, d in enumerate(dollar):
+        side = 0 if b[i] == 1 else 1
+        runs[side] += d if i else 0.0
+        sums[side] += d
+        counts[side] += 1
+        t = sum(counts)
+        if i and t >= min_ticks and max(runs) >= e_t * max(p * e[0], (1 - p) * e[1]):
+            out.append(i)
+            e_t, p = new * t + lam * e_t, new * counts[0] / t + lam * p
+            e = [new * sums[s] / counts[s] + lam * e[s] if counts[s] else e[s] for s in (0, 1)]
+            runs, sums, counts = [0.0, 0.0], [0.0, 0.0], [0, 0]
+    return out
+
+
+@pytest.mark.parametrize("copies", [1, 6, 60])
+def test_runs_that_meet_the_threshold_exactly(copies):
+    """Copies of a tick make such ties; they fall alike whatever came before the bar and however ticks are dealt."""
+    for seed in range(20):
+        rng = np.random.default_rng(seed)
+        price = np.repeat(np.round(rng.exponential(50, 4000 // copies) + 0.01, 2), copies)
+        dollar = price * np.repeat(rng.integers(1, 100, 4000 // copies), copies).astype(float)
+        b = bars.tick_directions(price, None)
+        want = tick_by_tick(dollar, b, 0.95, 20.0, 5)
+        for batch in (len(price), 333):
+            fold = _Fold("run", len(price), 0.95, 20.0, 5)
+            for lo in range(0, len(price), batch):
+                s = slice(lo, lo + batch)
+                fold.feed(np.arange(len(price))[s], price[s], dollar[s], dollar[s], b[s])
+            assert [int(x[2]) for x in fold.bars] == want
+
+
 def test_audit_reconciles_and_order_does_not_matter(spark):
     rng = np.random.default_rng(4)
     rows = [("s" + str(i % 2), i, i, float(100 + rng.normal()), float(rng.integers(1, 9))) for i in range(3000)]
