@@ -260,6 +260,14 @@ def _set_key(shingles: np.ndarray) -> int:
     return key - (1 << 64) if key >> 63 else key
 
 
+def _set_fingerprint(shingles: np.ndarray) -> int:
+    """SimHash of a shingle set as int64: bits set in over half of the hashes; zero for none."""
+    counts = np.zeros(64, dtype=np.int64)
+    for lo in range(0, len(shingles), CHUNK):
+        counts += np.unpackbits(shingles[lo : lo + CHUNK].view(np.uint8)).reshape(-1, 64).sum(axis=0, dtype=np.int64)
+    return int(np.packbits(counts * 2 > len(shingles)).view(np.int64)[0])
+
+
 def prefix_length(n: int, similarity: float) -> int:
     """Two sets that reach ``similarity`` share one of so many first elements of each, in any common order."""
     return n - math.ceil(similarity * n - 1e-9) + 1 if n else 0
@@ -304,23 +312,24 @@ def _xor_bitmap(shingles: np.ndarray, bits: int) -> np.ndarray:
 
 
 def _set_prints(batches, size: int, similarity: float, frequent: np.ndarray):
-    """``(id, text_key, node, n, prefix, bits)`` of every row; ``node`` names the shingle set."""
+    """``(id, text_key, node, fp, n, prefix, bits)`` of every row; ``node`` names the shingle set, ``fp`` is its SimHash."""
     for batch in batches:
         for lo in range(0, batch.num_rows, 512):
             part = batch.slice(lo, 512)
-            nodes, sizes, prefixes, bits, wide = [], [], [], [], []
+            nodes, fps, sizes, prefixes, bits, wide = [], [], [], [], [], []
             for text in part.column(1).cast(pa.binary()).to_pylist():
                 shingles = shingle_set(text, size)
                 nodes.append(_set_key(shingles))
+                fps.append(_set_fingerprint(shingles))
                 sizes.append(len(shingles))
                 prefixes.append(_prefix(shingles, similarity, frequent).view(np.int64))
                 bits.append(_xor_bitmap(shingles, 64 * BITMAP).view(np.int64))
                 wide.append(_xor_bitmap(shingles, WIDE).tobytes() if len(shingles) > WIDE_FROM else None)
             yield pa.RecordBatch.from_arrays(
                 [
-                    part.column(0), part.column(2), numbers(nodes), numbers(sizes), lists(prefixes), lists(bits), binaries(wide),
+                    part.column(0), part.column(2), numbers(nodes), numbers(fps), numbers(sizes), lists(prefixes), lists(bits), binaries(wide),
                 ],
-                names=["id", "text_key", "node", "n", "prefix", "bits", "wide"],
+                names=["id", "text_key", "node", "fp", "n", "prefix", "bits", "wide"],
             )
 
 
@@ -389,26 +398,45 @@ def _verified(pairs: DataFrame, nodes: DataFrame, rows: DataFrame, size: int, si
     return out
 
 
+def indexed_pairs(nodes: DataFrame, similarity: float, distance: int = 3) -> DataFrame:
+    """Pairs ``(a, b)`` of sets that the byte-position index links by their fingerprints and that can reach ``similarity``.
+
+    A fingerprint stands for its smallest set; others that have the same one
+    are paired with that set, so a group of near copies makes no square.
+    """
+    hubs = cut(nodes.groupBy("fp").agg(F.min_by(F.struct("node", "n", "bits"), "node").alias("x")))
+    found = links(hubs.select("fp"), distance)
+    across = found.join(hubs.toDF("a", "x"), "a").join(hubs.toDF("b", "y"), "b").select("x", "y")
+    within = nodes.join(hubs, "fp").where(F.col("node") != F.col("x.node")).select("x", F.struct("node", "n", "bits").alias("y"))
+    return across.unionByName(within).where(_may_reach(similarity)).select(*_pair())
+
+
+def _pair() -> list[Column]:
+    return [F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")]
+
+
 def similar_links(rows: DataFrame, nodes: DataFrame, size: int, similarity: float) -> DataFrame | None:
     """Verified links ``(a, b)`` that join what all pairs of ``similarity`` join; None if there are none.
 
-    Postings are the prefixes' shingles.  Every member of a list is compared
-    with the list's hub first, which joins groups of near copies without their
-    pairs; then all pairs of a list that these links have not joined.
+    Candidates are the pairs of the byte-position index first.  It has those of
+    close fingerprints only, so prefix filtering adds the rest; its postings are
+    the prefixes' shingles.  Every member of a list is compared with the list's
+    hub, which joins groups of near copies without their pairs; then all pairs
+    of a list that these links have not joined.
     """
+    indexed = indexed_pairs(nodes, similarity)
     postings = nodes.select(F.explode("prefix").alias("token"), "node")
     # A member has company if the list goes on before or after it: one shuffle of (token, node), and most tokens end here.
     by_token = Window.partitionBy("token").orderBy("node")
     listed = postings.select("token", "node", F.coalesce(F.lag("node").over(by_token), F.lead("node").over(by_token)).alias("other"))
     postings = cut(listed.where("other is not null").select("token", "node").join(nodes.select("node", "n", "bits"), "node"))
-    reach = _may_reach(similarity)
-    pair = [F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")]
+    reach, pair = _may_reach(similarity), _pair()
 
     # Another hub for each shingle: where it has only a passage in common with the others, other lists have better ones.
     ranked = Window.partitionBy("token").orderBy(F.xxhash64("token", "node"), "node")
     hub = F.first(F.struct("node", "n", "bits")).over(ranked)
     spokes = postings.select("token", F.struct("node", "n", "bits").alias("x"), hub.alias("y")).where((F.col("x.node") != F.col("y.node")) & reach)
-    tested = cut(_thinned(spokes.select(*pair).distinct(), nodes, similarity))
+    tested = cut(_thinned(indexed.unionByName(spokes.select(*pair)).distinct(), nodes, similarity))
     edges = None if tested.isEmpty() else _verified(tested, nodes, rows, size, similarity)
     if edges is None:
         grouped = postings.withColumn("group", F.col("node"))
@@ -440,10 +468,12 @@ def similar_documents(
     """``id_col, text_key, component`` for every row: components of all pairs that reach ``similarity``.
 
     Similarity is the Jaccard index of the sets of ``shingle_words`` shingles.
-    At 0.8 fingerprints of 64 bits differ in about ten bits and share no
-    guaranteed byte, so candidates come from prefix filtering, which loses no
-    pair: sets of similarity s share one of the ``n - ceil(s n) + 1`` first
-    shingles of each, in any order common to all sets.  Every link is verified on the sets themselves.
+    Sets get SimHash fingerprints, and the byte-position index gives the pairs
+    within three bits.  At 0.8 fingerprints of 64 bits differ in about ten bits
+    and share no guaranteed byte, so prefix filtering adds what the index
+    cannot have, and no pair is lost: sets of similarity s share one of the
+    ``n - ceil(s n) + 1`` first shingles of each, in any order common to all
+    sets.  Every link is verified on the sets themselves.
     ``text_key`` orders the rows of one id.  Null and wordless texts are one
     group; other rules are those of ``near_duplicates``.
     """
@@ -452,7 +482,7 @@ def similar_documents(
     bound_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     keyed = rows.withColumn("text_key", F.xxhash64("text"))
-    ddl = "id long, text_key long, node long, n long, prefix array<long>, bits array<long>, wide binary"
+    ddl = "id long, text_key long, node long, fp long, n long, prefix array<long>, bits array<long>, wide binary"
     often = docs.sparkSession.sparkContext.broadcast(frequent_shingles(keyed, shingle_words, similarity))
     prints = stored(keyed.mapInArrow(lambda b: _set_prints(b, shingle_words, similarity, often.value), ddl), "prints")
     nodes = stored(prints.drop("id").dropDuplicates(["node"]), "nodes")

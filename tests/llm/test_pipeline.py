@@ -130,3 +130,24 @@ def test_a_chain_of_near_copies_and_texts_just_below_the_similarity(spark):
     near = [(a, b) for a, b in combinations(sets, 2) if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
     assert (204, 184) in near and (404, 383) not in near
     assert _groups(group) == _groups(_components(sets, near))
+
+
+def test_close_fingerprints_come_from_the_byte_position_index(spark, monkeypatch):
+    base = [f"w{i}" for i in range(2000)]
+    texts = [" ".join(base), " ".join([*base[:1999], "end"]), " ".join([*base, "more"]), " ".join(f"v{i}" for i in range(300)), " ".join(f"v{i}" for i in range(299)), "a b", None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    sets = {simhash._set_key(x): x for x in (simhash.shingle_set(t and t.encode(), 5) for t in texts)}
+    fps = {node: simhash._set_fingerprint(x) for node, x in sets.items()}
+    close = {(a, b) for a, b in combinations(sorted(sets), 2) if ((fps[a] ^ fps[b]) & (1 << 64) - 1).bit_count() <= 3}
+    assert len(close) >= 2
+    seen, indexed = [], simhash.indexed_pairs
+
+    def noted(nodes, *rest):
+        out = indexed(nodes, *rest)
+        seen.append({(r.a, r.b) for r in out.collect()})
+        return out
+
+    monkeypatch.setattr(simhash, "indexed_pairs", noted)
+    group = {r.doc_id: r.component for r in simhash.similar_documents(docs).collect()}
+    assert seen == [close]
+    assert _groups(group) == [[0, 1, 2], [3, 4], [5], [6]]
