@@ -172,13 +172,14 @@ def append_report(rows: DataFrame, asked: DataFrame, store: DataFrame) -> DataFr
 FILE_COLUMNS = ["symbol", *[c.strip() for c in bars.BAR.split(",")]]
 
 
-def historic_files(raw: DataFrame, path: str, minutes: tuple[int, ...] = (1, 5, 15, 30, 60), params: DataFrame | None = None, min_ticks: int = 400, width: int = 100, k: float = 10.0) -> DataFrame:
+def historic_files(raw: DataFrame, path: str, minutes: tuple[int, ...] = (1, 5, 15, 30, 60), params: DataFrame | None = None, min_ticks: int = 400, width: int | None = 100, k: float = 10.0) -> DataFrame:
     """A folder a symbol, interval and date for clock bars (``5m``) and, with ``params`` (``symbol, exp_lambda, init_exp_t``), run bars (``run``).
 
     Days that are there are left as they are, so that a stopped run goes on.
-    Returns all files that are there then.  Ticks are cleaned once.
+    Returns all files that are there then.  Ticks are cleaned once; ``width`` None: without the MAD filter.
     """
-    clean = sinks.kept(ticks.mad_filter(ticks.normalise(raw).withColumn("day", F.to_date("ts")), ["symbol", "day"], width, k), "ticks")
+    clean = ticks.normalise(raw).withColumn("day", F.to_date("ts"))
+    clean = sinks.kept(clean if width is None else ticks.mad_filter(clean, ["symbol", "day"], width, k), "ticks")
     for m in minutes:
         sinks.write_daily_files(bars.time_bars(clean, m).select(FILE_COLUMNS), path, f"{m}m")
     if params is not None:

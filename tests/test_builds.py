@@ -134,3 +134,12 @@ def test_health_check(spark, capsys):
     assert cli.health("/nowhere")[0].startswith("table events cannot be read")
     assert cli.main(["check", "/root/testdata/sf0.001"]) == 0 and capsys.readouterr().out == "OK\n"
     assert features.BAR_FEATURES  # the frame that a build writes
+
+
+def test_historic_files_without_the_mad_filter(spark, tmp_path):
+    """A day long enough for the filter's windows: with ``width`` None its spike stays."""
+    rows = [("s", i, 1e6 if i == 250 else 100.0 + i % 7, 1.0) for i in range(300)]
+    raw = spark.createDataFrame(rows, "symbol string, id long, price double, quantity double").selectExpr("*", "timestamp_ntz'2024-01-01' + make_dt_interval(0, 0, 0, id) as ts")
+    for width, n in ((None, 300), (100, 299)):
+        files = builds.historic_files(raw, str(tmp_path / f"files-{width}"), (60,), width=width)
+        assert [r.n_ticks for r in files.collect()] == [n]
