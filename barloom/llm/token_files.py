@@ -351,8 +351,10 @@ def write_token_files(
     for r in sorted(shards.collect()):  # one row per written file
         manifest.append((r.shard, r.n, base))
         base += r.n
-    out = spark.createDataFrame(manifest, "shard int, n_values long, base long")
-    out.coalesce(1).write.parquet(f"{path}/manifest")
+    shard, n_values, bases = zip(*manifest, strict=True) if manifest else ((), (), ())
+    # An Arrow table: a list would be read by Python workers of their own, and those stay for a minute.
+    table = pa.table({"shard": numbers(shard, np.int32), "n_values": numbers(n_values), "base": numbers(bases)})
+    spark.createDataFrame(table).coalesce(1).write.parquet(f"{path}/manifest")
     return spark.read.parquet(f"{path}/manifest")
 
 

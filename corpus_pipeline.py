@@ -11,8 +11,9 @@ from barloom.llm._spark import fresh_path, read_table
 
 #: Documents with more than this share of words from the benchmark go; fewer hit words are cut out.
 MAX_HIT_SHARE = 0.5
-#: Words of a worker's encoder cache: fewer than by default, as an executor still holds what the stages before left.
-CACHE_WORDS = 120_000
+#: Words of a worker's encoder cache: fewer than by default, as an executor still holds what the stages before left,
+#: and has up to four workers on two cores, which take turns and have a cache each.
+CACHE_WORDS = 40_000
 
 
 def _columns(docs: DataFrame, text) -> list:

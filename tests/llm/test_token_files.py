@@ -1,4 +1,7 @@
+import subprocess
+import sys
 import zlib
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
@@ -95,3 +98,39 @@ def test_bytes_that_are_not_utf8_are_replacement_characters(spark):
     tokenizer = Tokenizer.from_file(PATH)
     found = {r.doc_id: list(np.frombuffer(r.token_ids, "<u4")) for r in token_files.token_files(df, PATH, end_id=1).collect()}
     assert found == {i: tokenizer.encode(t.decode(errors="replace"), add_special_tokens=False).ids + [1] for i, t in enumerate(raw)}
+
+
+def test_the_manifest_starts_no_workers_of_its_own(spark, tmp_path, monkeypatch):
+    def refused(*args, **kwargs):
+        raise AssertionError("a list of rows is read by other Python workers")
+
+    docs = spark.range(300).selectExpr("id as doc_id", "concat('some words ', id) as text")
+    monkeypatch.setattr(type(spark.sparkContext), "parallelize", refused)
+    for name, table in (("some", docs), ("none", docs.where("doc_id < 0"))):
+        manifest = token_files.write_token_files(table, f"{tmp_path}/{name}", PATH)
+        rows = sorted(manifest.collect())
+        assert manifest.columns == ["shard", "n_values", "base"] and [t for _, t in manifest.dtypes] == ["int", "bigint", "bigint"]
+        assert [r.base for r in rows] == [sum(x.n_values for x in rows[:i]) for i in range(len(rows))]
+        assert bool(rows) == (name == "some")
+
+
+def test_an_idle_worker_gives_memory_back():
+    code = """
+import re, time
+from barloom.llm import _spark
+
+def held():
+    with open("/proc/self/smaps_rollup") as f:
+        return int(re.search(r"\\nAnonymous:\\s+(\\d+)", f.read())[1]) / 1024
+
+_spark.IDLE_SECONDS = 0.2
+before, cache = held(), {}
+with _spark.in_use(cache):
+    cache.update((i, bytes(1000)) for i in range(100_000))
+    last = bytes(1000)  # above them all: only what lies at the end goes back by itself
+    full = held()
+time.sleep(2)
+assert not cache and full - before > 80, (before, full)
+assert held() - before < 40, (before, full, held())
+"""
+    subprocess.run([sys.executable, "-c", code], check=True, timeout=60, cwd=Path(token_files.__file__).parents[2])
