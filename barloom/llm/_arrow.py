@@ -5,7 +5,7 @@
 
 from __future__ import annotations
 
-from itertools import accumulate
+from itertools import accumulate, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -28,10 +28,23 @@ def _offsets(sizes) -> pa.Buffer:
 
 
 def binaries(values: list[bytes | None]) -> pa.Array:
-    known = np.fromiter((v is not None for v in values), dtype=bool, count=len(values))
-    valid = None if known.all() else pa.py_buffer(np.packbits(known, bitorder="little"))
-    data = pa.py_buffer(b"".join([v or b"" for v in values]))
-    return pa.Array.from_buffers(pa.binary(), len(values), [valid, _offsets(len(v or b"") for v in values), data])
+    valid = None
+    if None in values:
+        valid = pa.py_buffer(np.packbits(np.fromiter((v is not None for v in values), dtype=bool, count=len(values)), bitorder="little"))
+        values = [v or b"" for v in values]
+    return pa.Array.from_buffers(pa.binary(), len(values), [valid, _offsets(map(len, values)), pa.py_buffer(b"".join(values))])
+
+
+def _ends(strings: pa.Array) -> np.ndarray:
+    return np.frombuffer(strings.buffers()[1], dtype=np.int32, count=len(strings) + 1, offset=4 * strings.offset) if len(strings) else np.zeros(1, np.int32)
+
+
+def items(strings: pa.Array, groups: pa.Array | None = None) -> list[bytes]:
+    """The bytes of the values of an array without nulls, or of those of each list of ``groups`` together."""
+    ends = _ends(strings) if groups is None else _ends(strings)[_ends(groups)]
+    data = strings.buffers()[2]
+    raw = data.to_pybytes() if data else b""
+    return [raw[lo:hi] for lo, hi in pairwise(ends.tolist())]
 
 
 def lists(values: list, kind=np.int64) -> pa.Array:

@@ -23,22 +23,22 @@ from __future__ import annotations
 import gc
 import json
 import os
-import re
 from hashlib import md5
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.llm._arrow import binaries, lists, numbers
+from barloom.llm._arrow import binaries, items, lists, numbers
 from barloom.llm._spark import bound_batches, fresh_path, in_use, shared_dir
 
 BLOCK = 1024
 SEGMENT_IDS = 1 << 17
 PERCENTILE = 95.0
-#: Distinct words kept by one Python worker, in two generations.
+#: Distinct runs of letters, marks and other words kept by one Python worker, in each of two generations.
 CACHE_WORDS = 1_000_000
 
 SEGMENTS = pa.schema(
@@ -156,12 +156,12 @@ def _nones(row: list):
         return
 
 
-#: A line: a run of Latin letters and the marks after it (two pre-tokens for tokenizers with word ends), or anything else.
-_LINES = re.compile(r"^(?:([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)|(.*))$", re.M)
+#: A run of Latin letters and the marks after it: two pre-tokens for tokenizers with word ends.
+_WORD = r"^(?P<run>[A-Za-zÀ-ÖØ-öø-ÿ]+)(?P<marks>[!-&(-/:-@\[-`{-~]*)$"
 #: Missing runs of letters given to the library as one text.
 _JOINED = 256
-#: Texts whose missing words are learned together.
-_AT_ONCE = 128
+#: Bytes of the texts that are encoded together, each of their words once.
+_AT_ONCE = 4 << 20
 
 
 def _word_ends(spec: str) -> np.ndarray:
@@ -185,9 +185,11 @@ class _Encoder:
     """Ids of a text as little-endian bytes.
 
     Where the tokenizer lower-cases, drops white space and marks the end of
-    every pre-token, words are encoded once and kept in two generations of a
-    bounded cache, and runs of letters are encoded many to a call: the tokens
-    with the end mark say where each run ends.  Other tokenizers get whole texts.
+    every pre-token, the distinct words of many texts are cut into runs of
+    letters and the marks after them.  Runs, marks and all other words are
+    encoded once and kept in two generations of a bounded cache, and runs go
+    many to a call: the tokens with the end mark say where each run ends.
+    Other tokenizers get whole texts.
     """
 
     def __init__(self, spec: str, cache_words: int = CACHE_WORDS, ends: np.ndarray | None = None):
@@ -222,48 +224,42 @@ class _Encoder:
                 lo = hi
         return out
 
-    def _learn(self, missing: set[bytes]) -> None:
-        """Ids of words that no generation has; all of them are cut into runs and marks by one pass of one expression."""
-        if len(self.young) + len(missing) > self.cache_words:
+    def _known(self, others: list[bytes], runs: list[bytes]) -> list[bytes]:
+        """Ids of marks and words, then of runs; what no generation has is learned, and the first of it kept: frequent words come early."""
+        keys = others + runs
+        row = list(map(self.young.get, keys))
+        gaps = list(_nones(row))
+        for i in gaps:
+            row[i] = self.old.get(keys[i])
+        new = [i for i in gaps if row[i] is None]
+        if new:
+            found = self._runs([keys[i] for i in new if i >= len(others)])
+            new = [i for i in new if i < len(others)]
+            found.update(zip([keys[i] for i in new], self._whole([keys[i].decode(errors="replace") for i in new]), strict=True))
+            row = [found[key] if ids is None else ids for key, ids in zip(keys, row, strict=True)]
+        kept = gaps[: self.cache_words]
+        if len(self.young) + len(kept) > self.cache_words:
             self.old, self.young = self.young, {}
-        young, old = self.young, self.old
-        if old:
-            known = old.keys() & missing
-            young.update(zip(known, map(old.__getitem__, known), strict=True))
-            missing = missing - known
-        words = list(missing)
-        if not words:
-            return
-        lines = _LINES.findall(b"\n".join(words).decode(errors="replace"))
-        first, marks, odd = zip(*lines, strict=True)
-        runs = "\n".join(first).lower().encode().split(b"\n")  # of these letters, one at a time or together, are the same
-        new = list({r for r in runs if r and r not in young})
-        if old:
-            new = [r for r in new if r not in old]
-        found = self._runs(new)
-        ids = {r: found.get(r) or young.get(r) or old.get(r, b"") for r in set(runs)}
-        after = list(set(marks) - {""})
-        ends = dict(zip(after, self._whole(after), strict=True)) | {"": b""}
-        left = [i for i, o in enumerate(odd) if o]
-        young.update(zip(words, map(bytes.__add__, map(ids.__getitem__, runs), map(ends.__getitem__, marks)), strict=True))
-        young.update(zip([words[i] for i in left], self._whole([odd[i] for i in left]), strict=True))
-        young.update(found)
+        self.young.update((keys[i], row[i]) for i in kept)
+        return row
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         if not self.by_word:
             return self._whole([t.decode(errors="replace") for t in texts])
-        out = []
-        for lo in range(0, len(texts), _AT_ONCE):
-            split = [t.split() for t in texts[lo : lo + _AT_ONCE]]
-            rows = [list(map(self.young.get, words)) for words in split]
-            gaps = [(row, i, words[i]) for words, row in zip(split, rows, strict=True) for i in _nones(row)]
-            if gaps:
-                self._learn({word for *_, word in gaps})
-                young = self.young
-                for row, i, word in gaps:
-                    row[i] = young[word]
-            out += map(b"".join, rows)
-        return out
+        split = pc.ascii_split_whitespace(binaries(texts).view(pa.string()))
+        words = split.values.dictionary_encode()
+        cut = pc.extract_regex(words.dictionary, pattern=_WORD)  # null for words that are not cut
+        runs = pc.utf8_lower(pc.struct_field(cut, "run")).dictionary_encode()  # of these letters, one at a time or together, are the same
+        marks = pc.struct_field(cut, "marks").dictionary_encode()
+        uncut = cut.is_null()
+        others = items(marks.dictionary) + items(words.dictionary.filter(uncut))
+        row = self._known(others, items(runs.dictionary))
+        mark_ids = binaries(row[: len(marks.dictionary)]).take(marks.indices)
+        run_ids = binaries(row[len(others) :]).take(runs.indices)
+        nothing = binaries([b""])[0]
+        ids = pc.binary_join_element_wise(run_ids, mark_ids, nothing)
+        ids = pc.replace_with_mask(ids, uncut, binaries(row[len(marks.dictionary) : len(others)]))
+        return items(ids.take(words.indices), split)
 
 
 _encoders: dict[str, _Encoder] = {}
@@ -295,6 +291,23 @@ def _id_list(ids: list[int | None]) -> pa.Array:
     return pa.Array.from_buffers(pa.list_(pa.int64()), 1, [None, pa.py_buffer(np.array([0, len(ids)], dtype=np.int32))], children=[child])
 
 
+def _groups(batches):
+    """Ids and texts of the rows, ``_AT_ONCE`` bytes or little more of them at a time."""
+    doc_ids, texts, size = [], [], 0
+    for batch in batches:
+        raw = batch.column(1).cast(pa.binary())
+        for lo in range(0, batch.num_rows, 256):
+            for doc_id, text in zip(batch.column(0).slice(lo, 256).to_pylist(), raw.slice(lo, 256).to_pylist(), strict=True):
+                doc_ids.append(doc_id)
+                texts.append(text or b"")
+                size += len(texts[-1])
+                if size >= _AT_ONCE:
+                    yield doc_ids, texts
+                    doc_ids, texts, size = [], [], 0
+    if texts:
+        yield doc_ids, texts
+
+
 def _encoded_segments(batches, encoder: _Encoder, end_id: int):
     shard = TaskContext.get().partitionId()
     end = np.array([end_id], dtype="<u4").tobytes()
@@ -309,17 +322,14 @@ def _encoded_segments(batches, encoder: _Encoder, end_id: int):
         columns += [lists([blocks["patch_at"]], np.int32), lists([blocks["patch_high"]])]
         return pa.RecordBatch.from_arrays(columns, schema=SEGMENTS)
 
-    for batch in batches:
-        raw = batch.column(1).cast(pa.binary())
-        for lo in range(0, batch.num_rows, 256):
-            texts = [t or b"" for t in raw.slice(lo, 256).to_pylist()]
-            for doc_id, ids in zip(batch.column(0).slice(lo, 256).to_pylist(), encoder.encode(texts), strict=True):
-                doc_ids.append(doc_id)
-                parts.append(ids + end)
-                held += len(ids) // 4 + 1
-                if held >= SEGMENT_IDS:
-                    yield segment()
-                    seq, first, held, doc_ids, parts = seq + 1, first + held, 0, [], []
+    for some, texts in _groups(batches):
+        for doc_id, ids in zip(some, encoder.encode(texts), strict=True):
+            doc_ids.append(doc_id)
+            parts.append(ids + end)
+            held += len(ids) // 4 + 1
+            if held >= SEGMENT_IDS:
+                yield segment()
+                seq, first, held, doc_ids, parts = seq + 1, first + held, 0, [], []
     if parts:
         yield segment()
 

@@ -5,6 +5,7 @@ from pathlib import Path
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -83,6 +84,54 @@ def test_words_of_the_corpus_match_the_library(sf_dir):
     assert [np.frombuffer(x, "<u4").tolist() for x in encoder.encode([t.encode() for t in texts])] == want
 
 
+class Counted(dict):
+    """A cache that counts its lookups."""
+
+    asked = 0
+
+    def get(self, key, default=None):
+        Counted.asked += 1
+        return super().get(key, default)
+
+
+def test_each_distinct_word_of_many_texts_is_looked_up_once():
+    with open(PATH, encoding="utf-8") as f:
+        encoder = token_files._Encoder(f.read())
+    texts = [f"the words the texts, The TEXTS, it's {i % 7}".encode() for i in range(120)]
+    encoder.encode(texts)
+    assert encoder.by_word
+    encoder.young, Counted.asked = Counted(encoder.young), 0
+    want = [e.ids for e in Tokenizer.from_file(PATH).encode_batch([t.decode() for t in texts], add_special_tokens=False)]
+    assert [np.frombuffer(x, "<u4").tolist() for x in encoder.encode(texts)] == want
+    assert 0 < Counted.asked <= 13  # the, words, texts, a comma, no mark, it's and seven digits; 960 words
+
+
+@pytest.mark.parametrize("cache", [0, 2, 500_000])
+def test_words_of_one_batch_match_the_library(cache):
+    with open(PATH, encoding="utf-8") as f:
+        encoder = token_files._Encoder(f.read(), cache)
+    texts = [
+        b"", b" ", b"\x0b\x0ca\x0bb\x0cc\r\n", b"... a... ... A,", "é É e\u0301 É, \u0301a \x1cb\x85c".encode(),
+        b"abc<|endoftext|> abc.<|startoftext|> don't", b"caf\xe9 x\xc3 \xe2\x82 \xff", b"x" * 3000 + b" 12" * 1000,
+    ]
+    tokenizer = Tokenizer.from_file(PATH)
+    want = [tokenizer.encode(t.decode(errors="replace"), add_special_tokens=False).ids for t in texts]
+    for _ in range(3):
+        assert [np.frombuffer(x, "<u4").tolist() for x in encoder.encode(texts)] == want
+        assert len(encoder.young) <= cache and len(encoder.old) <= cache
+    assert encoder.encode([]) == []
+
+
+def test_groups_hold_every_row_in_order(monkeypatch):
+    monkeypatch.setattr(token_files, "_AT_ONCE", 10)
+    texts = ["aaa", None, "b" * 30, "", "cccccc", "dddd", "e", None]
+    batch = pa.RecordBatch.from_pydict({"id": [None, *range(7)], "text": pa.array(texts, pa.string())})
+    groups = list(token_files._groups([batch, batch.slice(0, 0), batch]))
+    assert [i for ids, _ in groups for i in ids] == [None, *range(7)] * 2
+    assert [x for _, some in groups for x in some] == [(t or "").encode() for t in texts] * 2
+    assert len(groups) > 3 and all(sum(map(len, some[:-1])) < 10 for _, some in groups)
+
+
 def test_other_tokenizers_get_whole_texts():
     with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as f:
         encoder = token_files._Encoder(f.read())
