@@ -7,6 +7,7 @@ import threading
 import uuid
 from contextlib import contextmanager
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -67,13 +68,18 @@ IDLE_SECONDS = 3.0
 _timers: dict[int, threading.Timer] = {}
 
 
-def _let_go(cache: dict) -> None:
-    """Empties ``cache``, and gives the memory back: glibc keeps what is freed, and an executor has up to twice as many idle workers as cores."""
-    cache.clear()
+def give_back() -> None:
+    """Gives freed memory back: glibc and Arrow keep it, and an executor has up to twice as many workers as cores."""
+    pa.default_memory_pool().release_unused()
     if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
         trim(0)
 
 
+def _let_go(cache: dict) -> None:
+    cache.clear()
+    give_back()
+
+
 @contextmanager
 def in_use(cache: dict):
     """Keeps what ``cache`` (a module's) holds from task to task, and empties it once no task has used it for a while."""

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barloom.llm._arrow import binaries, items, lists, numbers
-from barloom.llm._spark import bound_batches, fresh_path, in_use, shared_dir
+from barloom.llm._spark import bound_batches, fresh_path, give_back, in_use, shared_dir
 
 BLOCK = 1024
 SEGMENT_IDS = 1 << 17
@@ -160,8 +160,10 @@ def _nones(row: list):
 _WORD = r"^(?P<run>[A-Za-zÀ-ÖØ-öø-ÿ]+)(?P<marks>[!-&(-/:-@\[-`{-~]*)$"
 #: Missing runs of letters given to the library as one text.
 _JOINED = 256
-#: Bytes of the texts that are encoded together, each of their words once.
+#: Bytes of the texts that are encoded together, each of their words once; fewer for a small cache: those
+#: of a word kept, as a group should not hold many more distinct words than the cache.
 _AT_ONCE = 4 << 20
+_AT_ONCE_A_WORD = 25
 
 
 def _word_ends(spec: str) -> np.ndarray:
@@ -210,8 +212,9 @@ class _Encoder:
     def _runs(self, runs: list[bytes]) -> dict[bytes, bytes]:
         """Ids of runs of lower-case letters, each one pre-token."""
         out: dict[bytes, bytes] = {}
-        groups = [runs[k : k + _JOINED] for k in range(0, len(runs), _JOINED)]
-        for group, done in zip(groups, self.tokenizer.encode_batch_fast([b" ".join(g).decode() for g in groups], add_special_tokens=False), strict=True):
+        for k in range(0, len(runs), _JOINED):  # the library's answers are large: one at a time
+            group = runs[k : k + _JOINED]
+            done = self.tokenizer.encode_batch_fast([b" ".join(group).decode()], add_special_tokens=False)[0]
             ids = np.array(done.ids, dtype="<u4")
             stops = (np.flatnonzero(self.ends[ids]) + 1) * 4
             raw = ids.tobytes()
@@ -270,6 +273,7 @@ def _encoder(spec: str, ends: np.ndarray, cache_words: int) -> _Encoder:
     if key not in _encoders:
         _encoders.clear()
         _encoders[key] = _Encoder(spec, cache_words, ends)
+        give_back()  # parsing took more than the tokenizer holds
     return _encoders[key]
 
 
@@ -281,6 +285,7 @@ def _segments(batches, spec: str, ends: np.ndarray, end_id: int, cache_words: in
             yield from _encoded_segments(batches, _encoder(spec, ends, cache_words), end_id)
     finally:
         gc.set_threshold(*before)
+        give_back()
 
 
 def _id_list(ids: list[int | None]) -> pa.Array:
@@ -291,8 +296,8 @@ def _id_list(ids: list[int | None]) -> pa.Array:
     return pa.Array.from_buffers(pa.list_(pa.int64()), 1, [None, pa.py_buffer(np.array([0, len(ids)], dtype=np.int32))], children=[child])
 
 
-def _groups(batches):
-    """Ids and texts of the rows, ``_AT_ONCE`` bytes or little more of them at a time."""
+def _groups(batches, at_once: int):
+    """Ids and texts of the rows; a group ends with the text that brings it to ``at_once`` bytes."""
     doc_ids, texts, size = [], [], 0
     for batch in batches:
         raw = batch.column(1).cast(pa.binary())
@@ -301,7 +306,7 @@ def _groups(batches):
                 doc_ids.append(doc_id)
                 texts.append(text or b"")
                 size += len(texts[-1])
-                if size >= _AT_ONCE:
+                if size >= at_once:
                     yield doc_ids, texts
                     doc_ids, texts, size = [], [], 0
     if texts:
@@ -322,7 +327,7 @@ def _encoded_segments(batches, encoder: _Encoder, end_id: int):
         columns += [lists([blocks["patch_at"]], np.int32), lists([blocks["patch_high"]])]
         return pa.RecordBatch.from_arrays(columns, schema=SEGMENTS)
 
-    for some, texts in _groups(batches):
+    for some, texts in _groups(batches, min(_AT_ONCE, _AT_ONCE_A_WORD * encoder.cache_words)):
         for doc_id, ids in zip(some, encoder.encode(texts), strict=True):
             doc_ids.append(doc_id)
             parts.append(ids + end)
@@ -330,6 +335,7 @@ def _encoded_segments(batches, encoder: _Encoder, end_id: int):
             if held >= SEGMENT_IDS:
                 yield segment()
                 seq, first, held, doc_ids, parts = seq + 1, first + held, 0, [], []
+        give_back()
     if parts:
         yield segment()
 

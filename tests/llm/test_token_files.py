@@ -122,11 +122,10 @@ def test_words_of_one_batch_match_the_library(cache):
     assert encoder.encode([]) == []
 
 
-def test_groups_hold_every_row_in_order(monkeypatch):
-    monkeypatch.setattr(token_files, "_AT_ONCE", 10)
+def test_groups_hold_every_row_in_order():
     texts = ["aaa", None, "b" * 30, "", "cccccc", "dddd", "e", None]
     batch = pa.RecordBatch.from_pydict({"id": [None, *range(7)], "text": pa.array(texts, pa.string())})
-    groups = list(token_files._groups([batch, batch.slice(0, 0), batch]))
+    groups = list(token_files._groups([batch, batch.slice(0, 0), batch], 10))
     assert [i for ids, _ in groups for i in ids] == [None, *range(7)] * 2
     assert [x for _, some in groups for x in some] == [(t or "").encode() for t in texts] * 2
     assert len(groups) > 3 and all(sum(map(len, some[:-1])) < 10 for _, some in groups)
@@ -163,6 +162,26 @@ def test_the_manifest_starts_no_workers_of_its_own(spark, tmp_path, monkeypatch)
         assert bool(rows) == (name == "some")
 
 
+def test_a_new_encoder_holds_no_more_than_the_tokenizer():
+    code = f"""
+import re
+from barloom.llm import token_files
+
+def held():
+    with open("/proc/self/smaps_rollup") as f:
+        return int(re.search(r"\\nAnonymous:\\s+(\\d+)", f.read())[1]) / 1024
+
+with open({PATH!r}, encoding="utf-8") as f:
+    spec = f.read()
+ends = token_files._word_ends(spec)
+token_files.give_back()
+before = held()
+token_files._encoder(spec, ends, 1000)
+assert held() - before < 30, (before, held())  # 40 with what parsing frees
+"""
+    subprocess.run([sys.executable, "-c", code], check=True, timeout=60, cwd=Path(token_files.__file__).parents[2])
+
+
 def test_an_idle_worker_gives_memory_back():
     code = """
 import re, time
